@@ -395,3 +395,43 @@ def in_blocks(
     frames = Frames(series.keys)
     compute(frames)
     return frames.apply(spread, columns)
+
+
+# ---------------------------------------------------------------- calendar frames and skew-safe joins
+
+def in_recent_days(
+    df: DataFrame, values: Mapping[str, Column], days: int, series: Series = DAILY
+) -> DataFrame:
+    """For each name: the aggregate over the rows of the last ``days`` calendar days, this one included.
+
+    Works per bucket; the last ``days - 1`` days of a bucket are also given to the next one.
+    """
+    if series.step_seconds != DAY_SECONDS or days > series.slots:
+        raise ValueError("calendar frames need a daily series and a span within one bucket")
+    day = F.unix_date(F.col(series.order))
+    home = series.bucket()
+    reached = F.floor((day + days - 1) / series.slots).cast("long")
+    spread = df.select(
+        "*", home.alias("_home"),
+        F.explode(F.array_distinct(F.array(home, reached))).alias(BUCKET),
+    )
+    window = Window.partitionBy(*series.piece).orderBy(day).rangeBetween(1 - days, 0)
+    return (
+        spread.withColumns({k: v.over(window) for k, v in values.items()})
+        .filter(F.col(BUCKET) == F.col("_home"))
+        .drop(BUCKET, "_home")
+    )
+
+
+def spread_join(
+    fact: DataFrame, small: DataFrame, keys: list[str], how: str = "inner",
+    by: str = "date", salts: int = 32,
+) -> DataFrame:
+    """Join per-key rows onto facts of which one key may hold a third.
+
+    Facts of one key are dealt to ``salts`` groups by the hash of column ``by``; ``small`` (one row
+    per key) is repeated once per group. Spark still picks a broadcast where ``small`` fits one.
+    """
+    salted = fact.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
+    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
