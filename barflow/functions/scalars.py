@@ -53,7 +53,7 @@ def chosen_confidence(direction: Column, probability_up: Column) -> Column:
 
 def split_symbols(text: Column) -> Column:
     """Comma-separated symbols as a trimmed array without empty entries."""
-    trimmed = F.transform(F.split(text, ","), F.trim)
+    trimmed = F.transform(F.split(text, ","), lambda s: F.trim(s))
     return F.filter(trimmed, lambda s: s != "")
 
 

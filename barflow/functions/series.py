@@ -182,12 +182,14 @@ def with_scans(
     value: str = "close",
     balance: tuple[str, str] | None = None,
     series: Series = DAILY,
+    seed: DataFrame | None = None,
 ) -> DataFrame:
     """Add recursive exponential averages and, optionally, the on-balance volume.
 
     ``spans`` maps an output name to its span: y0 = x0, y = a*x + (1-a)*y_prev, a = 2/(span+1).
     ``balance = (output, volume)`` adds the running sum of sign(change of value) * volume.
     ``row_pos`` and ``row_total`` come along, as the same bucket summary yields them.
+    ``seed`` continues earlier output: its newest row per series, with the columns made here.
 
     The recursion is an affine map, and affine maps compose. With r = 1-a and c the average at the
     end of the bucket before, row j of a bucket has y_j = sum(a * x_i * r^(j-i)) + r^(j+1) * c. The
@@ -232,16 +234,35 @@ def with_scans(
         f"_end_{k}": F.lit(1 - r) * F.pow(F.lit(r), F.col("n") - 1) * F.col(f"_sum_{k}")
         for k, r in decays.items()
     })
+    start = {k: F.col("_first") for k in decays}
+    before, start_value, start_balance = F.lit(0), F.lit(None).cast("double"), F.lit(0.0)
+    if seed is not None:
+        known = [POSITION, value, *decays, *([balance[0]] if balance else [])]
+        summary = summary.join(
+            seed.select(*series.keys, *[F.col(c).alias(f"_seed_{c}") for c in known]),
+            list(series.keys), "left",
+        )
+        start = {k: F.coalesce(F.col(f"_seed_{k}"), F.col("_first")) for k in decays}
+        before = F.coalesce(F.col(f"_seed_{POSITION}") + 1, F.lit(0))
+        start_value = F.col(f"_seed_{value}")
+        if balance:
+            start_balance = F.coalesce(F.col(f"_seed_{balance[0]}"), F.lit(0.0))
+    summary = summary.withColumns({
+        "_before": F.col("_before") + before,
+        TOTAL: F.col(TOTAL) + before,
+        **{f"_start_{k}": v for k, v in start.items()},
+    })
     keep = ["_before", TOTAL]
     if balance:
         # The first change of a bucket needs the last value of the bucket before it.
         across = series.across_buckets()
-        step = F.signum(F.col("_first") - F.lag("_last").over(across)) * F.col("_first_volume")
+        last = F.coalesce(F.lag("_last").over(across), start_value)
+        step = F.signum(F.col("_first") - last) * F.col("_first_volume")
         summary = summary.withColumn("_step", F.coalesce(step, F.lit(0.0)))
         moved = F.sum(F.col("_signed") + F.col("_step")).over(
             across.rowsBetween(Window.unboundedPreceding, 0)
         )
-        summary = summary.withColumn("_balance", moved - F.col("_signed"))
+        summary = summary.withColumn("_balance", start_balance + moved - F.col("_signed"))
         keep.append("_balance")
     if decays:
         summary = _fold_averages(summary, decays, keep, series)
@@ -273,13 +294,14 @@ def _fold_averages(
 
     The array holds one entry per bucket of one series, so its length is bounded by the time axis.
     """
-    entry = F.struct(BUCKET, "n", "_first", *keep, *[f"_end_{k}" for k in decays])
+    parts = [f"{p}_{k}" for k in decays for p in ("_start", "_end")]
+    entry = F.struct(BUCKET, "n", *keep, *parts)
     folded = summary.groupBy(*series.keys).agg(F.sort_array(F.collect_list(entry)).alias("_line"))
     line = F.col("_line")
 
     def carries(name: str, r: float) -> Column:
         start = F.struct(
-            line[0]["_first"].alias("c"), F.array().cast("array<double>").alias("seen")
+            line[0][f"_start_{name}"].alias("c"), F.array().cast("array<double>").alias("seen")
         )
 
         def advance(state: Column, x: Column) -> Column:

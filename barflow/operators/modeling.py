@@ -16,6 +16,7 @@ from barflow.functions.scalars import calendar_target, chosen_confidence
 from barflow.functions.series import (
     DAILY, POSITION, TOTAL, Series, last_rows, number_rows, spread_join,
 )
+from barflow.session import staged
 
 # Columns of a feature row that are no features.
 NOT_FEATURES = ("target_direction_5d", "future_return_5d", "date", "symbol", "asset_id", "computed_at", "id")
@@ -203,9 +204,9 @@ def fit(
         inputCol="symbol", outputCol="symbol_index", handleInvalid="keep", stringOrderType="alphabetAsc"
     )
     assembler = VectorAssembler(inputCols=[*features, "symbol_index"], outputCol="features")
-    learner = GBTClassifier(featuresCol="features", labelCol="label", **settings)
+    learner = GBTClassifier(featuresCol="features", labelCol="label", validationTol=validation_tol, **settings)
     if validation:
-        learner = learner.setValidationIndicatorCol("is_validation").setValidationTol(validation_tol)
+        learner = learner.setValidationIndicatorCol("is_validation")
     return Pipeline(stages=[index, assembler, learner]).fit(matrix)
 
 
@@ -237,9 +238,9 @@ def train_walk_forward(
     for i in range(1, n_splits + 1):
         rows = folds.filter(F.col("fold") == i)
         train = rows.filter(F.col("role") == "train")
-        middle = feature_medians(train, features)
+        middle = staged(feature_medians(train, features), "medians")
         marked = _validation_tail(fill_with_medians(train, middle, features), test_size, series)
-        model = fit(marked, features, settings, validation=True)
+        model = fit(staged(marked, "train"), features, settings, validation=True)
         test = fill_with_medians(rows.filter(F.col("role") == "test"), middle, features)
         results.append(score(model, test))
     scored = results[0]

@@ -169,7 +169,10 @@ def performance_by_period(evaluated: DataFrame, horizon: int = 5) -> DataFrame:
         Window.partitionBy("symbol", "period_start").orderBy("prediction_date")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    rows = rows.withColumn("equity", F.exp(F.sum(F.ln(1 + F.col("gain"))).over(upto)))
+    # A loss of everything leaves no equity for the rest of the period.
+    factor = F.greatest(1 + F.col("gain"), F.lit(0.0))
+    equity = F.when(F.min(factor).over(upto) > 0, F.exp(F.sum(F.ln(factor)).over(upto))).otherwise(0.0)
+    rows = rows.withColumn("equity", equity)
     rows = rows.withColumn("drawdown", F.col("equity") / F.greatest(F.max("equity").over(upto), F.lit(1.0)) - 1)
     counts = rows.groupBy("symbol", "period_start").agg(
         F.count(F.lit(1)).alias("n_predictions"),

@@ -7,8 +7,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+_TYPES = {
+    "string": T.StringType(), "date": T.DateType(), "double": T.DoubleType(), "bigint": T.LongType(),
+    "int": T.IntegerType(), "boolean": T.BooleanType(), "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(), "score": T.DecimalType(3, 2),
+}
+
+
+def _schema(columns: str) -> T.StructType:
+    pairs = [column.split() for column in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 BARS = _schema(
@@ -22,7 +30,7 @@ BRONZE = _schema(
 SILVER = _schema(
     "symbol string, date date, open double, high double, low double, close double, "
     "adj_close double, volume bigint, return_simple double, return_log double, "
-    "is_imputed boolean, quality_score decimal(3,2), batch_id string"
+    "is_imputed boolean, quality_score score, batch_id string"
 )
 FEATURES_LONG = _schema("symbol string, date date, feature_name string, feature_value double")
 ASSETS = _schema("symbol string, name string, sector string, currency string")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -18,6 +18,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
+        # Call sites per column expression cost more than the expressions in wide feature plans.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
@@ -35,9 +37,12 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/barflow/{purpose}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df):
-    """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(work_dir(df.sparkSession, "checkpoint"))
-    return df.checkpoint()
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written once to the shared work folder and read back.
+
+    For plans that several branches or iterations read: the rows are computed once, and a lost
+    executor costs no recomputation.
+    """
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barflow.functions.series import Frames, in_blocks, number_rows
+
 PRICES = ("open", "high", "low", "close")
 VALUES = ("open", "high", "low", "close", "adj_close", "volume")
 
@@ -158,3 +160,32 @@ def assets(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("BRL").alias("currency"),
         )
     )
+
+
+def predictions(bars: DataFrame, evaluated: bool = True) -> DataFrame:
+    """A rule-made prediction at every tenth bar: UP when the close is above the one five bars ago.
+
+    ``evaluated`` fills the outcome where the fifth bar after it exists, otherwise it stays open.
+    """
+
+    def compute(f: Frames) -> None:
+        f.out("close_lag_5", f.lag("close", 5))
+        f.out("actual_return", F.try_divide(f.lead("close", 5), F.col("close")) - 1)
+
+    numbered = number_rows(bars.select("symbol", "date", "close"))
+    known = in_blocks(numbered, compute, before=5, after=5)
+    number = F.col("row_pos") + 1
+    predicted = (F.col("close") > F.col("close_lag_5")).cast("int")
+    change = F.col("actual_return") if evaluated else F.lit(None).cast("double")
+    actual = (change > 0).cast("int")
+    return known.filter(number % 10 == 0).select(
+        "symbol",
+        F.col("date").alias("prediction_date"),
+        F.date_add("date", 7).alias("target_date"),
+        F.lit("momentum_v1").alias("model_version"),
+        predicted.alias("predicted_direction"),
+        (0.5 + (number % 50) / 100).alias("confidence"),
+        actual.alias("actual_direction"),
+        change.alias("actual_return"),
+        (predicted == actual).alias("is_correct"),
+    )
