@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barflow.functions.series import spread_join
+from barflow.session import staged
 
 CELLS = 128
 
@@ -42,7 +43,10 @@ def cumulative_counts(
     ``counted`` maps a name to an aggregate; the output has ``<name>`` (at the value),
     ``<name>_upto`` and ``<name>_total`` (whole group).
     """
-    distinct = values.groupBy(*group, value).agg(*[c.alias(k) for k, c in counted.items()])
+    # Three branches read the distinct values: cut points, cell totals and the counts themselves.
+    distinct = staged(
+        values.groupBy(*group, value).agg(*[c.alias(k) for k, c in counted.items()]), "distinct"
+    )
     points = F.array(*[F.lit(i / cells) for i in range(1, cells)])
     splits = distinct.groupBy(*group).agg(
         F.percentile_approx(value, points, F.lit(20 * cells)).alias("_splits")
@@ -63,7 +67,7 @@ def cumulative_counts(
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     local = celled.withColumns({f"_upto_{k}": F.sum(k).over(upto) for k in counted})
-    return local.join(totals, [*group, "_cell"]).select(
+    return local.join(totals.hint("merge"), [*group, "_cell"]).select(
         *group, value, *counted,
         *[(F.col(f"_before_{k}") + F.col(f"_upto_{k}")).alias(f"{k}_upto") for k in counted],
         *[f"{k}_total" for k in counted],

@@ -67,6 +67,15 @@ class Series:
 DAILY = Series()
 
 
+def _with_summary(pieces: DataFrame, summary: DataFrame, series: Series) -> DataFrame:
+    """Join one summary row per bucket back onto the rows of the bucket.
+
+    The rows lie sorted by (key, bucket) after their window, so a merge join moves only the summary;
+    the hint keeps the planner from broadcasting the rows instead when there are few of them.
+    """
+    return pieces.join(summary.hint("merge"), series.piece)
+
+
 def _bucketed(df: DataFrame, series: Series) -> DataFrame:
     return df.withColumn(BUCKET, series.bucket())
 
@@ -91,7 +100,7 @@ def number_rows(df: DataFrame, series: Series = DAILY) -> DataFrame:
     )
     numbered = pieces.withColumn("_rank", F.row_number().over(series.in_bucket()))
     return (
-        numbered.join(offsets.select(*series.piece, "_before", TOTAL), series.piece)
+        _with_summary(numbered, offsets.select(*series.piece, "_before", TOTAL), series)
         .withColumn(POSITION, F.col("_before") + F.col("_rank") - 1)
         .drop(BUCKET, "_rank", "_before")
     )
@@ -138,7 +147,7 @@ def _carried(df: DataFrame, values: Mapping[str, Column], series: Series, forwar
     local = pieces.withColumns(
         {f"_near_{k}": F.last(v, ignorenulls=True).over(inner) for k, v in values.items()}
     )
-    joined = local.join(carries, series.piece)
+    joined = _with_summary(local, carries, series)
     return joined.withColumns(
         {k: F.coalesce(F.col(f"_near_{k}"), F.col(f"_carry_{k}")) for k in values}
     ).drop(BUCKET, *[f"_near_{k}" for k in values], *[f"_carry_{k}" for k in values])
@@ -158,7 +167,7 @@ def with_running_total(df: DataFrame, totals: Mapping[str, Column], series: Seri
     )
     local = pieces.withColumns({f"_upto_{k}": F.sum(v).over(upto) for k, v in totals.items()})
     return (
-        local.join(offsets, series.piece)
+        _with_summary(local, offsets, series)
         .withColumns({
             k: F.coalesce(F.col(f"_before_{k}"), F.lit(0)) + F.coalesce(F.col(f"_upto_{k}"), F.lit(0))
             for k in totals
@@ -282,7 +291,7 @@ def with_scans(
         )
     if balance:
         columns[balance[0]] = F.col("_balance") + F.col("_upto_balance")
-    result = pieces.withColumns(local).join(summary, series.piece).withColumns(columns)
+    result = _with_summary(pieces.withColumns(local), summary, series).withColumns(columns)
     extra = [c for c in result.columns if c not in df.columns]
     return result.select(*df.columns, *[c for c in extra if not c.startswith("_")])
 
@@ -325,21 +334,56 @@ def _fold_averages(
 
 # ---------------------------------------------------------------- finite frames
 
+RADIX = 4
+
+
+def _powers(n: int) -> list[int]:
+    """Powers of RADIX up to ``n``."""
+    found = [1]
+    while found[-1] * RADIX <= n:
+        found.append(found[-1] * RADIX)
+    return found
+
+
+def _tiles(n: int) -> list[tuple[int, int]]:
+    """A frame of ``n`` rows as (size, rows back) of side-by-side partial frames."""
+    tiles, back = [], 0
+    for size in reversed(_powers(n)):
+        while n - back >= size:
+            tiles.append((size, back))
+            back += size
+    return tiles
+
+
+def _cover(n: int) -> list[tuple[int, int]]:
+    """A frame of ``n`` rows as (size, rows back) of partial frames that may overlap."""
+    size = _powers(n)[-1]
+    return [(size, min(back, n - size)) for back in range(0, n, size)]
+
+
 class Frames:
-    """Collects finite-frame expressions, so that any number of them costs three projections.
+    """Collects finite-frame expressions and evaluates them with a handful of projections.
 
     ``lag``/``lead`` look at input columns, ``row`` adds arithmetic on them, and the rolling
     functions run over input or ``row`` columns. All return column references to use in ``out``.
-    Rolling functions follow the full-window rule: a value only where the frame holds ``n``
-    non-null observations. Asking twice for the same thing computes it once.
+    Asking twice for the same thing computes it once.
+
+    A rolling value over ``n`` rows is put together from partial frames of 1, 4, 16, ... rows that end
+    at or before the row, each made of four smaller ones. That takes a few lags per row where a sliding
+    frame would visit ``n`` rows, and as nothing is ever subtracted it stays as exact. A partial frame
+    with a null or a missing row is null, so a value exists only where all ``n`` rows have one: the
+    full-window rule.
     """
 
     def __init__(self, keys: tuple[str, ...]):
         self._window = Window.partitionBy(*keys, BLOCK).orderBy(POSITION)
         self._near: dict[str, Column] = {}
         self._row: dict[str, Column] = {}
-        self._rolling: dict[str, Column] = {}
+        self._levels: dict[str, dict[str, int]] = {}
+        self._lagged: dict[str, Column] = {}
+        self._rolled: dict[str, Column] = {}
         self._out: dict[str, Column] = {}
+        self._kept = F.col(OWN)
 
     def lag(self, column: str, k: int = 1) -> Column:
         return self._add(self._near, f"_{column}_lag_{k}", F.lag(column, k).over(self._window))
@@ -352,25 +396,60 @@ class Frames:
         return name
 
     def mean(self, column: str, n: int) -> Column:
-        return self._full(F.avg, "avg", column, n)
+        name = f"_mean_{column}_{n}"
+        if name not in self._rolled:
+            parts = [self._part("sum", column, size, back) for size, back in _tiles(n)]
+            total = parts[0]
+            for part in parts[1:]:
+                total = total + part
+            self._rolled[name] = total / n
+        return F.col(name)
 
     def std(self, column: str, n: int) -> Column:
-        return self._full(F.stddev_samp, "std", column, n)
+        """Sample deviation, from the spread inside the parts and between their means."""
+        if n < 2:
+            raise ValueError("a deviation needs at least two rows")
+        name = f"_std_{column}_{n}"
+        if name not in self._rolled:
+            tiles = _tiles(n)
+            means = [self._part("sum", column, size, back) / size for size, back in tiles]
+            spread = _between(means, [size for size, _ in tiles])
+            for size, back in tiles:
+                if size > 1:
+                    spread = spread + self._part("dev", column, size, back)
+            self._rolled[name] = F.sqrt(spread / (n - 1))
+        return F.col(name)
 
     def min(self, column: str, n: int) -> Column:
-        return self._full(F.min, "min", column, n)
+        return self._extreme("min", column, n)
 
     def max(self, column: str, n: int) -> Column:
-        return self._full(F.max, "max", column, n)
+        return self._extreme("max", column, n)
 
     def out(self, name: str, expression: Column) -> None:
         self._out[name] = expression
 
+    def require(self, condition: Column) -> None:
+        """Return only rows that meet the condition."""
+        self._kept = self._kept & condition
+
     def apply(self, df: DataFrame, keep: list[str]) -> DataFrame:
-        for stage in (self._near, self._row, self._rolling):
+        for stage in (self._near, self._row):
+            if stage:
+                df = df.withColumns(stage)
+        for size in _powers(max((top for kinds in self._levels.values() for top in kinds.values()), default=1)):
+            level = {
+                f"_{kind}{size}_{column}": self._grown(kind, column, size)
+                for column, kinds in self._levels.items()
+                for kind, top in kinds.items()
+                if size <= top and not (kind == "dev" and size == 1)
+            }
+            if level:
+                df = df.withColumns(level)
+        for stage in (self._lagged, self._rolled):
             if stage:
                 df = df.withColumns(stage)
-        return df.filter(F.col(OWN)).select(
+        return df.filter(self._kept).select(
             *keep, *[v.alias(k) for k, v in self._out.items() if k not in keep]
         )
 
@@ -379,11 +458,72 @@ class Frames:
         stage[name] = expression
         return F.col(name)
 
-    def _full(self, fn: Callable[[str], Column], label: str, column: str, n: int) -> Column:
-        rows = self._window.rowsBetween(1 - n, 0)
-        held = self._add(self._rolling, f"_count_{column}_{n}", F.count(column).over(rows))
-        value = self._add(self._rolling, f"_{label}_{column}_{n}", fn(column).over(rows))
-        return F.when(held >= n, value)
+    def _need(self, kind: str, column: str, size: int) -> None:
+        kinds = self._levels.setdefault(column, {})
+        kinds[kind] = max(kinds.get(kind, 1), size)
+
+    def _part(self, kind: str, column: str, size: int, back: int) -> Column:
+        """The partial frame of ``size`` rows that ends ``back`` rows before the current one."""
+        self._need(kind, column, size)
+        if kind == "dev":
+            self._need("sum", column, size)
+        name = f"_{kind}{size}_{column}"
+        if back == 0:
+            return F.col(name)
+        return self._add(self._lagged, f"{name}_back_{back}", F.lag(name, back).over(self._window))
+
+    def _grown(self, kind: str, column: str, size: int) -> Column:
+        """A partial frame of ``size`` rows from RADIX frames of a quarter of them."""
+        if size == 1:
+            return F.col(column).cast("double")
+        quarter = size // RADIX
+
+        def parts(of: str) -> list[Column]:
+            name = f"_{of}{quarter}_{column}"
+            return [F.col(name), *[F.lag(name, i * quarter).over(self._window) for i in range(1, RADIX)]]
+
+        if kind in ("min", "max"):
+            return _known_extreme(kind, parts(kind))
+        sums = parts("sum")
+        if kind == "sum":
+            return (sums[0] + sums[1]) + (sums[2] + sums[3])
+        spread = _between([part / quarter for part in sums], [quarter] * RADIX)
+        for part in parts("dev") if quarter > 1 else []:
+            spread = spread + part
+        return spread
+
+    def _extreme(self, kind: str, column: str, n: int) -> Column:
+        name = f"_{kind}_{column}_{n}"
+        if name not in self._rolled:
+            parts = [self._part(kind, column, size, back) for size, back in _cover(n)]
+            self._rolled[name] = _known_extreme(kind, parts)
+        return F.col(name)
+
+
+def _between(means: list[Column], sizes: list[int]) -> Column:
+    """Squared deviations between parts of these means and sizes.
+
+    Taken relative to the first mean: equal means give exactly zero, and no large squares cancel.
+    """
+    if len(means) == 1:
+        return F.when(means[0].isNotNull(), 0.0)
+    squares, total = None, None
+    for mean, size in zip(means[1:], sizes[1:]):
+        gap = mean - means[0]
+        square, weighted = size * gap * gap, size * gap
+        squares = square if squares is None else squares + square
+        total = weighted if total is None else total + weighted
+    return F.greatest(squares - total * total / sum(sizes), F.when(squares.isNotNull(), 0.0))
+
+
+def _known_extreme(kind: str, parts: list[Column]) -> Column:
+    """Smallest or largest of the parts, null when one of them is (``least`` alone skips nulls)."""
+    if len(parts) == 1:
+        return parts[0]
+    known = parts[0].isNotNull()
+    for part in parts[1:]:
+        known = known & part.isNotNull()
+    return F.when(known, (F.least if kind == "min" else F.greatest)(*parts))
 
 
 def in_blocks(

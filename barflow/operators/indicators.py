@@ -34,7 +34,6 @@ GOLD_FEATURES = (
 )
 GOLD_TARGETS = ("target_direction_5d", "future_return_5d")
 GOLD_COLUMNS = (*GOLD_FEATURES, *GOLD_TARGETS)
-WARM_COLUMNS = ("sma_63", "volatility_63d", "rsi_14")
 
 EMA_SPANS = {"ema_9": 9, "ema_12": 12, "ema_26": 26}
 
@@ -97,8 +96,7 @@ def rolling_stats(f: Frames, windows: Sequence[int] = WINDOWS) -> None:
     for n in windows:
         low, high, dev = f.min("close", n), f.max("close", n), f.std("close", n)
         f.out(f"std_{n}", dev)
-        # A flat frame has no spread, whatever rounding left in its deviation.
-        f.out(f"zscore_{n}", F.when(high > low, ratio(close - f.mean("close", n), dev)))
+        f.out(f"zscore_{n}", ratio(close - f.mean("close", n), dev))
         f.out(f"rolling_min_{n}", low)
         f.out(f"rolling_max_{n}", high)
         f.out(f"range_position_{n}", ratio(close - low, high - low))
@@ -120,21 +118,18 @@ def rsi(f: Frames, periods: Sequence[int] = (14, 7)) -> None:
     gain = f.row("_gain", F.when(change > 0, change).otherwise(0.0))
     loss = f.row("_loss", F.when(change < 0, -change).otherwise(0.0))
     for n in periods:
-        # The largest loss decides whether there was one: a mean may keep a rounding remainder.
-        mean_loss = F.when(f.max(loss, n) > 0, f.mean(loss, n))
-        strength = ratio(f.mean(gain, n), mean_loss)
+        strength = ratio(f.mean(gain, n), f.mean(loss, n))
         f.out(f"rsi_{n}", 100 - ratio(F.lit(100.0), 1 + strength))
 
 
 def bollinger(f: Frames, n: int = BAND) -> None:
     close, mid = F.col("close"), f.mean("close", n)
-    flat = f.max("close", n) == f.min("close", n)
-    dev = F.when(flat, 0.0).otherwise(f.std("close", n))
+    dev = f.std("close", n)
     upper, lower = mid + 2 * dev, mid - 2 * dev
     f.out("bb_upper", upper)
     f.out("bb_lower", lower)
     f.out("bb_width", ratio(upper - lower, mid))
-    f.out("bb_position", F.when(~flat, ratio(close - lower, upper - lower)))
+    f.out("bb_position", ratio(close - lower, upper - lower))
 
 
 def atr(f: Frames, n: int = 14) -> None:
@@ -206,12 +201,14 @@ def gold(
         returns(f, log_periods=())
         lags(f, ("close",), RETURNS)
         target(f, horizon, tail_label)
+        if warm:
+            # Means are known exactly where sma_63 and volatility_63d are, and cheaper to test.
+            f.require(f.mean("close", 63).isNotNull() & f.mean(stored or "_log_return", 63).isNotNull())
+            f.require(f.mean("_loss", 14) > 0)
 
     featured = in_blocks(
         with_averages(silver, series), compute, before=max(WINDOWS), after=horizon, series=series
     )
-    if warm:
-        featured = featured.dropna(subset=list(WARM_COLUMNS))
     return featured.select(*series.keys, series.order, *GOLD_COLUMNS)
 
 

@@ -16,7 +16,7 @@ from barflow.functions import scalars
 from barflow.functions.series import in_blocks
 from barflow.operators import clean, drift, indicators, modeling, monitoring, quality, reports, upsert
 from barflow.plans import layers
-from barflow.session import staged, work_dir
+from barflow.session import staged, tuned, work_dir
 from barflow.sources import bars as src
 from barflow.sources import landing, tables
 from barflow.streaming import jobs
@@ -48,7 +48,7 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    QUERIES[fn.__name__] = lambda spark, sf_dir: fn(tuned(spark), sf_dir)
     return fn
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """Local session for tests and the bench; a cluster brings its own session and settings."""
-    return (
+    return tuned(
         SparkSession.builder.master(f"local[{cores}]")
         .appName("barflow")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -24,6 +24,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     )
 
 
+def tuned(spark: SparkSession) -> SparkSession:
+    """Set what the wide feature plans need in any session.
+
+    HotSpot leaves methods over 8000 bytes uncompiled; Spark then does better with smaller pieces of
+    generated code than with one method per stage.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    return spark
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder path for written intermediate results.
 
