@@ -41,7 +41,7 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     it and a lost executor loses nothing. Only where that setting is absent (tests on one machine)
     a local folder is made.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="barflow-")
     return f"{base.rstrip('/')}/barflow/{purpose}-{uuid.uuid4().hex}"
