@@ -552,14 +552,14 @@ def upsert_touch(spark, d):
 @query
 def incr_bronze_after_silver(spark, d):
     raw = src.bars_dirty(spark, d)
-    stored = clean.silver(raw.filter((F.col("date") < CUTOFF) & (F.col("symbol") != "5-LOW")))
+    stored = staged(clean.silver(raw.filter((F.col("date") < CUTOFF) & (F.col("symbol") != "5-LOW"))), "silver")
     return _score_for_query(layers.silver_increment(raw, stored))
 
 
 @query
 def incr_gold(spark, d):
     base = src.bars_priority(spark, d)
-    stored = indicators.gold(base.filter((F.col("date") < CUTOFF) & (F.col("symbol") != "5-LOW")))
+    stored = staged(indicators.gold(base.filter((F.col("date") < CUTOFF) & (F.col("symbol") != "5-LOW"))), "gold")
     return rounded(layers.gold_increment(base, stored))
 
 
@@ -582,6 +582,7 @@ def ml_feature_matrix(spark, d):
 @query
 def ml_median_impute(spark, d):
     matrix = modeling.feature_matrix(_gold(spark, d, warm=False)).select("symbol", "date", *MEDIAN_FEATURES)
+    matrix = staged(matrix, "matrix")
     middle = modeling.feature_medians(matrix, MEDIAN_FEATURES)
     filled = modeling.fill_with_medians(matrix, middle, MEDIAN_FEATURES)
     return rounded(filled)
@@ -663,7 +664,8 @@ def _fold_trainings(spark: SparkSession, d: str) -> DataFrame:
 
 def _learning_matrix(spark: SparkSession, d: str) -> DataFrame:
     matrix = modeling.feature_matrix(_gold(spark, d, warm=False))
-    return matrix.select("symbol", "date", *LEARN_FEATURES, "label")
+    # Folds, medians and fits all read these rows, as they would a stored layer.
+    return staged(matrix.select("symbol", "date", *LEARN_FEATURES, "label"), "matrix")
 
 
 # Few trees keep the registered trainings short; the library default is modeling.LEARNER.
@@ -678,7 +680,7 @@ def wf_train_eval(spark, d):
 
 
 def _final_model(spark: SparkSession, d: str):
-    matrix = staged(_learning_matrix(spark, d), "matrix")
+    matrix = _learning_matrix(spark, d)
     middle = staged(modeling.feature_medians(matrix, LEARN_FEATURES), "medians")
     filled = staged(modeling.fill_with_medians(matrix, middle, LEARN_FEATURES), "train")
     return modeling.fit(filled, LEARN_FEATURES, QUICK_LEARNER), middle

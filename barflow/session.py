@@ -18,6 +18,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
+        # Test tables are small: let a shuffle of some hundred kilobytes keep several tasks.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         # Call sites per column expression cost more than the expressions in wide feature plans.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
