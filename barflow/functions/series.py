@@ -120,37 +120,37 @@ def last_rows(df: DataFrame, n: int, series: Series = DAILY) -> DataFrame:
 
 def with_previous(df: DataFrame, values: Mapping[str, Column], series: Series = DAILY) -> DataFrame:
     """For each name: the newest non-null value of the expression strictly before the row."""
-    return _carried(df, values, series, forward=True)
+    return with_neighbours(df, values, {}, series)
 
 
 def with_next(df: DataFrame, values: Mapping[str, Column], series: Series = DAILY) -> DataFrame:
     """For each name: the nearest non-null value of the expression strictly after the row."""
-    return _carried(df, values, series, forward=False)
+    return with_neighbours(df, {}, values, series)
 
 
-def _carried(df: DataFrame, values: Mapping[str, Column], series: Series, forward: bool) -> DataFrame:
+def with_neighbours(
+    df: DataFrame, previous: Mapping[str, Column], following: Mapping[str, Column],
+    series: Series = DAILY,
+) -> DataFrame:
+    """``with_previous`` and ``with_next`` in one go: one bucket summary, one join."""
     order = F.col(series.order)
     pieces = _bucketed(df, series)
-    # Backward means the same running frame over the reversed order.
-    turn = F.asc if forward else F.desc
-    edge = F.max_by if forward else F.min_by
     earlier = (Window.unboundedPreceding, -1)
-    inner = Window.partitionBy(*series.piece).orderBy(turn(series.order)).rowsBetween(*earlier)
-    outer = Window.partitionBy(*series.keys).orderBy(turn(BUCKET)).rowsBetween(*earlier)
-    edges = pieces.groupBy(*series.piece).agg(
-        *[edge(v, F.when(v.isNotNull(), order)).alias(f"_edge_{k}") for k, v in values.items()]
-    )
-    carries = edges.select(
-        *series.piece,
-        *[F.last(f"_edge_{k}", ignorenulls=True).over(outer).alias(f"_carry_{k}") for k in values],
-    )
-    local = pieces.withColumns(
-        {f"_near_{k}": F.last(v, ignorenulls=True).over(inner) for k, v in values.items()}
-    )
-    joined = _with_summary(local, carries, series)
+    edges, carries, near = [], [], {}
+    # Backward means the same running frame over the reversed order.
+    for values, turn, edge in ((previous, F.asc, F.max_by), (following, F.desc, F.min_by)):
+        inner = Window.partitionBy(*series.piece).orderBy(turn(series.order)).rowsBetween(*earlier)
+        outer = Window.partitionBy(*series.keys).orderBy(turn(BUCKET)).rowsBetween(*earlier)
+        for name, value in values.items():
+            edges.append(edge(value, F.when(value.isNotNull(), order)).alias(f"_edge_{name}"))
+            carries.append(F.last(f"_edge_{name}", ignorenulls=True).over(outer).alias(f"_carry_{name}"))
+            near[f"_near_{name}"] = F.last(value, ignorenulls=True).over(inner)
+    names = [*previous, *following]
+    summary = pieces.groupBy(*series.piece).agg(*edges).select(*series.piece, *carries)
+    joined = _with_summary(pieces.withColumns(near), summary, series)
     return joined.withColumns(
-        {k: F.coalesce(F.col(f"_near_{k}"), F.col(f"_carry_{k}")) for k in values}
-    ).drop(BUCKET, *[f"_near_{k}" for k in values], *[f"_carry_{k}" for k in values])
+        {k: F.coalesce(F.col(f"_near_{k}"), F.col(f"_carry_{k}")) for k in names}
+    ).drop(BUCKET, *near, *[f"_carry_{k}" for k in names])
 
 
 # ---------------------------------------------------------------- running total

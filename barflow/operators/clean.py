@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barflow.functions.scalars import coerce_double, log_ratio, ratio
-from barflow.functions.series import DAILY, Series, spread_join, with_next, with_previous
+from barflow.functions.series import DAILY, Series, spread_join, with_neighbours, with_previous
 
 PRICES = ("open", "high", "low", "close")
 OUTLIER_DEVIATIONS = 4.0
@@ -81,11 +81,13 @@ def fill_forward(df: DataFrame, columns: Sequence[str] = PRICES, series: Series
     return carried.withColumns(filled).drop(*[f"_prev_{c}" for c in columns])
 
 
-def fill_backward(df: DataFrame, columns: Sequence[str] = PRICES, series: Series = DAILY) -> DataFrame:
-    """Next known value of each column."""
-    carried = with_next(df, {f"_next_{c}": F.col(c) for c in columns}, series)
-    filled = {c: F.coalesce(F.col(c), F.col(f"_next_{c}")) for c in columns}
-    return carried.withColumns(filled).drop(*[f"_next_{c}" for c in columns])
+def fill_both(df: DataFrame, columns: Sequence[str] = PRICES, series: Series = DAILY) -> DataFrame:
+    """Last known value of each column; before the first one, the next known value."""
+    both = with_neighbours(
+        df, {f"_prev_{c}": F.col(c) for c in columns}, {f"_next_{c}": F.col(c) for c in columns}, series
+    )
+    filled = {c: F.coalesce(F.col(c), F.col(f"_prev_{c}"), F.col(f"_next_{c}")) for c in columns}
+    return both.withColumns(filled).drop(*[f"_{s}_{c}" for s in ("prev", "next") for c in columns])
 
 
 def interpolate(df: DataFrame, columns: Sequence[str], series: Series = DAILY) -> DataFrame:
@@ -96,8 +98,9 @@ def interpolate(df: DataFrame, columns: Sequence[str], series: Series = DAILY) -
     def known(c: str) -> Column:
         return F.when(F.col(c).isNotNull(), F.struct(F.col("date"), F.col(c).cast("double").alias("x")))
 
-    both = with_previous(df, {f"_prev_{c}": known(c) for c in columns}, series)
-    both = with_next(both, {f"_next_{c}": known(c) for c in columns}, series)
+    both = with_neighbours(
+        df, {f"_prev_{c}": known(c) for c in columns}, {f"_next_{c}": known(c) for c in columns}, series
+    )
     filled = {}
     for c in columns:
         left, right = F.col(f"_prev_{c}"), F.col(f"_next_{c}")
@@ -111,7 +114,7 @@ def impute(df: DataFrame, strategy: str = "ffill", series: Series = DAILY) -> Da
     """Handle missing prices and volumes by ``ffill`` (then back), ``interpolate`` or ``drop``."""
     columns = [c for c in (*PRICES, "volume") if c in df.columns]
     if strategy == "ffill":
-        return fill_backward(fill_forward(df, columns, series), columns, series)
+        return fill_both(df, columns, series)
     if strategy == "interpolate":
         return interpolate(df, columns, series)
     if strategy == "drop":

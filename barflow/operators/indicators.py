@@ -13,7 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barflow.functions.scalars import log_ratio, ratio
-from barflow.functions.series import DAILY, Frames, Series, in_blocks, with_scans
+from barflow.functions.series import (
+    DAILY, POSITION, TOTAL, Frames, Series, in_blocks, last_rows, spread_join, with_scans,
+)
+from barflow.session import staged
 
 TRADING_DAYS = 252
 RETURNS = (1, 5, 21)
@@ -21,6 +24,7 @@ LAGS = (1, 2, 3, 5, 10, 21)
 WINDOWS = (5, 10, 21, 63)
 BAND = 20
 HORIZON = 5
+HISTORY = max(WINDOWS)  # rows before a bar that its frames reach: the longest frame, and one change
 
 # Fixed column lists: the stored feature row, and the wider engineered set.
 GOLD_FEATURES = (
@@ -38,27 +42,37 @@ GOLD_COLUMNS = (*GOLD_FEATURES, *GOLD_TARGETS)
 EMA_SPANS = {"ema_9": 9, "ema_12": 12, "ema_26": 26}
 
 
-def macd_columns() -> dict[str, Column]:
-    """MACD, its 9-row signal and the histogram from the averages of span 9, 12 and 26.
+def _signal_weights(span: int) -> tuple[float, float]:
+    """Weights (slow, fast) with which ema9(ema_span) = slow * ema_span - fast * ema_9.
 
-    The signal is the average of span 9 over ``ema_12 - ema_26``. An average of an average is a
-    weighted difference of the two: with a = 2/(span+1) and r = 1-a,
-    ema9(ema_s) = (a9*r_s*ema_s - a_s*r9*ema_9) / (r_s - r9), so no second recursion is needed.
+    An average of an average is a weighted difference of the two: with a = 2/(span+1) and r = 1-a,
+    ema9(ema_s) = (a9*r_s*ema_s - a_s*r9*ema_9) / (r_s - r9).
     """
-    a9 = 2.0 / (9 + 1)
-    r9 = 1.0 - a9
+    a, a9 = 2.0 / (span + 1), 2.0 / (9 + 1)
+    r, r9 = 1.0 - a, 1.0 - a9
+    return a9 * r / (r - r9), a * r9 / (r - r9)
+
 
-    def smoothed(span: int) -> Column:
-        a = 2.0 / (span + 1)
-        r = 1.0 - a
-        slow, fast = a9 * r / (r - r9), a * r9 / (r - r9)
-        return slow * F.col(f"ema_{span}") - fast * F.col("ema_9")
+def macd_columns() -> dict[str, Column]:
+    """MACD, its 9-row signal and the histogram from the averages of span 9, 12 and 26.
 
+    The signal is the average of span 9 over ``ema_12 - ema_26``; it needs no second recursion.
+    """
+    (slow_12, fast_12), (slow_26, fast_26) = _signal_weights(12), _signal_weights(26)
     macd = F.col("ema_12") - F.col("ema_26")
-    signal = smoothed(12) - smoothed(26)
+    signal = (slow_12 * F.col("ema_12") - fast_12 * F.col("ema_9")) - (
+        slow_26 * F.col("ema_26") - fast_26 * F.col("ema_9")
+    )
     return {"macd": macd, "macd_signal": signal, "macd_histogram": macd - signal}
 
 
+def _ema_9_of_signal() -> Column:
+    """The average of span 9 that stored columns imply (the signal solved for it)."""
+    (slow_12, fast_12), (slow_26, fast_26) = _signal_weights(12), _signal_weights(26)
+    rest = slow_12 * F.col("_ema_12") - slow_26 * F.col("_ema_26") - F.col("_macd_signal")
+    return rest / (fast_12 - fast_26)
+
+
 def with_averages(df: DataFrame, series: Series = DAILY) -> DataFrame:
     """ema_9/12/26, macd, macd_signal, macd_histogram, obv, row_pos and row_total."""
     scanned = with_scans(df, EMA_SPANS, balance=("obv", "volume"), series=series)
@@ -184,12 +198,12 @@ def with_calendar(df: DataFrame) -> DataFrame:
     })
 
 
-def gold(
-    silver: DataFrame, horizon: int = HORIZON, tail_label: str = "null", warm: bool = True,
-    series: Series = DAILY,
+def _feature_rows(
+    averaged: DataFrame, horizon: int, tail_label: str, warm: bool, series: Series,
+    only: Column | None = None,
 ) -> DataFrame:
-    """Feature row per bar (27 features, 2 targets); ``warm`` keeps rows with full history only."""
-    stored = "return_log" if "return_log" in silver.columns else None
+    """The stored feature row from bars that already have the prefix columns."""
+    stored = "return_log" if "return_log" in averaged.columns else None
 
     def compute(f: Frames) -> None:
         sma(f)
@@ -205,13 +219,59 @@ def gold(
             # Means are known exactly where sma_63 and volatility_63d are, and cheaper to test.
             f.require(f.mean("close", 63).isNotNull() & f.mean(stored or "_log_return", 63).isNotNull())
             f.require(f.mean("_loss", 14) > 0)
+        if only is not None:
+            f.require(only)
 
-    featured = in_blocks(
-        with_averages(silver, series), compute, before=max(WINDOWS), after=horizon, series=series
-    )
+    featured = in_blocks(averaged, compute, before=HISTORY, after=horizon, series=series)
     return featured.select(*series.keys, series.order, *GOLD_COLUMNS)
 
 
+def gold(
+    silver: DataFrame, horizon: int = HORIZON, tail_label: str = "null", warm: bool = True,
+    series: Series = DAILY,
+) -> DataFrame:
+    """Feature row per bar (27 features, 2 targets); ``warm`` keeps rows with full history only."""
+    return _feature_rows(with_averages(silver, series), horizon, tail_label, warm, series)
+
+
+def continue_gold(
+    silver: DataFrame, stored: DataFrame, horizon: int = HORIZON, series: Series = DAILY
+) -> DataFrame:
+    """Feature rows to write after ``stored``: new bars, and stored rows whose target was still open.
+
+    The prefix columns continue from the newest stored row that is final, and the frames reach back
+    over the bars they need, so the history before them is not computed again. A series with too few
+    stored rows is computed as a whole. The bars in question are staged, as several branches read them.
+    """
+    state = ("ema_12", "ema_26", "macd_signal", "obv")
+    recent = last_rows(stored.select("symbol", "date", *state), horizon + 1 + HISTORY, series)
+    final = F.col("recency") == horizon + 1
+    marks = recent.groupBy("symbol").agg(
+        F.max(F.when(final, F.col("date"))).alias("_final"),
+        F.max(F.when(F.col("recency") == horizon + 1 + HISTORY, F.col("date"))).alias("_reach"),
+        *[F.max(F.when(final, F.col(c))).alias(f"_{c}") for c in state],
+    )
+    # Without bars to reach back over, the whole series is new.
+    marks = staged(marks.filter(F.col("_reach").isNotNull()), "marks")
+    bars = staged((
+        spread_join(silver, marks.select("symbol", "_final", "_reach"), ["symbol"], "left")
+        .filter(F.col("_reach").isNull() | (F.col("date") >= F.col("_reach")))
+        .withColumn("_new", F.col("_reach").isNull() | (F.col("date") > F.col("_final")))
+        .drop("_final", "_reach")
+    ), "recent-bars")
+    last_bar = bars.select("symbol", F.col("date").alias("_final"), "close")
+    seed = marks.join(last_bar, ["symbol", "_final"]).select(
+        "symbol", F.lit(0).cast("long").alias("row_pos"), "close",
+        F.col("_ema_12").alias("ema_12"), F.col("_ema_26").alias("ema_26"), F.col("_obv").alias("obv"),
+        _ema_9_of_signal().alias("ema_9"),
+    )
+    fresh = with_scans(
+        bars.filter("_new"), EMA_SPANS, balance=("obv", "volume"), series=series, seed=seed
+    ).drop(POSITION, TOTAL).withColumns(macd_columns())
+    both = fresh.unionByName(bars.filter("NOT _new"), allowMissingColumns=True)
+    return _feature_rows(staged(both, "continued"), horizon, "null", True, series, only=F.col("_new"))
+
+
 def engineered_columns(periods=LAGS, windows=WINDOWS) -> list[str]:
     """Names of the engineered set, in order."""
     names = [*(f"return_{k}d" for k in RETURNS), "log_return_1d", "log_return_5d"]

@@ -560,7 +560,7 @@ def incr_bronze_after_silver(spark, d):
 def incr_gold(spark, d):
     base = src.bars_priority(spark, d)
     stored = staged(indicators.gold(base.filter((F.col("date") < CUTOFF) & (F.col("symbol") != "5-LOW"))), "gold")
-    return rounded(layers.gold_increment(base, stored))
+    return rounded(indicators.continue_gold(base, stored))
 
 
 @query

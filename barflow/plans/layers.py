@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barflow.operators import clean, indicators
 from barflow.operators.reports import ingestion_log, latest_rows
-from barflow.operators.upsert import newer_than, refreshed
+from barflow.operators.upsert import newer_than
 from barflow.sources import tables
 
 BRONZE_KEY = ("symbol", "date", "source")
@@ -29,11 +29,6 @@ def silver_increment(bronze: DataFrame, stored: DataFrame) -> DataFrame:
     return newer_than(clean.silver(lookback.unionByName(new)), stored)
 
 
-def gold_increment(silver: DataFrame, stored: DataFrame, horizon: int = indicators.HORIZON) -> DataFrame:
-    """Feature rows to write: new days, and the stored rows whose targets were still open."""
-    return refreshed(indicators.gold(silver, horizon), stored, horizon)
-
-
 def run(spark: SparkSession, landing: DataFrame, root: str) -> None:
     """One layer run: new landing rows into bronze, then silver and gold by increments."""
     bronze, silver, gold, log = (f"{root}/{name}" for name in ("bronze", "silver", "gold", "ingestion_log"))
@@ -47,7 +42,7 @@ def run(spark: SparkSession, landing: DataFrame, root: str) -> None:
         tables.write_layer(clean.silver(raw), silver)
     clean_bars = tables.read_layer(spark, silver)
     if tables.layer_exists(spark, gold):
-        fresh = gold_increment(clean_bars, tables.read_layer(spark, gold))
+        fresh = indicators.continue_gold(clean_bars, tables.read_layer(spark, gold))
         tables.upsert(spark, gold, fresh, BAR_KEY)
     else:
         tables.write_layer(indicators.gold(clean_bars), gold)

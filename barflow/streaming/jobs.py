@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from barflow.functions.series import DAILY, Series, with_scans
 from barflow.operators import clean, indicators
 from barflow.operators.reports import latest_rows
-from barflow.plans.layers import BAR_KEY, BRONZE_KEY, gold_increment, silver_increment
+from barflow.plans.layers import BAR_KEY, BRONZE_KEY, silver_increment
 from barflow.operators.upsert import newer_than
 from barflow.schemas import BARS, BRONZE
 from barflow.session import staged
@@ -55,7 +55,7 @@ def bronze_to_gold(
             tables.write_layer(clean.silver(batch), silver)
         bars = tables.read_layer(spark, silver)
         if tables.layer_exists(spark, gold):
-            fresh = gold_increment(bars, tables.read_layer(spark, gold))
+            fresh = indicators.continue_gold(bars, tables.read_layer(spark, gold))
             tables.upsert(spark, gold, fresh, BAR_KEY)
         else:
             tables.write_layer(indicators.gold(bars), gold)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barflow.operators.indicators import (
-    GOLD_COLUMNS, engineered, engineered_columns, gold, macd_columns, with_averages, with_calendar,
+    GOLD_COLUMNS, continue_gold, engineered, engineered_columns, gold, macd_columns, with_averages, with_calendar,
 )
 from barflow.schemas import BARS
 from conftest import START, collected
@@ -143,3 +143,16 @@ def test_calendar(spark):
     got = collected(with_calendar(df), "date")
     assert (got.day_of_week == days.dayofweek).all() and (got.quarter == days.quarter).all()
     assert (got.is_month_end == days.is_month_end).all() and (got.is_month_start == days.is_month_start).all()
+
+
+def test_continued_features_equal_a_rebuild(spark, random_bars):
+    bars = spark.createDataFrame(random_bars, BARS)
+    cut = F.lit(dt.date(2023, 6, 1))
+    # B is new after the cut and C has no stored row; HOT continues from its stored state.
+    stored = gold(bars.filter((F.col("date") < cut) & (F.col("symbol") == "HOT"))).cache()
+    final = stored.orderBy(F.desc("date")).collect()[5].date
+    got = collected(continue_gold(bars, stored))
+    want = collected(gold(bars).filter((F.col("symbol") != "HOT") | (F.col("date") > F.lit(final))))
+    assert got[["symbol", "date"]].equals(want[["symbol", "date"]]) and len(got[got.symbol == "HOT"]) > 100
+    for c in GOLD_COLUMNS:
+        np.testing.assert_allclose(got[c].astype(float), want[c].astype(float), rtol=1e-9, atol=1e-9, err_msg=c)
