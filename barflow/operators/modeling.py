@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +23,8 @@ NOT_FEATURES = ("target_direction_5d", "future_return_5d", "date", "symbol", "as
 LABEL = "target_direction_5d"
 N_SPLITS = 5
 TEST_SIZE = 63
+SYMBOL_CODE = "symbol_code"
+SYMBOL_CODES = 4096
 
 # Learner settings.
 LEARNER = {"maxIter": 500, "stepSize": 0.05, "maxDepth": 6, "minInstancesPerNode": 20,
@@ -200,20 +202,21 @@ def fit(
     validation: bool = False, validation_tol: float = 1e-4,
 ) -> PipelineModel:
     """One boosted-tree model over all symbols, the symbol being a feature of its own."""
-    index = StringIndexer(
-        inputCol="symbol", outputCol="symbol_index", handleInvalid="keep", stringOrderType="alphabetAsc"
+    # A hashed code needs no dictionary of symbols on the driver and no bin per symbol in the trees.
+    code = SQLTransformer(
+        statement=f"SELECT *, CAST(pmod(xxhash64(symbol), {SYMBOL_CODES}) AS DOUBLE) AS {SYMBOL_CODE} FROM __THIS__"
     )
-    assembler = VectorAssembler(inputCols=[*features, "symbol_index"], outputCol="features")
+    assembler = VectorAssembler(inputCols=[*features, SYMBOL_CODE], outputCol="features")
     learner = GBTClassifier(featuresCol="features", labelCol="label", validationTol=validation_tol, **settings)
     if validation:
         learner = learner.setValidationIndicatorCol("is_validation")
-    return Pipeline(stages=[index, assembler, learner]).fit(matrix)
+    return Pipeline(stages=[code, assembler, learner]).fit(matrix)
 
 
 def score(model: PipelineModel, matrix: DataFrame) -> DataFrame:
     """Rows with ``prediction`` and ``probability_up``; a missing feature column is an error."""
     needed = model.stages[1].getInputCols()
-    absent = [c for c in needed if c != "symbol_index" and c not in matrix.columns]
+    absent = [c for c in needed if c != SYMBOL_CODE and c not in matrix.columns]
     if absent:
         raise ValueError(f"features missing for scoring: {absent}")
     scored = model.transform(matrix)
@@ -253,7 +256,7 @@ def feature_importance(model: PipelineModel, features: Sequence[str], top: int |
     """Features by importance, the most important first."""
     spark = SparkSession.getActiveSession()
     weights = model.stages[-1].featureImportances.toArray()
-    names = [*features, "symbol_index"]
+    names = [*features, SYMBOL_CODE]
     rows = [(name, float(w)) for name, w in zip(names, weights)]
     ranked = spark.createDataFrame(rows, "feature string, importance double").orderBy(
         F.desc("importance"), "feature"

@@ -192,3 +192,11 @@ def test_latest_metrics_take_the_newest_training(spark):
         rows, "model_version string, trained_at date, symbol string, metric_name string, metric_value double, n_train int")
     got = reports.latest_metrics(df, ["accuracy", "recall", "precision"]).first()
     assert (got.model_version, got.accuracy, got.recall, got.precision, got.n_train) == ("v2", 0.6, 0.1, None, 12)
+
+
+def test_training_takes_more_symbols_than_tree_bins(spark):
+    rows = spark.range(400).select(
+        F.concat(F.lit("S"), (F.col("id") % 100).cast("string")).alias("symbol"),
+        (F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 2).cast("int").alias("label"))
+    model = modeling.fit(rows, ["x"], {**modeling.LEARNER, "maxIter": 1, "maxDepth": 1})
+    assert modeling.score(model, rows).count() == 400
