@@ -43,6 +43,7 @@ def run(spark: SparkSession, landing: DataFrame, root: str) -> None:
     clean_bars = tables.read_layer(spark, silver)
     if tables.layer_exists(spark, gold):
         fresh = indicators.continue_gold(clean_bars, tables.read_layer(spark, gold))
-        tables.upsert(spark, gold, fresh, BAR_KEY)
+        # Stored features stay as they are; the targets that became known are filled in.
+        tables.upsert(spark, gold, fresh, BAR_KEY, keep=indicators.GOLD_FEATURES)
     else:
         tables.write_layer(indicators.gold(clean_bars), gold)
