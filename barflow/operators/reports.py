@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barflow.functions.scalars import direction_label
-from barflow.functions.series import DAILY, Frames, Series, in_blocks, last_rows, spread_join
+from barflow.functions.series import DAILY, Series, in_blocks, last_rows, spread_join
 
 
 def with_assets(facts: DataFrame, assets: DataFrame, columns: Sequence[str] = ("name", "sector")) -> DataFrame:
