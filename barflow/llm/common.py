@@ -41,15 +41,15 @@ def lookup(rows: DataFrame, table: DataFrame, keys: Sequence[str], spread: Colum
     return salted.join(known, [*keys, "_salt"], how).drop("_salt")
 
 
-def in_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
-    """``doc_id``, ``text`` and a block number dealt by hash; blocks hold about ``block_bytes`` of text each.
+def in_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, keep: Sequence[str] = ()) -> tuple[DataFrame, int]:
+    """``doc_id``, ``text``, the columns to keep and a block number dealt by hash; blocks hold about ``block_bytes`` of text each.
 
     Returns the frame and the text bytes of all rows. Nulls in ``doc_id`` are dealt by their text.
     """
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
     block = F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(n)).cast("int")
-    return docs.select("doc_id", "text", block.alias("block")), total
+    return docs.select("doc_id", "text", *keep, block.alias("block")), total
 
 
 # ---------------------------------------------------------------- words as arrays

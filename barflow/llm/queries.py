@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from barflow.llm import byte_bpe
 from barflow.llm.exact_dedup import exact_dedup
+from barflow.llm.language_model import lm_scores
 from barflow.llm.sharding import shard_by_bytes
 
+#: The rank file that documents are encoded with.
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -72,3 +79,22 @@ ORACLES["op5_chunk_recipe_dedup"] = """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))"""
+
+
+def fold(n: int):
+    """The document's fold of ``n``: CRC-32 of its id in decimal."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+@query
+def op7_backoff_automaton(spark, d):
+    scored = lm_scores(_table(spark, d, "documents"), fold(7) != 2)
+    return scored.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})
+
+
+@query
+def op8_distinct_word_bpe(spark, d):
+    path = public_tokenizers.path(RANKS)
+    decoded = byte_bpe.decode(byte_bpe.encode(_table(spark, d, "documents"), path), path)
+    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                          F.sha2("decoded", 256).alias("decoded_sha256"))
