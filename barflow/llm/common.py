@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,11 +49,14 @@ def in_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, keep: Sequence[st
     Returns the frame and the text bytes of all rows. Nulls in ``doc_id`` are dealt by their text.
     """
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // block_bytes))
-    block = F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(n)).cast("int")
+    block = block_number("doc_id", F.when(F.col("doc_id").isNull(), F.col("text")), max(1, -(-total // block_bytes)))
     return docs.select("doc_id", "text", *keep, block.alias("block")), total
 
 
+def block_number(doc_id: str | Column, text: Column, n: int) -> Column:
+    return F.pmod(F.xxhash64(doc_id, text), F.lit(n)).cast("int")
+
+
 # ---------------------------------------------------------------- words as arrays
 
 _RNG = np.random.default_rng(20240229)
@@ -164,3 +169,71 @@ def pieces_by_bucket(keys: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.n
 def bucket_of(keys: np.ndarray, n_buckets: int) -> np.ndarray:
     """Bucket of 64-bit keys: ranges of the upper 32 bits."""
     return ((keys >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
+
+
+# ---------------------------------------------------------------- counts of keys, by buckets of key ranges
+
+ASK = "block int, bucket int, keys binary, counts binary, classes binary"
+ASKED = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()),
+                   ("classes", pa.binary())])
+ANSWER = ("block int, bucket int, totals binary, types bigint, tokens bigint, once bigint, twice bigint, "
+          "class_once array<bigint>, class_tokens array<bigint>")
+ANSWERED = pa.schema([
+    ("block", pa.int32()), ("bucket", pa.int32()), ("totals", pa.binary()), ("types", pa.int64()),
+    ("tokens", pa.int64()), ("once", pa.int64()), ("twice", pa.int64()),
+    ("class_once", pa.list_(pa.int64())), ("class_tokens", pa.list_(pa.int64()))])
+#: Classes that keys may carry, for sums by class.
+CLASSES = 64
+
+
+def packed(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(values.astype("<u4").tobytes())
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), "<u4").astype(np.int64)
+
+
+def ask(block: int, keys: np.ndarray, counts: np.ndarray, classes: np.ndarray, n_buckets: int, width: int) -> pa.Table:
+    """A block's sorted distinct keys with their counts there, one row a bucket; ``width`` low bytes of a key travel."""
+    found, begin, end = pieces_by_bucket(keys, n_buckets)
+    raw = np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width])
+    return pa.table({
+        "block": [block] * len(found), "bucket": found,
+        "keys": [raw[a:b].tobytes() for a, b in zip(begin, end)],
+        "counts": [packed(counts[a:b]) for a, b in zip(begin, end)],
+        "classes": [classes[a:b].tobytes() for a, b in zip(begin, end)]}, schema=ASKED)
+
+
+def count_bucket(width: int):
+    """Sum the counts of a bucket's keys over all blocks, and answer each block in the order it asked."""
+
+    def run(asked: pa.Table) -> pa.Table:
+        raws = asked.column("keys").to_pylist()
+        sizes = [len(r) // width for r in raws]
+        wide = np.zeros((sum(sizes), 8), np.uint8)
+        wide[:, :width] = np.frombuffer(b"".join(raws), np.uint8).reshape(-1, width)
+        keys, first, inverse = np.unique(wide.view("<u8").ravel(), return_index=True, return_inverse=True)
+        counts = np.concatenate([unpacked(c) for c in asked.column("counts").to_pylist()])
+        totals = np.bincount(inverse, weights=counts, minlength=len(keys)).astype(np.int64)
+        rest = [None] * (len(sizes) - 1)
+        classes = np.frombuffer(b"".join(asked.column("classes").to_pylist()), np.uint8)
+        once = each = None
+        if len(classes):
+            of = classes[first]
+            once = np.bincount(of[totals == 1], minlength=CLASSES).tolist()
+            each = np.bincount(of, weights=totals, minlength=CLASSES).astype(np.int64).tolist()
+        return pa.table({
+            "block": asked.column("block"), "bucket": asked.column("bucket"),
+            "totals": [packed(x) for x in np.split(totals[inverse], np.cumsum(sizes)[:-1])],
+            "types": [int((totals > 0).sum()), *rest], "tokens": [int(totals.sum()), *rest],
+            "once": [int((totals == 1).sum()), *rest], "twice": [int((totals == 2).sum()), *rest],
+            "class_once": [once, *rest], "class_tokens": [each, *rest]}, schema=ANSWERED)
+
+    return run
+
+
+def totals_of(answers: pa.Table) -> np.ndarray:
+    """A block's answers, in the order of its sorted keys."""
+    rows = sorted((k, b) for k, b in zip(answers.column("bucket").to_pylist(), answers.column("totals").to_pylist()))
+    return np.concatenate([unpacked(b) for _, b in rows]) if rows else np.empty(0, np.int64)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barflow.llm.common import Words, chunks_of, in_blocks, mixed, pieces_by_bucket
+from barflow.llm.common import (
+    ANSWER, ASK, ASKED, CLASSES, Words, ask, chunks_of, count_bucket, in_blocks, mixed, totals_of,
+)
 
 #: Text bytes for each bucket of counts.
 BUCKET_BYTES = 16 << 20
@@ -16,28 +17,8 @@ BUCKET_BYTES = 16 << 20
 PAIR_BYTES = 5
 #: Stand for the end of a text, and for what is before its first word.
 END, START = mixed(np.array([0x7E57E4D, 0x57A27], np.uint64))
-#: Contexts share a backoff weight by the power of two that their count reaches.
-CLASSES = 64
-
-_ASK = "block int, bucket int, keys binary, counts binary, classes binary"
-_ASKED = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()),
-                    ("classes", pa.binary())])
-_ANSWER = ("block int, bucket int, totals binary, types bigint, tokens bigint, once bigint, twice bigint, "
-           "class_once array<bigint>, class_tokens array<bigint>")
-_ANSWERED = pa.schema([
-    ("block", pa.int32()), ("bucket", pa.int32()), ("totals", pa.binary()), ("types", pa.int64()),
-    ("tokens", pa.int64()), ("once", pa.int64()), ("twice", pa.int64()),
-    ("class_once", pa.list_(pa.int64())), ("class_tokens", pa.list_(pa.int64()))])
-_SCORE = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-
-
-def _small(values: np.ndarray) -> bytes:
-    """Counts, packed."""
-    return zstandard.ZstdCompressor(level=1).compress(values.astype("<u4").tobytes())
-
 
-def _read(blob: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), "<u4").astype(np.int64)
+_SCORE = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
 
 class Sequences:
@@ -59,50 +40,12 @@ class Sequences:
         self.pairs = mixed(self.before * np.uint64(0xD6E8FEB86659FD93) + self.tokens)
 
 
-def _asked(block: int, keys: np.ndarray, counts: np.ndarray, classes: np.ndarray, n_buckets: int, width: int) -> pa.Table:
-    found, begin, end = pieces_by_bucket(keys, n_buckets)
-    raw = np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width])
-    return pa.table({
-        "block": [block] * len(found), "bucket": found,
-        "keys": [raw[a:b].tobytes() for a, b in zip(begin, end)],
-        "counts": [_small(counts[a:b]) for a, b in zip(begin, end)],
-        "classes": [classes[a:b].tobytes() for a, b in zip(begin, end)]}, schema=_ASKED)
-
-
 def _words_of_block(n_buckets: int):
     def run(docs: pa.Table) -> pa.Table:
         seen = Sequences(docs)
         keys, inverse = np.unique(seen.tokens, return_inverse=True)
         counts = np.bincount(inverse, weights=seen.train, minlength=len(keys))
-        return _asked(docs.column("block")[0].as_py(), keys, counts, np.zeros(0, np.uint8), n_buckets, 8)
-
-    return run
-
-
-def _count_bucket(width: int):
-    """Sum the counts of each key over all blocks, and answer each block in the order it asked."""
-
-    def run(asked: pa.Table) -> pa.Table:
-        raws = asked.column("keys").to_pylist()
-        sizes = [len(r) // width for r in raws]
-        wide = np.zeros((sum(sizes), 8), np.uint8)
-        wide[:, :width] = np.frombuffer(b"".join(raws), np.uint8).reshape(-1, width)
-        keys, first, inverse = np.unique(wide.view("<u8").ravel(), return_index=True, return_inverse=True)
-        counts = np.concatenate([_read(c) for c in asked.column("counts").to_pylist()])
-        totals = np.bincount(inverse, weights=counts, minlength=len(keys)).astype(np.int64)
-        rest = [None] * (len(sizes) - 1)
-        classes = np.frombuffer(b"".join(asked.column("classes").to_pylist()), np.uint8)
-        once = each = None
-        if len(classes):
-            of = classes[first]
-            once = np.bincount(of[totals == 1], minlength=CLASSES).tolist()
-            each = np.bincount(of, weights=totals, minlength=CLASSES).astype(np.int64).tolist()
-        return pa.table({
-            "block": asked.column("block"), "bucket": asked.column("bucket"),
-            "totals": [_small(x) for x in np.split(totals[inverse], np.cumsum(sizes)[:-1])],
-            "types": [int((totals > 0).sum()), *rest], "tokens": [int(totals.sum()), *rest],
-            "once": [int((totals == 1).sum()), *rest], "twice": [int((totals == 2).sum()), *rest],
-            "class_once": [once, *rest], "class_tokens": [each, *rest]}, schema=_ANSWERED)
+        return ask(docs.column("block")[0].as_py(), keys, counts, np.zeros(0, np.uint8), n_buckets, 8)
 
     return run
 
@@ -111,11 +54,6 @@ def _class_of(counts: np.ndarray) -> np.ndarray:
     return np.frexp(counts.astype(np.float64))[1].astype(np.uint8)
 
 
-def _totals(answers: pa.Table) -> np.ndarray:
-    rows = sorted(zip(answers.column("bucket").to_pylist(), answers.column("totals").to_pylist()))
-    return np.concatenate([_read(b) for _, b in rows]) if rows else np.empty(0, np.int64)
-
-
 class Known:
     """The words of a block with their counts in the training texts."""
 
@@ -133,14 +71,14 @@ class Known:
 def _pairs_of_block(n_buckets: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not docs.num_rows:
-            return _ASKED.empty_table()
+            return ASKED.empty_table()
         seen = Sequences(docs)
-        known = Known(seen, _totals(answers))
+        known = Known(seen, totals_of(answers))
         pairs, train = seen.pairs[known.askable], seen.train[known.askable]
         keys, first, inverse = np.unique(pairs, return_index=True, return_inverse=True)
         counts = np.bincount(inverse, weights=train, minlength=len(keys))
         classes = _class_of(known.state_count[known.state[known.askable][first]])
-        return _asked(docs.column("block")[0].as_py(), keys, counts, classes, n_buckets, PAIR_BYTES)
+        return ask(docs.column("block")[0].as_py(), keys, counts, classes, n_buckets, PAIR_BYTES)
 
     return run
 
@@ -187,9 +125,9 @@ def _score_block(docs: pa.Table, answers: pa.Table) -> pa.Table:
         return pa.table({c: [] for c in ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")})
     seen = Sequences(docs)
     by_pair = np.asarray(answers.column("of_pairs").to_pylist(), bool)
-    known = Known(seen, _totals(answers.filter(pa.array(~by_pair))))
+    known = Known(seen, totals_of(answers.filter(pa.array(~by_pair))))
     model = {c: answers.column(c)[0].as_py() for c in ("types", "tokens", "once", "twice", "backoff")}
-    automaton = Automaton(known, _totals(answers.filter(pa.array(by_pair))), seen, model)
+    automaton = Automaton(known, totals_of(answers.filter(pa.array(by_pair))), seen, model)
     starts = seen.ends - seen.sizes
     words = known.word.tolist()
     scores = [automaton.score(words[a:b]) for a, b in zip(starts.tolist(), seen.ends.tolist())]
@@ -221,10 +159,10 @@ def lm_scores(docs: DataFrame, train: Column, bucket_bytes: int = BUCKET_BYTES)
     blocks, total = in_blocks(with_flag, keep=("train",))
     n_buckets = max(1, -(-total // bucket_bytes))
     by_block = blocks.groupBy("block")
-    words = by_block.applyInArrow(_words_of_block(n_buckets), _ASK).groupBy("bucket").applyInArrow(
-        _count_bucket(8), _ANSWER)
-    pairs = by_block.cogroup(words.groupBy("block")).applyInArrow(_pairs_of_block(n_buckets), _ASK).groupBy(
-        "bucket").applyInArrow(_count_bucket(PAIR_BYTES), _ANSWER)
+    words = by_block.applyInArrow(_words_of_block(n_buckets), ASK).groupBy("bucket").applyInArrow(
+        count_bucket(8), ANSWER)
+    pairs = by_block.cogroup(words.groupBy("block")).applyInArrow(_pairs_of_block(n_buckets), ASK).groupBy(
+        "bucket").applyInArrow(count_bucket(PAIR_BYTES), ANSWER)
     sums = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("types", "tokens", "once", "twice")])
     # Pairs seen once among those after words of a count class, with Good and Turing the chance of a new one.
     classes = pairs.filter("class_once IS NOT NULL").select(

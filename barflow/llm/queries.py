@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from barflow.llm import byte_bpe
 from barflow.llm.exact_dedup import exact_dedup
+from barflow.llm.jaccard_join import jaccard_components
 from barflow.llm.language_model import lm_scores
 from barflow.llm.sharding import shard_by_bytes
 
@@ -98,3 +99,32 @@ def op8_distinct_word_bpe(spark, d):
     decoded = byte_bpe.decode(byte_bpe.encode(_table(spark, d, "documents"), path), path)
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                           F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op9_token_combination_join(spark, d):
+    return jaccard_components(_table(spark, d, "documents"))
+
+
+ORACLES["op9_token_combination_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] ELSE list_distinct(list_transform(
+           range(1, greatest(len(words) - 3, 2)), lambda i: array_to_string(words[i:i + 4], ' '))) END AS shingles
+  FROM w),
+t AS MATERIALIZED (SELECT doc_id, unnest(shingles) AS shingle FROM s),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+  FROM t a JOIN t b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (
+  SELECT a, b FROM pairs JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b
+  WHERE 100 * shared >= 80 * (len(x.shingles) + len(y.shingles) - shared)),
+reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM s
+  UNION
+  SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b)
+SELECT s.doc_id, len(shingles)::BIGINT AS n_shingles, min(r.b) AS component_id
+FROM s JOIN reached r ON r.a = s.doc_id GROUP BY s.doc_id, shingles"""
