@@ -8,14 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.llm import byte_bpe
+from barflow.llm import byte_bpe, language_id
 from barflow.llm.exact_dedup import exact_dedup
 from barflow.llm.jaccard_join import jaccard_components
 from barflow.llm.language_model import lm_scores
+from barflow.llm.piece_counts import count_pieces
 from barflow.llm.sharding import shard_by_bytes
 
 #: The rank file that documents are encoded with.
 RANKS = "byte_bpe_multi_50k.tiktoken"
+#: The vocabulary that word pieces are counted in.
+COUNTED = "byte_bpe_50k.tiktoken"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -128,3 +131,13 @@ reached AS (
   SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b)
 SELECT s.doc_id, len(shingles)::BIGINT AS n_shingles, min(r.b) AS component_id
 FROM s JOIN reached r ON r.a = s.doc_id GROUP BY s.doc_id, shingles"""
+
+
+@query
+def op3_rank_order_language(spark, d):
+    return language_id.identify(_table(spark, d, "documents"), fold(5) == 0)
+
+
+@query
+def op10_longest_match_counts(spark, d):
+    return count_pieces(_table(spark, d, "documents"), public_tokenizers.path(COUNTED))
