@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barflow.llm import byte_bpe, language_id
+from barflow.llm.decontaminate import contaminated
 from barflow.llm.exact_dedup import exact_dedup
 from barflow.llm.jaccard_join import jaccard_components
 from barflow.llm.language_model import lm_scores
@@ -141,3 +142,8 @@ def op3_rank_order_language(spark, d):
 @query
 def op10_longest_match_counts(spark, d):
     return count_pieces(_table(spark, d, "documents"), public_tokenizers.path(COUNTED))
+
+
+@query
+def op6_block_max_wand(spark, d):
+    return contaminated(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
