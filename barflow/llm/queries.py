@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.llm import byte_bpe, language_id
+from barflow.llm import byte_bpe, language_id, site_style_tree
 from barflow.llm.decontaminate import contaminated
 from barflow.llm.exact_dedup import exact_dedup
 from barflow.llm.jaccard_join import jaccard_components
@@ -147,3 +147,8 @@ def op10_longest_match_counts(spark, d):
 @query
 def op6_block_max_wand(spark, d):
     return contaminated(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
+
+
+@query
+def op1_site_style_tree(spark, d):
+    return site_style_tree.extract(_table(spark, d, "pages"))
