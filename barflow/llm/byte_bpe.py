@@ -11,12 +11,12 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from barflow.llm.common import in_blocks, pieces_by_bucket, segment_hashes
+from barflow.llm.common import in_blocks, pieces_by_bucket, segment_hashes, unpacked_docs
 
 #: Text bytes for each bucket of words.
 BUCKET_BYTES = 16 << 20
 #: Characters cut into words at a time.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
 _classes: np.ndarray | None = None
@@ -79,8 +79,8 @@ class PreTokens:
             self._white_space(cp, kind, starts, first)
             self._apostrophes(cp, kind, starts, first)
         at = np.flatnonzero(starts[:n])
-        width = 1 + (cp >= 0x80).astype(np.int64) + (cp >= 0x800) + (cp >= 0x10000)
-        offset = np.concatenate(([0], np.cumsum(width)))
+        width = (cp >= 0x80).astype(np.uint8) + (cp >= 0x800) + (cp >= 0x10000) + np.uint8(1)
+        offset = np.concatenate(([0], np.cumsum(width, dtype=np.int64)))
         self.data = np.frombuffer("".join(texts).encode("utf-8", "surrogatepass"), np.uint8)
         self.starts = offset[at]
         self.ends = np.append(self.starts[1:], offset[-1]) if len(at) else self.starts
@@ -208,9 +208,9 @@ def _encode_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 def _words_of_block(n_buckets: int):
     """Distinct words of a block, one row for each bucket: sizes and bytes in the order of their identities."""
 
-    def run(table: pa.Table) -> pa.Table:
+    def run(packed: pa.Table) -> pa.Table:
         keys, sizes, data = [], [], []
-        for _, _, pieces in _groups(_texts(table)):
+        for _, _, pieces in _groups(_texts(unpacked_docs(packed))):
             words = PreTokens([p for _, p in pieces])
             h, at = np.unique(_identities(words), return_index=True)
             size = (words.ends - words.starts)[at]
@@ -222,9 +222,9 @@ def _words_of_block(n_buckets: int):
         starts = np.concatenate(([0], np.cumsum(sizes)))[:-1][first]
         sizes, data = sizes[first], np.concatenate(data)
         found, begin, end = pieces_by_bucket(keys, n_buckets)
-        packed = [_pack(sizes[a:b], ragged(data, starts[a:b], sizes[a:b])) for a, b in zip(begin, end)]
-        block = table.column("block")[0].as_py()
-        return pa.table({"block": [block] * len(found), "bucket": found, "words": packed}, schema=_WORDS)
+        words_of = [_pack(sizes[a:b], ragged(data, starts[a:b], sizes[a:b])) for a, b in zip(begin, end)]
+        block = packed.column("block")[0].as_py()
+        return pa.table({"block": [block] * len(found), "bucket": found, "words": words_of}, schema=_WORDS)
 
     return run
 
@@ -257,10 +257,11 @@ def _encode_bucket(ranks):
     return run
 
 
-def _ids_of_block(docs: pa.Table, answers: pa.Table) -> pa.Table:
+def _ids_of_block(packed: pa.Table, answers: pa.Table) -> pa.Table:
     """Put the words' ids back in text order."""
-    if not docs.num_rows:
+    if not packed.num_rows:
         return _OUT.empty_table()
+    docs = unpacked_docs(packed)
     texts = _texts(docs)
     parts: list[list[np.ndarray]] = [[] for _ in texts]
     keys, groups = [], []
@@ -269,9 +270,9 @@ def _ids_of_block(docs: pa.Table, answers: pa.Table) -> pa.Table:
         keys.append(h), groups.append((pieces, words.bounds, h, inverse))
     if groups:
         known = np.unique(np.concatenate(keys))
-        packed = [_unpack(b, "<u4") for _, b in sorted(zip(
+        told = [_unpack(b, "<u4") for _, b in sorted(zip(
             answers.column("bucket").to_pylist(), answers.column("ids").to_pylist()))]
-        sizes, ids = np.concatenate([s for s, _ in packed]), np.concatenate([v for _, v in packed])
+        sizes, ids = np.concatenate([s for s, _ in told]), np.concatenate([v for _, v in told])
         starts = np.concatenate(([0], np.cumsum(sizes)))[:-1]
         for pieces, bounds, h, inverse in groups:
             word = np.searchsorted(known, h)[inverse]

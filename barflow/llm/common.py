@@ -9,6 +9,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 #: Text bytes of a block: what one Python call holds at a time.
 BLOCK_BYTES = 4 << 20
@@ -44,13 +45,51 @@ def lookup(rows: DataFrame, table: DataFrame, keys: Sequence[str], spread: Colum
 
 
 def in_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, keep: Sequence[str] = ()) -> tuple[DataFrame, int]:
-    """``doc_id``, ``text``, the columns to keep and a block number dealt by hash; blocks hold about ``block_bytes`` of text each.
+    """Documents packed by a block number dealt by hash; blocks hold about ``block_bytes`` of text each.
 
-    Returns the frame and the text bytes of all rows. Nulls in ``doc_id`` are dealt by their text.
+    A row holds what one batch has of a block: ids, the columns to keep, and compressed text; ``unpacked_docs``
+    gives a block's documents back. Returns the frame and the text bytes of all rows. Nulls in ``doc_id`` are
+    dealt by their text.
     """
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     block = block_number("doc_id", F.when(F.col("doc_id").isNull(), F.col("text")), max(1, -(-total // block_bytes)))
-    return docs.select("doc_id", "text", *keep, block.alias("block")), total
+    names = ["doc_id", *keep]
+    base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *keep, "text", block.alias("block"))
+    fields = [StructField("block", IntegerType()), StructField("packed", BinaryType()),
+              StructField("sizes", ArrayType(IntegerType()))]
+    fields += [StructField(f.name, ArrayType(f.dataType)) for f in base.schema.fields if f.name in names]
+
+    def pack(batches):
+        for batch in batches:
+            number = np.asarray(batch.column("block"))
+            order = np.argsort(number, kind="stable")
+            at = np.flatnonzero(np.diff(np.concatenate(([-1], number[order]))))
+            texts = [None if t is None else t.encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
+            parts = [order[a:b] for a, b in zip(at, np.append(at[1:], len(order)))]
+            squeeze = zstandard.ZstdCompressor(level=1).compress
+            columns = [pa.array(number[order][at], pa.int32()),
+                       pa.array([squeeze(b"".join(texts[i] or b"" for i in p)) for p in parts], pa.binary()),
+                       pa.array([[-1 if texts[i] is None else len(texts[i]) for i in p] for p in parts], pa.list_(pa.int32()))]
+            ends = pa.array(np.append(at, len(order)), pa.int32())
+            columns += [pa.ListArray.from_arrays(ends, batch.column(c).take(pa.array(order))) for c in names]
+            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+
+    return base.mapInArrow(pack, StructType(fields)), total
+
+
+def unpacked_docs(packed: pa.Table) -> pa.Table:
+    """The documents of a block: ``block``, ``text`` and the columns that were kept."""
+    texts: list[str | None] = []
+    for blob, sizes in zip(packed.column("packed").to_pylist(), packed.column("sizes").to_pylist()):
+        raw, start = zstandard.ZstdDecompressor().decompress(blob), 0
+        for size in sizes:
+            texts.append(None if size < 0 else raw[start: start + size].decode("utf-8", "surrogatepass"))
+            start += max(size, 0)
+    rest = [c for c in packed.schema.names if c not in ("block", "packed", "sizes")]
+    columns = {c: pa.chunked_array([x.flatten() for x in packed.column(c).chunks], packed.schema.field(c).type.value_type)
+               for c in rest}
+    block = packed.column("block")[0].as_py() if packed.num_rows else 0
+    return pa.table({"block": pa.array([block] * len(texts), pa.int32()), "text": pa.array(texts, pa.string()), **columns})
 
 
 def block_number(doc_id: str | Column, text: Column, n: int) -> Column:
@@ -129,7 +168,7 @@ class Words:
         return np.diff(self.bounds)
 
 
-def chunks_of(texts: Sequence[str | None], size: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def chunks_of(texts: Sequence[str | None], size: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Index ranges of texts with about ``size`` characters each (a longer text stands alone)."""
     start, held = 0, 0
     for i, t in enumerate(texts):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from barflow.llm.common import (
     ANSWER, ASK, ASKED, Words, ask, block_number, chunks_of, count_bucket, in_blocks, lookup, mixed, salts, totals_of,
-    windows,
+    unpacked_docs, windows,
 )
 from barflow.llm.components import components
 from barflow.session import staged
@@ -72,7 +72,8 @@ def _chosen(docs: pa.Table, rows: pa.Table) -> tuple[list[int], list[np.ndarray]
 
 
 def _shingles_of_block(n_buckets: int):
-    def run(docs: pa.Table, chosen: pa.Table) -> pa.Table:
+    def run(packed: pa.Table, chosen: pa.Table) -> pa.Table:
+        docs = unpacked_docs(packed)
         _, sets = _chosen(docs, chosen)
         if not sets:
             return ASKED.empty_table()
@@ -136,7 +137,8 @@ def _mark(doc_id: int, tokens: np.ndarray, df: np.ndarray, percent: int) -> tupl
 
 
 def _mark_block(percent: int):
-    def run(docs: pa.Table, told: pa.Table) -> pa.Table:
+    def run(packed: pa.Table, told: pa.Table) -> pa.Table:
+        docs = unpacked_docs(packed)
         names = ("doc_id", "size", "n_own", "short", "long", "tokens")
         answers = told.filter(pa.compute.is_valid(told.column("totals")))
         ids, sets = _chosen(docs, told.filter(pa.compute.is_null(told.column("totals")))) if docs.num_rows else ([], [])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barflow.llm.common import (
-    ANSWER, ASK, ASKED, CLASSES, Words, ask, chunks_of, count_bucket, in_blocks, mixed, totals_of,
+    ANSWER, ASK, ASKED, CLASSES, Words, ask, chunks_of, count_bucket, in_blocks, mixed, totals_of, unpacked_docs,
 )
 
 #: Text bytes for each bucket of counts.
@@ -41,7 +41,8 @@ class Sequences:
 
 
 def _words_of_block(n_buckets: int):
-    def run(docs: pa.Table) -> pa.Table:
+    def run(packed: pa.Table) -> pa.Table:
+        docs = unpacked_docs(packed)
         seen = Sequences(docs)
         keys, inverse = np.unique(seen.tokens, return_inverse=True)
         counts = np.bincount(inverse, weights=seen.train, minlength=len(keys))
@@ -69,9 +70,10 @@ class Known:
 
 
 def _pairs_of_block(n_buckets: int):
-    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        if not docs.num_rows:
+    def run(packed: pa.Table, answers: pa.Table) -> pa.Table:
+        if not packed.num_rows:
             return ASKED.empty_table()
+        docs = unpacked_docs(packed)
         seen = Sequences(docs)
         known = Known(seen, totals_of(answers))
         pairs, train = seen.pairs[known.askable], seen.train[known.askable]
@@ -120,7 +122,8 @@ class Automaton:
         return total
 
 
-def _score_block(docs: pa.Table, answers: pa.Table) -> pa.Table:
+def _score_block(packed: pa.Table, answers: pa.Table) -> pa.Table:
+    docs = unpacked_docs(packed)
     if not docs.num_rows:
         return pa.table({c: [] for c in ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")})
     seen = Sequences(docs)
