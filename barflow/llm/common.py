@@ -77,6 +77,13 @@ def in_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, keep: Sequence[st
     return base.mapInArrow(pack, StructType(fields)), total
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows, so that a task holds few texts as Python objects."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def unpacked_docs(packed: pa.Table) -> pa.Table:
     """The documents of a block: ``block``, ``text`` and the columns that were kept."""
     texts: list[str | None] = []

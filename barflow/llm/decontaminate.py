@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barflow.llm.common import Words, chunks_of
+from barflow.llm.common import Words, chunks_of, slices
 
 #: BM25's term saturation and length normalization.
 K1, B = 1.2, 0.75
@@ -34,6 +34,10 @@ _SENTENCE = re.compile(r"(?<=[.?!])\s+")
 _HIT = "doc_id bigint, item_id bigint, bm25_share double, question_overlap double, answer_overlap double"
 
 
+def _words(texts: list[str | None]) -> Words:
+    return Words([t if t is None else t.lower() for t in texts], _APART)
+
+
 def question_and_answer(text: str) -> tuple[str, str]:
     """The last sentence of an item is its answer; an item of one sentence is cut in the middle of its words."""
     parts = _SENTENCE.split(text.strip())
@@ -59,11 +63,11 @@ class Index:
     def __init__(self, items: list[tuple[int | None, str | None]]):
         split = [(i, *question_and_answer(t)) for i, t in items if t]
         texts = [f"{q} {a}" for _, q, a in split]
-        words = Words(texts, _APART)
+        words = _words(texts)
         filled = np.flatnonzero(words.counts())
         self.ids = [split[i][0] for i in filled]
         sequences = [words.hashes[words.bounds[i]: words.bounds[i + 1]] for i in filled]
-        both = [Words([split[i][1], split[i][2]], _APART) for i in filled]
+        both = [_words([split[i][1], split[i][2]]) for i in filled]
         self.questions = [_shingles(w.hashes[: w.bounds[1]]) for w in both]
         self.answers = [set(w.hashes[w.bounds[1]:].tolist()) for w in both]
         self.longest = max(map(len, sequences), default=0)
@@ -132,7 +136,7 @@ class Index:
             return
         stride = max(STRIDE, -(-self.longest * 5 // 4))
         for first, last in chunks_of(texts):
-            words = Words(texts[first:last], _APART)
+            words = _words(texts[first:last])
             at = np.searchsorted(self.terms, words.hashes)
             at[at == len(self.terms)] = 0
             term = np.where(self.terms[at] == words.hashes, at, -1)
@@ -216,7 +220,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, index_bytes: int = INDEX
         sent = spark.sparkContext.broadcast(index)  # bounded by index_bytes
 
         def run(batches):
-            for batch in batches:
+            for batch in slices(batches):
                 ids = batch.column("doc_id").to_pylist()
                 rows = [(ids[t], sent.value.ids[i], s, q, a) for t, i, s, q, a in sent.value.hits(batch.column("text").to_pylist())]
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
@@ -236,7 +240,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, index_bytes: int =
         sent = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches, sent=sent):
-            for batch in batches:
+            for batch in slices(batches):
                 bad = {t for t, *_ in sent.value.hits(batch.column("text").to_pylist())}
                 yield batch.filter(pa.array([i not in bad for i in range(batch.num_rows)], pa.bool_()))
 

@@ -44,8 +44,8 @@ def _recipes(docs: DataFrame, identify: Callable[[Column], Column]) -> DataFrame
     other = among.select("h", F.col("chunk").alias("other"))
     ranked = among.join(other, "h").groupBy("h", "chunk").agg(
         F.sum((F.col("other") < F.col("chunk")).cast("int")).cast("int").alias("rank"))
-    plain = rows.select("doc_id", "text_sha256", F.posexplode_outer("chunks").alias("pos", "chunk"),
-                        F.monotonically_increasing_id().alias("row"))
+    plain = rows.withColumn("row", F.monotonically_increasing_id()).select(
+        "row", "doc_id", "text_sha256", F.posexplode_outer("chunks").alias("pos", "chunk"))
     marked = staged(plain.withColumn("h", identify(F.col("chunk"))).join(ranked, ["h", "chunk"], "left"), "marked")
     steps = F.array_sort(F.collect_list(F.when(F.col("h").isNotNull() & F.col("pos").isNotNull(), F.struct(
         "pos", "h", F.coalesce("rank", F.lit(0)).alias("rank")))))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barflow.llm.common import (
-    ANSWER, ASK, ASKED, Words, ask, block_number, chunks_of, count_bucket, in_blocks, lookup, mixed, salts, totals_of,
+    ANSWER, ASK, ASKED, Words, ask, block_number, chunks_of, count_bucket, in_blocks, lookup, mixed, salts, slices, totals_of,
     unpacked_docs, windows,
 )
 from barflow.llm.components import components
@@ -50,7 +50,7 @@ def shingle_sets(texts: list[str | None], n: int = SHINGLE) -> tuple[list[np.nda
 
 
 def _slim(batches):
-    for batch in batches:
+    for batch in slices(batches):
         sets, classes = shingle_sets(batch.column("text").to_pylist())
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id").cast(pa.int64()), pa.array(classes, pa.binary()), pa.array(map(len, sets), pa.int64())],
@@ -237,3 +237,12 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, bucket_bytes: in
     linked = lookup(slim.filter("n_shingles > 0"), answer, ["class"], F.col("doc_id"), salts(slim.count()))
     alone = slim.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
     return linked.unionByName(alone).select("doc_id", "n_shingles", "component_id")
+
+
+def drop_near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Of each group of linked documents the one with the least id, with all its columns.
+
+    Documents without words, and rows without an id, stay. Rows repeated with the id that stays, stay.
+    """
+    gone = staged(jaccard_components(docs, percent).filter("doc_id != component_id").select("doc_id").distinct(), "near-copies")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from barflow.llm.common import slices
+
 #: Most frequent n-grams of a profile.
 PROFILE = 400
 #: Profile rows that may be sent to every task: 2,500 languages at PROFILE n-grams.
@@ -59,7 +61,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays(
             [pa.array([lang] * len(part[0]), pa.string()), pa.array(part[0]), pa.array(part[1])], names=["lang", "gram", "n"])
 
-    for batch in batches:
+    for batch in slices(batches):
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
             keys, counts = np.unique(ngrams(text), return_counts=True)
             parts = held.setdefault(lang, [])
@@ -116,33 +118,48 @@ class Classifier:
         return self.languages[best], 1.0 - float(far[best]) / (self.size * len(mine))
 
 
-def predict(docs: DataFrame, profiles: dict[str, list[int]], size: int = PROFILE, min_score: float | None = None) -> DataFrame:
+def _sent(docs: DataFrame, profiles: dict[str, list[int]], size: int):
+    return docs.sparkSession.sparkContext.broadcast(Classifier(profiles, size))
+
+
+def predict(docs: DataFrame, profiles: dict[str, list[int]], size: int = PROFILE) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, from the text alone; columns of these names are replaced.
 
-    Texts that are null or have no letter are ``und`` with score 0, as is everything without profiles. With
-    ``min_score``, only texts in a language with a higher score stay. An empty table gives no rows.
+    Texts that are null or have no letter are ``und`` with score 0, as is everything without profiles.
     """
-    classifier = docs.sparkSession.sparkContext.broadcast(Classifier(profiles, size))
+    classifier = _sent(docs, profiles, size)
     names = [c for c in docs.columns if c not in ("lang_pred", "score")]
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = [classifier.value.predict(t) for t in batch.column("text").to_pylist()]
-            columns = [batch.column(c) for c in names]
-            out = pa.RecordBatch.from_arrays(
-                [*columns, pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],
-                names=[*names, "lang_pred", "score"])
-            if min_score is not None:
-                out = out.filter(pa.array([x != UNKNOWN and s > min_score for x, s in found], pa.bool_()))
-            yield out
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in names), pa.array([x for x, _ in found], pa.string()),
+                 pa.array([s for _, s in found], pa.float64())], names=[*names, "lang_pred", "score"])
 
     base = docs.select(*names)
     return base.mapInArrow(run, StructType([
         *base.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
 
 
+def keep_identified(docs: DataFrame, profiles: dict[str, list[int]], size: int = PROFILE, min_score: float = 0.0) -> DataFrame:
+    """The documents, with their columns, whose text is in a known language with a score over ``min_score``."""
+    classifier = _sent(docs, profiles, size)
+
+    def run(batches):
+        for batch in slices(batches):
+            found = [classifier.value.predict(t) for t in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array([x != UNKNOWN and s > min_score for x, s in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify(docs: DataFrame, held_out: Column, size: int = PROFILE) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score`` of every document; documents held out (or without id) teach nothing."""
+    """``doc_id, held_out, lang_pred, score`` of every document; documents held out teach nothing.
+
+    A null ``held_out`` (a row without an id) counts as false in the result and teaches nothing either. Repeated
+    rows are answered (and counted) each; extra columns are ignored.
+    """
     marked = docs.select("doc_id", "text", "lang", held_out.alias("held_out"))
     profiles = learn_profiles(marked.filter(~F.col("held_out")), size)
     flags = marked.select("doc_id", "text", F.coalesce("held_out", F.lit(False)).alias("held_out"))

@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from barflow.llm.byte_bpe import read_ranks
+from barflow.llm.common import slices
 
 #: Distinct words whose counts a task remembers.
 REMEMBERED = 1 << 18
@@ -101,7 +102,7 @@ def count_pieces(docs: DataFrame, ranks_path: str) -> DataFrame:
 
     def run(batches):
         counts = _Memory(automaton.value)
-        for batch in batches:
+        for batch in slices(batches):
             words, tokens = [], []
             for text in batch.column("text").to_pylist():
                 found = text.encode("utf-8", "surrogatepass").split() if text else []

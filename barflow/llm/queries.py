@@ -15,6 +15,7 @@ from barflow.llm.jaccard_join import jaccard_components
 from barflow.llm.language_model import lm_scores
 from barflow.llm.piece_counts import count_pieces
 from barflow.llm.sharding import shard_by_bytes
+from barflow.llm.site_quality import site_quality
 
 #: The rank file that documents are encoded with.
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -152,3 +153,9 @@ def op6_block_max_wand(spark, d):
 @query
 def op1_site_style_tree(spark, d):
     return site_style_tree.extract(_table(spark, d, "pages"))
+
+
+@query
+def op4_hierarchical_bayes_quality(spark, d):
+    labels = _table(spark, d, "labels").filter(fold(5) != 0).select("doc_id", F.col("quality").alias("label"))
+    return site_quality(_table(spark, d, "documents"), labels, F.col("source"), F.concat_ws("/", "source", "lang"))

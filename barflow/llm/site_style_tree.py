@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from barflow.llm.common import lookup, salts
+from barflow.llm.common import lookup, salts, slices
 from barflow.session import staged
 
 #: Weight of what lies below a node against its own layout, for each node below.
@@ -180,7 +180,7 @@ def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(r, k) for r, k in zip(rows, kinds)],
                                           names=["node", "kind", "value", "pages", "total", "logs"])
 
-    for batch in batches:
+    for batch in slices(batches):
         for url, html in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
             nodes, styles, contents = place(Page(html or ""), site_of(url))
             seen = Counter((n, CONTENT, c) for n, c in zip(nodes, contents) if c is not None)
@@ -377,21 +377,21 @@ def extract(pages: DataFrame, sent_nodes: int = SENT_NODES) -> DataFrame:
         known = spark.sparkContext.broadcast({r[0]: (r[1], r[2]) for r in nodes.collect()})
 
         def run(batches):
-            for batch in batches:
+            for batch in slices(batches):
                 yield _with_text(batch, names, [main_text(h, u, known.value.get) for u, h in zip(
                     batch.column("url").to_pylist(), batch.column("html").to_pylist())])
 
         return base.mapInArrow(run, schema)
 
     def places(batches):
-        for batch in batches:
+        for batch in slices(batches):
             rows = [(r, x) for r, u, h in zip(*(batch.column(c).to_pylist() for c in ("row", "url", "html")))
                     for x in set(place(Page(h or ""), site_of(u))[0])]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1)], names=["row", "node"])
 
     def run_joined(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = []
             for u, h, mine in zip(*(batch.column(c).to_pylist() for c in ("url", "html", "nodes"))):
                 known = {x["node"]: (x["layout"], x["content"]) for x in mine or ()}

@@ -2,20 +2,54 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from barflow.llm import byte_bpe, language_id
+from barflow.llm.decontaminate import drop_contaminated
 from barflow.llm.exact_dedup import drop_copies
+from barflow.llm.jaccard_join import drop_near_copies
+from barflow.llm.queries import RANKS, fold
 from barflow.session import work_dir
 
 
-def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or with no n-gram in common with any language, go. One fold in five teaches nothing."""
+    return language_id.keep_identified(docs, language_id.learn_profiles(docs.filter(fold(5) != 0)))
+
+
+def remove_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the largest id stays."""
     return drop_copies(docs)
 
 
-STAGES = [("exact_dedup", exact_dedup)]
+def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by similar shingles, the one with the least id stays."""
+    return drop_near_copies(docs)
+
+
+def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage that holds a test item's question and answer go."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, n_tokens, ids`` (little-endian unsigned 32-bit) and ``text`` as decoded from them."""
+    path = public_tokenizers.path(RANKS)
+    decoded = byte_bpe.decode(byte_bpe.encode(docs, path), path)
+    return decoded.select("doc_id", "n_tokens", "ids", F.col("decoded").cast("string").alias("text"))
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("exact_dedup", remove_exact_copies),
+    ("near_dedup", remove_near_copies),
+    ("decontaminate", remove_benchmark),
+    ("encode", encode),
+]
 
-#: The tokenizer, language and decontamination stages have no SQL form.
+#: Rank-order profiles, retrieval and byte pairs have no SQL form; tests compare run() with brute force.
 ORACLE_SQL = None
 
 
