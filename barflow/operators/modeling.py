@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,13 +18,12 @@ from barflow.functions.series import (
 )
 from barflow.session import staged
 
-# Columns of a feature row that are no features.
-NOT_FEATURES = ("target_direction_5d", "future_return_5d", "date", "symbol", "asset_id", "computed_at", "id")
 LABEL = "target_direction_5d"
+# Columns of a feature row that are no features: its key, its targets and its stamps.
+NOT_FEATURES = ("symbol", "date", LABEL, "future_return_5d", "computed_at")
 N_SPLITS = 5
 TEST_SIZE = 63
-SYMBOL_CODE = "symbol_code"
-SYMBOL_CODES = 4096
+TOO_SHORT = "too_short"
 
 # Learner settings.
 LEARNER = {"maxIter": 500, "stepSize": 0.05, "maxDepth": 6, "minInstancesPerNode": 20,
@@ -62,16 +61,36 @@ def feature_medians(matrix: DataFrame, features: Sequence[str]) -> DataFrame:
     )
 
 
-def fill_with_medians(matrix: DataFrame, middle: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Nulls of each feature become the median of its symbol."""
+def fill_with_medians(
+    matrix: DataFrame, middle: DataFrame, features: Sequence[str], pooled: Mapping[str, float] | None = None
+) -> DataFrame:
+    """Nulls of each feature become the median of its symbol, else the ``pooled`` value of the feature."""
     renamed = middle.select("symbol", *[F.col(c).alias(f"_median_{c}") for c in features])
+    rest = pooled or {}
     return (
         spread_join(matrix, renamed, ["symbol"], "left")
-        .withColumns({c: F.coalesce(F.col(c), F.col(f"_median_{c}")) for c in features})
+        .withColumns({
+            c: F.coalesce(F.col(c), F.col(f"_median_{c}"), F.lit(rest.get(c)).cast("double")) for c in features
+        })
         .select(*matrix.columns)
     )
 
 
+def pooled_medians(middle: DataFrame, features: Sequence[str]) -> dict[str, float]:
+    """Per feature the median of the symbols' medians, 0 where no symbol has one: one row for the driver.
+
+    For symbols without a median of their own: a new symbol, or one that lacks a feature throughout.
+    """
+    row = middle.agg(*[F.median(c).alias(c) for c in features]).first()
+    return {c: row[c] if row[c] is not None else 0.0 for c in features}
+
+
+def still_missing(matrix: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Per symbol and feature the rows without a value, for those that have any."""
+    counts = matrix.groupBy("symbol").agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in features])
+    return counts.unpivot("symbol", list(features), "feature", "n_missing").filter("n_missing > 0")
+
+
 def walk_forward(
     df: DataFrame, n_splits: int = N_SPLITS, test_size: int = TEST_SIZE, short: str = "raise",
     series: Series = DAILY,
@@ -79,16 +98,14 @@ def walk_forward(
     """Rows with ``fold`` (1..n_splits) and ``role`` (train or test), expanding window.
 
     Of N rows the last n_splits * test_size are tested, fold by fold; each fold trains on all rows
-    before its test rows. A series shorter than (n_splits + 1) * test_size fails the job, or is left
-    out with ``short="skip"``.
+    before its test rows. A series shorter than (n_splits + 1) * test_size fails the job, or with
+    ``short="mark"`` its rows come once, as fold 0 with the role ``too_short``.
     """
-    if short not in ("raise", "skip"):
-        raise ValueError(f"short is 'raise' or 'skip', got {short!r}")
+    if short not in ("raise", "mark"):
+        raise ValueError(f"short is 'raise' or 'mark', got {short!r}")
     needed = (n_splits + 1) * test_size
     numbered = number_rows(df, series)
-    if short == "skip":
-        numbered = numbered.filter(F.col(TOTAL) >= needed)
-    else:
+    if short == "raise":
         message = F.concat(
             F.lit(f"{n_splits} folds of {test_size} rows need {needed} rows, got "),
             F.col(TOTAL).cast("string"),
@@ -98,15 +115,20 @@ def walk_forward(
         )
     fold = F.col("fold")
     test_end = F.col(TOTAL) - (n_splits - fold) * test_size
+    numbers = F.when(F.col(TOTAL) < needed, F.array(F.lit(0))).otherwise(F.sequence(F.lit(1), F.lit(n_splits)))
     return (
-        numbered.withColumn("fold", F.explode(F.sequence(F.lit(1), F.lit(n_splits))))
-        .filter(F.col(POSITION) < test_end)
-        .withColumn("role", F.when(F.col(POSITION) >= test_end - test_size, "test").otherwise("train"))
+        numbered.withColumn("fold", F.explode(numbers))
+        .filter((fold == 0) | (F.col(POSITION) < test_end))
+        .withColumn("role", F.when(fold == 0, TOO_SHORT).when(
+            F.col(POSITION) >= test_end - test_size, "test").otherwise("train"))
     )
 
 
 def fold_sizes(folds: DataFrame) -> DataFrame:
+    """Sizes and dates per symbol and fold; a series too short for folds is fold 0 with its rows."""
     return folds.groupBy("symbol", "fold").agg(
+        F.when(F.col("fold") == 0, TOO_SHORT).otherwise("ok").alias("status"),
+        F.count(F.lit(1)).alias("row_total"),
         F.count_if(F.col("role") == "train").alias("train_size"),
         F.count_if(F.col("role") == "test").alias("test_size"),
         F.max(F.when(F.col("role") == "train", F.col("date"))).alias("train_end"),
@@ -153,11 +175,12 @@ def fold_metrics(scored: DataFrame, by: Sequence[str] = ("symbol", "fold")) -> D
 
 
 def fold_summary(metrics: DataFrame) -> DataFrame:
-    """Mean scores over the folds and the population deviation of the accuracy."""
+    """Mean scores over the folds and the population deviation of the accuracy; nulls without folds."""
+    real = lambda c: F.when(F.col("fold") > 0, F.col(c))
     return metrics.groupBy("symbol").agg(
-        *[F.avg(c).alias(c) for c in SCORES],
-        F.stddev_pop("accuracy").alias("accuracy_std"),
-        F.count(F.lit(1)).alias("n_splits"),
+        *[F.avg(real(c)).alias(c) for c in SCORES],
+        F.stddev_pop(real("accuracy")).alias("accuracy_std"),
+        F.count(real("accuracy")).alias("n_splits"),
     )
 
 
@@ -188,10 +211,12 @@ def metrics_long(
 # ---------------------------------------------------------------- boosted trees
 
 def _validation_tail(train: DataFrame, test_size: int, series: Series) -> DataFrame:
-    """Mark the newest training rows of every symbol for early stopping, so the test rows stay unseen."""
+    """Mark the newest training rows of every symbol for early stopping, so the test rows stay unseen.
+
+    A series of fewer than two tails trains on all its rows and is not watched.
+    """
     numbered = number_rows(train.drop(POSITION, TOTAL), series)
     newest = F.col(TOTAL) - F.col(POSITION) <= test_size
-    # A series too short to spare a tail trains on all its rows.
     return numbered.withColumn("is_validation", newest & (F.col(TOTAL) >= 2 * test_size)).drop(
         POSITION, TOTAL
     )
@@ -201,22 +226,25 @@ def fit(
     matrix: DataFrame, features: Sequence[str], settings: Mapping[str, object] = LEARNER,
     validation: bool = False, validation_tol: float = 1e-4,
 ) -> PipelineModel:
-    """One boosted-tree model over all symbols, the symbol being a feature of its own."""
-    # A hashed code needs no dictionary of symbols on the driver and no bin per symbol in the trees.
-    code = SQLTransformer(
-        statement=f"SELECT *, CAST(pmod(xxhash64(symbol), {SYMBOL_CODES}) AS DOUBLE) AS {SYMBOL_CODE} FROM __THIS__"
-    )
-    assembler = VectorAssembler(inputCols=[*features, SYMBOL_CODE], outputCol="features")
+    """One boosted-tree model over all symbols; what tells symbols apart are their features."""
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     learner = GBTClassifier(featuresCol="features", labelCol="label", validationTol=validation_tol, **settings)
     if validation:
         learner = learner.setValidationIndicatorCol("is_validation")
-    return Pipeline(stages=[code, assembler, learner]).fit(matrix)
+    return Pipeline(stages=[assembler, learner]).fit(matrix)
+
+
+def fit_watched(
+    matrix: DataFrame, features: Sequence[str], settings: Mapping[str, object] = LEARNER, test_size: int = TEST_SIZE,
+    series: Series = DAILY,
+) -> PipelineModel:
+    """A model on all rows, of which the newest of each symbol say when to stop adding trees."""
+    return fit(staged(_validation_tail(matrix, test_size, series), "train"), features, settings, validation=True)
 
 
 def score(model: PipelineModel, matrix: DataFrame) -> DataFrame:
     """Rows with ``prediction`` and ``probability_up``; a missing feature column is an error."""
-    needed = model.stages[1].getInputCols()
-    absent = [c for c in needed if c != SYMBOL_CODE and c not in matrix.columns]
+    absent = [c for c in model.stages[0].getInputCols() if c not in matrix.columns]
     if absent:
         raise ValueError(f"features missing for scoring: {absent}")
     scored = model.transform(matrix)
@@ -242,9 +270,9 @@ def train_walk_forward(
         rows = folds.filter(F.col("fold") == i)
         train = rows.filter(F.col("role") == "train")
         middle = staged(feature_medians(train, features), "medians")
-        marked = _validation_tail(fill_with_medians(train, middle, features), test_size, series)
-        model = fit(staged(marked, "train"), features, settings, validation=True)
-        test = fill_with_medians(rows.filter(F.col("role") == "test"), middle, features)
+        pooled = pooled_medians(middle, features)
+        model = fit_watched(fill_with_medians(train, middle, features, pooled), features, settings, test_size, series)
+        test = fill_with_medians(rows.filter(F.col("role") == "test"), middle, features, pooled)
         results.append(score(model, test))
     scored = results[0]
     for more in results[1:]:
@@ -256,8 +284,7 @@ def feature_importance(model: PipelineModel, features: Sequence[str], top: int |
     """Features by importance, the most important first."""
     spark = SparkSession.getActiveSession()
     weights = model.stages[-1].featureImportances.toArray()
-    names = [*features, SYMBOL_CODE]
-    rows = [(name, float(w)) for name, w in zip(names, weights)]
+    rows = [(name, float(w)) for name, w in zip(features, weights)]
     ranked = spark.createDataFrame(rows, "feature string, importance double").orderBy(
         F.desc("importance"), "feature"
     )
@@ -302,10 +329,10 @@ def save_model(
 
 
 def load_latest_model(spark: SparkSession, root: str) -> tuple[PipelineModel, list[str], str]:
-    """Newest model by version with its feature list and version."""
+    """The model trained last (of one moment, the last version) with its feature list and version."""
     newest = (
         spark.read.parquet(f"{root}/_registry")
-        .agg(F.max_by(F.struct("path", "features", "version"), "version").alias("m"))
+        .agg(F.max_by(F.struct("path", "features", "version"), F.struct("trained_at", "version")).alias("m"))
         .select("m.*").first()
     )
     if newest["path"] is None:

@@ -16,7 +16,7 @@ from barflow.functions import scalars
 from barflow.functions.series import in_blocks
 from barflow.operators import clean, drift, indicators, modeling, monitoring, quality, reports, upsert
 from barflow.plans import layers
-from barflow.session import staged, tuned, work_dir
+from barflow.session import staged, work_dir
 from barflow.sources import bars as src
 from barflow.sources import landing, tables
 from barflow.streaming import jobs
@@ -27,8 +27,6 @@ RUN_DATE = "1999-06-15"
 RANGE = ("1997-01-01", "1998-12-31")
 CHECK_DATE = "2002-01-01"
 REPORT_FEATURES = list(indicators.GOLD_FEATURES)
-MEDIAN_FEATURES = ["sma_21", "rsi_14", "volatility_21d", "close_lag_21"]
-LEARN_FEATURES = ["rsi_14", "bb_position", "volume_ratio_21", "return_1d", "return_5d", "volatility_21d"]
 
 # Prices taken as they are compare exactly; computed amounts of price size keep four places; all
 # other doubles keep six.
@@ -48,7 +46,7 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = lambda spark, sf_dir: fn(tuned(spark), sf_dir)
+    QUERIES[fn.__name__] = fn
     return fn
 
 
@@ -124,7 +122,7 @@ def ing_status_summary(spark, d):
 
 @query
 def src_wide_to_long(spark, d):
-    symbols = ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"]
+    symbols = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
     wide = (
         src.bars_priority(spark, d).groupBy("date").pivot("symbol", symbols)
         .agg(F.first("close").alias("close"), F.first("volume").alias("volume"))
@@ -286,7 +284,7 @@ def null_audit(spark, d):
 
 @query
 def features_pivot(spark, d):
-    names = ["sma_5", "rsi_14", "return_1d"]
+    names = REPORT_FEATURES
     gold = _gold(spark, d)
     long = reports.features_long(gold, names)
     # A second delivery of one feature: the mean of both counts.
@@ -466,8 +464,7 @@ def silver_prices(spark, d):
 
 @query
 def assert_clean(spark, d):
-    return clean.violations(src.bars_negative(spark, d).unionByName(
-        src.bars_priority(spark, d).filter(F.col("date") >= RANGE[1])))
+    return clean.violations(src.bars_negative(spark, d).unionByName(src.bars_priority(spark, d)))
 
 
 # ---------------------------------------------------------------- data quality
@@ -519,9 +516,9 @@ def upsert_replace(spark, d):
 @query
 def upsert_feature_values(spark, d):
     base = src.bars_priority(spark, d)
-    stored = reports.features_long(base.filter(F.col("date") < CUTOFF), ["close", "volume"])
+    stored = reports.features_long(base.filter(F.col("date") < CUTOFF), ["open", "high", "low", "close", "volume"])
     batch = reports.features_long(
-        base.filter(F.col("date") >= RANGE[1]).withColumn("close", F.col("close") * 2), ["close"])
+        base.filter(F.col("date") >= RANGE[1]).withColumn("close", F.col("close") * 2), ["close", "low"])
     return rounded(upsert.merge(stored, batch, ["symbol", "date", "feature_name"]))
 
 
@@ -581,10 +578,10 @@ def ml_feature_matrix(spark, d):
 
 @query
 def ml_median_impute(spark, d):
-    matrix = modeling.feature_matrix(_gold(spark, d, warm=False)).select("symbol", "date", *MEDIAN_FEATURES)
+    matrix = modeling.feature_matrix(_gold(spark, d, warm=False)).select("symbol", "date", *REPORT_FEATURES)
     matrix = staged(matrix, "matrix")
-    middle = modeling.feature_medians(matrix, MEDIAN_FEATURES)
-    filled = modeling.fill_with_medians(matrix, middle, MEDIAN_FEATURES)
+    middle = modeling.feature_medians(matrix, REPORT_FEATURES)
+    filled = modeling.fill_with_medians(matrix, middle, REPORT_FEATURES)
     return rounded(filled)
 
 
@@ -598,18 +595,18 @@ def ml_class_balance(spark, d):
 @query
 def wf_folds(spark, d):
     labelled = src.bars_priority(spark, d).select("symbol", "date")
-    folds = modeling.walk_forward(labelled, short="skip")
-    return folds.filter("role = 'test'").select("symbol", "date", F.col("fold").cast("long").alias("fold"))
+    folds = modeling.walk_forward(labelled, short="mark")
+    return folds.select("symbol", "date", F.col("fold").cast("long").alias("fold"), "role")
 
 
 @query
 def wf_fold_sizes(spark, d):
-    folds = modeling.walk_forward(src.bars_priority(spark, d).select("symbol", "date"), short="skip")
+    folds = modeling.walk_forward(src.bars_priority(spark, d).select("symbol", "date"), short="mark")
     return modeling.fold_sizes(folds).withColumn("fold", F.col("fold").cast("long"))
 
 
-def _momentum_test_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Test rows of the folds, predicted UP when the close is above the one five bars ago."""
+def _momentum_folds(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of the folds, predicted UP when the close is above the one five bars ago."""
 
     def compute(f):
         f.out("lag_5", f.lag("close", 5))
@@ -622,37 +619,46 @@ def _momentum_test_rows(spark: SparkSession, d: str) -> DataFrame:
         (F.col("close") > F.col("lag_5")).cast("int").alias("prediction"),
         (F.try_divide(F.col("ahead_5"), F.col("close")) - 1 > 0).cast("int").alias("label"),
     )
-    return modeling.walk_forward(labelled, short="skip").filter("role = 'test'")
+    return modeling.walk_forward(labelled, short="mark")
+
+
+def _momentum_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Scores per symbol and fold with the number of training rows; a short series is fold 0, with nulls."""
+    rows = _momentum_folds(spark, d)
+    tested = F.col("role") == "test"
+    marked = rows.withColumns({c: F.when(tested, F.col(c)) for c in ("prediction", "label")})
+    sizes = rows.groupBy("symbol", "fold").agg(
+        F.count_if(F.col("role") == "train").alias("n_train"), F.max(F.when(tested, F.col("date"))).alias("trained_at"))
+    scored = modeling.fold_metrics(marked).join(sizes, ["symbol", "fold"])
+    return scored.withColumns({c: F.when(F.col("fold") > 0, F.col(c)) for c in modeling.SCORES})
 
 
 @query
 def clf_metrics(spark, d):
-    made = modeling.fold_metrics(_momentum_test_rows(spark, d))
+    made = _momentum_metrics(spark, d).drop("n_train", "trained_at")
     return rounded(made.withColumn("fold", F.col("fold").cast("long")))
 
 
 @query
 def wf_fold_summary(spark, d):
-    return rounded(modeling.fold_summary(modeling.fold_metrics(_momentum_test_rows(spark, d))))
+    return rounded(modeling.fold_summary(_momentum_metrics(spark, d)))
 
 
 @query
 def metrics_long(spark, d):
-    rows = _momentum_test_rows(spark, d)
-    trained = rows.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_train"))
+    scored = staged(_momentum_metrics(spark, d), "fold-metrics")
+    # The newest fold trains on the most rows, and its model is the one that is kept.
+    trained = scored.groupBy("symbol").agg(F.max("n_train").alias("n_train"))
     made = modeling.metrics_long(
-        modeling.fold_summary(modeling.fold_metrics(rows)), "momentum_v1", AS_OF, trained,
-        modeling.TEST_SIZE, {"max_depth": 6, "learning_rate": 0.05},
+        modeling.fold_summary(scored), "momentum_v1", AS_OF, trained,
+        modeling.TEST_SIZE, {"test_size": modeling.TEST_SIZE, "n_splits": modeling.N_SPLITS},
     )
     return rounded(made.withColumn("trained_at", F.to_date("trained_at")))
 
 
 def _fold_trainings(spark: SparkSession, d: str) -> DataFrame:
     """Every fold as one training: its scores as metric rows, dated by the end of its test rows."""
-    rows = _momentum_test_rows(spark, d)
-    dated = rows.groupBy("symbol", "fold").agg(
-        F.max("date").alias("trained_at"), F.count(F.lit(1)).alias("n_train"))
-    scored = modeling.fold_metrics(rows).join(dated, ["symbol", "fold"])
+    scored = _momentum_metrics(spark, d).filter("fold > 0")
     entries = [
         F.struct(F.lit(c).alias("metric_name"), F.col(c).alias("metric_value")) for c in modeling.SCORES
     ]
@@ -665,38 +671,35 @@ def _fold_trainings(spark: SparkSession, d: str) -> DataFrame:
 def _learning_matrix(spark: SparkSession, d: str) -> DataFrame:
     matrix = modeling.feature_matrix(_gold(spark, d, warm=False))
     # Folds, medians and fits all read these rows, as they would a stored layer.
-    return staged(matrix.select("symbol", "date", *LEARN_FEATURES, "label"), "matrix")
-
-
-# Few trees keep the registered trainings short; the library default is modeling.LEARNER.
-QUICK_LEARNER = {**modeling.LEARNER, "maxIter": 5, "maxDepth": 4}
+    return staged(matrix.select("symbol", "date", *REPORT_FEATURES, "label"), "matrix")
 
 
 @query
 def wf_train_eval(spark, d):
-    folds = staged(modeling.walk_forward(_learning_matrix(spark, d), n_splits=3, short="skip"), "folds")
-    scored = modeling.train_walk_forward(folds, LEARN_FEATURES, n_splits=3, settings=QUICK_LEARNER)
+    folds = staged(modeling.walk_forward(_learning_matrix(spark, d), short="mark"), "folds")
+    scored = modeling.train_walk_forward(folds, REPORT_FEATURES)
     return rounded(modeling.fold_metrics(scored))
 
 
 def _final_model(spark: SparkSession, d: str):
     matrix = _learning_matrix(spark, d)
-    middle = staged(modeling.feature_medians(matrix, LEARN_FEATURES), "medians")
-    filled = staged(modeling.fill_with_medians(matrix, middle, LEARN_FEATURES), "train")
-    return modeling.fit(filled, LEARN_FEATURES, QUICK_LEARNER), middle
+    middle = staged(modeling.feature_medians(matrix, REPORT_FEATURES), "medians")
+    pooled = modeling.pooled_medians(middle, REPORT_FEATURES)
+    filled = modeling.fill_with_medians(matrix, middle, REPORT_FEATURES, pooled)
+    return modeling.fit_watched(filled, REPORT_FEATURES), middle, pooled
 
 
 @query
 def ml_feature_importance(spark, d):
-    model, _ = _final_model(spark, d)
-    return modeling.feature_importance(model, LEARN_FEATURES, top=15)
+    model, _, _ = _final_model(spark, d)
+    return modeling.feature_importance(model, REPORT_FEATURES, top=15)
 
 
 @query
 def score_latest(spark, d):
-    model, middle = _final_model(spark, d)
-    newest = modeling.latest_features(_gold(spark, d)).select("symbol", "date", *LEARN_FEATURES)
-    filled = modeling.fill_with_medians(newest, middle, LEARN_FEATURES)
+    model, middle, pooled = _final_model(spark, d)
+    newest = modeling.latest_features(_gold(spark, d)).select("symbol", "date", *REPORT_FEATURES)
+    filled = modeling.fill_with_medians(newest, middle, REPORT_FEATURES, pooled)
     return modeling.predictions(modeling.score(model, filled), "gbt_v1")
 
 

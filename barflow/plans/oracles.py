@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from barflow.operators.indicators import GOLD_COLUMNS, GOLD_FEATURES, LAGS, WINDOWS, engineered_columns
 from barflow.plans.catalog import (
-    AS_OF, CHECK_DATE, CUTOFF, EXACT, FOUR_PLACES, MEDIAN_FEATURES, RANGE, RUN_DATE,
+    AS_OF, CHECK_DATE, CUTOFF, EXACT, FOUR_PLACES, RANGE, RUN_DATE,
 )
 
 # ---------------------------------------------------------------- building blocks
@@ -199,25 +199,29 @@ FOLDS = """labelled AS (SELECT * FROM ({labelled})),
 counted AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS pos,
                    count(*) OVER (PARTITION BY symbol) AS n FROM labelled),
 folds AS MATERIALIZED (
-  SELECT *, CASE WHEN pos >= n - (5 - fold) * 63 - 63 THEN 'test' ELSE 'train' END AS role
-  FROM counted, (SELECT unnest(range(1, 6)) AS fold) AS f
-  WHERE n >= 378 AND pos < n - (5 - fold) * 63)"""
+  SELECT *, CASE WHEN fold = 0 THEN 'too_short' WHEN pos >= n - (5 - fold) * 63 - 63 THEN 'test' ELSE 'train' END AS role
+  FROM counted, (SELECT unnest(range(0, 6)) AS fold) AS f
+  WHERE CASE WHEN fold = 0 THEN n < 378 ELSE n >= 378 AND pos < n - (5 - fold) * 63 END)"""
 MOMENTUM = FOLDS.format(labelled="""SELECT symbol, date, CAST(close > lag_5 AS INTEGER) AS prediction,
   CAST(ahead_5 / close - 1 > 0 AS INTEGER) AS label FROM steps WHERE lag_5 IS NOT NULL AND ahead_5 IS NOT NULL""")
 SCORES = """counts AS (
-  SELECT symbol, fold, count(*) FILTER (prediction = 1 AND label = 1) AS tp,
-         count(*) FILTER (prediction = 1 AND label = 0) AS fp, count(*) FILTER (prediction = 0 AND label = 1) AS fn,
-         count(*) FILTER (prediction = 0 AND label = 0) AS tn, max(date) AS trained_at, count(*) AS n_train
-  FROM folds WHERE role = 'test' GROUP BY 1, 2),
+  SELECT symbol, fold, count(*) FILTER (role = 'test' AND prediction = 1 AND label = 1) AS tp,
+         count(*) FILTER (role = 'test' AND prediction = 1 AND label = 0) AS fp,
+         count(*) FILTER (role = 'test' AND prediction = 0 AND label = 1) AS fn,
+         count(*) FILTER (role = 'test' AND prediction = 0 AND label = 0) AS tn,
+         max(date) FILTER (role = 'test') AS trained_at, count(*) FILTER (role = 'train') AS n_train
+  FROM folds GROUP BY 1, 2),
 scores AS MATERIALIZED (
-  SELECT *, (tp + tn) / nullif(tp + fp + fn + tn, 0) AS accuracy, coalesce(tp / nullif(tp + fp, 0), 0) AS precision,
-         coalesce(tp / nullif(tp + fn, 0), 0) AS recall, coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1_score,
+  SELECT *, (tp + tn) / nullif(tp + fp + fn + tn, 0) AS accuracy,
+         CASE WHEN fold > 0 THEN coalesce(tp / nullif(tp + fp, 0), 0) END AS precision,
+         CASE WHEN fold > 0 THEN coalesce(tp / nullif(tp + fn, 0), 0) END AS recall,
+         CASE WHEN fold > 0 THEN coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) END AS f1_score,
          (tp + tn) / nullif(tp + fp + fn + tn, 0) AS directional_accuracy
   FROM counts)"""
 MOMENTUM_SCORES = (BARS, PREDICTIONS, MOMENTUM, SCORES)
 SCORE_NAMES = ("accuracy", "precision", "recall", "f1_score", "directional_accuracy")
 TRAININGS = "trainings AS (" + " UNION ALL ".join(
-    f"SELECT 'fold_' || fold AS model_version, trained_at, symbol, '{m}' AS metric_name, {m} AS metric_value, n_train FROM scores"
+    f"SELECT 'fold_' || fold AS model_version, trained_at, symbol, '{m}' AS metric_name, {m} AS metric_value, n_train FROM scores WHERE fold > 0"
     for m in SCORE_NAMES) + ")"
 
 CHECKS = f"""negative AS (
@@ -315,7 +319,7 @@ add("ing_status_summary", """SELECT count(*) FILTER (n > 0) AS succeeded, count(
   count(*) FILTER (n < 0) AS failed, CAST(coalesce(sum(n) FILTER (n > 0), 0) AS BIGINT) AS total_rows FROM per_symbol""",
     BARS, f"""per_symbol AS (SELECT symbol, CASE symbol WHEN '5-LOW' THEN -1 WHEN '3-MEDIUM' THEN 0
   ELSE count(*) FILTER ({IN_WINDOW}) END AS n FROM bars GROUP BY 1)""")
-add("src_wide_to_long", "SELECT symbol, date, close, volume FROM bars WHERE symbol <> '4-NOT SPECIFIED'", BARS)
+add("src_wide_to_long", "SELECT symbol, date, close, volume FROM bars", BARS)
 add("src_normalise_columns", f"""SELECT {ALL_BAR} FROM raw
   WHERE open IS NOT NULL OR high IS NOT NULL OR low IS NOT NULL OR close IS NOT NULL""", DIRTY)
 add("scan_prices_range", f"""SELECT {ALL_BAR} FROM bars WHERE symbol IN ('1-URGENT', '3-MEDIUM')
@@ -373,8 +377,8 @@ FILLED_BOTH = "both_ways AS (SELECT symbol, date, " + ", ".join(
 add("null_audit", f"""SELECT symbol, CAST(b AS BIGINT) AS missing_before, CAST(a AS BIGINT) AS missing_after
   FROM (SELECT symbol, sum({CELLS}) AS b FROM raw GROUP BY 1) JOIN (SELECT symbol, sum({CELLS}) AS a FROM both_ways GROUP BY 1)
   USING (symbol)""", DIRTY, LAST, FILLED_BOTH)
-add("features_pivot", """SELECT symbol, date, round(CASE WHEN day(date) = 1 THEN 2 * sma_5 ELSE sma_5 END, 4) AS sma_5,
-  round(rsi_14, 4) AS rsi_14, round(return_1d, 6) AS return_1d FROM gold""", *GOLD_OF_BARS)
+add("features_pivot", f"""SELECT symbol, date, {cols(*GOLD_FEATURES)} FROM (SELECT * REPLACE (
+  CASE WHEN day(date) = 1 THEN 2 * sma_5 ELSE sma_5 END AS sma_5) FROM gold)""", *GOLD_OF_BARS)
 add("latest_prices", """SELECT symbol, name, date, close, volume, round(return_simple, 6) AS daily_return
   FROM silver JOIN assets USING (symbol) QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date DESC) = 1""",
     DIRTY, LAST, SILVER, ASSETS)
@@ -444,10 +448,10 @@ add("clean_outliers_4sd", f"""SELECT symbol, date, {cols("close", "return_simple
     """moves AS MATERIALIZED (SELECT symbol, date, close, close / lag(close) OVER w - 1 AS return_simple,
   ln(close / lag(close) OVER w) AS return_log FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY date))""")
 add("silver_prices", f"SELECT {SILVER_OUT} FROM silver", DIRTY, LAST, SILVER)
-add("assert_clean", f"""SELECT symbol, CAST(sum(n) AS BIGINT) AS rows, CAST(sum(a) AS BIGINT) AS null_close,
+add("assert_clean", """SELECT symbol, CAST(sum(n) AS BIGINT) AS rows, CAST(sum(a) AS BIGINT) AS null_close,
   CAST(sum(b) AS BIGINT) AS non_positive_close, CAST(sum(n - 1) AS BIGINT) AS repeated_days FROM (
   SELECT symbol, date, count(*) AS n, count(*) FILTER (close IS NULL) AS a, count(*) FILTER (close <= 0) AS b FROM (
-    SELECT symbol, date, close FROM negative UNION ALL SELECT symbol, date, close FROM bars WHERE date >= DATE '{RANGE[1]}')
+    SELECT symbol, date, close FROM negative UNION ALL SELECT symbol, date, close FROM bars)
   GROUP BY 1, 2) GROUP BY 1""", BARS, CHECKS)
 
 # ---------------------------------------------------------------- data quality
@@ -483,9 +487,10 @@ add("upsert_replace", f"""SELECT coalesce(b.symbol, s.symbol) AS symbol, coalesc
   ON s.symbol = b.symbol AND s.date = b.date""", DIRTY, STORED)
 add("upsert_feature_values", f"""SELECT coalesce(b.symbol, s.symbol) AS symbol, coalesce(b.date, s.date) AS date,
   coalesce(b.name, s.name) AS feature_name, round(coalesce(b.v, s.v), 6) AS feature_value
-  FROM (SELECT symbol, date, 'close' AS name, close AS v FROM bars WHERE date < DATE '{CUTOFF}'
-        UNION ALL SELECT symbol, date, 'volume', volume::DOUBLE FROM bars WHERE date < DATE '{CUTOFF}') s
-  FULL OUTER JOIN (SELECT symbol, date, 'close' AS name, close * 2 AS v FROM bars WHERE date >= DATE '{RANGE[1]}') b
+  FROM (UNPIVOT (SELECT symbol, date, open, high, low, close, volume::DOUBLE AS volume FROM bars WHERE date < DATE '{CUTOFF}')
+        ON open, high, low, close, volume INTO NAME name VALUE v) s
+  FULL OUTER JOIN (UNPIVOT (SELECT symbol, date, low, close * 2 AS close FROM bars WHERE date >= DATE '{RANGE[1]}')
+        ON low, close INTO NAME name VALUE v) b
   ON s.symbol = b.symbol AND s.date = b.date AND s.name = b.name""", BARS)
 add("upsert_asset_coalesce", """SELECT b.symbol, coalesce(CASE WHEN g % 2 = 1 THEN 'New ' || b.symbol END, a.name) AS name,
   coalesce(CASE WHEN g > 3 THEN 'retail' END, a.sector) AS sector, coalesce(a.currency, 'USD') AS currency
@@ -506,30 +511,30 @@ add("backfill_reload", f"""SELECT symbol, date, CASE WHEN symbol IN ('2-HIGH', '
 
 add("ml_feature_matrix", f"""SELECT symbol, date, {cols(*GOLD_FEATURES)}, target_direction_5d AS label FROM gold
   WHERE target_direction_5d IS NOT NULL""", *GOLD_OF_BARS)
-MEDIANS = ", ".join(f"median({c}) AS m_{c}" for c in MEDIAN_FEATURES)
+MEDIANS = ", ".join(f"median({c}) AS m_{c}" for c in GOLD_FEATURES)
 IMPUTED = ", ".join(
-    cols(f"coalesce({c}, m_{c}) AS {c}") for c in MEDIAN_FEATURES)
+    cols(f"coalesce({c}, m_{c}) AS {c}") for c in GOLD_FEATURES)
 add("ml_median_impute", f"""SELECT symbol, date, {IMPUTED} FROM known JOIN (SELECT symbol, {MEDIANS} FROM known GROUP BY 1)
-  USING (symbol)""", BARS, features(), "known AS (SELECT * FROM feat WHERE target_direction_5d IS NOT NULL)")
+  USING (symbol)""", BARS, averages(), features(), ALL_FEATURES, "known AS (SELECT * FROM wide WHERE target_direction_5d IS NOT NULL)")
 add("ml_class_balance", """SELECT symbol, count(*) AS n_rows, round(avg(target_direction_5d), 6) AS positive_share FROM gold
   WHERE target_direction_5d IS NOT NULL GROUP BY 1""", *GOLD_OF_BARS)
 PLAIN_FOLDS = FOLDS.format(labelled="SELECT symbol, date FROM bars")
-add("wf_folds", "SELECT symbol, date, fold FROM folds WHERE role = 'test'", BARS, PLAIN_FOLDS)
-add("wf_fold_sizes", """SELECT symbol, fold, count(*) FILTER (role = 'train') AS train_size,
+add("wf_folds", "SELECT symbol, date, fold, role FROM folds", BARS, PLAIN_FOLDS)
+add("wf_fold_sizes", """SELECT symbol, fold, CASE WHEN fold = 0 THEN 'too_short' ELSE 'ok' END AS status, count(*) AS row_total, count(*) FILTER (role = 'train') AS train_size,
   count(*) FILTER (role = 'test') AS test_size, max(date) FILTER (role = 'train') AS train_end,
   min(date) FILTER (role = 'test') AS test_start, max(date) FILTER (role = 'test') AS test_end FROM folds GROUP BY 1, 2""",
     BARS, PLAIN_FOLDS)
 SCORE_COLS = cols(*SCORE_NAMES)
 add("clf_metrics", f"SELECT symbol, fold, tp, fp, fn, tn, {SCORE_COLS} FROM scores", *MOMENTUM_SCORES)
 SUMMED = ", ".join(f"avg({c}) AS {c}" for c in SCORE_NAMES)
-FOLD_SUMMARY = f"""fold_summary AS (SELECT symbol, {SUMMED}, stddev_pop(accuracy) AS accuracy_std, count(*) AS n_splits,
-  CAST(sum(n_train) AS BIGINT) AS n_train FROM scores GROUP BY 1)"""
+FOLD_SUMMARY = f"""fold_summary AS (SELECT symbol, {SUMMED}, stddev_pop(accuracy) AS accuracy_std,
+  count(*) FILTER (fold > 0) AS n_splits, max(n_train) AS n_train FROM scores GROUP BY 1)"""
 add("wf_fold_summary", f"SELECT symbol, {SCORE_COLS}, round(accuracy_std, 6) AS accuracy_std, n_splits FROM fold_summary",
     *MOMENTUM_SCORES, FOLD_SUMMARY)
 add("metrics_long", " UNION ALL ".join(
     f"""SELECT 'momentum_v1' AS model_version, DATE '{AS_OF}' AS trained_at, symbol, '{m}' AS metric_name,
   round({m}::DOUBLE, 6) AS metric_value, n_train, CAST(63 AS BIGINT) AS n_test,
-  '{{"max_depth":6,"learning_rate":0.05}}' AS hyperparameters FROM fold_summary"""
+  '{{"test_size":63,"n_splits":5}}' AS hyperparameters FROM fold_summary"""
     for m in (*SCORE_NAMES, "accuracy_std", "n_splits")), *MOMENTUM_SCORES, FOLD_SUMMARY)
 
 # ---------------------------------------------------------------- drift

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local_folders: dict[str, str] = {}
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """Local session for tests and the bench; a cluster brings its own session and settings."""
-    return tuned(
+    return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("barflow")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -22,31 +26,42 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         # Call sites per column expression cost more than the expressions in wide feature plans.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # HotSpot leaves methods over 8000 bytes uncompiled; Spark then does better with smaller pieces of
+        # generated code than with one method per stage. Wide feature plans gain from it on a cluster as well.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
 
 
-def tuned(spark: SparkSession) -> SparkSession:
-    """Set what the wide feature plans need in any session.
+def _run_folder(spark: SparkSession) -> str:
+    """The folder of this application's intermediate results.
 
-    HotSpot leaves methods over 8000 bytes uncompiled; Spark then does better with smaller pieces of
-    generated code than with one method per stage.
+    It lies under the shared folder named by ``spark.checkpoint.dir``, so every executor can read it
+    and a lost executor loses nothing. Only a local master without that setting gets a folder of this
+    machine, which goes when the process ends.
     """
-    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
-    return spark
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    app = spark.sparkContext.applicationId
+    if base:
+        return f"{base.rstrip('/')}/barflow/{app}"
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share: the master is {master}")
+    if app not in _local_folders:
+        _local_folders[app] = made = tempfile.mkdtemp(prefix="barflow-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+    return _local_folders[app]
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder path for written intermediate results.
+    """A fresh folder path for written intermediate results, in the run folder of the application."""
+    return f"{_run_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
-    It lies under the shared folder named by ``spark.checkpoint.dir``, so every executor can read
-    it and a lost executor loses nothing. Only where that setting is absent (tests on one machine)
-    a local folder is made.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="barflow-")
-    return f"{base.rstrip('/')}/barflow/{purpose}-{uuid.uuid4().hex}"
+
+def remove_run_folder(spark: SparkSession) -> None:
+    """Delete what the application has staged, once all results that read it are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_run_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(df: DataFrame, purpose: str) -> DataFrame:

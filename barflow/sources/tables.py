@@ -18,8 +18,8 @@ from barflow.session import staged
 PERIOD = "period"
 
 
-def write_layer(df: DataFrame, path: str, mode: str = "overwrite", only_touched: bool = False) -> None:
-    """Write rows by year, files of even size sorted by symbol and day."""
+def write_layer(df: DataFrame, path: str, mode: str = "errorifexists", only_touched: bool = False) -> None:
+    """Write rows by year, files of even size sorted by symbol and day. A first write fails on a path in use."""
     writer = (
         df.withColumn(PERIOD, F.year("date"))
         .hint("rebalance", F.col(PERIOD))
@@ -37,10 +37,13 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame:
 
 
 def layer_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table; a folder that cannot be read as one is an error, not an absent table."""
     try:
         spark.read.parquet(path)
-    except AnalysisException:
-        return False
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
     return True
 
 
@@ -50,14 +53,14 @@ def _touched(spark: SparkSession, path: str, batch: DataFrame) -> DataFrame:
     return spark.read.parquet(path).filter(F.col(PERIOD).isin(years)).drop(PERIOD)
 
 
-def append_new(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str]) -> None:
-    """Insert-ignore into a layer; repeating a batch adds nothing."""
-    if not layer_exists(spark, path):
-        write_layer(new_rows(batch.limit(0), batch, keys), path)
-        return
+def append_new(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Insert-ignore into a layer; returns the rows it inserted. Repeating a batch adds nothing."""
     batch = staged(batch, "append")
-    fresh = staged(new_rows(_touched(spark, path, batch), batch, keys), "append-new")
-    write_layer(fresh, path, mode="append")
+    there = layer_exists(spark, path)
+    held = _touched(spark, path, batch) if there else batch.limit(0)
+    fresh = staged(new_rows(held, batch, keys), "append-new")
+    write_layer(fresh, path, mode="append" if there else "errorifexists")
+    return fresh
 
 
 def upsert(
@@ -70,9 +73,9 @@ def upsert(
         return
     batch = staged(batch, "upsert")
     merged = staged(merge(_touched(spark, path, batch), batch, keys, keep, fill), "upsert-merged")
-    write_layer(merged, path, only_touched=True)
+    write_layer(merged, path, mode="overwrite", only_touched=True)
 
 
 def reload(spark: SparkSession, path: str, batch: DataFrame) -> None:
     """Replace every symbol of the batch as a whole, in all years."""
-    write_layer(staged(reload_symbols(read_layer(spark, path), batch), "reload"), path)
+    write_layer(staged(reload_symbols(read_layer(spark, path), batch), "reload"), path, mode="overwrite")

@@ -43,7 +43,10 @@ def test_ranks_of_a_hot_group(spark):
 def test_folds(spark):
     df = spark.createDataFrame(
         [("A", START + dt.timedelta(days=i)) for i in range(100)] + [("S", START)], "symbol string, date date")
-    folds = collected(modeling.walk_forward(df, 3, 20, short="skip"), "fold", "date")
+    folds = collected(modeling.walk_forward(df, 3, 20, short="mark"), "fold", "date")
+    short = folds[folds.role == modeling.TOO_SHORT]
+    assert list(short.symbol) == ["S"] and set(short.fold) == {0}
+    folds = folds[folds.fold > 0]
     assert set(folds.symbol) == {"A"}
     for i in (1, 2, 3):
         f = folds[folds.fold == i]
@@ -200,3 +203,23 @@ def test_training_takes_more_symbols_than_tree_bins(spark):
         (F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 2).cast("int").alias("label"))
     model = modeling.fit(rows, ["x"], {**modeling.LEARNER, "maxIter": 1, "maxDepth": 1})
     assert modeling.score(model, rows).count() == 400
+
+
+def test_a_symbol_without_medians_is_scored(spark):
+    rows = spark.createDataFrame([("A", START, 1.0, 5.0, 1), ("A", START, 3.0, None, 0)], "symbol string, date date, x double, y double, label int")
+    features = ["x", "y"]
+    middle = modeling.feature_medians(rows, features)
+    pooled = modeling.pooled_medians(middle, features)
+    assert pooled == {"x": 2.0, "y": 5.0}
+    new = spark.createDataFrame([("NEW", START, None, 1.0)], "symbol string, date date, x double, y double")
+    assert modeling.fill_with_medians(new, middle, features, pooled).first()["x"] == 2.0
+    assert [tuple(r) for r in modeling.still_missing(modeling.fill_with_medians(new, middle, features), features).collect()] == [
+        ("NEW", "x", 1)]
+
+
+def test_the_newest_model_is_the_one_trained_last(spark, tmp_path):
+    rows = spark.createDataFrame([("A", START, float(i % 2), i % 2) for i in range(60)], "symbol string, date date, x double, label int")
+    model = modeling.fit(rows, ["x"], {**modeling.LEARNER, "maxIter": 1, "maxDepth": 1})
+    for version, at in (("v9", "2020-01-01"), ("v10", "2020-02-01")):
+        modeling.save_model(model, ["x"], str(tmp_path), version, at)
+    assert modeling.load_latest_model(spark, str(tmp_path))[2] == "v10"

@@ -115,3 +115,35 @@ def test_quality_and_logs(bars):
     failed = reports.failure_log(df, "b9", "disk full").collect()
     assert {(r.symbol, r.status, r.rows_ingested, r.error_message) for r in failed} == {
         ("A", "failed", 0, "disk full"), ("B", "failed", 0, "disk full")}
+
+
+def test_an_unreadable_layer_is_not_overwritten(spark, tmp_path):
+    path = f"{tmp_path}/layer"
+    tables.write_layer(rows(spark, ("A", 0, 1.0, 1), ("B", 0, 2.0, 1)), path)
+    stray = spark.createDataFrame([("A", "B")], "symbol string, SYMBOL2 string").withColumnRenamed("SYMBOL2", "Symbol2")
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        stray.withColumnRenamed("Symbol2", "SYMBOL").coalesce(1).write.mode("append").parquet(path)
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+    with pytest.raises(Exception):
+        tables.append_new(spark, path, rows(spark, ("C", 0, 9.0, 2)), KEY)
+    assert spark.read.schema("symbol string").option("recursiveFileLookup", "true").parquet(path).count() >= 2
+
+
+def test_the_run_folder_needs_a_shared_place(spark, tmp_path, monkeypatch):
+    from barflow import session
+
+    made = session.work_dir(spark, "x")
+    assert made.startswith(session._local_folders[spark.sparkContext.applicationId])
+    monkeypatch.setattr(type(spark.sparkContext), "master", property(lambda self: "spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.work_dir(spark, "x")
+    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
+    try:
+        assert session.work_dir(spark, "x").startswith(f"file://{tmp_path}/barflow/")
+        spark.range(1).write.parquet(session.work_dir(spark, "x"))
+        session.remove_run_folder(spark)
+        assert not any((tmp_path / "barflow").glob("*/*"))
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
