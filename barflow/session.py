@@ -9,7 +9,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folders: dict[str, str] = {}
+_run_folders: dict[str, str] = {}
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -33,24 +33,27 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     )
 
 
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder that all executors share, as ``spark.checkpoint.dir`` names it."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
 def _run_folder(spark: SparkSession) -> str:
     """The folder of this application's intermediate results.
 
-    It lies under the shared folder named by ``spark.checkpoint.dir``, so every executor can read it
-    and a lost executor loses nothing. Only a local master without that setting gets a folder of this
-    machine, which goes when the process ends.
+    It lies under the shared folder, so every executor can read it and a lost executor loses nothing.
+    Only a local master without that setting gets a folder of this machine. A local master's run folder
+    goes when the process ends; on a cluster ``remove_run_folder`` ends it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    app = spark.sparkContext.applicationId
-    if base:
-        return f"{base.rstrip('/')}/barflow/{app}"
-    master = spark.sparkContext.master
-    if not (master == "local" or master.startswith("local[")):
+    base, app, master = shared_folder(spark), spark.sparkContext.applicationId, spark.sparkContext.master
+    local = master == "local" or master.startswith("local[")
+    if not base and not local:
         raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share: the master is {master}")
-    if app not in _local_folders:
-        _local_folders[app] = made = tempfile.mkdtemp(prefix="barflow-")
-        atexit.register(shutil.rmtree, made, ignore_errors=True)
-    return _local_folders[app]
+    if app not in _run_folders:
+        _run_folders[app] = f"{base.rstrip('/')}/barflow/{app}" if base else tempfile.mkdtemp(prefix="barflow-")
+        if local:
+            atexit.register(shutil.rmtree, _run_folders[app].removeprefix("file://"), ignore_errors=True)
+    return _run_folders[app]
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:

@@ -134,16 +134,15 @@ def test_an_unreadable_layer_is_not_overwritten(spark, tmp_path):
 def test_the_run_folder_needs_a_shared_place(spark, tmp_path, monkeypatch):
     from barflow import session
 
+    monkeypatch.setattr(session, "_run_folders", {})
+    monkeypatch.setattr(session, "shared_folder", lambda spark: f"file://{tmp_path}/")
     made = session.work_dir(spark, "x")
-    assert made.startswith(session._local_folders[spark.sparkContext.applicationId])
-    monkeypatch.setattr(type(spark.sparkContext), "master", property(lambda self: "spark://host:7077"))
+    assert made.startswith(f"file://{tmp_path}/barflow/{spark.sparkContext.applicationId}/x-")
+    spark.range(1).write.parquet(made)
+    session.remove_run_folder(spark)
+    assert not any((tmp_path / "barflow").iterdir())
+    monkeypatch.setattr(session, "_run_folders", {})
+    monkeypatch.setattr(session, "shared_folder", lambda spark: None)
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.work_dir(spark, "x")
-    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
-    try:
-        assert session.work_dir(spark, "x").startswith(f"file://{tmp_path}/barflow/")
-        spark.range(1).write.parquet(session.work_dir(spark, "x"))
-        session.remove_run_folder(spark)
-        assert not any((tmp_path / "barflow").glob("*/*"))
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
