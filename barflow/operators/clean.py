@@ -209,16 +209,16 @@ SILVER_COLUMNS = (
 def silver(bronze: DataFrame, series: Series = DAILY) -> DataFrame:
     """Clean bars of all symbols: newest delivery, scored before the fill, swapped after it.
 
-    Rows at the head of a series whose open, high or low is still unknown are left to ``quarantine``.
+    Rows at the head of a series with a price that is still unknown are left to ``quarantine``.
     """
     rows = _transformed(bronze, series)
     return rows.dropna("any", subset=list(PRICES)).select(*SILVER_COLUMNS)
 
 
 def quarantine(bronze: DataFrame, series: Series = DAILY) -> DataFrame:
-    """Rows with a close but another price unknown: no clean bar can be made of them."""
+    """Rows with a price unknown even after the fill: no clean bar can be made of them."""
     rows = _transformed(bronze, series)
-    return rows.filter(F.col("close").isNotNull() & any_price_missing()).select(*SILVER_COLUMNS)
+    return rows.filter(any_price_missing()).select(*SILVER_COLUMNS)
 
 
 def violations(df: DataFrame) -> DataFrame:

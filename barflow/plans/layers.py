@@ -1,17 +1,31 @@
-"""Layer runs: bronze to silver to gold, full and by increments."""
+"""Layer runs: bronze to silver to gold, by increments that lose no row."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.operators import clean, indicators
-from barflow.operators.reports import ingestion_log, latest_rows
-from barflow.operators.upsert import newer_than
+from barflow.functions.series import spread_join
+from barflow.operators import clean, indicators, quality
+from barflow.operators.reports import failure_log, ingestion_log, latest_rows
+from barflow.operators.upsert import BEGINNING, last_dates, new_rows, newer_than
+from barflow.session import staged
 from barflow.sources import tables
 
 BRONZE_KEY = ("symbol", "date", "source")
 BAR_KEY = ("symbol", "date")
+LOG_KEY = ("batch_id", "symbol")
+#: Days before a symbol's newest clean bar in which a bar may still arrive; older ones go to ``late``.
+REFETCH_DAYS = 7
+
+
+def _look_back(bronze: DataFrame, stored: DataFrame) -> DataFrame:
+    """The newest stored bar of each symbol in the columns of bronze."""
+    newest = latest_rows(stored.select("symbol", "date", *clean.PRICES, "adj_close", "volume", "batch_id"))
+    return newest.select(
+        *[c if c in newest.columns else F.lit(None).cast(bronze.schema[c].dataType).alias(c)
+          for c in bronze.columns]
+    )
 
 
 def silver_increment(bronze: DataFrame, stored: DataFrame) -> DataFrame:
@@ -21,29 +35,117 @@ def silver_increment(bronze: DataFrame, stored: DataFrame) -> DataFrame:
     the forward fill know what came before; it is cut off again afterwards.
     """
     new = newer_than(bronze, stored)
-    lookback = latest_rows(stored.select("symbol", "date", *clean.PRICES, "adj_close", "volume", "batch_id"))
-    lookback = lookback.select(
-        *[c if c in lookback.columns else F.lit(None).cast(bronze.schema[c].dataType).alias(c)
-          for c in bronze.columns]
-    )
-    return newer_than(clean.silver(lookback.unionByName(new)), stored)
-
-
-def run(spark: SparkSession, landing: DataFrame, root: str) -> None:
-    """One layer run: new landing rows into bronze, then silver and gold by increments."""
-    bronze, silver, gold, log = (f"{root}/{name}" for name in ("bronze", "silver", "gold", "ingestion_log"))
-    tables.append_new(spark, bronze, landing, BRONZE_KEY)
-    ingestion_log(landing).write.mode("append").parquet(log)
-    raw = tables.read_layer(spark, bronze)
-    if tables.layer_exists(spark, silver):
-        fresh = silver_increment(raw, tables.read_layer(spark, silver))
-        tables.upsert(spark, silver, fresh, BAR_KEY, keep=("batch_id",))
+    return newer_than(clean.silver(_look_back(bronze, stored).unionByName(new)), stored)
+
+
+def _from_start(rows: DataFrame, starts: DataFrame, before: bool = False) -> DataFrame:
+    """Rows from their symbol's start on; or those before it, with all rows of symbols without a start."""
+    joined = spread_join(rows, starts, ["symbol"], "left" if before else "inner")
+    wanted = F.col("start").isNull() | (F.col("date") < F.col("start")) if before else F.col("date") >= F.col("start")
+    return joined.filter(wanted).select(*rows.columns)
+
+
+def _store_new(spark: SparkSession, rows: DataFrame, path: str, keys) -> None:
+    """Insert-ignore into a small unpartitioned table."""
+    there = tables.layer_exists(spark, path)
+    fresh = staged(new_rows(spark.read.parquet(path), rows, keys) if there else rows, "log-new")
+    fresh.write.mode("append" if there else "errorifexists").parquet(path)
+
+
+def _log(spark: SparkSession, delivered: DataFrame, inserted: DataFrame, path: str) -> None:
+    """A row for each batch and symbol with the rows really inserted; 0 is logged once, so a retry adds nothing."""
+    entries = staged(ingestion_log(inserted).unionByName(
+        ingestion_log(delivered).join(ingestion_log(inserted), list(LOG_KEY), "left_anti").withColumns({
+            "rows_ingested": F.lit(0).cast("long"), "start_date": F.lit(None).cast("date"),
+            "end_date": F.lit(None).cast("date")})), "log")
+    there = tables.layer_exists(spark, path)
+    if there:
+        empty = new_rows(spark.read.parquet(path), entries.filter("rows_ingested = 0"), LOG_KEY)
+        entries = staged(entries.filter("rows_ingested > 0").unionByName(empty), "log-new")
+    entries.write.mode("append" if there else "errorifexists").parquet(path)
+
+
+def ingest(spark: SparkSession, batch: DataFrame, root: str, refetch_days: int = REFETCH_DAYS) -> None:
+    """A landing batch into bronze: the log counts insertions, rows past the re-fetch window are noted as late.
+
+    A failed write is logged with its error for every symbol of the batch, and raised.
+    """
+    bronze, log = f"{root}/bronze", f"{root}/ingestion_log"
+    try:
+        if tables.layer_exists(spark, f"{root}/silver"):
+            marks = last_dates(tables.read_layer(spark, f"{root}/silver"))
+            old = spread_join(batch, marks, ["symbol"], "inner").filter(
+                F.date_diff("last_date", "date") >= refetch_days).select(*batch.columns)
+            known = tables.read_layer(spark, bronze).select(*BRONZE_KEY)
+            late = clean.dedup_first(old, BRONZE_KEY).join(known, list(BRONZE_KEY), "left_anti")
+            _store_new(spark, late.select(*batch.columns), f"{root}/late", BRONZE_KEY)
+        inserted = tables.append_new(spark, bronze, batch, BRONZE_KEY)
+    except Exception as error:
+        for r in batch.select("batch_id").distinct().collect():
+            failed = failure_log(batch.filter(F.col("batch_id").eqNullSafe(r[0])), r[0], str(error)[:1000])
+            failed.write.mode("append").parquet(log)
+        raise
+    _log(spark, batch, inserted, log)
+
+
+def _starts(raw: DataFrame, silver: DataFrame, held: DataFrame | None, refetch_days: int) -> DataFrame:
+    """Per symbol the first day to compute anew: that of its first bar in the window that silver has not.
+
+    A symbol that silver does not know is computed as a whole.
+    """
+    marks = last_dates(silver)
+    recent = spread_join(raw, marks, ["symbol"], "left").filter(
+        F.col("last_date").isNull() | (F.date_diff("last_date", "date") < refetch_days))
+    missing = recent.join(silver.select(*BAR_KEY), list(BAR_KEY), "left_anti")
+    if held is not None:
+        missing = missing.join(held.select(*BAR_KEY), list(BAR_KEY), "left_anti")
+    first = F.min(F.when(F.col("last_date").isNotNull(), F.col("date")).otherwise(F.lit(BEGINNING).cast("date")))
+    return missing.groupBy("symbol").agg(first.alias("start"))
+
+
+def run(spark: SparkSession, landing: DataFrame, root: str, run_at: str | None = None,
+        refetch_days: int = REFETCH_DAYS) -> None:
+    """One layer run: new landing rows into bronze, then silver and gold from the first changed day on.
+
+    Every row of bronze is afterwards in ``silver``, ``quarantine`` (no clean bar can be made of it) or
+    ``late`` (older than the re-fetch window when it came). Repeating a run changes only the stamps
+    ``processed_at`` and ``computed_at`` of rows it writes again. ``quality_checks`` has the checks of each run.
+    """
+    stamp = F.to_timestamp(F.lit(run_at)) if run_at else F.current_timestamp()
+    silver_at, gold_at, held_at = f"{root}/silver", f"{root}/gold", f"{root}/quarantine"
+    batch = staged(landing, "landing")
+    ingest(spark, batch, root, refetch_days)
+    raw = tables.read_layer(spark, f"{root}/bronze")
+    starts = None
+    if not tables.layer_exists(spark, silver_at):
+        tables.write_layer(clean.silver(raw).withColumn("processed_at", stamp), silver_at)
+        _store_new(spark, clean.quarantine(raw), held_at, BAR_KEY)
     else:
-        tables.write_layer(clean.silver(raw), silver)
-    clean_bars = tables.read_layer(spark, silver)
-    if tables.layer_exists(spark, gold):
-        fresh = indicators.continue_gold(clean_bars, tables.read_layer(spark, gold))
-        # Stored features stay as they are; the targets that became known are filled in.
-        tables.upsert(spark, gold, fresh, BAR_KEY, keep=indicators.GOLD_FEATURES)
+        stored = tables.read_layer(spark, silver_at)
+        held = spark.read.parquet(held_at) if tables.layer_exists(spark, held_at) else None
+        starts = staged(_starts(raw, stored, held, refetch_days), "starts")
+        rows = _look_back(raw, _from_start(stored, starts, before=True)).unionByName(_from_start(raw, starts))
+        rows = staged(rows, "changed-bars")
+        fresh = _from_start(clean.silver(rows), starts).withColumn("processed_at", stamp)
+        tables.upsert(spark, silver_at, fresh, BAR_KEY, keep=("batch_id",))
+        _store_new(spark, _from_start(clean.quarantine(rows), starts), held_at, BAR_KEY)
+    bars = tables.read_layer(spark, silver_at)
+    if not tables.layer_exists(spark, gold_at):
+        tables.write_layer(indicators.gold(bars).withColumn("computed_at", stamp), gold_at)
     else:
-        tables.write_layer(indicators.gold(clean_bars), gold)
+        stored = tables.read_layer(spark, gold_at)
+        if starts is not None:
+            stored = _from_start(stored, starts, before=True)
+        made = staged(indicators.continue_gold(bars, stored).withColumn("computed_at", stamp), "gold-fresh")
+        # Stored features stay as they are and known targets are filled in; from a changed day on all is new.
+        first = starts if starts is not None else bars.select("symbol", F.col("date").alias("start")).limit(0)
+        tables.upsert(spark, gold_at, _from_start(made, first, before=True), BAR_KEY, keep=indicators.GOLD_FEATURES)
+        tables.upsert(spark, gold_at, _from_start(made, first), BAR_KEY)
+    checks = quality.quality_checks(bars, (run_at or "")[:10] or str(spark.range(1).select(F.current_date()).first()[0]))
+    _store_new(spark, checks, f"{root}/quality_checks", ("symbol", "check_date", "check_name"))
+
+
+def quarantined(spark: SparkSession, root: str) -> DataFrame:
+    """Rows in quarantine now: those of which a later run made a clean bar are out."""
+    held = spark.read.parquet(f"{root}/quarantine")
+    return held.join(tables.read_layer(spark, f"{root}/silver").select(*BAR_KEY), list(BAR_KEY), "left_anti")

@@ -624,6 +624,28 @@ add("bi_period_change", """SELECT symbol, round(a, 6) AS first_close, round(b, 6
 
 add("stream_bronze_ingest", f"SELECT {ALL_BAR}, batch_id FROM last_raw", DIRTY, FIRST)
 add("stream_silver_gold", f"SELECT {GOLD_OUT} FROM gold", DIRTY, FIRST, *GOLD_OF_SILVER[2:])
+# ---------------------------------------------------------------- layer runs
+
+RUN_ROWS = f"""deliveries AS (
+  SELECT *, date >= DATE '{CUTOFF}' OR (7 * date_diff('day', DATE '1995-01-01', date)
+            + CAST(substr(symbol, 1, 1) AS INTEGER)) % 31 = 0 AS second_run
+  FROM raw QUALIFY row_number() OVER (PARTITION BY symbol, date ORDER BY delivery) = 1),
+aged AS (SELECT *, second_run AND date <= max(date) FILTER (NOT second_run) OVER (PARTITION BY symbol) - 7 AS is_late
+         FROM deliveries),
+last_raw AS (SELECT * FROM aged WHERE NOT is_late)"""
+RUN_GOLD = (DIRTY, RUN_ROWS, *GOLD_OF_SILVER[2:])
+add("run_layers_silver", f"""SELECT {SILVER_OUT}, CASE WHEN date >= changed THEN DATE '{CHECK_DATE}' ELSE DATE '{CUTOFF}' END
+  AS processed_at FROM silver LEFT JOIN (SELECT symbol, min(date) AS changed FROM last_raw WHERE second_run GROUP BY 1) USING (symbol)""",
+    DIRTY, RUN_ROWS, SILVER)
+add("run_layers_gold", f"SELECT {GOLD_OUT} FROM gold", *RUN_GOLD)
+add("run_ingestion_log", """SELECT batch_id, symbol, min(date) AS start_date, max(date) AS end_date, count(*) AS rows_ingested,
+  'success' AS status FROM aged GROUP BY batch_id, symbol, second_run
+  UNION ALL SELECT DISTINCT batch_id, symbol, NULL::DATE, NULL::DATE, 0, 'success' FROM raw WHERE delivery = 2""", DIRTY, RUN_ROWS)
+add("run_quarantine", f"SELECT {SILVER_OUT} FROM held", DIRTY, RUN_ROWS, SILVER, SILVER[SILVER.index("silver AS"):].replace(
+    "silver AS", "held AS").replace("o IS NOT NULL AND h IS NOT NULL AND l IS NOT NULL AND c IS NOT NULL",
+                                    "o IS NULL OR h IS NULL OR l IS NULL OR c IS NULL"))
+add("run_late", f"SELECT symbol, date, {OHLC}, round(adj_close, 6) AS adj_close, volume, source, batch_id FROM aged WHERE is_late",
+    DIRTY, RUN_ROWS)
 add("stream_bars_hourly", f"""SELECT symbol, bar_time, {OHLC}, volume FROM (
   SELECT event_type AS symbol, date_trunc('hour', ts) AS bar_time, arg_min(value, tick) AS open, max(value) AS high,
     min(value) AS low, arg_max(value, tick) AS close, count(*) AS volume

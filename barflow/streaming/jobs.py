@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barflow.functions.series import DAILY, Series, with_scans
-from barflow.operators import clean, indicators
+from barflow.operators import indicators
 from barflow.operators.reports import latest_rows
-from barflow.plans.layers import BAR_KEY, BRONZE_KEY, silver_increment
+from barflow.plans import layers
+from barflow.plans.layers import BRONZE_KEY
 from barflow.operators.upsert import newer_than
 from barflow.schemas import BARS, BRONZE
 from barflow.session import staged
@@ -41,28 +42,12 @@ def ingest_bronze(spark: SparkSession, landing: str, bronze: str, checkpoint: st
     _drain(stream, lambda batch, _: tables.append_new(spark, bronze, batch, BRONZE_KEY), checkpoint)
 
 
-def bronze_to_gold(
-    spark: SparkSession, landing: str, silver: str, gold: str, checkpoint: str, files: int = 10_000
+def landing_to_gold(
+    spark: SparkSession, landing: str, root: str, checkpoint: str, run_at: str | None = None, files: int = 10_000
 ) -> None:
-    """Raw files into silver and gold by increments with look-back."""
-
-    def each(batch: DataFrame, _: int) -> None:
-        batch = staged(clean.dedup_first(batch, BRONZE_KEY), "bronze-batch")
-        if tables.layer_exists(spark, silver):
-            fresh = silver_increment(batch, tables.read_layer(spark, silver))
-            tables.upsert(spark, silver, fresh, BAR_KEY, keep=("batch_id",))
-        else:
-            tables.write_layer(clean.silver(batch), silver)
-        bars = tables.read_layer(spark, silver)
-        if tables.layer_exists(spark, gold):
-            fresh = indicators.continue_gold(bars, tables.read_layer(spark, gold))
-            # Stored features stay as they are; the targets that became known are filled in.
-            tables.upsert(spark, gold, fresh, BAR_KEY, keep=indicators.GOLD_FEATURES)
-        else:
-            tables.write_layer(indicators.gold(bars), gold)
-
+    """Raw files into bronze, silver and gold: each batch is a layer run, whatever order its bars come in."""
     stream = spark.readStream.schema(BRONZE).option("maxFilesPerTrigger", files).parquet(landing)
-    _drain(stream, each, checkpoint)
+    _drain(stream, lambda batch, _: layers.run(spark, batch, root, run_at), checkpoint)
 
 
 def bars_from_ticks(

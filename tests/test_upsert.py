@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from barflow.operators import clean, quality, reports, upsert
 from barflow.operators.indicators import gold
 from barflow.plans import layers
+from barflow.schemas import BRONZE
+from barflow.session import staged
 from barflow.sources import landing, tables
 from barflow.sources.bars import bars_dirty, bars_priority
 from conftest import START, collected
@@ -70,16 +72,53 @@ def test_increments_equal_rebuild(spark):
     assert (got.close == whole.close).all() and (got.quality_score == whole.quality_score).all()
 
 
-def test_layer_run_twice_changes_nothing(spark, tmp_path):
+def test_layer_runs_lose_no_row(spark, tmp_path):
     raw = bars_dirty(spark, SF)
-    layers.run(spark, raw.filter("date < '1999-01-01'"), str(tmp_path))
-    layers.run(spark, raw, str(tmp_path))
-    first = collected(tables.read_layer(spark, f"{tmp_path}/gold"))
-    layers.run(spark, raw, str(tmp_path))
-    again = collected(tables.read_layer(spark, f"{tmp_path}/gold"))
-    assert first.equals(again)
-    delivered = clean.dedup_first(raw, layers.BRONZE_KEY)
-    assert len(first) == gold(clean.silver(delivered)).count()
+    delivered = staged(clean.dedup_first(raw, layers.BRONZE_KEY), "delivered")
+    held = F.pmod(F.xxhash64("symbol", "date"), F.lit(9)) == 0
+    root = str(tmp_path)
+    layers.run(spark, raw.filter(~held & (F.col("date") < "1999-01-01")), root, "1999-01-01")
+    layers.run(spark, raw.filter(F.col("date") < "2000-01-01"), root, "2000-01-01")
+    layers.run(spark, raw, root, "2002-01-01")
+    silver = tables.read_layer(spark, f"{root}/silver")
+    late = spark.read.parquet(f"{root}/late")
+    assert late.count() > 0
+    assert silver.count() + layers.quarantined(spark, root).count() + late.count() == delivered.count()
+    kept = delivered.join(late.select(*layers.BRONZE_KEY), list(layers.BRONZE_KEY), "left_anti")
+    whole = clean.silver(kept)
+    got, want = collected(silver.select(whole.columns)), collected(whole)
+    assert got[["symbol", "date", "close", "high", "is_imputed"]].equals(want[["symbol", "date", "close", "high", "is_imputed"]])
+    assert (got.return_log - want.return_log).abs().max() < 1e-12
+    first = collected(tables.read_layer(spark, f"{root}/gold"))
+    want = collected(gold(whole))
+    assert len(first) == len(want) and (first.sma_63 - want.sma_63).abs().max() < 1e-9
+    assert (first.obv == want.obv).all() and (first.ema_26 - want.ema_26).abs().max() < 1e-6
+    assert first.target_direction_5d.isna().equals(want.target_direction_5d.isna())
+    logged = spark.read.parquet(f"{root}/ingestion_log").agg(F.sum("rows_ingested")).first()[0]
+    assert logged == delivered.count()
+    layers.run(spark, raw, root, "2002-01-01")
+    assert first.equals(collected(tables.read_layer(spark, f"{root}/gold")))
+    assert spark.read.parquet(f"{root}/ingestion_log").agg(F.sum("rows_ingested")).first()[0] == logged
+    assert {str(r[0]) for r in spark.read.parquet(f"{root}/quality_checks").select("check_date").distinct().collect()} == {
+        "1999-01-01", "2000-01-01", "2002-01-01"}
+
+
+def test_bars_without_prices_are_kept_apart(spark, tmp_path):
+    days = [("A", START + dt.timedelta(days=i), o, 2.0, 1.0, c, 1.5, 10, "x", None, "b1")
+            for i, (o, c) in enumerate([(None, 1.5), (None, None), (1.0, 1.5), (None, None)])]
+    layers.run(spark, spark.createDataFrame(days, BRONZE), str(tmp_path), "2020-02-01")
+    assert [r.date.day for r in layers.quarantined(spark, str(tmp_path)).orderBy("date").collect()] == [1, 2]
+    assert [(r.date.day, r.open) for r in tables.read_layer(spark, f"{tmp_path}/silver").orderBy("date").collect()] == [
+        (3, 1.0), (4, 1.0)]
+
+
+def test_a_failed_delivery_is_logged(spark, tmp_path):
+    (tmp_path / "bronze").mkdir()
+    (tmp_path / "bronze" / "part-0.parquet").write_text("not a table")
+    with pytest.raises(Exception):
+        layers.run(spark, bars_dirty(spark, SF), str(tmp_path), "2020-02-01")
+    log = spark.read.parquet(f"{tmp_path}/ingestion_log").collect()
+    assert {(r.status, r.rows_ingested) for r in log} == {("failed", 0)} and len({r.batch_id for r in log}) == 2
 
 
 def test_landing_formats(spark, tmp_path):
