@@ -31,30 +31,23 @@ def merge(
 
     A column takes the batch value, except: ``keep`` columns stay as the target has them, and
     ``fill`` columns take the batch value only where it is not null. Keys found on one side only
-    come through unchanged. Old and new row meet in one aggregation instead of an outer join.
+    come through unchanged. The batch meets the target in left joins, for which a small batch is
+    broadcast by its size at run time: the target is then neither shuffled nor sorted.
     """
     values = [c for c in target.columns if c not in keys]
-    replaced = [c for c in values if c not in keep and c not in fill]
-    age = F.col("_age")
-    both = target.withColumn("_age", F.lit(0)).unionByName(
-        batch.select(*target.columns).withColumn("_age", F.lit(1))
-    )
-    picks = []
-    if replaced:
-        picks.append(F.max_by(F.struct(*replaced), age).alias("_new"))
-    if keep:
-        picks.append(F.min_by(F.struct(*keep), age).alias("_old"))
-    picks += [F.max_by(c, F.when(F.col(c).isNotNull(), age)).alias(f"_fill_{c}") for c in fill]
-    merged = both.groupBy(*keys).agg(*picks)
-
-    def source(c: str):
-        if c in keys:
-            return F.col(c)
-        if c in keep:
-            return F.col(f"_old.{c}").alias(c)
-        return F.col(f"_fill_{c}").alias(c) if c in fill else F.col(f"_new.{c}").alias(c)
+    given = batch.select(*keys, *[F.col(c).alias(f"_batch_{c}") for c in values], F.lit(True).alias("_given"))
 
-    return merged.select(*[source(c) for c in target.columns])
+    def merged(c: str):
+        if c in keep:
+            return F.col(c)
+        if c in fill:
+            return F.coalesce(F.col(f"_batch_{c}"), F.col(c)).alias(c)
+        return F.when(F.col("_given"), F.col(f"_batch_{c}")).otherwise(F.col(c)).alias(c)
+
+    kept = target.join(given, list(keys), "left").select(
+        *[F.col(c) if c in keys else merged(c) for c in target.columns])
+    held = target.select(*keys).join(batch.select(*keys), list(keys), "left_semi")
+    return kept.unionByName(batch.join(held, list(keys), "left_anti").select(*target.columns))
 
 
 def touch(target: DataFrame, batch: DataFrame, keys: Sequence[str], stamp: str) -> DataFrame:

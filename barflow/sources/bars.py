@@ -37,31 +37,19 @@ def bars_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bars_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide fixture: unit prices per brand and ship day.
-
-    Line items are first combined per part and day; only those partial bars meet the part table.
-    """
+    """Wide fixture: unit prices per brand and ship day, in one aggregation behind the join with the parts."""
     tick = F.struct(
         "l_orderkey", "l_linenumber", "l_partkey",
         F.try_divide("l_extendedprice", "l_quantity").alias("price"),
     )
-    per_part = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_partkey", F.to_date("l_shipdate").alias("date"))
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("symbol"))
+    return (
+        table(spark, sf_dir, "lineitem").join(part, "l_partkey")
+        .groupBy("symbol", F.to_date("l_shipdate").alias("date"))
         .agg(
             F.min(tick).alias("first"), F.max(tick).alias("last"),
             F.max(tick["price"]).alias("high"), F.min(tick["price"]).alias("low"),
-            F.sum("l_quantity").alias("quantity"),
-        )
-    )
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    return (
-        per_part.join(part, per_part.l_partkey == part.p_partkey)
-        .groupBy(F.col("p_brand").alias("symbol"), "date")
-        .agg(
-            F.min("first").alias("first"), F.max("last").alias("last"),
-            F.max("high").alias("high"), F.min("low").alias("low"),
-            F.sum("quantity").cast("long").alias("volume"),
+            F.sum("l_quantity").cast("long").alias("volume"),
         )
         .select(
             "symbol", "date", F.col("first.price").alias("open"), "high", "low",
