@@ -91,6 +91,18 @@ def src_bars_scan(spark, d):
     return rounded(landing.read_bars(spark, path, "csv", start=RANGE[0]))
 
 
+@query
+def src_rejected_rows(spark, d):
+    path = work_dir(spark, "landing")
+    bars = src.bars_priority(spark, d)
+    # A provider that sends some volumes as text.
+    broken = F.when(F.col("volume") % 7 == 0, F.concat(F.lit("n/a "), F.col("volume"))).otherwise(F.col("volume").cast("string"))
+    landing.write_csv(bars.withColumn("volume", broken), path)
+    good, rejected = landing.read_delivery(spark, path, "csv")
+    parts = [good.withColumn("rejected", F.lit(False)), rejected.drop("record").withColumn("rejected", F.lit(True))]
+    return rounded(parts[0].unionByName(parts[1]).select("symbol", "date", "close", "volume", "rejected"))
+
+
 @query
 def src_window_7d(spark, d):
     return rounded(landing.refetch_window(src.bars_priority(spark, d), RUN_DATE))

@@ -319,6 +319,8 @@ add("ing_status_summary", """SELECT count(*) FILTER (n > 0) AS succeeded, count(
   count(*) FILTER (n < 0) AS failed, CAST(coalesce(sum(n) FILTER (n > 0), 0) AS BIGINT) AS total_rows FROM per_symbol""",
     BARS, f"""per_symbol AS (SELECT symbol, CASE symbol WHEN '5-LOW' THEN -1 WHEN '3-MEDIUM' THEN 0
   ELSE count(*) FILTER ({IN_WINDOW}) END AS n FROM bars GROUP BY 1)""")
+add("src_rejected_rows", """SELECT symbol, date, close, CASE WHEN volume % 7 <> 0 THEN volume END AS volume,
+  volume % 7 = 0 AS rejected FROM bars""", BARS)
 add("src_wide_to_long", "SELECT symbol, date, close, volume FROM bars", BARS)
 add("src_normalise_columns", f"""SELECT {ALL_BAR} FROM raw
   WHERE open IS NOT NULL OR high IS NOT NULL OR low IS NOT NULL OR close IS NOT NULL""", DIRTY)

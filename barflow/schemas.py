@@ -4,49 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-
-_TYPES = {
-    "string": T.StringType(), "date": T.DateType(), "double": T.DoubleType(), "bigint": T.LongType(),
-    "int": T.IntegerType(), "boolean": T.BooleanType(), "timestamp": T.TimestampType(),
-    "timestamp_ntz": T.TimestampNTZType(), "score": T.DecimalType(3, 2),
-}
-
-
-def _schema(columns: str) -> T.StructType:
-    pairs = [column.split() for column in columns.split(",")]
-    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
-
-
-BARS = _schema(
+BARS = (
     "symbol string, date date, open double, high double, low double, close double, "
     "adj_close double, volume bigint"
 )
-BRONZE = _schema(
+BRONZE = (
     "symbol string, date date, open double, high double, low double, close double, "
     "adj_close double, volume bigint, source string, ingested_at timestamp_ntz, batch_id string"
 )
-SILVER = _schema(
+SILVER = (
     "symbol string, date date, open double, high double, low double, close double, "
     "adj_close double, volume bigint, return_simple double, return_log double, "
-    "is_imputed boolean, quality_score score, batch_id string"
+    "is_imputed boolean, quality_score decimal(3,2), batch_id string"
 )
-FEATURES_LONG = _schema("symbol string, date date, feature_name string, feature_value double")
-ASSETS = _schema("symbol string, name string, sector string, currency string")
-PREDICTIONS = _schema(
+FEATURES_LONG = ("symbol string, date date, feature_name string, feature_value double")
+ASSETS = ("symbol string, name string, sector string, currency string")
+PREDICTIONS = (
     "symbol string, prediction_date date, target_date date, model_version string, "
     "predicted_direction int, confidence double, actual_direction int, actual_return double, "
     "is_correct boolean"
 )
-MODEL_METRICS = _schema(
+MODEL_METRICS = (
     "model_version string, trained_at timestamp, symbol string, metric_name string, "
     "metric_value double, n_train bigint, n_test bigint, hyperparameters string"
 )
-QUALITY_CHECKS = _schema(
+QUALITY_CHECKS = (
     "symbol string, check_date date, check_name string, passed boolean, details string"
 )
-INGESTION_LOG = _schema(
+INGESTION_LOG = (
     "batch_id string, symbol string, start_date date, end_date date, rows_ingested bigint, "
     "status string, error_message string"
 )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barflow.schemas import BARS
+from barflow.session import staged
 
 # Provider column names and ours.
 PROVIDER_COLUMNS = {
@@ -28,6 +29,19 @@ def read_bars(
     return prices_between(reader.format(fmt).load(path), start, end, symbols)
 
 
+def read_delivery(spark: SparkSession, path: str, fmt: str) -> tuple[DataFrame, DataFrame]:
+    """Bars of csv or json files, and the rejected records: those with a field that is not of its type.
+
+    A rejected record has its text in ``record`` and null in the fields that could not be read.
+    """
+    rows = (
+        spark.read.schema(f"{BARS}, record string").option("columnNameOfCorruptRecord", "record")
+        .option("header", fmt == "csv").format(fmt).load(path)
+    )
+    rows = staged(rows, "delivery")  # the record is only known to a reader of all fields
+    return rows.filter("record IS NULL").drop("record"), rows.filter("record IS NOT NULL")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
