@@ -152,7 +152,7 @@ def rolling_accuracy(evaluated: DataFrame, days: int = LOOKBACK_DAYS) -> DataFra
 
 
 def performance_by_period(evaluated: DataFrame, horizon: int = 5) -> DataFrame:
-    """Scores, Sharpe ratio and largest drawdown per symbol and calendar quarter.
+    """Scores, Sharpe ratio and largest drawdown per symbol, model version and calendar quarter.
 
     The return of a prediction is the actual return, with its sign turned for a DOWN prediction.
     A quarter holds at most one prediction per day, so its running equity fits one task.
@@ -161,12 +161,12 @@ def performance_by_period(evaluated: DataFrame, horizon: int = 5) -> DataFrame:
     gain = F.when(F.col("predicted_direction") == 1, F.col("actual_return")).otherwise(-F.col("actual_return"))
     period = F.trunc("prediction_date", "quarter")
     rows = known.select(
-        "symbol", period.alias("period_start"), "prediction_date",
+        "symbol", "model_version", period.alias("period_start"), "prediction_date",
         F.col("predicted_direction").alias("prediction"), F.col("actual_direction").alias("label"),
         gain.alias("gain"),
     )
     upto = (
-        Window.partitionBy("symbol", "period_start").orderBy("prediction_date")
+        Window.partitionBy("symbol", "model_version", "period_start").orderBy("prediction_date")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     # A loss of everything leaves no equity for the rest of the period.
@@ -174,7 +174,7 @@ def performance_by_period(evaluated: DataFrame, horizon: int = 5) -> DataFrame:
     equity = F.when(F.min(factor).over(upto) > 0, F.exp(F.sum(F.ln(factor)).over(upto))).otherwise(0.0)
     rows = rows.withColumn("equity", equity)
     rows = rows.withColumn("drawdown", F.col("equity") / F.greatest(F.max("equity").over(upto), F.lit(1.0)) - 1)
-    counts = rows.groupBy("symbol", "period_start").agg(
+    counts = rows.groupBy("symbol", "model_version", "period_start").agg(
         F.count(F.lit(1)).alias("n_predictions"),
         *confusion(),
         F.avg("gain").alias("_mean"), F.stddev_samp("gain").alias("_std"),
@@ -182,7 +182,7 @@ def performance_by_period(evaluated: DataFrame, horizon: int = 5) -> DataFrame:
     )
     sharpe = F.try_divide(F.col("_mean"), F.col("_std")) * math.sqrt(TRADING_DAYS / horizon)
     return counts.select(
-        "symbol", "period_start",
+        "symbol", "model_version", "period_start",
         F.date_sub(F.add_months("period_start", 3), 1).alias("period_end"),
         "n_predictions",
         *[c.alias(k) for k, c in classifier_scores().items()],

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from barflow.functions import scalars
 from barflow.functions.series import in_blocks
 from barflow.operators import clean, drift, indicators, modeling, monitoring, quality, reports, upsert
-from barflow.plans import layers
+from barflow.plans import layers, models
 from barflow.session import staged, work_dir
 from barflow.sources import bars as src
 from barflow.sources import landing, tables
@@ -680,39 +680,76 @@ def _fold_trainings(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _learning_matrix(spark: SparkSession, d: str) -> DataFrame:
-    matrix = modeling.feature_matrix(_gold(spark, d, warm=False))
-    # Folds, medians and fits all read these rows, as they would a stored layer.
-    return staged(matrix.select("symbol", "date", *REPORT_FEATURES, "label"), "matrix")
+_MODEL_RUNS: dict[tuple[str, str], str] = {}
 
 
-@query
-def wf_train_eval(spark, d):
-    folds = staged(modeling.walk_forward(_learning_matrix(spark, d), short="mark"), "folds")
-    scored = modeling.train_walk_forward(folds, REPORT_FEATURES)
-    return rounded(modeling.fold_metrics(scored))
+def _model_run(spark: SparkSession, d: str) -> str:
+    """Tables of one model run: trained, scored, evaluated. Made once for a session and data folder."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _MODEL_RUNS:
+        root = work_dir(spark, "model-run")
+        # Stored layers, as training and scoring both read them.
+        whole, gold = staged(_gold(spark, d, warm=False), "gold-cold"), staged(_gold(spark, d), "gold")
+        models.train(spark, whole, root, "gbt_v1", AS_OF, REPORT_FEATURES)
+        models.predict(spark, gold, root)
+        models.evaluate(spark, src.bars_priority(spark, d), root, AS_OF)
+        _MODEL_RUNS[key] = root
+    return _MODEL_RUNS[key]
 
 
-def _final_model(spark: SparkSession, d: str):
-    matrix = _learning_matrix(spark, d)
-    middle = staged(modeling.feature_medians(matrix, REPORT_FEATURES), "medians")
-    pooled = modeling.pooled_medians(middle, REPORT_FEATURES)
-    filled = modeling.fill_with_medians(matrix, middle, REPORT_FEATURES, pooled)
-    return modeling.fit_watched(filled, REPORT_FEATURES), middle, pooled
+def _fold_predictions(spark: SparkSession, d: str) -> DataFrame:
+    """Stored predictions of the folds with the label of their day."""
+    stored = spark.read.parquet(f"{_model_run(spark, d)}/predictions").filter("model_version != 'gbt_v1'")
+    labels = _gold(spark, d, warm=False).select("symbol", F.col("date").alias("prediction_date"), F.col(modeling.LABEL).alias("label"))
+    return stored.join(labels, ["symbol", "prediction_date"]).withColumns({
+        "fold": F.substring_index("model_version", "_", -1).cast("long"), "prediction": F.col("predicted_direction")})
+
+
+@query
+def wf_train_eval(spark, d):
+    return rounded(modeling.fold_metrics(_fold_predictions(spark, d)))
 
 
 @query
 def ml_feature_importance(spark, d):
-    model, _, _ = _final_model(spark, d)
-    return modeling.feature_importance(model, REPORT_FEATURES, top=15)
+    model, features, _ = modeling.load_latest_model(spark, f"{_model_run(spark, d)}/registry")
+    return modeling.feature_importance(model, features, top=15)
 
 
 @query
 def score_latest(spark, d):
-    model, middle, pooled = _final_model(spark, d)
-    newest = modeling.latest_features(_gold(spark, d)).select("symbol", "date", *REPORT_FEATURES)
-    filled = modeling.fill_with_medians(newest, middle, REPORT_FEATURES, pooled)
-    return modeling.predictions(modeling.score(model, filled), "gbt_v1")
+    return spark.read.parquet(f"{_model_run(spark, d)}/predictions").filter("model_version = 'gbt_v1'")
+
+
+@query
+def run_model_predictions(spark, d):
+    rows = models.evaluated(spark, _model_run(spark, d))
+    up, chosen = F.col("probability_up"), F.col("predicted_direction") == 1
+    return rounded(rows.select(
+        "symbol", "prediction_date", "target_date", "model_version",
+        (F.abs(F.col("confidence") - F.when(chosen, up).otherwise(1 - up)) < 1e-4).alias("confidence_of_choice"),
+        F.coalesce(F.col("is_correct") == (F.col("predicted_direction") == F.col("actual_direction")), F.lit(True))
+        .alias("hit_of_choice"),
+        "actual_direction", "actual_return",
+    ))
+
+
+@query
+def run_model_metrics(spark, d):
+    """Stored metrics against those of the stored predictions."""
+    stored = spark.read.parquet(f"{_model_run(spark, d)}/model_metrics")
+    summary = modeling.fold_summary(modeling.fold_metrics(_fold_predictions(spark, d)))
+    again = summary.withColumn("n_splits", F.col("n_splits").cast("double")).unpivot(
+        "symbol", [*modeling.SCORES, "accuracy_std", "n_splits"], "metric_name", "again")
+    same = F.abs(F.col("metric_value") - F.col("again")) < 1e-9
+    return stored.join(again, ["symbol", "metric_name"], "left").select(
+        "symbol", "metric_name", "n_train", "n_test", same.alias("as_stored"))
+
+
+@query
+def run_model_performance(spark, d):
+    stored = spark.read.parquet(f"{_model_run(spark, d)}/model_performance")
+    return stored.select("symbol", "model_version", "period_start", "n_predictions")
 
 
 # ---------------------------------------------------------------- drift

@@ -570,7 +570,7 @@ add("mon_rolling_accuracy", """SELECT symbol, prediction_date AS date, count(*)
   round(avg(is_correct::INT) OVER w, 6) AS rolling_accuracy FROM predictions WHERE actual_direction IS NOT NULL
   WINDOW w AS (PARTITION BY symbol ORDER BY prediction_date RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW)""",
     BARS, PREDICTIONS)
-add("perf_by_period", """SELECT symbol, period_start, CAST(period_start + INTERVAL 3 MONTHS AS DATE) - 1 AS period_end, n_predictions,
+add("perf_by_period", """SELECT symbol, 'momentum_v1' AS model_version, period_start, CAST(period_start + INTERVAL 3 MONTHS AS DATE) - 1 AS period_end, n_predictions,
   round(hits / n_predictions, 6) AS accuracy, round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision,
   round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall,
   round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1_score, round(hits / n_predictions, 6) AS directional_accuracy,
@@ -626,6 +626,28 @@ add("bi_period_change", """SELECT symbol, round(a, 6) AS first_close, round(b, 6
 
 add("stream_bronze_ingest", f"SELECT {ALL_BAR}, batch_id FROM last_raw", DIRTY, FIRST)
 add("stream_silver_gold", f"SELECT {GOLD_OUT} FROM gold", DIRTY, FIRST, *GOLD_OF_SILVER[2:])
+# ---------------------------------------------------------------- model runs: what does not hang on the learner
+
+LABELLED = ("rows_known AS (SELECT symbol, date FROM wide WHERE target_direction_5d IS NOT NULL)",
+            FOLDS.format(labelled="SELECT symbol, date FROM rows_known"))
+MADE = """made AS (
+  SELECT symbol, date, 'gbt_v1_fold_' || fold AS model_version FROM folds WHERE role = 'test'
+  UNION ALL SELECT symbol, max(date), 'gbt_v1' FROM gold GROUP BY 1),
+outcomes AS (SELECT symbol, date, lead(date, 5) OVER w AS ahead_date, lead(close, 5) OVER w / close - 1 AS ahead
+             FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY date))"""
+add("run_model_predictions", f"""SELECT symbol, date AS prediction_date, date + 7 AS target_date, model_version,
+  true AS confidence_of_choice, true AS hit_of_choice,
+  CASE WHEN ahead_date <= DATE '{AS_OF}' THEN CAST(ahead > 0 AS INTEGER) END AS actual_direction,
+  CASE WHEN ahead_date <= DATE '{AS_OF}' THEN round(ahead, 6) END AS actual_return
+  FROM made JOIN outcomes USING (symbol, date)""", *GOLD_OF_BARS, *LABELLED, MADE)
+add("run_model_metrics", """SELECT symbol, metric_name, n_train, CAST(63 AS BIGINT) AS n_test, true AS as_stored
+  FROM (SELECT symbol, max(n) AS n_train FROM (SELECT symbol, fold, count(*) AS n FROM folds WHERE role = 'train' GROUP BY 1, 2) GROUP BY 1),
+  (SELECT unnest(['accuracy', 'precision', 'recall', 'f1_score', 'directional_accuracy', 'accuracy_std', 'n_splits']) AS metric_name)""",
+    *GOLD_OF_BARS, *LABELLED)
+add("run_model_performance", f"""SELECT symbol, model_version, CAST(date_trunc('quarter', date) AS DATE) AS period_start,
+  count(*) AS n_predictions FROM made JOIN outcomes USING (symbol, date) WHERE ahead_date <= DATE '{AS_OF}' GROUP BY 1, 2, 3""",
+    *GOLD_OF_BARS, *LABELLED, MADE)
+
 # ---------------------------------------------------------------- layer runs
 
 RUN_ROWS = f"""deliveries AS (
