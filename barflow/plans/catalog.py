@@ -986,6 +986,15 @@ def run_late(spark, d):
     return rounded(spark.read.parquet(f"{_layer_runs(spark, d)}/late").drop("ingested_at"))
 
 
+@query
+def run_backfill(spark, d):
+    raw, root = staged(src.bars_dirty(spark, d), "raw"), work_dir(spark, "backfill")
+    layers.run(spark, raw, root, CHECK_DATE)
+    again = raw.filter(F.col("symbol").isin("2-HIGH", "5-LOW") & (F.col("date") >= CUTOFF))
+    layers.backfill(spark, again, root, CHECK_DATE)
+    return _score_for_query(tables.read_layer(spark, f"{root}/silver").drop("processed_at"))
+
+
 @query
 def stream_bars_hourly(spark, d):
     root = work_dir(spark, "stream")

@@ -74,9 +74,9 @@ def ingest(spark: SparkSession, batch: DataFrame, root: str, refetch_days: int =
     try:
         if tables.layer_exists(spark, f"{root}/silver"):
             marks = last_dates(tables.read_layer(spark, f"{root}/silver"))
-            old = spread_join(batch, marks, ["symbol"], "inner").filter(
-                F.date_diff("last_date", "date") >= refetch_days).select(*batch.columns)
-            known = tables.read_layer(spark, bronze).select(*BRONZE_KEY)
+            old = staged(spread_join(batch, marks, ["symbol"], "inner").filter(
+                F.date_diff("last_date", "date") >= refetch_days).select(*batch.columns), "old-bars")
+            known = tables.touched(spark, bronze, old).select(*BRONZE_KEY)
             late = clean.dedup_first(old, BRONZE_KEY).join(known, list(BRONZE_KEY), "left_anti")
             _store_new(spark, late.select(*batch.columns), f"{root}/late", BRONZE_KEY)
         inserted = tables.append_new(spark, bronze, batch, BRONZE_KEY)
@@ -149,3 +149,14 @@ def quarantined(spark: SparkSession, root: str) -> DataFrame:
     """Rows in quarantine now: those of which a later run made a clean bar are out."""
     held = spark.read.parquet(f"{root}/quarantine")
     return held.join(tables.read_layer(spark, f"{root}/silver").select(*BAR_KEY), list(BAR_KEY), "left_anti")
+
+
+def backfill(spark: SparkSession, batch: DataFrame, root: str, run_at: str | None = None) -> None:
+    """Rebuild the symbols of a batch in all layers: the batch is their whole history from now on."""
+    stamp = F.to_timestamp(F.lit(run_at)) if run_at else F.current_timestamp()
+    batch = staged(clean.dedup_first(batch, BRONZE_KEY), "backfill")
+    tables.reload(spark, f"{root}/bronze", batch)
+    bars = staged(clean.silver(batch).withColumn("processed_at", stamp), "backfill-silver")
+    tables.reload(spark, f"{root}/silver", bars)
+    tables.reload(spark, f"{root}/gold", indicators.gold(bars).withColumn("computed_at", stamp))
+    ingestion_log(batch).write.mode("append").parquet(f"{root}/ingestion_log")

@@ -668,6 +668,9 @@ add("run_ingestion_log", """SELECT batch_id, symbol, min(date) AS start_date, ma
 add("run_quarantine", f"SELECT {SILVER_OUT} FROM held", DIRTY, RUN_ROWS, SILVER, SILVER[SILVER.index("silver AS"):].replace(
     "silver AS", "held AS").replace("o IS NOT NULL AND h IS NOT NULL AND l IS NOT NULL AND c IS NOT NULL",
                                     "o IS NULL OR h IS NULL OR l IS NULL OR c IS NULL"))
+add("run_backfill", f"SELECT {SILVER_OUT} FROM silver", DIRTY, f"""last_raw AS (
+  SELECT * FROM raw WHERE symbol NOT IN ('2-HIGH', '5-LOW') OR date >= DATE '{CUTOFF}'
+  QUALIFY row_number() OVER (PARTITION BY symbol, date ORDER BY delivery) = 1)""", SILVER)
 add("run_late", f"SELECT symbol, date, {OHLC}, round(adj_close, 6) AS adj_close, volume, source, batch_id FROM aged WHERE is_late",
     DIRTY, RUN_ROWS)
 add("stream_bars_hourly", f"""SELECT symbol, bar_time, {OHLC}, volume FROM (

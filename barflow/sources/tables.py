@@ -32,8 +32,16 @@ def write_layer(df: DataFrame, path: str, mode: str = "errorifexists", only_touc
     writer.parquet(path)
 
 
-def read_layer(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(PERIOD)
+def read_layer(spark: SparkSession, path: str, since: str | None = None, until: str | None = None) -> DataFrame:
+    """Rows of a layer, between two dates if given (both inclusive): only the years they touch are read."""
+    rows = spark.read.parquet(path)
+    if since is not None:
+        day = F.lit(since).cast("date")
+        rows = rows.filter((F.col(PERIOD) >= F.year(day)) & (F.col("date") >= day))
+    if until is not None:
+        day = F.lit(until).cast("date")
+        rows = rows.filter((F.col(PERIOD) <= F.year(day)) & (F.col("date") <= day))
+    return rows.drop(PERIOD)
 
 
 def layer_exists(spark: SparkSession, path: str) -> bool:
@@ -47,17 +55,20 @@ def layer_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def _touched(spark: SparkSession, path: str, batch: DataFrame) -> DataFrame:
+def _years(rows: DataFrame) -> list[int]:
+    return [r[0] for r in rows.select(F.year("date")).distinct().collect()]
+
+
+def touched(spark: SparkSession, path: str, batch: DataFrame) -> DataFrame:
     """Rows of the table in the years of the batch; the list of years prunes the scan."""
-    years = [r[0] for r in batch.select(F.year("date")).distinct().collect()]
-    return spark.read.parquet(path).filter(F.col(PERIOD).isin(years)).drop(PERIOD)
+    return spark.read.parquet(path).filter(F.col(PERIOD).isin(_years(batch))).drop(PERIOD)
 
 
 def append_new(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Insert-ignore into a layer; returns the rows it inserted. Repeating a batch adds nothing."""
     batch = staged(batch, "append")
     there = layer_exists(spark, path)
-    held = _touched(spark, path, batch) if there else batch.limit(0)
+    held = touched(spark, path, batch) if there else batch.limit(0)
     fresh = staged(new_rows(held, batch, keys), "append-new")
     write_layer(fresh, path, mode="append" if there else "errorifexists")
     return fresh
@@ -72,10 +83,18 @@ def upsert(
         write_layer(batch, path)
         return
     batch = staged(batch, "upsert")
-    merged = staged(merge(_touched(spark, path, batch), batch, keys, keep, fill), "upsert-merged")
+    merged = staged(merge(touched(spark, path, batch), batch, keys, keep, fill), "upsert-merged")
     write_layer(merged, path, mode="overwrite", only_touched=True)
 
 
 def reload(spark: SparkSession, path: str, batch: DataFrame) -> None:
-    """Replace every symbol of the batch as a whole, in all years."""
-    write_layer(staged(reload_symbols(read_layer(spark, path), batch), "reload"), path, mode="overwrite")
+    """Replace every symbol of the batch as a whole: the years that have its old or new rows are rewritten."""
+    batch = staged(batch, "reload-batch")
+    before = read_layer(spark, path).join(batch.select("symbol").distinct(), "symbol", "left_semi")
+    old, new = set(_years(before)), set(_years(batch))
+    rows = spark.read.parquet(path).filter(F.col(PERIOD).isin(sorted(old | new))).drop(PERIOD)
+    rows = staged(reload_symbols(rows, batch), "reload")
+    write_layer(rows, path, mode="overwrite", only_touched=True)
+    for year in sorted(old - set(_years(rows))):  # nothing is left of it
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{PERIOD}={year}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -185,3 +185,15 @@ def test_the_run_folder_needs_a_shared_place(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.work_dir(spark, "x")
+
+
+def test_dates_prune_the_years_of_a_layer(spark, tmp_path):
+    path = f"{tmp_path}/layer"
+    tables.write_layer(rows(spark, *[("A", 200 * i, float(i), 1) for i in range(8)], ("B", 5, 1.0, 1)), path)
+    some = tables.read_layer(spark, path, since="2021-01-01", until="2022-12-31")
+    assert sorted(r.x for r in some.collect()) == [2.0, 3.0, 4.0, 5.0]
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(period" in plan and "period#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    tables.reload(spark, path, rows(spark, ("A", 3000, 7.0, 2)))
+    assert plain(tables.read_layer(spark, path)) == [("A", 3000, 7.0, 2), ("B", 5, 1.0, 1)]
+    assert sorted(p.name for p in (tmp_path / "layer").glob("period=*")) == ["period=2020", "period=2028"]
