@@ -168,13 +168,18 @@ def test_monitoring(spark, bars):
 
 
 def test_period_performance_by_hand(spark):
-    evaluated = predicted(spark, [(0, 1, 1, 0.5, 0.9), (1, 0, 1, 0.25, 0.6), (2, 0, 0, -0.5, 0.8), (3, 0, 1, 2.0, 0.8)])
+    evaluated = predicted(spark, [(0, 1, 1, 0.5, 0.9), (1, 0, 1, 0.25, 0.6), (2, 0, 0, -0.5, 0.8), (3, 0, 1, 2.0, 0.8)]).withColumn(
+        "model_version", F.lit("v1"))
     got = monitoring.performance_by_period(evaluated.filter("prediction_date < '2020-01-04'")).first()
     gains = np.array([0.5, -0.25, 0.5])
     assert got.sharpe_ratio == pytest.approx(gains.mean() / gains.std(ddof=1) * math.sqrt(252 / 5))
     assert got.max_drawdown == pytest.approx(-0.25) and got.period_end == dt.date(2020, 3, 31)
     # A loss above everything wipes the equity out.
     assert monitoring.performance_by_period(evaluated).first().max_drawdown == -1.0
+    # Versions are measured apart.
+    both = evaluated.unionByName(evaluated.filter("prediction_date < '2020-01-02'").withColumn("model_version", F.lit("v2")))
+    counts = {r.model_version: r.n_predictions for r in monitoring.performance_by_period(both).collect()}
+    assert counts == {"v1": 4, "v2": 1}
 
 
 def test_outcomes_are_filled_once_known(bars):
