@@ -11,7 +11,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from barflow.llm.common import in_blocks, pieces_by_bucket, segment_hashes, unpacked_docs
+from barflow.llm.common import in_blocks, pieces_by_bucket, segment_hashes, slices, unpacked_docs
 
 #: Text bytes for each bucket of words.
 BUCKET_BYTES = 16 << 20
@@ -315,7 +315,7 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
 
     def run(batches):
         data, starts, sizes = table.value
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for blob in batch.column("ids"):
                 one = np.frombuffer(blob.as_buffer() or b"", "<u4") if blob.is_valid else np.empty(0, "<u4")

@@ -64,14 +64,16 @@ def in_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, keep: Sequence[st
             number = np.asarray(batch.column("block"))
             order = np.argsort(number, kind="stable")
             at = np.flatnonzero(np.diff(np.concatenate(([-1], number[order]))))
-            texts = [None if t is None else t.encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
-            parts = [order[a:b] for a, b in zip(at, np.append(at[1:], len(order)))]
+            ends = np.append(at, len(order))
+            texts = batch.column("text").cast(pa.large_binary()).take(pa.array(order))
+            offset = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset: texts.offset + len(texts) + 1]
+            data = memoryview(texts.buffers()[2] or b"")
             squeeze = zstandard.ZstdCompressor(level=1).compress
+            sizes = np.where(np.asarray(texts.is_null()), -1, np.diff(offset)).astype(np.int32)
             columns = [pa.array(number[order][at], pa.int32()),
-                       pa.array([squeeze(b"".join(texts[i] or b"" for i in p)) for p in parts], pa.binary()),
-                       pa.array([[-1 if texts[i] is None else len(texts[i]) for i in p] for p in parts], pa.list_(pa.int32()))]
-            ends = pa.array(np.append(at, len(order)), pa.int32())
-            columns += [pa.ListArray.from_arrays(ends, batch.column(c).take(pa.array(order))) for c in names]
+                       pa.array([squeeze(data[offset[a]: offset[b]]) for a, b in zip(ends[:-1], ends[1:])], pa.binary()),
+                       pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(sizes))]
+            columns += [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), batch.column(c).take(pa.array(order))) for c in names]
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
 
     return base.mapInArrow(pack, StructType(fields)), total
