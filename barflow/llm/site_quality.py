@@ -138,7 +138,7 @@ def site_quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column,
     path_strength = _strength(within)
     table = inside.select("host", "path", "host_good", "host_weight", F.col("good").alias("path_good"),
                           F.col("weight").alias("path_weight"))
-    met = lookup(rows, table, ["host", "path"], F.struct("doc_id", "p_text"), salts(rows.count()))
+    met = lookup(rows, table, ["host", "path"], F.struct("doc_id", "p_text"), salts(rows.count(), 64))
     own = lambda c: F.col(f"host_{c}") - F.col(c)
     p_host = (own("good") + strength * mean) / (own("weight") + strength)
     p_path = (F.col("path_good") - F.col("good") + path_strength * F.col("p_host")) / (
