@@ -1,11 +1,11 @@
-"""Shards of near equal bytes by histogram sort. Built-in functions only."""
+"""Shards of documents of near equal bytes by histogram sort. Built-in functions only."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barflow.session import staged
+from barflow.session import staged, work_dir
 
 #: Hash digits of a key: 60 bits each of the text and of the id.
 KEY_BITS = 60
@@ -21,17 +21,24 @@ def hash60(column: Column) -> Column:
     return F.conv(F.substring(F.sha2(column, 256), 1, 15), 16, 10).cast("long")
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """Id, size, checksum and sort key of each row: equal texts are neighbours, ordered by their ids' hashes."""
-    text = F.coalesce(F.col("text"), F.lit(""))
+def size(text: Column) -> Column:
+    return (F.octet_length(F.coalesce(text, F.lit(""))) + F.lit(ROW_BYTES)).cast("long")
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """Each row whole, as ``document``, with its size and sort key: equal texts are neighbours, ordered by their ids' hashes."""
     return docs.select(
-        "doc_id",
-        (F.octet_length(text) + F.lit(ROW_BYTES)).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"),
-        hash60(text).alias("k1"),
+        F.struct("*").alias("document"),
+        size(F.col("text")).alias("size"),
+        hash60(F.coalesce(F.col("text"), F.lit(""))).alias("k1"),
         hash60(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("k2"))
 
 
+def sized(docs: DataFrame) -> DataFrame:
+    """Id, size and sort key of each row, which is all that the splitters need."""
+    return keyed(docs).select("document.doc_id", "size", "k1", "k2")
+
+
 def _histogram(rows: DataFrame, level: str, done: int, bins: set[int], within: set[int]) -> list:
     """Exact bytes in the next finer bins of ``level``, inside the given coarser bins (and keys k1)."""
     at = rows if level == "k1" else rows.filter(F.col("k1").isin(sorted(within)))
@@ -86,29 +93,52 @@ def splitters(rows: DataFrame, n_shards: int, tolerance_percent: int = TOLERANCE
     return [found[k] for k in range(1, n_shards)]
 
 
-def shard_by_bytes(docs: DataFrame, n_shards: int, tolerance_percent: int = TOLERANCE_PERCENT,
-                   piece_rows: int = 250_000) -> DataFrame:
-    """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` for every row, law ``bytes``.
+def shard_documents(docs: DataFrame, n_shards: int, tolerance_percent: int = TOLERANCE_PERCENT,
+                    piece_rows: int = 250_000, piece_bytes: int = 64 << 20) -> DataFrame:
+    """``shard, slot, document``: every row of ``docs`` with all its columns, placed in its shard.
 
     Shards are key ranges of near equal bytes: each end lies within one row, or within the tolerance where
     that leaves equal texts together. A hot group of copies is split where it exceeds that. Null texts have no
     bytes and group with empty ones; null ids sort by the hash of an empty id. Rows repeated with id and text
-    have one key and stay together. Extra columns are ignored; an empty table gives no rows.
+    have one key and stay together. An empty table gives no rows.
 
-    Rows move once, in pieces of a shard small enough for a task; a slot is the piece's offset plus the
-    place in the piece.
+    Narrow keys are staged for the splitters and for the rows before each piece. The documents themselves are
+    read after that and move once, in pieces of a shard small enough for a task; a slot is the piece's offset
+    plus the place in the piece.
     """
-    rows = staged(sized(docs), "shard-keys")
-    ends = splitters(rows, n_shards, tolerance_percent)
+    keys = staged(sized(docs).select("size", "k1", "k2"), "shard-keys")
+    ends = splitters(keys, n_shards, tolerance_percent)
     bounds = F.array(*[F.struct(F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b")) for a, b in ends])
     here = F.struct(F.col("k1").alias("a"), F.col("k2").alias("b"))
     shard = F.size(F.filter(bounds, lambda s: s <= here)) if ends else F.lit(0)
-    n_pieces = max(4, -(-rows.count() // (n_shards * piece_rows)))
-    placed = rows.withColumn("shard", shard.cast("int")).withColumn("piece", F.pmod("k2", F.lit(n_pieces)).cast("int"))
-    counts = placed.groupBy("shard", "piece").count()
-    offsets = counts.selectExpr(
+    n_rows, n_bytes = keys.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    n_pieces = max(4, -(-n_rows // (n_shards * piece_rows)), -(-n_bytes // (n_shards * piece_bytes)))
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("shard", shard.cast("int")).withColumn(
+            "piece", F.pmod("k2", F.lit(n_pieces)).cast("int"))
+
+    offsets = placed(keys).groupBy("shard", "piece").count().selectExpr(
         "shard", "piece", "sum(count) OVER (PARTITION BY shard ORDER BY piece) - count AS offset")
-    return placed.join(offsets, ["shard", "piece"]).selectExpr(
-        "doc_id", "size", "text_crc32", "'bytes' AS law", "shard",
-        "offset + row_number() OVER (PARTITION BY shard, piece ORDER BY k1, k2) - 1 AS slot",
-        "CAST(NULL AS int) AS grown_shard")
+    inside = placed(keyed(docs)).selectExpr(
+        "shard", "piece", "document", "row_number() OVER (PARTITION BY shard, piece ORDER BY k1, k2) - 1 AS place")
+    return inside.join(offsets, ["shard", "piece"]).selectExpr("shard", "offset + place AS slot", "document")
+
+
+def write_shards(docs: DataFrame, n_shards: int, path: str, tolerance_percent: int = TOLERANCE_PERCENT) -> DataFrame:
+    """``shard_documents`` written to ``path``, a folder for each shard, and read back from there."""
+    shards = shard_documents(docs, n_shards, tolerance_percent)
+    shards.write.partitionBy("shard").parquet(path)
+    return docs.sparkSession.read.schema(shards.schema).parquet(path)
+
+
+def shard_by_bytes(docs: DataFrame, n_shards: int, tolerance_percent: int = TOLERANCE_PERCENT) -> DataFrame:
+    """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` of the documents in written shards, law ``bytes``.
+
+    Size and checksum are those of the text that lies in the shard.
+    """
+    shards = write_shards(docs, n_shards, work_dir(docs.sparkSession, "shards"), tolerance_percent)
+    text = F.coalesce(F.col("document.text"), F.lit(""))
+    return shards.select(
+        "document.doc_id", size(text).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barflow.llm.exact_dedup import chunks, drop_copies, exact_dedup
-from barflow.llm.sharding import shard_by_bytes, sized, splitters
+from barflow.llm.sharding import shard_by_bytes, shard_documents, sized, splitters, write_shards
 
 LONG = "One sentence here. And\nanother one, with é and \U0001F600! " * 300
 ROWS = [(1, "a. b"), (5, "a. b"), (3, "a.  b"), (2, None), (9, ""), (None, "a. b"), (None, "only"), (7, LONG), (8, LONG),
@@ -112,3 +112,28 @@ def test_splitters_of_equal_rows(spark, docs):
     rows = sized(docs([(1, "same")] * 50 + [(2, "other")]))
     assert len(splitters(rows, 4)) == 3
     assert shard_by_bytes(docs([(1, "same")] * 50), 4).select("shard").distinct().count() == 1
+
+
+def test_shards_hold_the_documents_with_all_columns(docs, words, tmp_path):
+    rows = [(i, " ".join(words(20 + i % 50, i)), "de") for i in range(80)]
+    rows += [(200 + i, "hot group " * 30, "fr") for i in range(60)] + [(None, "z"), (400, None), (401, ""), (7, "again")]
+    df = docs(rows).withColumnsRenamed({"block": "shard", "label": "slot", "n_chars": "size", "score": "k1"})
+    shards = write_shards(df, 7, str(tmp_path / "shards"))
+    plain = lambda found: sorted(map(tuple, found.collect()), key=str)
+    assert shards.select("document.*").columns == df.columns
+    assert plain(shards.select("document.*")) == plain(df)
+    assert len(list((tmp_path / "shards").glob("shard=*"))) == 7
+    read = {(r.shard, r.slot): r.document.text for r in shards.collect()}
+    out = {(r.shard, r.slot): r for r in shard_by_bytes(df, 7).collect()}
+    assert len(read) == len(rows) and read.keys() == out.keys()
+    for at, text in read.items():
+        raw = (text or "").encode()
+        assert (out[at]["size"], out[at].text_crc32) == (len(raw) + 16, zlib.crc32(raw))
+
+
+def test_pieces_are_bounded_by_bytes(docs, words):
+    df = docs([(i, " ".join(words(100, i))) for i in range(200)])
+    out = shard_documents(df, 2, piece_bytes=2_000).collect()
+    for shard in (0, 1):
+        assert sorted(r.slot for r in out if r.shard == shard) == list(range(sum(r.shard == shard for r in out)))
+    assert sorted(r.document.doc_id for r in out) == list(range(200))
