@@ -157,5 +157,5 @@ def op1_site_style_tree(spark, d):
 
 @query
 def op4_hierarchical_bayes_quality(spark, d):
-    labels = _table(spark, d, "labels").filter(fold(5) != 0).select("doc_id", F.col("quality").alias("label"))
+    labels = _table(spark, d, "labels").select("doc_id", F.col("quality").alias("label"))
     return site_quality(_table(spark, d, "documents"), labels, F.col("source"), F.concat_ws("/", "source", "lang"))

@@ -5,6 +5,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
+from barflow.llm import queries
 from barflow.llm.site_quality import document_evidence, features, site_quality
 
 LABELS = "doc_id bigint, label int"
@@ -83,3 +84,17 @@ def test_odd_rows(docs, spark):
     assert all(0 < r.p_good < 1 for r in site_quality(docs(rows), mixed, F.col("lang"), F.col("lang")).collect())
     assert site_quality(docs([]), mixed, F.col("lang"), F.col("lang")).count() == 0
     assert features([None, "", " "])[:2].sum() == 0
+
+
+def test_the_query_uses_every_label(docs, spark, corpus, tmp_path):
+    rows, good = corpus
+    df = docs(rows).withColumn("source", F.col("lang")).withColumn("lang", F.lit("en"))
+    labels = spark.createDataFrame([(d, int(g)) for d, g in good.items()], LABELS)
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    labels.withColumnRenamed("label", "quality").write.parquet(str(tmp_path / "labels.parquet"))
+    found = lambda frame: {r.doc_id: tuple(r)[1:5] for r in frame.collect()}
+    out = found(queries.op4_hierarchical_bayes_quality(spark, str(tmp_path)))
+    want = found(site_quality(df, labels, F.col("source"), F.concat_ws("/", "source", "lang")))
+    assert out.keys() == want.keys() == good.keys()
+    for d in good:
+        assert out[d] == pytest.approx(want[d], abs=1e-6)
