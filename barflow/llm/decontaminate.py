@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+import pickle
 import re
 from collections.abc import Iterator
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barflow.llm.common import Words, chunks_of, slices
+from barflow.session import staged
 
 #: BM25's term saturation and length normalization.
 K1, B = 1.2, 0.75
@@ -27,6 +31,8 @@ BLOCK = 4
 STRIDE = 64
 #: Item text of one index. A larger benchmark is asked in several indexes, one after the other.
 INDEX_BYTES = 8 << 20
+#: Bounds of passages and blocks that are added up at a time.
+CELLS = 1 << 21
 
 #: Words are runs of ASCII letters and digits and of other than ASCII characters.
 _APART = np.array([not (chr(b).isalnum() or b >= 128) for b in range(256)])
@@ -53,44 +59,73 @@ def _shingles(words: np.ndarray) -> set[tuple]:
     return {tuple(w[i: i + n]) for i in range(len(w) - n + 1)} if n else set()
 
 
+class Corpus(NamedTuple):
+    """What the weights take from the whole benchmark, however many indexes it has; ``terms`` are sorted."""
+
+    n_items: int
+    n_words: int
+    longest: int
+    terms: np.ndarray
+    df: np.ndarray
+
+
+def _split(texts: list[str | None]) -> tuple[list[tuple[str, str]], Words]:
+    """Question and answer of each item, and the words of both."""
+    split = [question_and_answer(t) if t else ("", "") for t in texts]
+    return split, _words([f"{q} {a}" for q, a in split])
+
+
 class Index:
-    """Postings of test items with block maxima.
+    """Postings of test items with block maxima, in arrays that grow with the items' words.
 
     The weight of a word in an item is its BM25 contribution over the sum that the item gives itself, so that a
-    passage's score is the share of the item it covers, and one threshold holds for all items.
+    passage's score is the share of the item it covers, and one threshold holds for all items. Without
+    ``corpus`` the items are the whole benchmark.
     """
 
-    def __init__(self, items: list[tuple[int | None, str | None]]):
-        split = [(i, *question_and_answer(t)) for i, t in items if t]
-        texts = [f"{q} {a}" for _, q, a in split]
-        words = _words(texts)
+    def __init__(self, items: list[tuple[int | None, str | None]], corpus: Corpus | None = None):
+        split, words = _split([t for _, t in items])
         filled = np.flatnonzero(words.counts())
-        self.ids = [split[i][0] for i in filled]
+        self.ids = [items[i][0] for i in filled]
         sequences = [words.hashes[words.bounds[i]: words.bounds[i + 1]] for i in filled]
-        both = [_words([split[i][1], split[i][2]]) for i in filled]
-        self.questions = [_shingles(w.hashes[: w.bounds[1]]) for w in both]
-        self.answers = [set(w.hashes[w.bounds[1]:].tolist()) for w in both]
-        self.longest = max(map(len, sequences), default=0)
-        self.terms = np.unique(np.concatenate(sequences)) if sequences else np.empty(0, np.uint64)
+        #: The items' words, one after the other, and the words of each one's question.
+        self.words = np.concatenate(sequences) if sequences else np.empty(0, np.uint64)
+        self.bounds = np.concatenate(([0], np.cumsum([len(s) for s in sequences], dtype=np.int64)))
+        self.asked = _words([split[i][0] for i in filled]).counts()
+        self.terms = np.unique(self.words)
         self.n_blocks = -(-len(sequences) // BLOCK)
-        df = np.zeros(len(self.terms), np.int64)
-        counted = []
-        for s in sequences:
-            terms, counts = np.unique(np.searchsorted(self.terms, s), return_counts=True)
-            df[terms] += 1
-            counted.append((terms, counts))
-        idf = np.log1p((len(sequences) - df + 0.5) / (df + 0.5))
-        mean = np.mean([len(s) for s in sequences]) if sequences else 1.0
-        #: Per block, the postings of its items by term: term -> [(item, weight), ...].
-        self.postings: list[dict[int, list[tuple[int, float]]]] = [{} for _ in range(self.n_blocks)]
-        self.most = np.zeros((len(self.terms), self.n_blocks), np.float32)
-        for item, (terms, counts) in enumerate(counted):
-            weight = idf[terms] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * len(sequences[item]) / mean))
-            weight /= weight.sum()
-            block = item // BLOCK
-            self.most[terms, block] = np.maximum(self.most[terms, block], weight * (1 + 1e-6))
-            for t, w in zip(terms.tolist(), weight.tolist()):
-                self.postings[block].setdefault(t, []).append((item, w))
+        counted = [np.unique(np.searchsorted(self.terms, s), return_counts=True) for s in sequences]
+        empty = [np.empty(0, np.int64)]
+        term = np.concatenate([t for t, _ in counted] or empty)
+        if corpus is None:
+            corpus = Corpus(len(sequences), len(self.words), max(map(len, sequences), default=0), self.terms,
+                            np.bincount(term, minlength=len(self.terms)))
+        self.longest = corpus.longest
+        df = corpus.df[np.searchsorted(corpus.terms, self.terms)]
+        idf = np.log1p((corpus.n_items - df + 0.5) / (df + 0.5))
+        mean = corpus.n_words / max(corpus.n_items, 1)
+        weights = []
+        for s, (terms, counts) in zip(sequences, counted):
+            weight = idf[terms] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * len(s) / mean))
+            weights.append(weight / math.fsum(weight))
+        item = np.repeat(np.arange(len(sequences)), [len(t) for t, _ in counted])
+        order = np.lexsort((item, term, item // BLOCK))
+        #: The postings by block, term and item, and where each block's begin.
+        self.term, self.item = term[order], item[order]
+        self.weight = np.concatenate(weights or [np.empty(0)])[order]
+        self.block = np.searchsorted(self.item // BLOCK, np.arange(self.n_blocks + 1))
+        first = np.flatnonzero(np.diff(self.item // BLOCK * len(self.terms) + self.term, prepend=-1))
+        most = np.maximum.reduceat(self.weight, first) * (1 + 1e-6) if len(first) else np.empty(0)
+        by_term = np.argsort(self.term[first], kind="stable")
+        #: Of each term, the blocks that hold it and its largest weight there, and where each term's begin.
+        self.held, self.most = (self.item[first] // BLOCK)[by_term], most[by_term]
+        self.starts = np.searchsorted(self.term[first][by_term], np.arange(len(self.terms) + 1))
+
+    def question(self, item: int) -> np.ndarray:
+        return self.words[self.bounds[item]: self.bounds[item] + self.asked[item]]
+
+    def answer(self, item: int) -> np.ndarray:
+        return self.words[self.bounds[item] + self.asked[item]: self.bounds[item + 1]]
 
     def search(self, terms: list[int], block: int, threshold: float) -> list[tuple[int, float]]:
         """WAND over one block: the items that reach the threshold with these terms.
@@ -98,7 +133,13 @@ class Index:
         Cursors stand at the terms' next items, in item order. The first items at which the terms' bounds add
         up to the threshold is the pivot; cursors before it move there unscored.
         """
-        lists = [(self.postings[block][t], float(self.most[t, block])) for t in terms if t in self.postings[block]]
+        a, b = self.block[block], self.block[block + 1]
+        first, last = (a + np.searchsorted(self.term[a:b], terms, side) for side in ("left", "right"))
+        lists = []
+        for x, y in zip(first.tolist(), last.tolist()):
+            if x < y:
+                weights = self.weight[x:y].tolist()
+                lists.append((list(zip(self.item[x:y].tolist(), weights)), max(weights) * (1 + 1e-6)))
         at = [0] * len(lists)
         live = list(range(len(lists)))
         found = []
@@ -113,13 +154,14 @@ class Index:
             if pivot is None:
                 return found
             if lists[live[0]][0][at[live[0]]][0] == pivot:
-                score = 0.0
+                met = []
                 for i in live:
                     item, weight = lists[i][0][at[i]]
                     if item != pivot:
                         break
-                    score += weight
+                    met.append(weight)
                     at[i] += 1
+                score = math.fsum(met)  # in whatever order the block's other items leave the cursors
                 if score >= threshold:
                     found.append((pivot, score))
             else:
@@ -152,42 +194,51 @@ class Index:
             keys = np.unique(passage * len(self.terms) + terms)
             passage, terms = keys // len(self.terms), keys % len(self.terms)
             best: dict[tuple[int, int], tuple[float, float, float]] = {}
-            for a, b in self._slices(passage):
-                mine = np.flatnonzero(np.diff(np.concatenate(([-1], passage[a:b]))))
-                bounds = np.add.reduceat(self.most[terms[a:b]], mine, axis=0)
-                ends = np.append(mine[1:], b - a)
-                for row, block in zip(*np.nonzero(bounds >= SHARE)):
-                    x, y = a + mine[row], a + ends[row]
-                    p = int(passage[x])
-                    text = int(np.searchsorted(start, p, side="right")) - 1
-                    found = self.search(terms[x:y].tolist(), int(block), SHARE)
-                    if found:
-                        begin = words.bounds[text] + (p - start[text]) * stride
-                        inside = words.hashes[begin: min(begin + 2 * stride, words.bounds[text + 1])]
-                        self._verify(best, text, found, inside)
+            for x, y, block in self._candidates(passage, terms):
+                p = int(passage[x])
+                text = int(np.searchsorted(start, p, side="right")) - 1
+                found = self.search(terms[x:y].tolist(), block, SHARE)
+                if found:
+                    begin = words.bounds[text] + (p - start[text]) * stride
+                    inside = words.hashes[begin: min(begin + 2 * stride, words.bounds[text + 1])]
+                    self._verify(best, text, found, inside)
             for (text, item), scores in best.items():
                 yield first + text, item, *scores
 
-    @staticmethod
-    def _slices(passage: np.ndarray, rows: int = 1 << 17) -> Iterator[tuple[int, int]]:
-        """Slices of sorted passages that keep each one whole."""
-        a = 0
-        while a < len(passage):
-            b = int(np.searchsorted(passage, passage[min(a + rows, len(passage)) - 1], side="right"))
-            yield a, b
-            a = b
+    def _candidates(self, passage: np.ndarray, terms: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(first row, end, block): the blocks whose bounds for a passage's terms reach the threshold.
+
+        Only the blocks that hold a term are added up, for as many whole passages at a time as CELLS allows.
+        """
+        first = np.flatnonzero(np.diff(passage, prepend=-1))
+        end = np.append(first[1:], len(passage))
+        spread = np.diff(self.starts)[terms]
+        cost = np.concatenate(([0], np.cumsum(spread)))
+        i = 0
+        while i < len(first):
+            j = int(np.searchsorted(cost[end], cost[first[i]] + CELLS, side="right"))
+            j = max(i + 1, min(j, i + CELLS // self.n_blocks))
+            a, b = first[i], end[min(j, len(first)) - 1]
+            n = spread[a:b]
+            at = np.arange(n.sum()) + np.repeat(self.starts[terms[a:b]] - cost[a:b] + cost[a], n)
+            row = np.repeat(np.searchsorted(first, np.arange(a, b), side="right") - 1 - i, n)
+            bounds = np.bincount(row * self.n_blocks + self.held[at], self.most[at])
+            for cell in np.flatnonzero(bounds >= SHARE).tolist():
+                row_, block = divmod(cell, self.n_blocks)
+                yield int(first[i + row_]), int(end[i + row_]), block
+            i = j
 
     def _verify(self, best, text: int, found, inside: np.ndarray) -> None:
         have: dict[int, set] = {}
         bag = set(inside.tolist())
         for item, score in found:
-            question = self.questions[item]
+            question = _shingles(self.question(item))
             n = len(next(iter(question)))
             if n not in have:
                 w = inside.tolist()
                 have[n] = {tuple(w[i: i + n]) for i in range(len(w) - n + 1)}
             q = len(question & have[n]) / len(question)
-            answer = self.answers[item]
+            answer = set(self.answer(item).tolist())
             a = len(answer & bag) / len(answer) if answer else 1.0
             if q >= QUESTION and a >= ANSWER:
                 known = best.get((text, item))
@@ -195,13 +246,47 @@ class Index:
                     best[text, item] = (score, q, a)
 
 
+def _with_words(batches):
+    for batch in slices(batches):
+        _, words = _split(batch.column("text").to_pylist())
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(c) for c in ("part", "item_id", "text")),
+             pa.ListArray.from_arrays(pa.array(words.bounds, pa.int32()), pa.array(words.hashes.view(np.int64)))],
+            names=["part", "item_id", "text", "words"])
+
+
 def indexes(benchmark: DataFrame, index_bytes: int = INDEX_BYTES) -> Iterator[Index]:
-    """Indexes of a benchmark's items, each of about ``index_bytes`` of text; null and empty items are left out."""
-    items = benchmark.select("item_id", "text").filter("octet_length(text) > 0")
+    """Indexes of a benchmark's items, each of about ``index_bytes`` of text; null and empty items are left out.
+
+    Document frequencies, mean length, number of items and longest item are those of the whole benchmark, so an
+    item's figures do not depend on the items it shares an index with. Indexes are built in tasks; the driver
+    passes them on one by one.
+    """
+    items = benchmark.selectExpr("CAST(item_id AS bigint) AS item_id", "text").filter("octet_length(text) > 0")
     n = -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // index_bytes)
-    for g in range(n):
-        group = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == g)
-        yield Index(sorted((tuple(r) for r in group.collect()), key=lambda r: (r[0] is None, r)))
+    if not n:
+        return
+    items = staged(items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)).cast("int")).mapInArrow(
+        _with_words, "part int, item_id bigint, text string, words array<bigint>").filter("size(words) > 0"), "test-items")
+    n_items, n_words, longest = items.agg(F.count(F.lit(1)), F.sum(F.size("words")), F.max(F.size("words"))).first()
+    terms = items.select("part", F.explode(F.array_distinct("words")).alias("term")).groupBy("part", "term").count()
+    df = terms.groupBy("term").agg(F.sum("count").alias("df"))
+
+    def build(mine: pa.Table, known: pa.Table) -> pa.Table:
+        term = known.column("term").to_numpy().view(np.uint64)
+        order = np.argsort(term)
+        corpus = Corpus(n_items, n_words, longest, term[order], known.column("df").to_numpy()[order])
+        rows = zip(mine.column("item_id").to_pylist(), mine.column("text").to_pylist())
+        index = Index(sorted(rows, key=lambda r: (r[0] is None, r)), corpus)
+        return pa.table({"part": pa.array([mine.column("part")[0].as_py()], pa.int32()),
+                         "index": pa.array([pickle.dumps(index)], pa.binary())})
+
+    built = staged(items.select("part", "item_id", "text").groupBy("part").cogroup(
+        terms.select(F.col("part").alias("of"), "term").join(df, "term").groupBy("of")).applyInArrow(build, "part int, index binary"),
+        "test-indexes")
+    for part in range(n):
+        for row in built.filter(F.col("part") == part).select("index").collect():
+            yield pickle.loads(row[0])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, index_bytes: int = INDEX_BYTES) -> DataFrame:

@@ -127,3 +127,13 @@ def test_odd_tables(spark, docs):
     assert contaminated(docs(rows), empty).count() == 0 and contaminated(docs([]), benchmark).count() == 0
     assert drop_contaminated(docs(rows), empty).count() == 4
     assert question_and_answer("a b c") == ("a b", "c") and question_and_answer("A. B? C d.") == ("A. B?", "C d.")
+
+
+def test_figures_do_not_depend_on_the_number_of_indexes(spark, docs, words):
+    items = made_items(words)
+    rows = leaky(words, items)
+    benchmark = spark.createDataFrame([(i, t, 1) for i, t in items], ITEMS)
+    found = lambda n: sorted(map(tuple, contaminated(docs(rows), benchmark, index_bytes=n).collect()))
+    one = found(1 << 20)
+    assert len(one) > 15 and found(2000) == one
+    assert {r[:2] for r in one} == set(brute(rows, items))
