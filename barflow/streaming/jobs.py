@@ -11,16 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.functions.series import DAILY, Series, with_scans
+from barflow.functions.series import DAILY, Series, spread_join, with_scans
 from barflow.operators import indicators
 from barflow.operators.reports import latest_rows
 from barflow.plans import layers
 from barflow.plans.layers import BRONZE_KEY
-from barflow.operators.upsert import newer_than
+from barflow.operators.upsert import last_dates, newer_than
 from barflow.schemas import BARS, BRONZE
 from barflow.session import staged
 from barflow.sources import tables
-from barflow.sources.bars import hourly_aggregates
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
@@ -52,31 +51,37 @@ def landing_to_gold(
 
 def bars_from_ticks(
     spark: SparkSession, ticks: str, target: str, checkpoint: str, pattern: str = "*.parquet",
-    width: str = "1 hour", late: str = "1 day",
+    width: str = "1 hour",
 ) -> DataFrame:
-    """Bars of fixed width from ticks, late ticks taken up to the watermark.
+    """Bars of fixed width from ticks, however late a tick comes.
 
-    Updated bars are written per batch; the newest version of each bar is the result.
+    Each batch writes what its ticks give to their bars. These parts combine, so the result has every tick
+    and no state is held between batches.
     """
     stream = (
         spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", pattern).parquet(ticks)
         .withColumn("ts", F.col("ts").cast("timestamp"))
-        .withWatermark("ts", late)
-    )
-    bars = (
-        stream.groupBy(F.col("event_type").alias("symbol"), F.window("ts", width).alias("w"))
-        .agg(*hourly_aggregates())
-        .select("symbol", F.col("w.start").alias("bar_time"), "open", "high", "low", "close", "volume")
     )
+    tick = F.struct("ts", "event_id", "value")
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        parts = batch.groupBy(F.col("event_type").alias("symbol"), F.window("ts", width).alias("w")).agg(
+            F.min(tick).alias("first"), F.max("value").alias("high"), F.min("value").alias("low"),
+            F.max(tick).alias("last"), F.count(F.lit(1)).alias("volume"))
+        parts.withColumn("bar_time", F.col("w.start")).drop("w").write.mode("overwrite").parquet(
+            f"{target}/batch={batch_id}")
+
+    _drain(stream, each, checkpoint)
+    return spark.read.parquet(target).groupBy("symbol", "bar_time").agg(
+        F.min("first")["value"].alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
+        F.max("last")["value"].alias("close"), F.sum("volume").alias("volume"))
+
 
-    _drain(bars, each, checkpoint, mode="update")
-    written = spark.read.parquet(target)
-    rest = [c for c in written.columns if c not in ("symbol", "bar_time", "batch")]
-    newest = written.groupBy("symbol", "bar_time").agg(F.max_by(F.struct(*rest), "batch").alias("_bar"))
-    return newest.select("symbol", "bar_time", "_bar.*")
+def _newest_version(written: DataFrame) -> DataFrame:
+    """The row that the newest batch wrote for each symbol and day."""
+    rest = [c for c in written.columns if c not in ("symbol", "date", "batch")]
+    newest = written.groupBy("symbol", "date").agg(F.max_by(F.struct(*rest), "batch").alias("_row"))
+    return newest.select("symbol", "date", "_row.*")
 
 
 def running_averages(
@@ -86,24 +91,42 @@ def running_averages(
     """Exponential averages and on-balance volume kept up per batch.
 
     The state is the newest output row of each symbol. A batch continues from it with the same
-    distributed scan as the full run; bars not newer than the state are left out.
+    distributed scan as the full run. A symbol with bars that come late is computed again from the earliest
+    of them on, and the newest version of each row is the result. The first delivery of a bar stays; a bar of
+    a day that is already stored is written to ``repeated`` in the state folder.
     """
     spans, balance = indicators.EMA_SPANS, ("obv", "volume")
 
     def each(batch: DataFrame, batch_id: int) -> None:
         batch = staged(batch, "bars-batch")
         seed = None
+        rows, start = batch, None
         if batch_id > 0:
-            seed = spark.read.parquet(f"{state}/batch={batch_id - 1}")
-            marks = seed.select("symbol", "date")
-            batch = newer_than(batch, marks)
+            seed = start = spark.read.parquet(f"{state}/batch={batch_id - 1}")
+            rows = newer_than(batch, seed.select("symbol", "date"))
+            late = staged(
+                spread_join(batch, last_dates(seed), ["symbol"]).filter("date <= last_date").drop("last_date"), "late")
+            if not late.isEmpty():
+                before = spark.read.parquet(target).filter(F.col("batch") < batch_id)
+                stored = staged(_newest_version(
+                    spread_join(before, late.select("symbol").distinct(), ["symbol"], "left_semi")), "averages-stored")
+                late.join(stored, ["symbol", "date"], "left_semi").write.mode("overwrite").parquet(
+                    f"{state}/repeated/batch={batch_id}")
+                missed = late.join(stored, ["symbol", "date"], "left_anti").select(*batch.columns)
+                since = missed.groupBy("symbol").agg(F.min("date").alias("since"))
+                again = spread_join(stored, since, ["symbol"])
+                rows = rows.unionByName(missed).unionByName(again.filter("date >= since").select(*batch.columns))
+                start = seed.join(since, "symbol", "left_anti").unionByName(
+                    latest_rows(again.filter("date < since").select(*seed.columns)))
         fresh = staged(
-            with_scans(batch, spans, balance=balance, series=series, seed=seed), "averages"
+            with_scans(rows, spans, balance=balance, series=series, seed=start), "averages"
         )
         fresh.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
-        kept = fresh if seed is None else fresh.unionByName(seed)
-        latest_rows(kept).write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+        newest = latest_rows(fresh)
+        if seed is not None:
+            newest = newest.unionByName(seed.join(newest.select("symbol"), "symbol", "left_anti"))
+        newest.write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
 
     stream = spark.readStream.schema(BARS).option("maxFilesPerTrigger", files).parquet(landing)
     _drain(stream, each, checkpoint)
-    return spark.read.parquet(target).drop("batch")
+    return _newest_version(spark.read.parquet(target))
