@@ -52,7 +52,7 @@ def in_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, keep: Sequence[st
     dealt by their text.
     """
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    block = block_number("doc_id", F.when(F.col("doc_id").isNull(), F.col("text")), max(1, -(-total // block_bytes)))
+    block = block_number(F.col("doc_id").cast("bigint"), F.when(F.col("doc_id").isNull(), F.col("text")), max(1, -(-total // block_bytes)))
     names = ["doc_id", *keep]
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *keep, "text", block.alias("block"))
     fields = [StructField("block", IntegerType()), StructField("packed", BinaryType()),

@@ -93,3 +93,12 @@ def test_components_of_paths_and_stars(spark):
     assert all(out[i] == 100 for i in range(100, 181)) and all(out[i] == 7 for i in range(200, 261))
     assert out[7] == 7 and out[5] == out[6] == 5 and len(out) == 81 + 62 + 2
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_blocks_do_not_depend_on_the_type_of_ids(docs):
+    from barflow.llm.common import in_blocks
+
+    df = docs([(i, f"text {i} " * 9) for i in range(60)])
+    dealt = lambda frame: sorted((r.block, i) for r in in_blocks(frame, 500)[0].collect() for i in r.doc_id)
+    wide = dealt(df)
+    assert len({b for b, _ in wide}) > 3 and dealt(df.withColumn("doc_id", df.doc_id.cast("int"))) == wide
