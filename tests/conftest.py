@@ -10,9 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from barflow.schemas import BARS  # noqa: E402
 from barflow.session import local_session  # noqa: E402
-
-START = dt.date(2020, 1, 1)
-
+from helpers import START  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
@@ -57,7 +55,3 @@ def random_bars():
             "volume": rng.integers(1, 1000, n),
         }))
     return pd.concat(frames, ignore_index=True)
-
-
-def collected(df, *order):
-    return df.toPandas().sort_values(list(order) or ["symbol", "date"]).reset_index(drop=True)

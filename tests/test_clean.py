@@ -9,7 +9,7 @@ from barflow.operators import clean
 from barflow.functions import scalars
 from barflow.functions.series import Series
 from barflow.schemas import BRONZE, overflows, to_stored_precision
-from conftest import START, collected
+from helpers import START, collected
 
 
 def raw(spark, rows, symbol="A"):

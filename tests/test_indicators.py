@@ -11,7 +11,7 @@ from barflow.operators.indicators import (
     GOLD_COLUMNS, continue_gold, engineered, engineered_columns, gold, macd_columns, with_averages, with_calendar,
 )
 from barflow.schemas import BARS
-from conftest import collected
+from helpers import collected
 
 TINY = [1, 2, 3, 2, 1, 2, 3, 4, 3, 2]
 

@@ -12,7 +12,7 @@ from barflow.functions.ranking import cumulative_counts, medians
 from barflow.operators import drift, modeling, monitoring, reports
 from barflow.operators.indicators import gold
 from barflow.schemas import BARS
-from conftest import START, collected
+from helpers import START, collected
 
 
 def sides(spark, ref, cur):

@@ -11,7 +11,7 @@ from barflow.functions.series import (
 )
 from barflow.operators.reports import latest_rows
 from barflow.schemas import BARS
-from conftest import collected
+from helpers import collected
 
 SMALL = Series(slots=16)
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from barflow.functions.series import with_scans
 from barflow.operators import indicators
 from barflow.streaming import jobs
-from conftest import START
+from helpers import START
 
 TICKS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 

@@ -10,7 +10,7 @@ from barflow.schemas import BRONZE
 from barflow.session import staged
 from barflow.sources import landing, tables
 from barflow.sources.bars import bars_dirty, bars_priority
-from conftest import START, collected
+from helpers import START, collected
 
 SF = "/root/testdata/sf0.001"
 KEY = ["symbol", "date"]
