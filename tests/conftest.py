@@ -12,6 +12,7 @@ from barflow.schemas import BARS  # noqa: E402
 from barflow.session import local_session  # noqa: E402
 from helpers import START  # noqa: E402
 
+
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(4, shuffle_partitions=4)
