@@ -16,6 +16,7 @@ from barflow.llm.language_model import lm_scores
 from barflow.llm.piece_counts import count_pieces
 from barflow.llm.sharding import shard_by_bytes
 from barflow.llm.site_quality import site_quality
+from barflow.llm.vector_search import top_k
 
 #: The rank file that documents are encoded with.
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -159,3 +160,22 @@ def op1_site_style_tree(spark, d):
 def op4_hierarchical_bayes_quality(spark, d):
     labels = _table(spark, d, "labels").select("doc_id", F.col("quality").alias("label"))
     return site_quality(_table(spark, d, "documents"), labels, F.col("source"), F.concat_ws("/", "source", "lang"))
+
+
+@query
+def op13_histogram_top_k(spark, d):
+    return top_k(_table(spark, d, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
+ORACLES["op13_histogram_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS c
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.c, v.c)::BIGINT AS score
+  FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
