@@ -14,6 +14,8 @@ from barflow.llm.exact_dedup import exact_dedup
 from barflow.llm.jaccard_join import jaccard_components
 from barflow.llm.language_model import lm_scores
 from barflow.llm.piece_counts import count_pieces
+from barflow.llm.prefix_trie import prefix_trie, turns_in_order, with_openings
+from barflow.llm.repeated_runs import find_runs
 from barflow.llm.sharding import shard_by_bytes
 from barflow.llm.site_quality import site_quality
 from barflow.llm.vector_search import top_k
@@ -179,3 +181,110 @@ s AS (
 r AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
+
+
+def with_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: the rows whose fold of ten is 0 repeat a stretch of their words to the end of the text."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(
+        h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("words"))
+    placed = chosen.withColumn("n", F.coalesce(F.size("words"), F.lit(0)).cast("bigint")).withColumn(
+        "a", F.when(F.col("n") > 0, F.expr("g % n"))).withColumn("p", F.expr("1 + (n - a) DIV (3 + g % 8)"))
+    return placed.select("doc_id", F.expr("""CASE WHEN n > 0 THEN array_join(transform(
+        sequence(0, n - 1), i -> words[CAST(IF(i < a, i, a + (i - a) % p) AS int)]), ' ') ELSE text END""").alias("text"))
+
+
+@query
+def op12_branching_tandem_runs(spark, d):
+    runs = find_runs(with_runs(_table(spark, d, "documents")))
+    best = F.expr("""aggregate(runs, CAST(NULL AS struct<start:bigint,length:bigint,period:bigint>),
+        (b, r) -> IF(b IS NULL OR r.length * b.period > b.length * r.period, r, b))""")
+    listed = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return runs.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"), F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256")).select(
+        "doc_id", "n_runs", "best.*", F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256")
+
+
+ORACLES["op12_branching_tandem_runs"] = r"""
+WITH crc AS (
+  SELECT list(list_reduce([n] || range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+              ORDER BY n) AS steps
+  FROM (SELECT unnest(range(256)) AS n)),
+d AS (
+  SELECT row_number() OVER () AS row, doc_id, xor(4294967295, list_reduce(
+           [4294967295] || list_transform(regexp_extract_all(hex(doc_id::VARCHAR), '..'), lambda x: ('0x' || x)::BIGINT),
+           lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]))) AS h,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents, crc),
+e AS (SELECT *, len(words) AS n, h // 10 AS g FROM d),
+f AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM e),
+w AS (
+  SELECT row, doc_id, n, CASE WHEN a IS NULL THEN words ELSE list_transform(range(n), lambda i:
+           words[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) END AS words
+  FROM f),
+u AS MATERIALIZED (SELECT row, n, unnest(words) AS word, unnest(range(n)) AS i FROM w),
+eq AS (
+  SELECT x.row, x.i, y.i - x.i AS q
+  FROM u x JOIN u y ON x.row = y.row AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+stretch AS (
+  SELECT row, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY row, q ORDER BY i) AS part FROM eq) GROUP BY row, q, part),
+runs AS MATERIALIZED (
+  SELECT row, start, length, min(q) AS period FROM stretch WHERE length >= greatest(6, 4 * q) GROUP BY row, start, length),
+gone AS (SELECT DISTINCT row, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+  SELECT row, string_agg(word, ' ' ORDER BY i) AS collapsed FROM u ANTI JOIN gone USING (row, i) GROUP BY row),
+told AS (
+  SELECT row, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS told
+  FROM runs GROUP BY row),
+best AS (
+  SELECT * FROM runs r WHERE NOT EXISTS (
+    SELECT 1 FROM runs s WHERE s.row = r.row AND (s.length * r.period > r.length * s.period OR (
+      s.length * r.period = r.length * s.period AND (s.start, s.period) < (r.start, r.period)))))
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+       sha256(coalesce(told, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM w LEFT JOIN told USING (row) LEFT JOIN best USING (row) LEFT JOIN kept USING (row)"""
+
+
+@query
+def op11_time_forward_trie(spark, d):
+    turns = turns_in_order(_table(spark, d, "conversations"))
+    n_head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    return prefix_trie(with_openings(turns, F.expr("conv_id - conv_id % 100"), n_head))
+
+
+ORACLES["op11_time_forward_trie"] = """
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce([n] || range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+              ORDER BY n) AS steps
+  FROM (SELECT unnest(range(256)) AS n)),
+c AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST,
+           sha256(concat(length(coalesce(role, '')), ':', role, text))) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (
+  SELECT conv_id, turns, conv_id - conv_id % 100 AS base, (xor(4294967295, list_reduce(
+           [4294967295] || list_transform(regexp_extract_all(hex(conv_id::VARCHAR), '..'), lambda x: ('0x' || x)::BIGINT),
+           lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]))) % 6)::BIGINT AS h
+  FROM c, crc),
+r AS (
+  SELECT h.conv_id, coalesce(b.turns[1:h.h], []) || h.turns[h.h + 1:] AS turns
+  FROM h LEFT JOIN c b ON b.conv_id = h.base),
+p AS (
+  SELECT conv_id, d AS depth, turns[1:d] AS seq, len(turns) AS length,
+         CASE WHEN d > 0 THEN length(turns[d].text) ELSE 0 END AS size
+  FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM r)),
+n AS MATERIALIZED (
+  SELECT depth, min(conv_id) AS node, count(*) AS n_convs, any_value(size) AS size, max(length) = depth AS leaf,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (length = depth), '')) AS ends_sha256, seq
+  FROM p GROUP BY depth, seq),
+m AS MATERIALIZED (SELECT p.conv_id, p.depth, n.node FROM p JOIN n ON p.depth = n.depth AND p.seq = n.seq),
+t AS (
+  SELECT m.depth, m.node, count(*) FILTER (x.depth = m.depth + 1) AS n_children, count(*) FILTER (x.leaf) AS n_leaves,
+         sum((x.n_convs - 1) * x.size)::BIGINT AS saved_tokens
+  FROM n x JOIN m ON m.conv_id = x.node AND m.depth <= x.depth GROUP BY m.depth, m.node)
+SELECT n.node AS conv_id, n.depth, up.node AS parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM n JOIN t ON t.depth = n.depth AND t.node = n.node
+LEFT JOIN m up ON up.conv_id = n.node AND up.depth = n.depth - 1"""
