@@ -97,23 +97,20 @@ def with_openings(turns: DataFrame, base: Column, n_head: Column) -> DataFrame:
 # ---------------------------------------------------------------- digests of prefixes
 
 def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chain the digests of each bucket of a conversation, in a sorted partition: before and behind each turn."""
+    """Chain the digests of each bucket of a conversation, in a sorted partition."""
     last, chain = None, b""
     for batch in batches:
-        before, behind = [], []
+        chained = []
         for conv, bucket, digest in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "bucket", "digest"))):
             if (conv, bucket) != last:
                 last, chain = (conv, bucket), b""
-            before.append(chain or None)
             chain = hashlib.sha256(chain + digest).digest()[:16]
-            behind.append(chain)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(before, pa.binary()), pa.array(behind, pa.binary())],
-                                         names=[*batch.schema.names, "before", "behind"])
+            chained.append(chain)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chained, pa.binary())], names=[*batch.schema.names, "chain"])
 
 
 def prefix_digests(turns: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """``turns`` (conv_id, at, digest and further columns) with ``id`` and ``parent``: digests of all turns up to
-    each one, with it and without it.
+    """``turns`` (conv_id, at, digest and further columns) with ``id``, a digest of all turns up to and with each one.
 
     Equal sequences of turns, and no others, get equal ids. The turns of a bucket are chained one by one; what lies
     before a bucket is the prefix digest in the sequence of whole buckets, which is ``bucket`` times shorter. So
@@ -124,19 +121,18 @@ def prefix_digests(turns: DataFrame, bucket: int = BUCKET) -> DataFrame:
     rows = staged(cut.repartition("conv_id", "bucket").sortWithinPartitions("conv_id", "at").select(
         "conv_id", "bucket", "at", "digest", *names).mapInArrow(_chained, ", ".join(
             f"`{f.name}` {f.dataType.simpleString()}" for f in cut.select("conv_id", "bucket", "at", "digest", *names).schema)
-        + ", before binary, behind binary"), "chains")
+        + ", chain binary"), "chains")
     full = rows.filter(F.col("at") % bucket == bucket - 1)
     if full.isEmpty():
         joined, begin, close = rows, F.lit(ROOT), F.lit(None).cast("binary")
     else:
-        whole = staged(prefix_digests(full.select("conv_id", F.col("bucket").alias("at"), F.col("behind").alias("digest")), bucket), "buckets")
+        whole = staged(prefix_digests(full.select("conv_id", F.col("bucket").alias("at"), F.col("chain").alias("digest")), bucket), "buckets")
         known = whole.select("conv_id", (F.col("at") + 1).alias("bucket"), F.col("id").alias("begin"))
         closing = whole.select("conv_id", F.col("at").alias("bucket"), F.col("id").alias("close"))
         joined = rows.join(known, ["conv_id", "bucket"], "left").join(closing, ["conv_id", "bucket"], "left")
         begin, close = F.coalesce("begin", F.lit(ROOT)), F.when(F.col("at") % bucket == bucket - 1, F.col("close"))
-    sealed = lambda c: F.substring(F.unhex(F.sha2(F.concat(begin, c), 256)), 1, 16)
-    return joined.select("conv_id", "at", "digest", *names, F.coalesce(close, sealed(F.col("behind"))).alias("id"),
-                         F.when(F.col("before").isNull(), begin).otherwise(sealed(F.col("before"))).alias("parent"))
+    sealed = F.substring(F.unhex(F.sha2(F.concat(begin, F.col("chain")), 256)), 1, 16)
+    return joined.select("conv_id", "at", "digest", *names, F.coalesce(close, sealed).alias("id"))
 
 
 # ---------------------------------------------------------------- time-forward processing
