@@ -248,11 +248,14 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * leng
 FROM w LEFT JOIN told USING (row) LEFT JOIN best USING (row) LEFT JOIN kept USING (row)"""
 
 
+def opening_rule():
+    """The conversation that lends its first turns to another one, and how many: both from its id."""
+    return F.expr("conv_id - conv_id % 100"), F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+
+
 @query
 def op11_time_forward_trie(spark, d):
-    turns = turns_in_order(_table(spark, d, "conversations"))
-    n_head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
-    return prefix_trie(with_openings(turns, F.expr("conv_id - conv_id % 100"), n_head))
+    return prefix_trie(with_openings(turns_in_order(_table(spark, d, "conversations")), *opening_rule()))
 
 
 ORACLES["op11_time_forward_trie"] = """
