@@ -10,8 +10,9 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql.types import BinaryType, StructField, StructType
 
-from barflow.llm.common import in_blocks, pieces_by_bucket, segment_hashes, slices, unpacked_docs
+from barflow.llm.common import byte_hashes, distinct_segments, in_blocks, pieces_by_bucket, ragged, slices, unpacked_docs
 
 #: Text bytes for each bucket of words.
 BUCKET_BYTES = 16 << 20
@@ -106,21 +107,6 @@ class PreTokens:
             starts[found + 1] = False
             starts[found + size] = True
 
-    def hashes(self) -> np.ndarray:
-        return segment_hashes(self.data, self.starts, self.ends)
-
-
-def ragged(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """values[start : start + size] of all segments, one after the other."""
-    total = int(sizes.sum())
-    out = np.concatenate(([0], np.cumsum(sizes)))[:-1]
-    return values[np.repeat(starts - out, sizes) + np.arange(total)]
-
-
-def _identities(words: PreTokens) -> np.ndarray:
-    """64 bits that tell the words of a block apart."""
-    return words.hashes()
-
 
 def _texts(table: pa.Table) -> list[list[str]]:
     """The texts of a block, each in pieces that can be cut into words one by one."""
@@ -205,26 +191,48 @@ def _encode_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i: end[i]]] for i in range(n) if end[i]]
 
 
+class BlockWords:
+    """The distinct words of a block, told apart by their bytes and ordered by their hashes, and where they stand.
+
+    The order is the same whenever the block is read, so answers can be given by place.
+    """
+
+    def __init__(self, texts: list[list[str]]):
+        parts, self.groups, n = [], [], 0
+        for _, _, pieces in _groups(texts):
+            words = PreTokens([p for _, p in pieces])
+            number, distinct = distinct_segments(words.data, words.starts, words.ends)
+            parts.append(distinct)
+            self.groups.append(([i for i, _ in pieces], words.bounds, number, n))
+            n += len(distinct)
+        every = pa.concat_arrays(parts or [pa.array([], pa.binary())]).dictionary_encode()
+        hashes = byte_hashes(every.dictionary)
+        order = np.argsort(hashes, kind="stable")
+        self.keys, self.words = hashes[order], every.dictionary.take(pa.array(order))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.place = place[np.asarray(every.indices)]
+
+    def standing(self) -> Iterator[tuple[int, np.ndarray]]:
+        """(text, the places of its words in order), piece by piece."""
+        for texts, bounds, number, first in self.groups:
+            for i, a, b in zip(texts, bounds[:-1], bounds[1:]):
+                yield i, self.place[number[a:b] + first]
+
+
 def _words_of_block(n_buckets: int):
-    """Distinct words of a block, one row for each bucket: sizes and bytes in the order of their identities."""
+    """Distinct words of a block, one row for each bucket: sizes and bytes in their order."""
 
     def run(packed: pa.Table) -> pa.Table:
-        keys, sizes, data = [], [], []
-        for _, _, pieces in _groups(_texts(unpacked_docs(packed))):
-            words = PreTokens([p for _, p in pieces])
-            h, at = np.unique(_identities(words), return_index=True)
-            size = (words.ends - words.starts)[at]
-            keys.append(h), sizes.append(size), data.append(ragged(words.data, words.starts[at], size))
-        if not keys:
-            return pa.table({"block": [], "bucket": [], "words": []}, schema=_WORDS)
-        keys, first = np.unique(np.concatenate(keys), return_index=True)
-        sizes = np.concatenate(sizes)
-        starts = np.concatenate(([0], np.cumsum(sizes)))[:-1][first]
-        sizes, data = sizes[first], np.concatenate(data)
-        found, begin, end = pieces_by_bucket(keys, n_buckets)
-        words_of = [_pack(sizes[a:b], ragged(data, starts[a:b], sizes[a:b])) for a, b in zip(begin, end)]
-        block = packed.column("block")[0].as_py()
-        return pa.table({"block": [block] * len(found), "bucket": found, "words": words_of}, schema=_WORDS)
+        block = BlockWords(_texts(unpacked_docs(packed)))
+        if not len(block.keys):
+            return _WORDS.empty_table()
+        offset = np.frombuffer(block.words.buffers()[1], np.int32 if block.words.type == pa.binary() else np.int64)[: len(block.words) + 1]
+        data = np.frombuffer(block.words.buffers()[2] or b"", np.uint8)
+        found, begin, end = pieces_by_bucket(block.keys, n_buckets)
+        words_of = [_pack(np.diff(offset[a: b + 1]), data[offset[a]: offset[b]]) for a, b in zip(begin, end)]
+        number = packed.column("block")[0].as_py()
+        return pa.table({"block": [number] * len(found), "bucket": found, "words": words_of}, schema=_WORDS)
 
     return run
 
@@ -257,43 +265,51 @@ def _encode_bucket(ranks):
     return run
 
 
-def _ids_of_block(packed: pa.Table, answers: pa.Table) -> pa.Table:
-    """Put the words' ids back in text order."""
-    if not packed.num_rows:
-        return _OUT.empty_table()
-    docs = unpacked_docs(packed)
-    texts = _texts(docs)
-    parts: list[list[np.ndarray]] = [[] for _ in texts]
-    keys, groups = [], []
-    for _, _, pieces in _groups(texts):
-        h, inverse = np.unique(_identities(words := PreTokens([p for _, p in pieces])), return_inverse=True)
-        keys.append(h), groups.append((pieces, words.bounds, h, inverse))
-    if groups:
-        known = np.unique(np.concatenate(keys))
-        told = [_unpack(b, "<u4") for _, b in sorted(zip(
-            answers.column("bucket").to_pylist(), answers.column("ids").to_pylist()))]
-        sizes, ids = np.concatenate([s for s, _ in told]), np.concatenate([v for _, v in told])
+class TokenBytes:
+    """The token-byte table: the bytes of all ids, one after the other."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        tokens = sorted(ranks.items(), key=lambda x: x[1])
+        ids = np.array([i for _, i in tokens], np.int64)
+        self.sizes = np.zeros(ids[-1] + 1 if len(ids) else 1, np.int64)
+        self.sizes[ids] = [len(t) for t, _ in tokens]
+        self.data = np.frombuffer(b"".join(t for t, _ in tokens), np.uint8)
+        self.starts = np.concatenate(([0], np.cumsum(self.sizes)))[:-1]
+
+    def of(self, ids: np.ndarray) -> bytes:
+        return ragged(self.data, self.starts[ids], self.sizes[ids]).tobytes()
+
+
+def _ids_of_block(table=None):
+    """Put the words' ids back in text order; with a token-byte table, also decode them."""
+
+    def run(packed: pa.Table, answers: pa.Table) -> pa.Table:
+        schema = _OUT if table is None else _OUT.append(pa.field("decoded", pa.binary()))
+        if not packed.num_rows:
+            return schema.empty_table()
+        docs = unpacked_docs(packed)
+        texts = _texts(docs)
+        told = [_unpack(b, "<u4") for _, b in sorted(zip(answers.column("bucket").to_pylist(), answers.column("ids").to_pylist()))]
+        sizes = np.concatenate([s for s, _ in told] or [np.empty(0, np.int64)])
+        ids = np.concatenate([v for _, v in told] or [np.empty(0, "<u4")])
+        del told
         starts = np.concatenate(([0], np.cumsum(sizes)))[:-1]
-        for pieces, bounds, h, inverse in groups:
-            word = np.searchsorted(known, h)[inverse]
-            for j, (i, _) in enumerate(pieces):
-                mine = word[bounds[j]: bounds[j + 1]]
-                parts[i].append(ragged(ids, starts[mine], sizes[mine]))
-    blobs = [b"".join(p.astype("<u4").tobytes() for p in x) for x in parts]
-    return pa.table({"doc_id": docs.column("doc_id"), "n_tokens": [len(b) // 4 for b in blobs], "ids": blobs}, schema=_OUT)
+        parts: list[list[bytes]] = [[] for _ in texts]
+        for i, words in BlockWords(texts).standing():
+            parts[i].append(ragged(ids, starts[words], sizes[words]).tobytes())
+        blobs = [b"".join(p) for p in parts]
+        columns = [docs.column("doc_id"), pa.array([len(b) // 4 for b in blobs], pa.int64()), pa.array(blobs, pa.binary())]
+        if table is not None:
+            columns.append(pa.array([table.value.of(np.frombuffer(b, "<u4")) for b in blobs], pa.binary()))
+        return pa.table(columns, schema=schema)
 
+    return run
 
-def encode(docs: DataFrame, ranks_path: str, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """One row per document: ``doc_id, n_tokens, ids`` (little-endian unsigned 32-bit), without special tokens.
 
-    Null and empty texts have no tokens. Repeated rows, and rows without an id, are encoded each. Extra columns
-    are ignored. Blocks of documents list their distinct words; buckets of words, in which a frequent word comes
-    once for each block, encode them; blocks take the ids back and lay them out by position. The text is moved
-    once (both uses read the same exchange). Words are told apart by 64 bits within a block, by their bytes in
-    a bucket.
-    """
-    spark = docs.sparkSession
-    ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))  # bounded by the vocabulary
+def _encoded(docs: DataFrame, ranks_path: str, bucket_bytes: int, decoded: bool) -> DataFrame:
+    context = docs.sparkSession.sparkContext
+    ranks = context.broadcast(read_ranks(ranks_path))  # both are bounded by the vocabulary
+    table = context.broadcast(TokenBytes(read_ranks(ranks_path))) if decoded else None
     blocks, total = in_blocks(docs)
     n_buckets = max(1, -(-total // bucket_bytes))
     asked = blocks.groupBy("block").applyInArrow(
@@ -301,28 +317,34 @@ def encode(docs: DataFrame, ranks_path: str, bucket_bytes: int = BUCKET_BYTES) -
     answers = asked.groupBy("bucket").applyInArrow(
         _encode_bucket(ranks), "block int, bucket int, ids binary")
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _ids_of_block, "doc_id bigint, n_tokens bigint, ids binary")
+        _ids_of_block(table), "doc_id bigint, n_tokens bigint, ids binary" + (", decoded binary" if decoded else ""))
+
+
+def encode(docs: DataFrame, ranks_path: str, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """One row per document: ``doc_id, n_tokens, ids`` (little-endian unsigned 32-bit), without special tokens.
+
+    Null and empty texts have no tokens. Repeated rows, and rows without an id, are encoded each; ids must be
+    whole numbers. Extra columns are ignored. Blocks of documents list their distinct words; buckets of words, in
+    which a frequent word comes once for each block, encode them; blocks take the ids back and lay them out by
+    position. The text is moved once (both uses read the same exchange). Words are told apart by their bytes.
+    """
+    return _encoded(docs, ranks_path, bucket_bytes, decoded=False)
+
+
+def encode_and_decode(docs: DataFrame, ranks_path: str, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """``encode`` with ``decoded``: the bytes of the ids by the token-byte table, as each block lays its ids out."""
+    return _encoded(docs, ranks_path, bucket_bytes, decoded=True)
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """``encoded`` with the column ``decoded``: the bytes of its ids, looked up in the token-byte table."""
-    tokens = sorted(read_ranks(ranks_path).items(), key=lambda x: x[1])
-    ids = np.array([i for _, i in tokens])
-    sizes = np.zeros(ids[-1] + 1 if len(ids) else 1, np.int64)
-    sizes[ids] = [len(t) for t, _ in tokens]
-    table = encoded.sparkSession.sparkContext.broadcast(  # bounded by the vocabulary
-        (np.frombuffer(b"".join(t for t, _ in tokens), np.uint8), np.concatenate(([0], np.cumsum(sizes)))[:-1], sizes))
+    table = encoded.sparkSession.sparkContext.broadcast(TokenBytes(read_ranks(ranks_path)))  # bounded by the vocabulary
 
     def run(batches):
-        data, starts, sizes = table.value
         for batch in slices(batches):
-            out = []
-            for blob in batch.column("ids"):
-                one = np.frombuffer(blob.as_buffer() or b"", "<u4") if blob.is_valid else np.empty(0, "<u4")
-                out.append(ragged(data, starts[one], sizes[one]).tobytes())
+            out = [table.value.of(np.frombuffer(b.as_buffer() or b"", "<u4") if b.is_valid else np.empty(0, "<u4"))
+                   for b in batch.column("ids")]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(out, pa.binary())], names=[*batch.schema.names, "decoded"])
 
-    from pyspark.sql.types import BinaryType, StructField, StructType
-
     return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField("decoded", BinaryType())]))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -107,29 +108,16 @@ def block_number(doc_id: str | Column, text: Column, n: int) -> Column:
 
 # ---------------------------------------------------------------- words as arrays
 
-_RNG = np.random.default_rng(20240229)
-_BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_R = 0x9E3779B97F4A7C15 | 1
-_R_INV = pow(_R, -1, 1 << 64)
-_POWERS: dict[int, np.ndarray] = {}
+def ragged(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """values[start : start + size] of all segments, one after the other."""
+    out = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+    return values[np.repeat(starts - out, sizes) + np.arange(int(sizes.sum()))]
+
 
 #: The six ASCII characters that part words: space and \x09 to \x0d.
 SPACES = b" \t\n\x0b\x0c\r"
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1) modulo 2 ** 64; kept for the next call."""
-    known = _POWERS.get(base)
-    if known is None or len(known) < n:
-        size = max(n, 1 << 16)
-        out = np.full(size, base, dtype=np.uint64)
-        out[0] = 1
-        known = np.multiply.accumulate(out)
-        if size <= 1 << 21:
-            _POWERS[base] = known
-    return known
-
-
 def mixed(h: np.ndarray) -> np.ndarray:
     """Spread all bits of 64-bit values (a bijection)."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -137,15 +125,31 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def segment_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray = _BYTE) -> np.ndarray:
-    """64-bit hashes of the byte segments [start, end): differences of a running polynomial."""
+def distinct_segments(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """The number of each byte segment [start, end) among the distinct ones, and these. Segments do not overlap."""
+    edge = np.zeros(len(data) + 1, np.int8)
+    edge[starts] += 1
+    edge[ends] -= 1  # of a segment that ends where the next begins, both cancel out
+    sizes = np.concatenate(([0], np.cumsum(ends - starts)))
+    kind, width = (pa.binary(), np.int32) if sizes[-1] < 1 << 31 else (pa.large_binary(), np.int64)
+    inside = np.ascontiguousarray(data[np.cumsum(edge[:-1], dtype=np.int8).view(bool)])
+    words = pa.Array.from_buffers(kind, len(starts), [None, pa.py_buffer(sizes.astype(width)), pa.py_buffer(inside)])
+    found = words.dictionary_encode()
+    return np.asarray(found.indices), found.dictionary
+
+
+def byte_hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of byte strings; BLAKE2 leaves no way to build two words that meet."""
+    digest = hashlib.blake2b
+    return np.frombuffer(b"".join([digest(w, digest_size=8).digest() for w in words.to_pylist()]), "<u8").astype(np.uint64)
+
+
+def segment_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte segments [start, end), each distinct one hashed once."""
     if not len(starts):
         return np.empty(0, np.uint64)
-    run = np.empty(len(data) + 1, np.uint64)
-    run[0] = 0
-    np.cumsum(table[data] * powers(_R, len(data))[: len(data)], out=run[1:])
-    h = (run[ends] - run[starts]) * powers(_R_INV, len(data) + 1)[starts]
-    return mixed(h + (ends - starts).astype(np.uint64))
+    number, words = distinct_segments(data, starts, ends)
+    return byte_hashes(words)[number]
 
 
 def separators(characters: bytes) -> np.ndarray:
@@ -253,27 +257,43 @@ def ask(block: int, keys: np.ndarray, counts: np.ndarray, classes: np.ndarray, n
         "classes": [classes[a:b].tobytes() for a, b in zip(begin, end)]}, schema=ASKED)
 
 
+def _wide(raw: bytes, width: int) -> np.ndarray:
+    """Keys of ``width`` bytes as numbers."""
+    if width in (4, 8):
+        return np.frombuffer(raw, f"<u{width}")
+    wide = np.zeros((len(raw) // width, 8), np.uint8)
+    wide[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
+    return wide.view("<u8").ravel()
+
+
 def count_bucket(width: int):
     """Sum the counts of a bucket's keys over all blocks, and answer each block in the order it asked."""
 
     def run(asked: pa.Table) -> pa.Table:
         raws = asked.column("keys").to_pylist()
         sizes = [len(r) // width for r in raws]
-        wide = np.zeros((sum(sizes), 8), np.uint8)
-        wide[:, :width] = np.frombuffer(b"".join(raws), np.uint8).reshape(-1, width)
-        keys, first, inverse = np.unique(wide.view("<u8").ravel(), return_index=True, return_inverse=True)
+        keys = _wide(b"".join(raws), width)
+        del raws
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        new = np.concatenate(([True], keys[1:] != keys[:-1]))
+        at = np.flatnonzero(new)
+        number = np.empty(len(keys), np.int32)  # of each key asked for, among the distinct ones
+        number[order] = np.cumsum(new, dtype=np.int32) - 1
+        del keys, new
         counts = np.concatenate([unpacked(c) for c in asked.column("counts").to_pylist()])
-        totals = np.bincount(inverse, weights=counts, minlength=len(keys)).astype(np.int64)
+        totals = np.bincount(number, weights=counts, minlength=len(at)).astype(np.int64)
         rest = [None] * (len(sizes) - 1)
         classes = np.frombuffer(b"".join(asked.column("classes").to_pylist()), np.uint8)
         once = each = None
         if len(classes):
-            of = classes[first]
+            of = classes[order[at]]
             once = np.bincount(of[totals == 1], minlength=CLASSES).tolist()
             each = np.bincount(of, weights=totals, minlength=CLASSES).astype(np.int64).tolist()
+        ends = np.concatenate(([0], np.cumsum(sizes))).tolist()
         return pa.table({
             "block": asked.column("block"), "bucket": asked.column("bucket"),
-            "totals": [packed(x) for x in np.split(totals[inverse], np.cumsum(sizes)[:-1])],
+            "totals": [packed(totals[number[a:b]]) for a, b in zip(ends[:-1], ends[1:])],
             "types": [int((totals > 0).sum()), *rest], "tokens": [int(totals.sum()), *rest],
             "once": [int((totals == 1).sum()), *rest], "twice": [int((totals == 2).sum()), *rest],
             "class_once": [once, *rest], "class_tokens": [each, *rest]}, schema=ANSWERED)

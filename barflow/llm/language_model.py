@@ -12,7 +12,7 @@ from barflow.llm.common import (
 )
 
 #: Text bytes for each bucket of counts.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 #: Bytes of a pair's key that travel; the bucket number stands for higher bits.
 PAIR_BYTES = 5
 #: Stand for the end of a text, and for what is before its first word.

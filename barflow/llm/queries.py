@@ -97,14 +97,12 @@ def fold(n: int):
 
 @query
 def op7_backoff_automaton(spark, d):
-    scored = lm_scores(_table(spark, d, "documents"), fold(7) != 2)
-    return scored.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})
+    return lm_scores(_table(spark, d, "documents"), fold(7) != 2)
 
 
 @query
 def op8_distinct_word_bpe(spark, d):
-    path = public_tokenizers.path(RANKS)
-    decoded = byte_bpe.decode(byte_bpe.encode(_table(spark, d, "documents"), path), path)
+    decoded = byte_bpe.encode_and_decode(_table(spark, d, "documents"), public_tokenizers.path(RANKS))
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                           F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from barflow.llm.common import SPACES, separators, slices
+from barflow.llm.common import SPACES, distinct_segments, separators, slices
 
 #: Words that are indexed together (a longer text stands alone).
 PIECE = 1 << 17
@@ -31,11 +31,7 @@ class Words:
         last[:-1] &= ~inside[1:]
         self.sizes = np.flatnonzero(last) + 1 - starts
         self.bounds = np.searchsorted(starts, begin)  # text i has the words bounds[i] to bounds[i + 1]
-        offsets = np.concatenate(([0], np.cumsum(self.sizes)))
-        kind = (pa.binary(), np.int32) if offsets[-1] < 1 << 31 else (pa.large_binary(), np.int64)
-        flat = pa.Array.from_buffers(kind[0], len(starts), [
-            None, pa.py_buffer(offsets.astype(kind[1])), pa.py_buffer(data[inside])])
-        self.ids = np.asarray(flat.dictionary_encode().indices).astype(np.int64)
+        self.ids = distinct_segments(data, starts, starts + self.sizes)[0].astype(np.int64)
         # A word's bytes are followed by one more byte at least: that one becomes the space.
         keep = inside.copy()
         keep[np.flatnonzero(last) + 1] = True
