@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from barflow.llm.common import attach_totals, salts
 from barflow.session import staged
@@ -74,9 +75,12 @@ def exact_dedup(docs: DataFrame, identify: Callable[[Column], Column] = hashed)
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns; of a row repeated with its id, one stays."""
+    """The documents that stay, with all their columns; of rows repeated with id and text, one stays.
+
+    Which of these is not determined where their other columns differ (of columns that can be ordered, it is the
+    row with the least values).
+    """
     found = staged(exact_dedup(docs), "copies")
-    names = docs.columns
     with_hash = docs.withColumn("_sha", F.sha2(F.coalesce("text", F.lit("")), 256))
     gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_gone")).distinct()
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_gone"))
@@ -84,8 +88,15 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     twice = staged(found.filter("kept").groupBy("doc_id", "text_sha256").count().filter("count > 1").select(
         F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_gone")), "repeated")
     if twice.isEmpty():
-        return left.select(*names)
-    rest = F.struct(*[c for c in names if c not in ("doc_id", "text")])
-    single = left.join(twice, same, "left_anti").select(*names)
-    repeated = left.join(twice, same, "left_semi").groupBy("doc_id", "text").agg(F.min(rest).alias("rest"))
-    return single.unionByName(repeated.select("doc_id", "text", "rest.*").select(*names))
+        return left.select(*docs.columns)
+    single = left.join(twice, same, "left_anti").select(*docs.columns)
+    # The least row of each task, then of all: maps have no order, so they travel along and do not count.
+    ordered = [f.name for f in docs.schema.fields if f.name not in ("doc_id", "text") and not _unordered(f.dataType)]
+    repeated = left.join(twice, same, "left_semi").groupBy("doc_id", "_sha").agg(F.min_by(
+        F.struct(*docs.columns), F.struct(F.lit(0), *[F.col(f"`{c}`") for c in ordered])).alias("row"))
+    return single.unionByName(repeated.select("row.*"))
+
+
+def _unordered(kind: DataType) -> bool:
+    """Whether values of a type cannot be compared: maps, variants, and what holds one."""
+    return any(word in kind.simpleString() for word in ("map<", "variant", "void"))
