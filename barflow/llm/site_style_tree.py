@@ -21,7 +21,7 @@ from barflow.session import staged
 #: Weight of what lies below a node against its own layout, for each node below.
 GAMMA = 0.9
 #: Pages of a site that must have a node before its importance counts; others are taken as important.
-LEAST_PAGES = 5
+LEAST_PAGES = 2
 #: A branch goes if its importance is below this, and below half of that of the page's longest block,
 LOW, AGAINST = 0.3, 0.5
 #: and if it has no more than this share of the text.
@@ -43,20 +43,27 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
         "body": {"head"}}
 HOLDS = set("ul ol dl table div section article main body select td th aside nav form blockquote".split())
 # Roles of branches that are not the article: by element, by role, by a word of class or id.
-APART_TAGS = set("""head nav footer aside form button select input dialog menu object canvas audio video datalist
-   """.split()) | RAW
+NEVER_TAGS = set("head button select input object canvas audio video datalist".split()) | RAW
+APART_TAGS = set("nav footer aside form dialog menu".split())
 APART_ROLES = set("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar".split())
 APART_WORDS = set("""ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie
     cookies disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices pager pagination
     popup promo promoted related replies reply respond rss share sharing sidebar signup skip social sponsor sponsored
     subscribe toolbar widget widgets""".split())
-WHOLE = {"html", "body", "main", "article"}
+#: Words that change nothing about a role beside them, and words that deny it.
+NEUTRAL_WORDS = set("""area bar block bottom box button buttons column container footer form global group header holder inner item
+    items left links list main outer panel post primary right secondary section site top wrap wrapper""".split())
+DENYING_WORDS = set("has is no non not with without".split())
+#: A branch with a sign of such a role goes if the text without any sign is this part of the branch's own text.
+SURE, UNSURE = 0.1, 1.0
 
 _TAG = re.compile(
     r"<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)([^>]*)>)",
     re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
+#: The end of an element without content; the slash of an unquoted value is part of the value.
+_CLOSED = re.compile(r"""(?:^|[\s"'])/\s*\Z""")
 
 
 class Page:
@@ -104,7 +111,7 @@ class Page:
                 end = lower.find(f"</{name}", at) if len(lower) == len(html) else html.find(f"</{name}", at)
                 at = len(html) if end < 0 else end
                 stack.append(node)
-            elif name not in VOID and not rest.endswith("/"):
+            elif name not in VOID and not _CLOSED.search(rest):
                 stack.append(node)
 
     def _end_implied(self, stack: list[int], name: str) -> None:
@@ -217,43 +224,90 @@ def importances(pages: DataFrame) -> DataFrame:
         F.when(F.col("values") > 0, 1 - F.col("spread") / F.col("values") / base).alias("content"))
 
 
-def _apart(page: Page, i: int, in_article: bool) -> bool:
-    """Whether an element begins a branch that its role sets apart from the article."""
+def _never(page: Page, i: int) -> bool:
+    """Whether an element holds nothing that a reader sees as text."""
     tag, a = page.tag[i], page.attributes[i]
-    if tag in APART_TAGS or (tag == "header" and not in_article):
-        return True
-    if not a or tag in WHOLE and not a.get("class"):
-        return False
-    if "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", ""):
-        return True
-    if a.get("role", "").lower() in APART_ROLES:
-        return True
-    if tag in ("html", "body", "main"):
-        return False
-    words = {w.lower() for w in _NAME.findall(f"{a.get('class', '')} {a.get('id', '')}")}
-    return bool(words & APART_WORDS) or ("header" in words and not in_article)
+    return tag in NEVER_TAGS or bool(a) and (
+        "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", ""))
 
 
-def main_text(html: str | None, url: str | None, known: Callable[[int], tuple[float, float] | None]) -> tuple[str, int]:
-    """The article's text, and how many branches the site's tree removed.
+def _sign(page: Page, i: int, in_article: bool) -> float | None:
+    """How sure an element's tag, role, class or id is that its branch lies apart from the article; None: no sign.
 
-    ``known`` gives layout and content importance of a node, or None for nodes of too few pages.
+    A name that is made of role words (and neutral ones) is a sure sign, a role word among others an unsure one, and
+    a name that denies the role (``no-comments``, ``with-sidebar``) is none.
+    """
+    tag, a = page.tag[i], page.attributes[i]
+    if tag in APART_TAGS or (tag == "header" and not in_article) or a.get("role", "").lower() in APART_ROLES:
+        return SURE
+    if not a or tag in ("html", "body", "main"):
+        return None
+    sign = None
+    for name in [*a.get("class", "").split(), a.get("id", "")]:
+        words = [w.lower() for w in _NAME.findall(name)]
+        roles = set(words) & APART_WORDS or ({"header"} & set(words) if not in_article else set())
+        if roles and words[0] not in DENYING_WORDS:
+            if set(words) <= roles | APART_WORDS | NEUTRAL_WORDS:
+                return SURE
+            sign = UNSURE
+    return sign
+
+
+def branches_apart(page: Page) -> list[bool]:
+    """Of each element, whether it lies in a branch apart from the article.
+
+    Signs are weighed with text: the branches with a sign are judged from the one with most text down. A
+    branch goes if enough text is left without any sign; otherwise it holds what the page has to say, its sign is
+    void, and its text counts as text without a sign, but for branches in it that have signs of their own.
     """
-    if not html:
-        return "", 0
-    page = Page(html)
     n = len(page.tag)
-    inside, out = [False] * n, [False] * n  # within an article; in a branch apart
+    inside, out, sign = [False] * n, [False] * n, [None] * n
+    marked = [-1] * n  # the nearest element above, or the element itself, that has a sign
     for i in range(1, n):
         p = page.parent[i]
         inside[i] = inside[p] or page.tag[p] in ("article", "main")
-        out[i] = out[p] or _apart(page, i, inside[i])
-    length = [0] * n
-    for i in range(n - 1, -1, -1):
+        out[i] = out[p] or _never(page, i)
+        sign[i] = None if out[i] else _sign(page, i, inside[i])
+        marked[i] = marked[p] if sign[i] is None else i
+    length = _lengths(page, out)
+    clean = [0] * (n + 1)  # text by the nearest sign above it; the last place holds text without one
+    for i in range(n):
+        if not out[i]:
+            clean[marked[i]] += sum(len(k.strip()) for k in page.kids[i] if isinstance(k, str))
+    left = clean[-1]
+    gone = [False] * n
+    for i in sorted((i for i in range(n) if sign[i] is not None), key=lambda i: (-length[i], i)):
+        if left >= sign[i] * length[i]:
+            gone[i] = True
+        else:
+            left += clean[i]
+    for i in range(1, n):
+        out[i] = out[i] or gone[i] or out[page.parent[i]]
+    return out
+
+
+def _lengths(page: Page, out: list[bool]) -> list[int]:
+    """Characters of text in each element's branch, without what is out."""
+    length = [0] * len(page.tag)
+    for i in range(len(page.tag) - 1, -1, -1):
         if not out[i]:
             length[i] += sum(len(k.strip()) for k in page.kids[i] if isinstance(k, str))
             if i:
                 length[page.parent[i]] += length[i]
+    return length
+
+
+def main_text(html: str | None, url: str | None, known: Callable[[int], tuple[float, float] | None]) -> tuple[str, int]:
+    """The article's text, and how many branches the site's tree removed.
+
+    ``known`` gives layout and content importance of a node, or None for nodes of too few pages.
+    """
+    if not html:
+        return "", 0
+    page = Page(html)
+    n = len(page.tag)
+    out = branches_apart(page)
+    length = _lengths(page, out)
     roots = _roots(page, out, length)
     keep = [False] * n
     for i in range(n):
@@ -263,7 +317,7 @@ def main_text(html: str | None, url: str | None, known: Callable[[int], tuple[fl
 
 
 def _roots(page: Page, out: list[bool], length: list[int]) -> set[int]:
-    """The outermost articles (those with at least a quarter of the longest one's text), else main, else the page."""
+    """The outermost articles with text, else main, else the page."""
     for wanted in ("article", "main"):
         found = []
         nested = [False] * len(page.tag)
@@ -273,8 +327,7 @@ def _roots(page: Page, out: list[bool], length: list[int]) -> set[int]:
             if page.tag[i] == wanted and not nested[i] and not out[i] and length[i]:
                 found.append(i)
         if found:
-            most = max(length[i] for i in found)
-            return {i for i in found if 4 * length[i] >= most}
+            return set(found)
     return {0}
 
 
@@ -361,9 +414,9 @@ def extract(pages: DataFrame, sent_nodes: int = SENT_NODES) -> DataFrame:
 
     Null and empty pages have an empty text. A null or malformed address is a site of its own, shared by all
     such pages. Repeated pages are extracted each; extra columns are ignored; an empty table gives no rows.
-    Branches apart by their role (menus, footers, adverts, forms, comments and so on) go first; of the rest,
-    those that the site's style tree shows to be repeated, unless the page's main block is repeated as well
-    (copied pages) or they are large.
+    Branches whose tag, role, class or id tells that they lie apart (menus, footers, adverts, forms, comments and so
+    on) go if enough text is left without them; of the rest, those that the site's style tree shows to be
+    repeated, unless the page's main block is repeated as well (copied pages) or they are large.
 
     The trees' nodes go to every task while they are at most ``sent_nodes``; beyond that each page meets its
     own nodes in a join, in which a node that a third of all pages have is dealt to many tasks.
