@@ -59,23 +59,25 @@ r AS (
 w AS (
   SELECT *, sum(size) OVER () AS total,
          sum(size) OVER (ORDER BY k1) AS g_end, sum(size) OVER (PARTITION BY k1) AS g_bytes,
-         sum(size) OVER (ORDER BY k1, k2) AS r_end, sum(size) OVER (PARTITION BY k1, k2) AS r_bytes
+         sum(size) OVER (ORDER BY k1, k2) AS r_end, sum(size) OVER (PARTITION BY k1, k2) AS r_bytes,
+         row_number() OVER (PARTITION BY k1, k2) - 1 AS number
   FROM r),
 s AS (
-  SELECT w.doc_id, w.size, w.text_crc32, w.k1, w.k2, k, w.total,
-         40 * (g_end - g_bytes) AS gb, 40 * g_end AS ge, 40 * (r_end - r_bytes) AS rb, 40 * r_end AS re
+  SELECT w.doc_id, w.size, w.text_crc32, w.k1, w.k2, number, k, w.total,
+         40 * (g_end - g_bytes) AS gb, 40 * g_end AS ge, 40 * (r_end - r_bytes + number * size) AS rb,
+         40 * (r_end - r_bytes + (number + 1) * size) AS re
   FROM w CROSS JOIN generate_series(1, 39) AS n(k)),
 p AS (
-  SELECT doc_id, size, text_crc32, k1, k2,
+  SELECT doc_id, size, text_crc32, k1, k2, number,
          count(*) FILTER (CASE
            WHEN k * total <= gb THEN true
            WHEN k * total >= ge THEN false
            WHEN 100 * least(k * total - gb, ge - k * total) <= total THEN k * total - gb <= ge - k * total
            ELSE k * total - rb <= re - k * total END) AS shard
   FROM s GROUP BY ALL),
-q AS (SELECT *, k2 % 4 AS piece FROM p)
+q AS (SELECT *, (k2 + number) % 4 AS piece FROM p)
 SELECT doc_id, size, text_crc32, 'bytes' AS law, shard::INTEGER AS shard,
-       row_number() OVER (PARTITION BY shard ORDER BY piece, k1, k2) - 1 AS slot, NULL::INTEGER AS grown_shard
+       row_number() OVER (PARTITION BY shard ORDER BY piece, k1, k2, number) - 1 AS slot, NULL::INTEGER AS grown_shard
 FROM q"""
 
 

@@ -48,24 +48,25 @@ def _histogram(rows: DataFrame, level: str, done: int, bins: set[int], within: s
     if level == "k2":
         group.append(F.col("k1"))
     return at.groupBy(*group).agg(
-        F.sum("size").alias("bytes"), F.min(level).alias("low"), F.max(level).alias("high")).collect()
+        F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"), F.min(level).alias("low"), F.max(level).alias("high")).collect()
 
 
-def splitters(rows: DataFrame, n_shards: int, tolerance_percent: int = TOLERANCE_PERCENT) -> list[tuple[int, int]]:
-    """The first keys (k1, k2) of shards 1 to n - 1.
+def splitters(rows: DataFrame, n_shards: int, tolerance_percent: int = TOLERANCE_PERCENT) -> list[tuple[int, int, int]]:
+    """The first places (k1, k2, number) of shards 1 to n - 1; rows with equal keys are numbered from 0.
 
     Each pass counts exact bytes in up to 4,096 bins inside the bins that still hold a splitter's target, so
     it narrows every splitter by 12 bits; a few passes over the narrow key columns end it. A bin with one text
     left is a group of copies: the splitter takes its nearer end if that is within the tolerance, and otherwise
-    goes on through the ids' hashes to the row end nearest to the target.
+    goes on through the ids' hashes to the row end nearest to the target. Rows with both keys equal have equal
+    texts, so the number of the row at which they are cut follows from their count.
     """
     total = rows.agg(F.sum("size")).first()[0] or 0
-    found: dict[int, tuple[int, int]] = {}
+    found: dict[int, tuple[int, int, int]] = {}
     # target number -> bytes before its bin, and the bin it lies in, by level
     open_: dict[int, dict] = {k: {"before": 0, "level": "k1", "done": 0, "bin": 0, "k1": None}
                               for k in range(1, n_shards)}
     if not total:
-        return [(1 << KEY_BITS, 0)] * (n_shards - 1)
+        return [(1 << KEY_BITS, 0, 0)] * (n_shards - 1)
     while open_:
         for level, done in sorted({(s["level"], s["done"]) for s in open_.values()}):
             mine = {k: s for k, s in open_.items() if (s["level"], s["done"]) == (level, done)}
@@ -79,28 +80,54 @@ def splitters(rows: DataFrame, n_shards: int, tolerance_percent: int = TOLERANCE
                     if k * total < n_shards * (before + r["bytes"]):
                         break
                     before += r["bytes"]
-                edge = lambda key: (key, 0) if level == "k1" else (s["k1"], key)
+                edge = lambda key: (key, 0, 0) if level == "k1" else (s["k1"], key, 0)
                 left, right = k * total - n_shards * before, n_shards * (before + r["bytes"]) - k * total
                 if left <= 0:
                     found[k] = edge(r["low"])
                 elif r["low"] < r["high"]:
                     s |= {"before": before, "done": done + STEP_BITS, "bin": r["low"] >> (KEY_BITS - done - STEP_BITS)}
-                elif level == "k2" or 100 * min(left, right) <= tolerance_percent * total:
+                elif level == "k1" and 100 * min(left, right) <= tolerance_percent * total:
                     found[k] = edge(r["low"] if left <= right else r["low"] + 1)
+                elif level == "k2":
+                    row = n_shards * r["bytes"] // r["n"]
+                    found[k] = (s["k1"], r["low"], max(0, -(-(2 * left - row) // (2 * row))))
                 else:
                     s |= {"before": before, "level": "k2", "done": 0, "bin": 0, "k1": r["low"]}
             open_ = {k: s for k, s in open_.items() if k not in found}
     return [found[k] for k in range(1, n_shards)]
 
 
+def _with_numbers(docs: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``keyed(docs)`` and the keys alone, both with ``number``: 0, or a row's place among the rows of equal keys.
+
+    Only repeated rows need one. They are staged, as their places must not change between two readings; a task
+    numbers those that lie together, and adds what lies before them.
+    """
+    both = ["k1", "k2"]
+    zero = F.lit(0).cast("long").alias("number")
+    repeated = staged(keys.groupBy(*both).count().filter("count > 1").select(*both), "repeated-keys")
+    if repeated.isEmpty():
+        return keyed(docs).select("*", zero), keys.select(*both, zero)
+    rows = staged(keyed(docs).join(repeated, both, "left_semi").withColumn("at", F.monotonically_increasing_id()), "repeated-rows")
+    parts = rows.withColumn("part", F.shiftright("at", 33))
+    before = parts.groupBy(*both, "part").count().selectExpr(
+        *both, "part", "sum(count) OVER (PARTITION BY k1, k2 ORDER BY part) - count AS before")
+    numbered = parts.selectExpr("*", "row_number() OVER (PARTITION BY k1, k2, part ORDER BY at) - 1 AS inside").join(
+        before, [*both, "part"]).withColumn("number", F.col("before") + F.col("inside"))
+    numbered = staged(numbered.select("document", "size", *both, "number"), "numbered-rows")
+    plain = keyed(docs).join(repeated, both, "left_anti").select("*", zero)
+    return (plain.select("document", "size", *both, "number").unionAll(numbered),
+            keys.join(repeated, both, "left_anti").select(*both, zero).unionAll(numbered.select(*both, "number")))
+
+
 def shard_documents(docs: DataFrame, n_shards: int, tolerance_percent: int = TOLERANCE_PERCENT,
                     piece_rows: int = 250_000, piece_bytes: int = 64 << 20) -> DataFrame:
     """``shard, slot, document``: every row of ``docs`` with all its columns, placed in its shard.
 
     Shards are key ranges of near equal bytes: each end lies within one row, or within the tolerance where
-    that leaves equal texts together. A hot group of copies is split where it exceeds that. Null texts have no
-    bytes and group with empty ones; null ids sort by the hash of an empty id. Rows repeated with id and text
-    have one key and stay together. An empty table gives no rows.
+    that leaves equal texts together. A hot group of copies is split where it exceeds that, also one of rows
+    repeated with their id. Null texts have no bytes and group with empty ones; null ids sort by the hash of an
+    empty id. An empty table gives no rows.
 
     Narrow keys are staged for the splitters and for the rows before each piece. The documents themselves are
     read after that and move once, in pieces of a shard small enough for a task; a slot is the piece's offset
@@ -108,20 +135,21 @@ def shard_documents(docs: DataFrame, n_shards: int, tolerance_percent: int = TOL
     """
     keys = staged(sized(docs).select("size", "k1", "k2"), "shard-keys")
     ends = splitters(keys, n_shards, tolerance_percent)
-    bounds = F.array(*[F.struct(F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b")) for a, b in ends])
-    here = F.struct(F.col("k1").alias("a"), F.col("k2").alias("b"))
+    bounds = F.array(*[F.struct(*[F.lit(x).cast("long").alias(c) for x, c in zip(end, "abc")]) for end in ends])
+    here = F.struct(F.col("k1").alias("a"), F.col("k2").alias("b"), F.col("number").alias("c"))
     shard = F.size(F.filter(bounds, lambda s: s <= here)) if ends else F.lit(0)
     n_rows, n_bytes = keys.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     n_pieces = max(4, -(-n_rows // (n_shards * piece_rows)), -(-n_bytes // (n_shards * piece_bytes)))
+    rows, places = _with_numbers(docs, keys)
 
     def placed(rows: DataFrame) -> DataFrame:
         return rows.withColumn("shard", shard.cast("int")).withColumn(
-            "piece", F.pmod("k2", F.lit(n_pieces)).cast("int"))
+            "piece", F.pmod(F.col("k2") + F.col("number"), F.lit(n_pieces)).cast("int"))
 
-    offsets = placed(keys).groupBy("shard", "piece").count().selectExpr(
+    offsets = placed(places).groupBy("shard", "piece").count().selectExpr(
         "shard", "piece", "sum(count) OVER (PARTITION BY shard ORDER BY piece) - count AS offset")
-    inside = placed(keyed(docs)).selectExpr(
-        "shard", "piece", "document", "row_number() OVER (PARTITION BY shard, piece ORDER BY k1, k2) - 1 AS place")
+    inside = placed(rows).selectExpr(
+        "shard", "piece", "document", "row_number() OVER (PARTITION BY shard, piece ORDER BY k1, k2, number) - 1 AS place")
     return inside.join(offsets, ["shard", "piece"]).selectExpr("shard", "offset + place AS slot", "document")
 
 
