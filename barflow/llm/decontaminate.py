@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import pickle
 import re
 from collections.abc import Iterator
-from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barflow.llm.common import Words, chunks_of, slices
-from barflow.session import staged
+from barflow.session import staged, work_dir
 
 #: BM25's term saturation and length normalization.
 K1, B = 1.2, 0.75
@@ -27,9 +27,9 @@ QUESTION, ANSWER = 0.6, 0.6
 SHINGLE = 5
 #: Items of an index block, whose largest weights bound what a block can score.
 BLOCK = 4
-#: Passages have at least twice these words, and begin at every multiple of them (more for longer items).
+#: Passages have twice these words and begin at every multiple of them; for longer items 2, 4, 8 ... times as many.
 STRIDE = 64
-#: Item text of one index. A larger benchmark is asked in several indexes, one after the other.
+#: Item text that is indexed together. A larger benchmark is asked part by part, one after the other.
 INDEX_BYTES = 8 << 20
 #: Bounds of passages and blocks that are added up at a time.
 CELLS = 1 << 21
@@ -59,12 +59,19 @@ def _shingles(words: np.ndarray) -> set[tuple]:
     return {tuple(w[i: i + n]) for i in range(len(w) - n + 1)} if n else set()
 
 
+def stride_of(n_words: int) -> int:
+    """Words between the passages that an item is looked for in: the least class a quarter longer than the item."""
+    stride = STRIDE
+    while 4 * stride < 5 * n_words:
+        stride *= 2
+    return stride
+
+
 class Corpus(NamedTuple):
     """What the weights take from the whole benchmark, however many indexes it has; ``terms`` are sorted."""
 
     n_items: int
     n_words: int
-    longest: int
     terms: np.ndarray
     df: np.ndarray
 
@@ -76,7 +83,7 @@ def _split(texts: list[str | None]) -> tuple[list[tuple[str, str]], Words]:
 
 
 class Index:
-    """Postings of test items with block maxima, in arrays that grow with the items' words.
+    """Postings of test items of one length class, with block maxima, in arrays that grow with the items' words.
 
     The weight of a word in an item is its BM25 contribution over the sum that the item gives itself, so that a
     passage's score is the share of the item it covers, and one threshold holds for all items. Without
@@ -98,9 +105,8 @@ class Index:
         empty = [np.empty(0, np.int64)]
         term = np.concatenate([t for t, _ in counted] or empty)
         if corpus is None:
-            corpus = Corpus(len(sequences), len(self.words), max(map(len, sequences), default=0), self.terms,
-                            np.bincount(term, minlength=len(self.terms)))
-        self.longest = corpus.longest
+            corpus = Corpus(len(sequences), len(self.words), self.terms, np.bincount(term, minlength=len(self.terms)))
+        self.stride = stride_of(max(map(len, sequences), default=0))
         df = corpus.df[np.searchsorted(corpus.terms, self.terms)]
         idf = np.log1p((corpus.n_items - df + 0.5) / (df + 0.5))
         mean = corpus.n_words / max(corpus.n_items, 1)
@@ -176,7 +182,7 @@ class Index:
         """(text, item, score, question overlap, answer overlap): the verified items of each text's passages."""
         if not self.n_blocks:
             return
-        stride = max(STRIDE, -(-self.longest * 5 // 4))
+        stride = self.stride
         for first, last in chunks_of(texts):
             words = _words(texts[first:last])
             at = np.searchsorted(self.terms, words.hashes)
@@ -233,11 +239,13 @@ class Index:
         bag = set(inside.tolist())
         for item, score in found:
             question = _shingles(self.question(item))
-            n = len(next(iter(question)))
-            if n not in have:
-                w = inside.tolist()
-                have[n] = {tuple(w[i: i + n]) for i in range(len(w) - n + 1)}
-            q = len(question & have[n]) / len(question)
+            q = 1.0  # of an item without a question the answer alone decides
+            if question:
+                n = len(next(iter(question)))
+                if n not in have:
+                    w = inside.tolist()
+                    have[n] = {tuple(w[i: i + n]) for i in range(len(w) - n + 1)}
+                q = len(question & have[n]) / len(question)
             answer = set(self.answer(item).tolist())
             a = len(answer & bag) / len(answer) if answer else 1.0
             if q >= QUESTION and a >= ANSWER:
@@ -255,74 +263,108 @@ def _with_words(batches):
             names=["part", "item_id", "text", "words"])
 
 
-def indexes(benchmark: DataFrame, index_bytes: int = INDEX_BYTES) -> Iterator[Index]:
-    """Indexes of a benchmark's items, each of about ``index_bytes`` of text; null and empty items are left out.
+class Part(list):
+    """The indexes of a part of the benchmark, one for each length class of its items."""
+
+    def hits(self, texts: list[str | None]) -> list[tuple]:
+        """(text, item id, score, question overlap, answer overlap) of each item found."""
+        return [(t, index.ids[i], *scores) for index in self for t, i, *scores in index.hits(texts)]
+
+
+def parts(benchmark: DataFrame, index_bytes: int = INDEX_BYTES) -> tuple[int, Iterator[Part]]:
+    """How many parts a benchmark has, and these, each of about ``index_bytes`` of items; items without text are left out.
 
-    Document frequencies, mean length, number of items and longest item are those of the whole benchmark, so an
-    item's figures do not depend on the items it shares an index with. Indexes are built in tasks; the driver
-    passes them on one by one.
+    Document frequencies, mean length and number of items are those of the whole benchmark, and an item's passages
+    depend on its own length, so its figures do not depend on the items it shares a part with. Indexes are
+    built in tasks; the driver passes them on one by one.
     """
     items = benchmark.selectExpr("CAST(item_id AS bigint) AS item_id", "text").filter("octet_length(text) > 0")
     n = -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // index_bytes)
     if not n:
-        return
+        return 0, iter(())
     items = staged(items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)).cast("int")).mapInArrow(
         _with_words, "part int, item_id bigint, text string, words array<bigint>").filter("size(words) > 0"), "test-items")
-    n_items, n_words, longest = items.agg(F.count(F.lit(1)), F.sum(F.size("words")), F.max(F.size("words"))).first()
+    n_items, n_words = items.agg(F.count(F.lit(1)), F.sum(F.size("words"))).first()
     terms = items.select("part", F.explode(F.array_distinct("words")).alias("term")).groupBy("part", "term").count()
     df = terms.groupBy("term").agg(F.sum("count").alias("df"))
 
     def build(mine: pa.Table, known: pa.Table) -> pa.Table:
         term = known.column("term").to_numpy().view(np.uint64)
         order = np.argsort(term)
-        corpus = Corpus(n_items, n_words, longest, term[order], known.column("df").to_numpy()[order])
-        rows = zip(mine.column("item_id").to_pylist(), mine.column("text").to_pylist())
-        index = Index(sorted(rows, key=lambda r: (r[0] is None, r)), corpus)
+        corpus = Corpus(n_items, n_words, term[order], known.column("df").to_numpy()[order])
+        classes: dict[int, list] = {}
+        for item, text, size in zip(*(mine.column(c).to_pylist() for c in ("item_id", "text", "size"))):
+            classes.setdefault(stride_of(size), []).append((item, text))
+        built = Part(Index(sorted(rows, key=lambda r: (r[0] is None, r)), corpus) for _, rows in sorted(classes.items()))
         return pa.table({"part": pa.array([mine.column("part")[0].as_py()], pa.int32()),
-                         "index": pa.array([pickle.dumps(index)], pa.binary())})
+                         "index": pa.array([pickle.dumps(built)], pa.binary())})
 
-    built = staged(items.select("part", "item_id", "text").groupBy("part").cogroup(
+    built = staged(items.select("part", "item_id", "text", F.size("words").alias("size")).groupBy("part").cogroup(
         terms.select(F.col("part").alias("of"), "term").join(df, "term").groupBy("of")).applyInArrow(build, "part int, index binary"),
         "test-indexes")
-    for part in range(n):
-        for row in built.filter(F.col("part") == part).select("index").collect():
-            yield pickle.loads(row[0])
 
+    def each() -> Iterator[Part]:
+        for part in range(n):
+            for row in built.filter(F.col("part") == part).select("index").collect():  # one row, of index_bytes of items
+                yield pickle.loads(row[0])
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, index_bytes: int = INDEX_BYTES) -> DataFrame:
-    """``doc_id, item_id, bm25_share, question_overlap, answer_overlap``: one row for each document and item found.
+    return n, each()
 
-    Every passage of every document is a query: windows of twice the stride, which is a quarter longer than the
-    longest item, so each place where an item may stand lies in one whole window. Retrieval is exact above the
-    threshold. A document's figures are those of its best passage by score. Case and punctuation do not
-    matter. Null and empty texts have no passage; items without a word are never found. Repeated rows are
-    answered each; rows without an id are answered under a null id; extra columns are ignored; an empty table on either side gives no rows.
-    """
+
+def _found(docs: DataFrame, benchmark: DataFrame, index_bytes: int, text_key: bool = False) -> DataFrame:
+    """A row for each document and item found, part of the benchmark by part: one part is in the tasks at a time."""
     spark = docs.sparkSession
     base = docs.selectExpr("CAST(doc_id AS bigint) AS doc_id", "text")
+    names = ["doc_id", "item_id", "bm25_share", "question_overlap", "answer_overlap"]
+    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
+    path = work_dir(spark, "leaks")
+    schema = _HIT + (", sha binary" if text_key else "")
+    spark.createDataFrame([], schema).write.parquet(path)
+    for part in parts(benchmark, index_bytes)[1]:
+        sent = spark.sparkContext.broadcast(part)  # bounded by index_bytes
 
-    def over(index: Index) -> DataFrame:
-        sent = spark.sparkContext.broadcast(index)  # bounded by index_bytes
-
-        def run(batches):
+        def run(batches, sent=sent):
             for batch in slices(batches):
-                ids = batch.column("doc_id").to_pylist()
-                rows = [(ids[t], sent.value.ids[i], s, q, a) for t, i, s, q, a in sent.value.hits(batch.column("text").to_pylist())]
-                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)],
-                    names=["doc_id", "item_id", "bm25_share", "question_overlap", "answer_overlap"])
+                ids, texts = (batch.column(c).to_pylist() for c in ("doc_id", "text"))
+                rows = [(t, (ids[t], *scores)) for t, *scores in sent.value.hits(texts)]
+                columns = [pa.array([r[i] for _, r in rows], kind) for i, kind in enumerate(kinds)]
+                if text_key:
+                    columns.append(pa.array([hashlib.sha256(texts[t].encode("utf-8", "surrogatepass")).digest() for t, _ in rows], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, *["sha"] * text_key])
 
-        return base.mapInArrow(run, _HIT)
+        base.mapInArrow(run, schema).write.mode("append").parquet(path)
+        sent.destroy()
+    return spark.read.schema(schema).parquet(path)
 
-    found = [over(index) for index in indexes(benchmark, index_bytes)]
-    return reduce(DataFrame.unionAll, found) if found else spark.createDataFrame([], _HIT)
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, index_bytes: int = INDEX_BYTES) -> DataFrame:
+    """``doc_id, item_id, bm25_share, question_overlap, answer_overlap``: one row for each document and item found.
+
+    Every passage of every document is a query: windows of twice the stride, which is at least a quarter longer than
+    the item (64 words, or 2, 4, 8 ... times as many), so each place where an item may stand lies in one whole
+    window. Retrieval is exact above the threshold. A document's figures are those of its best passage by score. Case
+    and punctuation do not matter. Null and empty texts have no passage; items without a word are never found;
+    of an item whose question has no word, the answer alone decides. Repeated rows are answered each; rows
+    without an id are answered under a null id, and ids must be whole numbers; extra columns are ignored; an empty
+    table on either side gives no rows.
+    """
+    return _found(docs, benchmark, index_bytes)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, index_bytes: int = INDEX_BYTES) -> DataFrame:
-    """The documents in which no item is found, with all their columns; documents are not moved."""
-    for index in indexes(benchmark, index_bytes):
-        sent = docs.sparkSession.sparkContext.broadcast(index)
+    """The documents in which no item is found, with all their columns.
+
+    Where one part holds the whole benchmark the tasks decide on the documents as they read them. Beyond that the
+    documents found are noted part by part, by id and text, and taken out at the end.
+    """
+    n, each = parts(benchmark, index_bytes)
+    if n > 1:
+        bad = _found(docs, benchmark, index_bytes, text_key=True).select(F.col("doc_id").alias("_id"), F.col("sha").alias("_of")).distinct()
+        marked = docs.withColumn("_sha", F.unhex(F.sha2("text", 256)))
+        return marked.join(bad, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_of")), "left_anti").select(
+            *docs.columns)
+    for part in each:
+        sent = docs.sparkSession.sparkContext.broadcast(part)  # bounded by index_bytes
 
         def run(batches, sent=sent):
             for batch in slices(batches):
