@@ -108,10 +108,21 @@ def test_shards_have_near_equal_bytes(docs, words, n):
     assert {r.doc_id: r.shard for r in out} == {id_of[k]: s for k, s in zip(order, want)}
 
 
-def test_splitters_of_equal_rows(spark, docs):
-    rows = sized(docs([(1, "same")] * 50 + [(2, "other")]))
-    assert len(splitters(rows, 4)) == 3
-    assert shard_by_bytes(docs([(1, "same")] * 50), 4).select("shard").distinct().count() == 1
+def test_repeated_rows_are_cut_like_others(spark, docs):
+    """One text without ids, and rows repeated with their id: shards keep near equal bytes, slots have no gaps."""
+    assert len(splitters(sized(docs([(1, "same")] * 50 + [(2, "other")])), 4)) == 3
+    assert sorted(r.n for r in shard_by_bytes(docs([(1, "same")] * 50), 4).groupBy("shard").agg(
+        F.count("*").alias("n")).collect()) == [12, 12, 13, 13]
+    rows = [(None, "one text")] * 4000 + [(i, f"text {i}") for i in range(400)] + [(7000, "x" * 50)] * 300
+    out = shard_by_bytes(docs(rows), 40).collect()
+    sizes, slots = defaultdict(int), defaultdict(list)
+    for r in out:
+        sizes[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    assert len(out) == len(rows) and sorted(sizes) == list(range(40))
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    share = sum(sizes.values()) / 40
+    assert all(abs(s - share) <= 2 * 66 + 0.02 * share for s in sizes.values())
 
 
 def test_shards_hold_the_documents_with_all_columns(docs, words, tmp_path):
@@ -137,3 +148,12 @@ def test_pieces_are_bounded_by_bytes(docs, words):
     for shard in (0, 1):
         assert sorted(r.slot for r in out if r.shard == shard) == list(range(sum(r.shard == shard for r in out)))
     assert sorted(r.document.doc_id for r in out) == list(range(200))
+
+
+def test_drop_copies_beside_a_map(spark):
+    rows = [(1, "a", {"k": 1}), (1, "a", {"k": 1}), (2, "a", {"k": 2}), (3, None, None), (4, "", {"x": 9})]
+    kept = drop_copies(spark.createDataFrame(rows, "doc_id bigint, text string, tags map<string,int>"))
+    assert sorted((r.doc_id, r.tags) for r in kept.collect()) == [(2, {"k": 2}), (4, {"x": 9})]
+    rows = [(9, "b", {"k": 1}), (9, "b", {"k": 1})]
+    kept = drop_copies(spark.createDataFrame(rows, "doc_id bigint, text string, tags map<string,int>"))
+    assert [tuple(r) for r in kept.collect()] == [(9, "b", {"k": 1})]

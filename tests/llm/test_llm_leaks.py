@@ -37,27 +37,26 @@ def weights(items):
             one[w] = idf * c * (leaks.K1 + 1) / (c + leaks.K1 * (1 - leaks.B + leaks.B * len(s) / mean))
         total = sum(one.values())
         out.append({w: v / total for w, v in one.items()})
-    return out, max(map(len, sequences))
+    return out, [next(x for x in (64 << k for k in range(40)) if x >= 1.25 * len(s)) for s in sequences]
 
 
 def brute(rows, items):
     """Every passage against every item."""
-    share, longest = weights(items)
-    stride = max(leaks.STRIDE, -(-longest * 5 // 4))
+    share, strides = weights(items)
     grams = lambda w, n: {tuple(w[i: i + n]) for i in range(len(w) - n + 1)}
     out = {}
     for d, text in rows:
         w = tokens(text)
-        for start in range(0, len(w), stride):
-            inside = w[start: start + 2 * stride]
-            bag = set(inside)
-            for (item, t), weight in zip(items, share):
+        for (item, t), weight, stride in zip(items, share, strides):
+            for start in range(0, len(w), stride):
+                inside = w[start: start + 2 * stride]
+                bag = set(inside)
                 score = sum(v for x, v in weight.items() if x in bag)
                 if score < leaks.SHARE:
                     continue
                 q, a = map(tokens, question_and_answer(t))
                 n = min(5, len(q))
-                qs = len(grams(q, n) & grams(inside, n)) / len(grams(q, n))
+                qs = len(grams(q, n) & grams(inside, n)) / len(grams(q, n)) if q else 1.0
                 as_ = len(set(a) & bag) / len(set(a)) if a else 1.0
                 if qs >= leaks.QUESTION and as_ >= leaks.ANSWER:
                     out[d, item] = max(out.get((d, item), (0,)), (score, qs, as_))
@@ -137,3 +136,18 @@ def test_figures_do_not_depend_on_the_number_of_indexes(spark, docs, words):
     one = found(1 << 20)
     assert len(one) > 15 and found(2000) == one
     assert {r[:2] for r in one} == set(brute(rows, items))
+
+
+def test_items_of_all_lengths_and_without_a_question(spark, docs, words):
+    items = made_items(words, 20) + [(100, " ".join(words(300, 77, 900)) + "? " + " ".join(words(20, 78, 900)) + "."),
+                                     (101, "?! Forty two is the answer to it all."), (102, "Alone?")]
+    rows = leaky(words, items) + [(600 + i, t) for i, t in items] + [(800, "so forty two is the answer to it all they say")]
+    benchmark = spark.createDataFrame([(i, t, 1) for i, t in items], ITEMS)
+    want = brute(rows, items)
+    assert {(800, 101), (701, 101), (700, 100)} <= set(want)
+    for index_bytes in (1 << 20, 3000):
+        out = {(r.doc_id, r.item_id): tuple(r)[2:] for r in contaminated(docs(rows), benchmark, index_bytes).collect()}
+        assert set(out) == set(want)
+        kept = drop_contaminated(docs(rows + [(None, None), (None, items[0][1])]), benchmark, index_bytes).collect()
+        assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted(d for d, _ in rows if d not in {k for k, _ in want})
+        assert sum(r.doc_id is None for r in kept) == 1

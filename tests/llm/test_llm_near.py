@@ -1,10 +1,13 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
+from barflow.llm import jaccard_join
+from barflow.llm.common import mixed
 from barflow.llm.components import components
-from barflow.llm.jaccard_join import drop_near_copies, jaccard_components
+from barflow.llm.jaccard_join import _mark, drop_near_copies, jaccard_components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -102,3 +105,35 @@ def test_blocks_do_not_depend_on_the_type_of_ids(docs):
     dealt = lambda frame: sorted((r.block, i) for r in in_blocks(frame, 500)[0].collect() for i in r.doc_id)
     wide = dealt(df)
     assert len({b for b, _ in wide}) > 3 and dealt(df.withColumn("doc_id", df.doc_id.cast("int"))) == wide
+
+
+def test_one_id_with_several_texts_loses_no_link(docs, words):
+    a, b = (" ".join(words(60, k)) for k in (1, 2))
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (9, None), (9, b + " z"), (10, ""), (11, a)]
+    out = {(r.doc_id, r.n_shingles): r.component_id for r in jaccard_components(docs(rows)).collect()}
+    assert {d: c for (d, _), c in out.items()} == {1: 1, 2: 1, 3: 1, 9: 1, 10: 10, 11: 1}
+    assert out[9, 0] == 1
+    swapped = [(5, a), (5, b), (2, a + " x"), (3, b + " y")]
+    assert {r.component_id for r in jaccard_components(docs(swapped)).collect()} == {2}
+
+
+def test_short_sets_meet_in_combinations_of_frequent_shingles():
+    tokens, df = np.arange(1, 13, dtype=np.uint64) * np.uint64(977), np.full(12, 100_000)
+    single = {int(x) for level in range(5) for x in mixed(tokens + np.array([(level + 1) * 0x9FB21C651E98DF25 % (1 << 64)], np.uint64))}
+    _, _, _, short, long, _ = _mark(1, tokens, df, 80)
+    signatures = {x % (1 << 64) for x in [*short.tolist(), *long.tolist()]}
+    assert signatures and not signatures & single
+
+
+def test_short_texts_that_share_frequent_shingles_are_not_all_paired(spark, docs, monkeypatch):
+    """5,000 texts of a dozen words: ten common openings, ends of their own. Links are right and few pairs are verified."""
+    rng = random.Random(3)
+    opening = [" ".join(f"o{k}w{i}" for i in range(9)) for k in range(10)]
+    rows = [(i, f"{opening[i % 10]} {rng.randrange(10**9)} {rng.randrange(10**9)} {rng.randrange(10**9)}") for i in range(5000)]
+    rows += [(6000 + i, opening[0]) for i in range(30)]
+    pairs = []
+    whole = jaccard_join._verified
+    monkeypatch.setattr(jaccard_join, "_verified", lambda p, *rest: pairs.append(p.count()) or whole(p, *rest))
+    out = {r.doc_id: r.component_id for r in jaccard_components(docs(rows)).collect()}
+    assert all(out[i] == i for i in range(5000)) and all(out[6000 + i] == 6000 for i in range(30))
+    assert sum(pairs) < 50_000

@@ -6,7 +6,8 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from barflow.llm.byte_bpe import PreTokens, cut, decode, encode, encode_word, read_ranks
+from barflow.llm.byte_bpe import PreTokens, cut, decode, encode, encode_and_decode, encode_word, read_ranks
+from barflow.llm.common import Words
 from barflow.llm.piece_counts import LongestMatch, count_pieces
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -95,3 +96,19 @@ def test_piece_counts(docs):
         assert r.n_words == len(words)
         assert r.n_tokens == sum(greedy(b" " + w, vocabulary, longest) for w in words)
     assert count_pieces(docs([]), PATH).count() == 0
+
+
+def thue_morse(n):
+    """Two different words of n letters that a polynomial of any base cannot tell apart modulo 2 ** 64 (n of 1,024 or more)."""
+    one = "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_built_to_collide_are_told_apart(docs):
+    one, two = thue_morse(2048)
+    rows = [(1, f"{one} {two} {one}"), (2, two), (3, one)]
+    out = {r.doc_id: r for r in encode_and_decode(docs(rows), PATH).collect()}
+    assert all(bytes(out[d].decoded).decode() == t for d, t in rows)
+    plain = {r.doc_id: r for r in decode(encode(docs(rows), PATH), PATH).collect()}
+    assert all(plain[d] == out[d] for d, _ in rows)
+    assert len(set(Words([one, two]).hashes.tolist())) == 2
