@@ -10,13 +10,13 @@ from barflow.llm import byte_bpe, language_id
 from barflow.llm.decontaminate import drop_contaminated
 from barflow.llm.exact_dedup import drop_copies
 from barflow.llm.jaccard_join import drop_near_copies
-from barflow.llm.queries import RANKS, fold
+from barflow.llm.queries import RANKS
 from barflow.session import work_dir
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or with no n-gram in common with any language, go. One fold in five teaches nothing."""
-    return language_id.keep_identified(docs, language_id.learn_profiles(docs.filter(fold(5) != 0)))
+    """Documents without letters, or with no n-gram in common with any language, go. All documents teach."""
+    return language_id.keep_identified(docs, language_id.learn_profiles(docs))
 
 
 def remove_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +36,7 @@ def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids`` (little-endian unsigned 32-bit) and ``text`` as decoded from them."""
-    path = public_tokenizers.path(RANKS)
-    decoded = byte_bpe.decode(byte_bpe.encode(docs, path), path)
+    decoded = byte_bpe.encode_and_decode(docs, public_tokenizers.path(RANKS))
     return decoded.select("doc_id", "n_tokens", "ids", F.col("decoded").cast("string").alias("text"))
 
 
