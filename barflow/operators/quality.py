@@ -20,12 +20,16 @@ def _business_days_between(start: Column, end: Column) -> Column:
 
 def quality_checks(silver: DataFrame, check_date: str) -> DataFrame:
     """Four check rows per symbol from one pass over its bars."""
-    counts = silver.groupBy("symbol").agg(
+    return checks_of(silver.groupBy("symbol").agg(
         F.count_if(F.col("close").isNull()).alias("nulls"),
         F.count_if(F.col("high") < F.col("low")).alias("inverted"),
         F.count_if((F.col("close") < 0) | (F.col("open") < 0)).alias("negatives"),
         F.max("date").alias("newest"),
-    )
+    ), check_date)
+
+
+def checks_of(counts: DataFrame, check_date: str) -> DataFrame:
+    """The check rows of counts per symbol, however these were made."""
 
     def check(name: str, passed: Column, key: str, value: Column) -> Column:
         return F.struct(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barflow.functions.scalars import direction_label
@@ -160,10 +160,11 @@ def ingestion_log(bars: DataFrame, batch_id: str | None = None) -> DataFrame:
     )
 
 
-def failure_log(df: DataFrame, batch_id: str, error: str) -> DataFrame:
-    """Log rows for the symbols of a batch whose write failed."""
-    return df.select("symbol").distinct().select(
-        F.lit(batch_id).alias("batch_id"), "symbol",
+def failure_log(df: DataFrame, batch_id: str | Column, error: str) -> DataFrame:
+    """Log rows for the symbols of a batch, or of each batch of a column, whose write failed."""
+    batch = batch_id if isinstance(batch_id, Column) else F.lit(batch_id)
+    return df.select(batch.alias("batch_id"), "symbol").distinct().select(
+        "batch_id", "symbol",
         F.lit(None).cast("date").alias("start_date"), F.lit(None).cast("date").alias("end_date"),
         F.lit(0).cast("long").alias("rows_ingested"),
         F.lit("failed").alias("status"), F.lit(error).alias("error_message"),

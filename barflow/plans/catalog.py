@@ -18,7 +18,7 @@ from barflow.operators import clean, drift, indicators, modeling, monitoring, qu
 from barflow.plans import layers, models
 from barflow.session import staged, work_dir
 from barflow.sources import bars as src
-from barflow.sources import landing, tables
+from barflow.sources import landing, tables, zones
 from barflow.streaming import jobs
 
 CUTOFF = "2000-01-01"
@@ -971,6 +971,21 @@ def run_layers_gold(spark, d):
     return rounded(gold.select("symbol", "date", *indicators.GOLD_COLUMNS))
 
 
+@query
+def run_zone_map(spark, d):
+    return zones.read(spark, f"{_layer_runs(spark, d)}/silver")
+
+
+@query
+def run_newest_dates(spark, d):
+    return zones.newest(spark, f"{_layer_runs(spark, d)}/bronze")
+
+
+@query
+def run_quality_checks(spark, d):
+    return spark.read.parquet(f"{_layer_runs(spark, d)}/quality_checks").filter(F.col("check_date") == CHECK_DATE)
+
+
 @query
 def run_ingestion_log(spark, d):
     return spark.read.parquet(f"{_layer_runs(spark, d)}/ingestion_log").drop("error_message")

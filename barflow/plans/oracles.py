@@ -661,6 +661,18 @@ RUN_GOLD = (DIRTY, RUN_ROWS, *GOLD_OF_SILVER[2:])
 add("run_layers_silver", f"""SELECT {SILVER_OUT}, CASE WHEN date >= changed THEN DATE '{CHECK_DATE}' ELSE DATE '{CUTOFF}' END
   AS processed_at FROM silver LEFT JOIN (SELECT symbol, min(date) AS changed FROM last_raw WHERE second_run GROUP BY 1) USING (symbol)""",
     DIRTY, RUN_ROWS, SILVER)
+add("run_zone_map", """SELECT symbol, CAST(year(date) AS INTEGER) AS period, count(*) AS n, count(*) FILTER (close IS NULL) AS nulls,
+  count(*) FILTER (high < low) AS inverted, count(*) FILTER (close < 0 OR open < 0) AS negatives,
+  min(date) AS first_date, max(date) AS last_date FROM silver GROUP BY ALL""", DIRTY, RUN_ROWS, SILVER)
+add("run_newest_dates", "SELECT symbol, max(date) AS last_date FROM last_raw GROUP BY 1", DIRTY, RUN_ROWS)
+add("run_quality_checks", f"""SELECT symbol, DATE '{CHECK_DATE}' AS check_date, c.check_name, c.passed, c.details FROM (
+    SELECT symbol, count(*) FILTER (close IS NULL) AS nulls, count(*) FILTER (high < low) AS inverted,
+           count(*) FILTER (close < 0 OR open < 0) AS negatives, max(date) AS newest FROM silver GROUP BY 1),
+  unnest([{{'check_name': 'completeness_no_null_close', 'passed': nulls = 0, 'details': '{{"null_count":' || nulls || '}}'}},
+    {{'check_name': 'consistency_ohlc_integrity', 'passed': inverted = 0, 'details': '{{"invalid_rows":' || inverted || '}}'}},
+    {{'check_name': 'validity_no_negative_prices', 'passed': negatives = 0, 'details': '{{"negative_count":' || negatives || '}}'}},
+    {{'check_name': 'freshness_has_recent_data', 'passed': newest IS NOT NULL, 'details': '{{"max_date":"' || newest || '"}}'}}]) AS u(c)""",
+    DIRTY, RUN_ROWS, SILVER)
 add("run_layers_gold", f"SELECT {GOLD_OUT} FROM gold", *RUN_GOLD)
 add("run_ingestion_log", """SELECT batch_id, symbol, min(date) AS start_date, max(date) AS end_date, count(*) AS rows_ingested,
   'success' AS status FROM aged GROUP BY batch_id, symbol, second_run

@@ -14,12 +14,27 @@ from pyspark.sql import functions as F
 
 from barflow.operators.upsert import merge, new_rows, reload_symbols
 from barflow.session import staged
-
-PERIOD = "period"
+from barflow.sources import zones
+from barflow.sources.zones import PERIOD
 
 
 def write_layer(df: DataFrame, path: str, mode: str = "errorifexists", only_touched: bool = False) -> None:
-    """Write rows by year, files of even size sorted by symbol and day. A first write fails on a path in use."""
+    """Write rows by year, files of even size sorted by symbol and day, and the layer's zone map.
+
+    A first write fails on a path in use. Rows to append or to overwrite with are read more than once: give
+    them staged.
+    """
+    spark, first = df.sparkSession, not layer_exists(df.sparkSession, path)
+    if first:
+        _write(df, path, mode, only_touched)
+        zones.begin(spark, path, periods := _years(spark.read.parquet(path)) if zones.readable(spark, path) else [])
+    else:
+        zones.begin(spark, path, periods := _years(df))
+        _write(df, path, mode, only_touched)
+    zones.finish(spark, path, periods, df if mode == "append" and not first else None)
+
+
+def _write(df: DataFrame, path: str, mode: str, only_touched: bool) -> None:
     writer = (
         df.withColumn(PERIOD, F.year("date"))
         .hint("rebalance", F.col(PERIOD))
@@ -88,13 +103,18 @@ def upsert(
 
 
 def reload(spark: SparkSession, path: str, batch: DataFrame) -> None:
-    """Replace every symbol of the batch as a whole: the years that have its old or new rows are rewritten."""
+    """Replace every symbol of the batch as a whole: the years that have its old or new rows are rewritten.
+
+    The zone map says which years these are.
+    """
     batch = staged(batch, "reload-batch")
-    before = read_layer(spark, path).join(batch.select("symbol").distinct(), "symbol", "left_semi")
-    old, new = set(_years(before)), set(_years(batch))
+    before = zones.read(spark, path).join(batch.select("symbol").distinct(), "symbol", "left_semi")
+    old, new = {r[0] for r in before.select(PERIOD).distinct().collect()}, set(_years(batch))
     rows = spark.read.parquet(path).filter(F.col(PERIOD).isin(sorted(old | new))).drop(PERIOD)
     rows = staged(reload_symbols(rows, batch), "reload")
-    write_layer(rows, path, mode="overwrite", only_touched=True)
+    zones.begin(spark, path, old | new)
+    _write(rows, path, mode="overwrite", only_touched=True)
     for year in sorted(old - set(_years(rows))):  # nothing is left of it
         folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{PERIOD}={year}")
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    zones.finish(spark, path, old | new)

@@ -1,5 +1,7 @@
 import datetime as dt
+import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +10,7 @@ from barflow.operators.indicators import gold
 from barflow.plans import layers
 from barflow.schemas import BRONZE
 from barflow.session import staged
-from barflow.sources import landing, tables
+from barflow.sources import landing, tables, zones
 from barflow.sources.bars import bars_dirty, bars_priority
 from helpers import START, collected
 
@@ -197,3 +199,62 @@ def test_dates_prune_the_years_of_a_layer(spark, tmp_path):
     tables.reload(spark, path, rows(spark, ("A", 3000, 7.0, 2)))
     assert plain(tables.read_layer(spark, path)) == [("A", 3000, 7.0, 2), ("B", 5, 1.0, 1)]
     assert sorted(p.name for p in (tmp_path / "layer").glob("period=*")) == ["period=2020", "period=2028"]
+
+
+def test_one_day_reads_only_touched_periods(spark, bars, tmp_path):
+    """With the folders of older years out of reach, a run over one new day gives what a rebuild gives."""
+    rng = np.random.default_rng(4)
+    path = {s: (100 * np.exp(np.cumsum(rng.normal(0, 0.01, 930)))).tolist() for s in ("A", "B")}
+    all_ = staged(bars(path).withColumns({
+        "source": F.lit("s"), "ingested_at": F.lit("2022-01-01").cast("timestamp_ntz"), "batch_id": F.lit("b")}), "zone-bars")
+    last = all_.agg(F.max("date")).first()[0]
+    root = str(tmp_path)
+    layers.run(spark, all_.filter(F.col("date") < last), root, "2022-01-01")
+    away = []
+    for layer in ("bronze", "silver", "gold"):
+        for year in (2020, 2021):
+            away.append((f"{root}/{layer}/period={year}", f"{root}/away-{layer}-{year}"))
+            os.rename(*away[-1])
+    layers.run(spark, all_.filter(F.col("date") == last), root, "2022-07-20")
+    for here, there in away:
+        os.rename(there, here)
+    whole = clean.silver(all_)
+    got, want = collected(tables.read_layer(spark, f"{root}/silver")), collected(whole)
+    assert len(got) == len(want) and np.allclose(got.return_log, want.return_log, equal_nan=True)
+    got, want = collected(tables.read_layer(spark, f"{root}/gold")), collected(gold(whole))
+    assert len(got) == len(want)
+    for c in ("sma_63", "ema_12", "macd_signal", "obv", "future_return_5d"):
+        assert np.allclose(got[c], want[c], equal_nan=True), c
+    zone = {(r.symbol, r.period): r for r in zones.read(spark, f"{root}/silver").collect()}
+    assert zone["A", 2022].last_date == last and sum(r.n for r in zone.values()) == 2 * 930
+
+
+def test_zones_of_a_write_that_broke_off_are_made_again(spark, bars, tmp_path):
+    path = str(tmp_path / "layer")
+    tables.write_layer(bars({"A": [1, 2, 3]}), path)
+    more = staged(bars({"A": [9], "B": [5, 6]}, start=START + dt.timedelta(days=400)), "more")
+    zones.begin(spark, path, [2021])
+    tables._write(more, path, "append", False)  # and then the job dies
+    found = {(r.symbol, r.period): (r.n, r.last_date) for r in zones.read(spark, path).collect()}
+    assert found == {("A", 2020): (3, START + dt.timedelta(days=2)), ("A", 2021): (1, START + dt.timedelta(days=400)),
+                     ("B", 2021): (2, START + dt.timedelta(days=401))}
+    assert {r.symbol: r.last_date for r in zones.newest(spark, path).collect()}["B"] == START + dt.timedelta(days=401)
+    tables.reload(spark, path, bars({"A": [4]}))
+    assert {(r.symbol, r.period, r.n) for r in zones.read(spark, path).collect()} == {("A", 2020, 1), ("B", 2021, 2)}
+
+
+def test_a_run_that_broke_off_is_taken_up_again(spark, bars, tmp_path, monkeypatch):
+    all_ = staged(bars({"A": [100 + i % 7 for i in range(200)]}).withColumns({
+        "source": F.lit("s"), "ingested_at": F.lit("2022-01-01").cast("timestamp_ntz"), "batch_id": F.lit("b")}), "zone-bars")
+    cut = START + dt.timedelta(days=190)
+    root = str(tmp_path)
+    layers.run(spark, all_.filter(F.col("date") < cut), root, "2020-08-01")
+    for broken in ("_update_silver", "_update_gold"):
+        with monkeypatch.context() as m:
+            m.setattr(layers, broken, lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+            with pytest.raises(RuntimeError):
+                layers.run(spark, all_, root, "2020-08-02")
+    layers.run(spark, all_.limit(0), root, "2020-08-03")
+    assert tables.read_layer(spark, f"{root}/silver").count() == 200
+    got, want = collected(tables.read_layer(spark, f"{root}/gold")), collected(gold(clean.silver(all_)))
+    assert len(got) == len(want) and np.allclose(got.ema_26, want.ema_26)
