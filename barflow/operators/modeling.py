@@ -16,6 +16,7 @@ from barflow.functions.scalars import calendar_target, chosen_confidence
 from barflow.functions.series import (
     DAILY, POSITION, TOTAL, Series, last_rows, number_rows, spread_join,
 )
+from barflow.operators import boosting
 from barflow.session import staged
 
 LABEL = "target_direction_5d"
@@ -210,7 +211,7 @@ def metrics_long(
 
 # ---------------------------------------------------------------- boosted trees
 
-def _validation_tail(train: DataFrame, test_size: int, series: Series) -> DataFrame:
+def with_validation_tail(train: DataFrame, test_size: int, series: Series = DAILY) -> DataFrame:
     """Mark the newest training rows of every symbol for early stopping, so the test rows stay unseen.
 
     A series of fewer than two tails trains on all its rows and is not watched.
@@ -239,7 +240,7 @@ def fit_watched(
     series: Series = DAILY,
 ) -> PipelineModel:
     """A model on all rows, of which the newest of each symbol say when to stop adding trees."""
-    return fit(staged(_validation_tail(matrix, test_size, series), "train"), features, settings, validation=True)
+    return fit(staged(with_validation_tail(matrix, test_size, series), "train"), features, settings, validation=True)
 
 
 def score(model: PipelineModel, matrix: DataFrame) -> DataFrame:
@@ -280,6 +281,22 @@ def train_walk_forward(
     return scored
 
 
+def train_each_symbol(
+    folds: DataFrame, features: Sequence[str], settings: boosting.Boosting = boosting.Boosting(), test_size: int = TEST_SIZE,
+) -> tuple[DataFrame, DataFrame]:
+    """A model of its own for each symbol and fold: the test rows with predictions, and the node table.
+
+    ``folds`` is the output of ``walk_forward`` over a feature matrix. All symbols and folds grow in the same jobs.
+    Early stopping watches the newest training rows of each; nulls need no filling, as they go left in every split.
+    """
+    by = ["symbol", "fold"]
+    rows = folds.filter("role = 'train'")
+    if settings.patience:
+        rows = with_validation_tail(rows, test_size, Series(keys=tuple(by)))
+    nodes = staged(boosting.train(rows, by, features, settings), "fold-nodes")
+    return boosting.score(folds.filter("role = 'test'"), nodes, by, features), nodes
+
+
 def feature_importance(model: PipelineModel, features: Sequence[str], top: int | None = 20) -> DataFrame:
     """Features by importance, the most important first."""
     spark = SparkSession.getActiveSession()

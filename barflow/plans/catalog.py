@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from barflow.functions import scalars
 from barflow.functions.series import in_blocks
-from barflow.operators import clean, drift, indicators, modeling, monitoring, quality, reports, upsert
+from barflow.operators import boosting, clean, drift, indicators, modeling, monitoring, quality, reports, upsert
 from barflow.plans import layers, models
 from barflow.session import staged, work_dir
 from barflow.sources import bars as src
@@ -705,6 +705,45 @@ def _fold_predictions(spark: SparkSession, d: str) -> DataFrame:
         "fold": F.substring_index("model_version", "_", -1).cast("long"), "prediction": F.col("predicted_direction")})
 
 
+#: Features that are the same number in every engine, and a learner small enough to be followed step by step.
+PLAIN_FEATURES = ("close", "volume", "height", "body", "rise")
+SMALL_LEARNER = boosting.Boosting(trees=3, depth=2, rate=0.3, least_rows=20, bins=16, l2=1.0, patience=0)
+
+
+def _each_symbol(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    bars = src.bars_priority(spark, d)
+    labels = _gold(spark, d, warm=False).select("symbol", "date", F.col(modeling.LABEL).cast("int").alias("label"))
+    matrix = bars.join(labels.dropna(), ["symbol", "date"]).select(
+        "symbol", "date", "close", F.col("volume").cast("double").alias("volume"), (F.col("high") - F.col("low")).alias("height"),
+        (F.col("close") - F.col("open")).alias("body"), (F.col("close") - F.col("low")).alias("rise"), "label")
+    folds = staged(modeling.walk_forward(matrix, 2, modeling.TEST_SIZE, short="mark"), "folds")
+    return modeling.train_each_symbol(folds, PLAIN_FEATURES, SMALL_LEARNER)
+
+
+@query
+def wf_each_symbol_nodes(spark, d):
+    nodes = _each_symbol(spark, d)[1]
+    return nodes.select("symbol", F.col("fold").cast("long").alias("fold"), F.col("tree").cast("long").alias("tree"), "node", "feature",
+                        F.round("threshold", 6).alias("threshold"), F.round("gain", 6).alias("gain"), "n_rows", F.round("value", 6).alias("value"))
+
+
+@query
+def wf_each_symbol_scores(spark, d):
+    scored = _each_symbol(spark, d)[0]
+    return scored.select("symbol", F.col("fold").cast("long").alias("fold"), "date", "label", F.round("probability_up", 6).alias("probability_up"),
+                         "prediction")
+
+
+@query
+def wf_each_symbol_metrics(spark, d):
+    return rounded(modeling.fold_metrics(_each_symbol(spark, d)[0]).withColumn("fold", F.col("fold").cast("long")))
+
+
+@query
+def ml_split_importance(spark, d):
+    return boosting.importance(_each_symbol(spark, d)[1], ["symbol"], top=3)
+
+
 @query
 def wf_train_eval(spark, d):
     return rounded(modeling.fold_metrics(_fold_predictions(spark, d)))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.operators import modeling, monitoring
+from barflow.operators import boosting, modeling, monitoring
 from barflow.operators.upsert import new_rows
 from barflow.session import staged
 from barflow.sources import tables
@@ -49,6 +49,34 @@ def train(
     modeling.save_model(model, features, f"{root}/registry", version, trained_at)
 
 
+def train_each(
+    spark: SparkSession, gold: DataFrame, root: str, version: str, trained_at: str, features: Sequence[str],
+    settings: boosting.Boosting = boosting.Boosting(), n_splits: int = modeling.N_SPLITS, test_size: int = modeling.TEST_SIZE,
+) -> None:
+    """``train`` with a model for each symbol: the same tables, and all models of the version in one node table."""
+    matrix = staged(modeling.feature_matrix(gold).select("symbol", "date", *features, "label"), "matrix")
+    folds = staged(modeling.walk_forward(matrix, n_splits, test_size, short="mark"), "folds")
+    scored, _ = modeling.train_each_symbol(folds, features, settings, test_size)
+    scored = staged(scored, "fold-scores")
+    sizes = folds.filter("role = 'train'").groupBy("symbol", "fold").count()
+    trained = sizes.groupBy("symbol").agg(F.max("count").alias("n_train"))
+    metrics = modeling.metrics_long(
+        modeling.fold_summary(modeling.fold_metrics(scored)), version, trained_at, trained, test_size, vars(settings))
+    _add(spark, metrics, f"{root}/model_metrics", ("model_version", "symbol", "metric_name"))
+    for k in range(1, n_splits + 1):
+        made = modeling.predictions(scored.filter(F.col("fold") == k), f"{version}_fold_{k}")
+        _add(spark, made, f"{root}/predictions", PREDICTION_KEY)
+    rows = modeling.with_validation_tail(matrix, test_size) if settings.patience else matrix
+    boosting.train(rows, ["symbol"], features, settings).write.mode("overwrite").parquet(f"{root}/nodes/{version}")
+
+
+def predict_each(spark: SparkSession, gold: DataFrame, root: str, version: str, features: Sequence[str]) -> None:
+    """The newest feature row of every symbol that has a model, scored by its own model, into ``predictions``."""
+    newest = modeling.latest_features(gold).select("symbol", "date", *features)
+    scored = boosting.score(newest, spark.read.parquet(f"{root}/nodes/{version}"), ["symbol"], features)
+    _add(spark, modeling.predictions(scored.filter("prediction IS NOT NULL"), version), f"{root}/predictions", PREDICTION_KEY)
+
+
 def predict(spark: SparkSession, gold: DataFrame, root: str) -> None:
     """The newest feature row of every symbol, scored by the model trained last, into ``predictions``."""
     model, features, version = modeling.load_latest_model(spark, f"{root}/registry")

@@ -691,3 +691,96 @@ add("stream_bars_hourly", f"""SELECT symbol, bar_time, {OHLC}, volume FROM (
   FROM (SELECT *, row_number() OVER (ORDER BY ts, event_id) AS tick FROM events) GROUP BY 1, 2)""")
 add("stream_ema", f"SELECT symbol, date, {cols('ema_12', 'ema_26', 'obv')} FROM feat JOIN averages USING (symbol, date)",
     BARS, averages(), features())
+
+# ---------------------------------------------------------------- a boosted model for each symbol and fold
+
+PLAIN = ("close", "volume", "height", "body", "rise")
+
+
+def _boosted(trees: int = 3, depth: int = 2, rate: float = 0.3, least: int = 20, bins: int = 16, l2: float = 1.0) -> str:
+    """The learner of ``wf_each_symbol_nodes``, one step after the other: CTEs up to ``nodes`` and ``scored``."""
+    places = range(1, len(PLAIN) + 1)
+    out = [f"""labelled AS (
+  SELECT *, lead(close, 5) OVER (PARTITION BY symbol ORDER BY date) AS later FROM bars),
+matrix AS (
+  SELECT symbol, date, (later > close)::INTEGER AS label,
+         [close, volume::DOUBLE, high - low, close - open, close - low] AS x,
+         row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS pos, count(*) OVER (PARTITION BY symbol) AS total
+  FROM labelled WHERE later IS NOT NULL),
+split AS MATERIALIZED (
+  SELECT symbol, date, label, x, fold, pos >= total - (2 - fold) * 63 - 63 AS is_test
+  FROM matrix, (VALUES (1), (2)) AS f(fold) WHERE total >= 189 AND pos < total - (2 - fold) * 63),
+valued AS (
+  SELECT symbol, fold, date, unnest(range(1, {len(PLAIN) + 1})) AS f, unnest(x) AS v FROM split WHERE NOT is_test),
+ranked AS MATERIALIZED (
+  SELECT symbol, fold, date, f, v, (rank() OVER (PARTITION BY symbol, fold, f ORDER BY v) - 1) * {bins}
+         // count(*) OVER (PARTITION BY symbol, fold, f) AS bin
+  FROM valued),
+edges AS MATERIALIZED (SELECT symbol, fold, f, bin, min(v) AS low FROM ranked GROUP BY ALL),
+start AS (
+  SELECT symbol, fold, count(*) AS n, ln((sum(label) + 1) / (count(*) - sum(label) + 1)) AS value
+  FROM split WHERE NOT is_test GROUP BY ALL),
+binned AS (SELECT symbol, fold, date, list(bin ORDER BY f) AS b FROM ranked GROUP BY ALL),
+s0 AS MATERIALIZED (
+  SELECT symbol, fold, date, label, b, value AS m, 1 AS node
+  FROM binned JOIN split USING (symbol, fold, date) JOIN start USING (symbol, fold))"""]
+    state, splits, leaves = "s0", [], []
+    for t in range(1, trees + 1):
+        for level in range(depth):
+            k = f"{t}_{level}"
+            out.append(f"""h{k} AS (
+  SELECT symbol, fold, node, f, bin, sum(p - label) AS g, sum(p * (1 - p)) AS h, count(*) AS n
+  FROM (SELECT *, 1 / (1 + exp(-m)) AS p, unnest({list(places)}) AS f, unnest(b) AS bin FROM {state}) WHERE node >= {1 << level} GROUP BY ALL),
+c{k} AS (
+  SELECT symbol, fold, node, f, bin, sum(g) OVER l AS gl, sum(h) OVER l AS hl, sum(n) OVER l AS nl,
+         sum(g) OVER a AS ga, sum(h) OVER a AS ha, sum(n) OVER a AS na
+  FROM h{k} WINDOW l AS (PARTITION BY symbol, fold, node, f ORDER BY bin), a AS (PARTITION BY symbol, fold, node, f)),
+b{k} AS MATERIALIZED (
+  SELECT *, round(gl * gl / (hl + {l2}) + (ga - gl) * (ga - gl) / (ha - hl + {l2}) - ga * ga / (ha + {l2}), 9) AS gain
+  FROM c{k} WHERE nl >= {least} AND na - nl >= {least} AND gain > 0
+  QUALIFY row_number() OVER (PARTITION BY symbol, fold, node ORDER BY gain DESC, f, bin) = 1),
+s{k} AS MATERIALIZED (
+  SELECT s.* EXCLUDE (node), CASE WHEN x.f IS NULL THEN s.node ELSE 2 * s.node + (s.b[x.f] > x.bin)::INTEGER END AS node
+  FROM {state} s LEFT JOIN b{k} x USING (symbol, fold, node))""")
+            state = f"s{k}"
+            splits.append(f"SELECT symbol, fold, {t} AS tree, node, f, bin, gain, na AS n_rows, NULL::DOUBLE AS value FROM b{k}")
+        out.append(f"""l{t} AS MATERIALIZED (
+  SELECT symbol, fold, node, count(*) AS n, -{rate} * sum(p - label) / (sum(p * (1 - p)) + {l2}) AS value
+  FROM (SELECT *, 1 / (1 + exp(-m)) AS p FROM {state}) GROUP BY ALL),
+s{t} AS MATERIALIZED (
+  SELECT s.* EXCLUDE (m, node), s.m + l.value AS m, 1 AS node FROM {state} s JOIN l{t} l USING (symbol, fold, node))""")
+        state = f"s{t}"
+        leaves.append(f"SELECT symbol, fold, {t} AS tree, node, NULL AS f, NULL AS bin, NULL::DOUBLE AS gain, n AS n_rows, value FROM l{t}")
+    every = " UNION ALL ".join(
+        ["SELECT symbol, fold, 0 AS tree, 1 AS node, NULL AS f, NULL AS bin, NULL::DOUBLE AS gain, n AS n_rows, value FROM start", *splits, *leaves])
+    names = list(PLAIN)
+    out.append(f"""nodes AS MATERIALIZED (
+  SELECT symbol, fold::BIGINT AS fold, tree::BIGINT AS tree, node::BIGINT AS node, f, {names}[f] AS feature, gain, n_rows::BIGINT AS n_rows, value,
+         (SELECT min(low) FROM edges e WHERE e.symbol = t.symbol AND e.fold = t.fold AND e.f = t.f AND e.bin > t.bin) AS threshold
+  FROM ({every}) t)""")
+    at, walk = "1", ""
+    for level in range(depth):
+        walk += f" LEFT JOIN nodes n{level} ON n{level}.symbol = r.symbol AND n{level}.fold = r.fold AND n{level}.tree = r.tree " \
+                f"AND n{level}.node = {at} AND n{level}.f IS NOT NULL"
+        at = f"CASE WHEN n{level}.f IS NULL THEN {at} ELSE 2 * {at} + (r.x[n{level}.f] >= n{level}.threshold)::INTEGER END"
+    out.append(f"""scored AS MATERIALIZED (
+  SELECT symbol, fold, date, label, 1 / (1 + exp(-sum(value))) AS p FROM (
+    SELECT r.symbol, r.fold, r.date, r.label, leaf.value
+    FROM (SELECT s.*, tree FROM split s, range({trees + 1}) AS t(tree) WHERE is_test) r{walk}
+    JOIN nodes leaf ON leaf.symbol = r.symbol AND leaf.fold = r.fold AND leaf.tree = r.tree AND leaf.f IS NULL AND leaf.node = {at})
+  GROUP BY ALL)""")
+    return ", ".join(out)
+
+
+BOOSTED = _boosted()
+add("wf_each_symbol_nodes", """SELECT symbol, fold, tree, node, feature, round(threshold, 6) AS threshold, round(gain, 6) AS gain, n_rows,
+  round(value, 6) AS value FROM nodes""", BARS, BOOSTED)
+add("wf_each_symbol_scores", """SELECT symbol, fold::BIGINT AS fold, date, label, round(p, 6) AS probability_up, (p > 0.5)::INTEGER AS prediction
+  FROM scored""", BARS, BOOSTED)
+add("wf_each_symbol_metrics", """SELECT symbol, fold::BIGINT AS fold, tp, fp, fn, tn, round((tp + tn) / (tp + fp + fn + tn), 6) AS accuracy,
+  round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision, round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall,
+  round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1_score, round((tp + tn) / (tp + fp + fn + tn), 6) AS directional_accuracy
+  FROM (SELECT symbol, fold, count(*) FILTER (p > 0.5 AND label = 1) AS tp, count(*) FILTER (p > 0.5 AND label = 0) AS fp,
+    count(*) FILTER (p <= 0.5 AND label = 1) AS fn, count(*) FILTER (p <= 0.5 AND label = 0) AS tn FROM scored GROUP BY ALL)""", BARS, BOOSTED)
+add("ml_split_importance", """SELECT * FROM (SELECT symbol, feature, count(*) AS importance FROM nodes WHERE feature IS NOT NULL GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY importance DESC, feature) <= 3""", BARS, BOOSTED)
