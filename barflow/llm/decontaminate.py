@@ -178,13 +178,10 @@ class Index:
                     while at[i] < len(postings) and postings[at[i]][0] < pivot:
                         at[i] += 1
 
-    def hits(self, texts: list[str | None]) -> Iterator[tuple[int, int, float, float, float]]:
+    def hits(self, words: Words) -> Iterator[tuple[int, int, float, float, float]]:
         """(text, item, score, question overlap, answer overlap): the verified items of each text's passages."""
-        if not self.n_blocks:
-            return
         stride = self.stride
-        for first, last in chunks_of(texts):
-            words = _words(texts[first:last])
+        if self.n_blocks:
             at = np.searchsorted(self.terms, words.hashes)
             at[at == len(self.terms)] = 0
             term = np.where(self.terms[at] == words.hashes, at, -1)
@@ -209,7 +206,7 @@ class Index:
                     inside = words.hashes[begin: min(begin + 2 * stride, words.bounds[text + 1])]
                     self._verify(best, text, found, inside)
             for (text, item), scores in best.items():
-                yield first + text, item, *scores
+                yield text, item, *scores
 
     def _candidates(self, passage: np.ndarray, terms: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(first row, end, block): the blocks whose bounds for a passage's terms reach the threshold.
@@ -268,7 +265,11 @@ class Part(list):
 
     def hits(self, texts: list[str | None]) -> list[tuple]:
         """(text, item id, score, question overlap, answer overlap) of each item found."""
-        return [(t, index.ids[i], *scores) for index in self for t, i, *scores in index.hits(texts)]
+        found = []
+        for first, last in chunks_of(texts):
+            words = _words(texts[first:last])
+            found += [(first + t, index.ids[i], *scores) for index in self for t, i, *scores in index.hits(words)]
+        return found
 
 
 def parts(benchmark: DataFrame, index_bytes: int = INDEX_BYTES) -> tuple[int, Iterator[Part]]:
