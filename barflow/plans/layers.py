@@ -190,7 +190,7 @@ def backfill(spark: SparkSession, batch: DataFrame, root: str, run_at: str | Non
     """Rebuild the symbols of a batch in all layers: the batch is their whole history from now on."""
     stamp = F.to_timestamp(F.lit(run_at)) if run_at else F.current_timestamp()
     batch = staged(clean.dedup_first(batch, BRONZE_KEY), "backfill")
-    tables.reload(spark, f"{root}/bronze", batch)
+    tables.reload(spark, f"{root}/bronze", batch, BRONZE_KEY)
     bars = staged(clean.silver(batch).withColumn("processed_at", stamp), "backfill-silver")
     tables.reload(spark, f"{root}/silver", bars)
     tables.reload(spark, f"{root}/gold", indicators.gold(bars).withColumn("computed_at", stamp))

@@ -1,7 +1,7 @@
 """Layer tables: Parquet partitioned by calendar year, written by append or by partition rewrite.
 
-Spark's file sources have no MERGE, so an upsert rewrites the years a batch touches. The merged rows
-are staged in the shared work folder first, because a path cannot be read and overwritten at once.
+Spark's file sources have no MERGE, so an upsert or a reload writes its rows beside the layer (``deltas``), readers
+merge them, and the changed years are rewritten once enough changes have come together.
 """
 
 from __future__ import annotations
@@ -12,9 +12,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.operators.upsert import merge, new_rows, reload_symbols
+from barflow.operators.upsert import merge, new_rows
 from barflow.session import staged
-from barflow.sources import zones
+from barflow.sources import deltas, zones
 from barflow.sources.zones import PERIOD
 
 
@@ -27,7 +27,7 @@ def write_layer(df: DataFrame, path: str, mode: str = "errorifexists", only_touc
     spark, first = df.sparkSession, not layer_exists(df.sparkSession, path)
     if first:
         _write(df, path, mode, only_touched)
-        zones.begin(spark, path, periods := _years(spark.read.parquet(path)) if zones.readable(spark, path) else [])
+        zones.begin(spark, path, periods := _years(spark.read.parquet(path)) if deltas.readable(spark, path) is not None else [])
     else:
         zones.begin(spark, path, periods := _years(df))
         _write(df, path, mode, only_touched)
@@ -49,7 +49,7 @@ def _write(df: DataFrame, path: str, mode: str, only_touched: bool) -> None:
 
 def read_layer(spark: SparkSession, path: str, since: str | None = None, until: str | None = None) -> DataFrame:
     """Rows of a layer, between two dates if given (both inclusive): only the years they touch are read."""
-    rows = spark.read.parquet(path)
+    rows = deltas.current(spark, path)
     if since is not None:
         day = F.lit(since).cast("date")
         rows = rows.filter((F.col(PERIOD) >= F.year(day)) & (F.col("date") >= day))
@@ -76,7 +76,7 @@ def _years(rows: DataFrame) -> list[int]:
 
 def touched(spark: SparkSession, path: str, batch: DataFrame) -> DataFrame:
     """Rows of the table in the years of the batch; the list of years prunes the scan."""
-    return spark.read.parquet(path).filter(F.col(PERIOD).isin(_years(batch))).drop(PERIOD)
+    return deltas.current(spark, path).filter(F.col(PERIOD).isin(_years(batch))).drop(PERIOD)
 
 
 def append_new(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -85,36 +85,43 @@ def append_new(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[
     there = layer_exists(spark, path)
     held = touched(spark, path, batch) if there else batch.limit(0)
     fresh = staged(new_rows(held, batch, keys), "append-new")
-    write_layer(fresh, path, mode="append" if there else "errorifexists")
+    if there and deltas.readable(spark, deltas.deltas_path(path)) is not None:
+        _change(spark, path, fresh, keys)  # a key may have been deleted there
+    else:
+        write_layer(fresh, path, mode="append" if there else "errorifexists")
     return fresh
 
 
+def _change(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str], gone: DataFrame | None = None) -> None:
+    """Write changes beside the layer, renew the zones of their years, and compact if it is due."""
+    periods = set(_years(rows)) | (set(_years(gone)) if gone is not None else set())
+    zones.begin(spark, path, periods)
+    if periods:
+        deltas.write(spark, path, rows, keys, gone)
+    zones.finish(spark, path, periods)
+    if deltas.due(spark, path, zones.read(spark, path)):
+        deltas.compact(spark, path)
+
+
 def upsert(
     spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str],
     keep: Sequence[str] = (), fill: Sequence[str] = (),
 ) -> None:
-    """Merge a batch into a layer, rewriting only the years it touches."""
+    """Merge a batch into a layer: only its own rows are written, and only the years it touches are read."""
     if not layer_exists(spark, path):
         write_layer(batch, path)
         return
     batch = staged(batch, "upsert")
-    merged = staged(merge(touched(spark, path, batch), batch, keys, keep, fill), "upsert-merged")
-    write_layer(merged, path, mode="overwrite", only_touched=True)
+    held = touched(spark, path, batch).join(batch.select(*keys), list(keys), "left_semi")
+    _change(spark, path, staged(merge(held, batch, keys, keep, fill), "upsert-merged"), keys)
 
 
-def reload(spark: SparkSession, path: str, batch: DataFrame) -> None:
-    """Replace every symbol of the batch as a whole: the years that have its old or new rows are rewritten.
+def reload(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str] = ("symbol", "date")) -> None:
+    """Replace every symbol of the batch as a whole: its rows are written, and its other keys deleted.
 
-    The zone map says which years these are.
+    The zone map says which years have old rows of these symbols.
     """
     batch = staged(batch, "reload-batch")
-    before = zones.read(spark, path).join(batch.select("symbol").distinct(), "symbol", "left_semi")
-    old, new = {r[0] for r in before.select(PERIOD).distinct().collect()}, set(_years(batch))
-    rows = spark.read.parquet(path).filter(F.col(PERIOD).isin(sorted(old | new))).drop(PERIOD)
-    rows = staged(reload_symbols(rows, batch), "reload")
-    zones.begin(spark, path, old | new)
-    _write(rows, path, mode="overwrite", only_touched=True)
-    for year in sorted(old - set(_years(rows))):  # nothing is left of it
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{PERIOD}={year}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-    zones.finish(spark, path, old | new)
+    old = zones.rows_in(spark, path, zones.read(spark, path).join(batch.select("symbol").distinct(), "symbol", "left_semi"))
+    gone = staged(old.select(*keys).join(batch.select(*keys), list(keys), "left_anti"), "reload-gone")
+    _change(spark, path, batch.select(*old.columns), keys, gone)

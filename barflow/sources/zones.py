@@ -12,13 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barflow.session import staged
+from barflow.sources.deltas import PERIOD, current, delete, readable
 
-PERIOD = "period"
 KEY = ("symbol", PERIOD)
 SCHEMA = ("symbol string, n bigint, first_date date, last_date date, nulls bigint, inverted bigint, negatives bigint, "
           "period int")
@@ -33,25 +32,6 @@ def _pending_path(layer: str) -> str:
     return f"{layer.rstrip('/')}.pending"
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def _read(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
-def readable(spark: SparkSession, path: str) -> bool:
-    """Whether there are rows to read; the folder of an empty write has none."""
-    return _read(spark, path) is not None
-
-
 def zones_of(rows: DataFrame) -> DataFrame:
     """Zone rows of bars or features."""
     bad = {
@@ -66,7 +46,7 @@ def zones_of(rows: DataFrame) -> DataFrame:
 
 def begin(spark: SparkSession, layer: str, periods: Iterable[int]) -> None:
     """Note the periods that a write is about to touch, beside those of a write that broke off."""
-    old = _read(spark, _pending_path(layer))
+    old = readable(spark, _pending_path(layer))
     known = {r[0] for r in old.collect()} if old is not None else set()
     spark.createDataFrame([(p,) for p in sorted({*known, *periods})], "period int").coalesce(1).write.mode("overwrite").parquet(
         _pending_path(layer))
@@ -74,12 +54,12 @@ def begin(spark: SparkSession, layer: str, periods: Iterable[int]) -> None:
 
 def _rebuild(spark: SparkSession, layer: str, periods: Iterable[int]) -> None:
     """Zones of some periods, made from the layer; a period that is gone has none."""
-    data, wanted = _read(spark, layer), sorted(periods)
-    rows = zones_of(data.filter(F.col(PERIOD).isin(wanted))) if data is not None else spark.createDataFrame([], SCHEMA)
+    there, wanted = readable(spark, layer) is not None, sorted(periods)
+    rows = zones_of(current(spark, layer).filter(F.col(PERIOD).isin(wanted))) if there else spark.createDataFrame([], SCHEMA)
     found = staged(rows, "zones")
     found.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PERIOD).parquet(zones_path(layer))
     for gone in set(wanted) - {r[0] for r in found.select(PERIOD).distinct().collect()}:
-        _delete(spark, f"{zones_path(layer)}/{PERIOD}={gone}")
+        delete(spark, f"{zones_path(layer)}/{PERIOD}={gone}")
 
 
 def finish(spark: SparkSession, layer: str, periods: Iterable[int], appended: DataFrame | None = None) -> None:
@@ -89,19 +69,19 @@ def finish(spark: SparkSession, layer: str, periods: Iterable[int], appended: Da
         _rebuild(spark, layer, noted | set(periods))
     else:
         zones_of(appended).coalesce(1).write.mode("append").partitionBy(PERIOD).parquet(zones_path(layer))
-    _delete(spark, _pending_path(layer))
+    delete(spark, _pending_path(layer))
 
 
 def read(spark: SparkSession, layer: str) -> DataFrame:
     """One row for each symbol and period of a layer."""
-    left = _read(spark, _pending_path(layer))
+    left = readable(spark, _pending_path(layer))
     if left is not None:
         _rebuild(spark, layer, [r[0] for r in left.collect()])
-        _delete(spark, _pending_path(layer))
-    found = _read(spark, zones_path(layer))
+        delete(spark, _pending_path(layer))
+    found = readable(spark, zones_path(layer))
     if found is None:  # a layer from before there were zones, or an empty one
-        data = _read(spark, layer)
-        found = zones_of(data) if data is not None else spark.createDataFrame([], SCHEMA)
+        there = readable(spark, layer) is not None
+        found = zones_of(current(spark, layer)) if there else spark.createDataFrame([], SCHEMA)
     return found.groupBy(*KEY).agg(
         *[F.sum(c).alias(c) for c in _SUMS], F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"))
 
@@ -123,7 +103,7 @@ def rows_in(spark: SparkSession, layer: str, sections: DataFrame) -> DataFrame:
     """The layer's rows of some (symbol, period): only the folders of these periods are read."""
     wanted = staged(sections.select(*KEY).distinct(), "sections")
     periods = sorted(r[0] for r in wanted.select(PERIOD).distinct().collect())
-    rows = spark.read.parquet(layer)
+    rows = current(spark, layer)
     return rows.filter(F.col(PERIOD).isin(periods)).join(wanted, list(KEY), "left_semi").select(*rows.columns).drop(PERIOD)
 
 
@@ -153,7 +133,7 @@ def last_before(zones: DataFrame, starts: DataFrame, n: int) -> DataFrame:
 
 def changed(spark: SparkSession, source: DataFrame, progress: str) -> DataFrame:
     """Sections of the source's zones whose row count is not the one noted in ``progress``."""
-    seen = _read(spark, progress)
+    seen = readable(spark, progress)
     if seen is None:
         return source.select(*KEY, "n")
     return source.join(seen.select(*KEY, F.col("n").alias("_seen")), list(KEY), "left").filter(
@@ -162,7 +142,7 @@ def changed(spark: SparkSession, source: DataFrame, progress: str) -> DataFrame:
 
 def note(spark: SparkSession, sections: DataFrame, progress: str, whole_symbols: bool = False) -> None:
     """Note the row counts of sections as seen; with ``whole_symbols`` they are all that these symbols have."""
-    rows, seen = staged(sections.select(*KEY, "n"), "seen"), _read(spark, progress)
+    rows, seen = staged(sections.select(*KEY, "n"), "seen"), readable(spark, progress)
     if seen is not None:
         keys = ["symbol"] if whole_symbols else list(KEY)
         rows = staged(rows.unionByName(seen.join(rows.select(*keys).distinct(), keys, "left_anti").select(*KEY, "n")), "seen")

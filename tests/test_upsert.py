@@ -10,7 +10,7 @@ from barflow.operators.indicators import gold
 from barflow.plans import layers
 from barflow.schemas import BRONZE
 from barflow.session import staged
-from barflow.sources import landing, tables, zones
+from barflow.sources import deltas, landing, tables, zones
 from barflow.sources.bars import bars_dirty, bars_priority
 from helpers import START, collected
 
@@ -258,3 +258,44 @@ def test_a_run_that_broke_off_is_taken_up_again(spark, bars, tmp_path, monkeypat
     assert tables.read_layer(spark, f"{root}/silver").count() == 200
     got, want = collected(tables.read_layer(spark, f"{root}/gold")), collected(gold(clean.silver(all_)))
     assert len(got) == len(want) and np.allclose(got.ema_26, want.ema_26)
+
+
+def _files(path):
+    return {f: os.stat(f"{folder}/{f}").st_mtime_ns for folder, _, names in os.walk(path) for f in names}
+
+
+def test_changes_are_written_beside_the_layer_and_compacted(spark, bars, tmp_path, monkeypatch):
+    path = str(tmp_path / "layer")
+    closes = {"A": [float(i) for i in range(500)], "B": [float(i) for i in range(500)]}
+    tables.write_layer(bars(closes), path)
+    before = _files(path)
+    read = lambda: sorted((r.symbol, r.date, r.close) for r in tables.read_layer(spark, path).collect())
+    day = lambda i: START + dt.timedelta(days=i)
+    state = {(s, day(i)): float(i) for s in "AB" for i in range(500)}
+    tables.upsert(spark, path, bars({"A": [7000.0]}, start=day(3)), KEY)
+    tables.upsert(spark, path, bars({"A": [8000.0], "C": [1.0]}, start=day(3)), KEY)
+    tables.reload(spark, path, bars({"B": [5.0, 6.0]}, start=day(499)))
+    state = {k: v for k, v in state.items() if k[0] != "B"} | {("A", day(3)): 8000.0, ("C", day(3)): 1.0, ("B", day(499)): 5.0, ("B", day(500)): 6.0}
+    want = sorted((s, d, c) for (s, d), c in state.items())
+    assert read() == want
+    zone = {(r.symbol, r.period): r.n for r in zones.read(spark, path).collect()}
+    assert zone["C", 2020] == 1 and zone["B", 2021] == 2 and ("B", 2020) not in zone
+    # A deleted key may come back, and a write that dies leaves what was there.
+    tables.append_new(spark, path, bars({"B": [9.0]}, start=day(1)), KEY)
+    want = sorted([*want, ("B", day(1), 9.0)])
+    assert read() == want
+    with monkeypatch.context() as m:
+        m.setattr(deltas, "write", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            tables.upsert(spark, path, bars({"A": [1.0]}, start=day(9)), KEY)
+    assert read() == want and zones.read(spark, path).filter("symbol = 'A'").agg(F.sum("n")).first()[0] == 500
+    deltas.compact(spark, path)
+    assert read() == want and deltas.readable(spark, deltas.deltas_path(path)) is None
+    assert deltas.readable(spark, path).count() == len(want)
+    # Few changes rewrite nothing; many are compacted by themselves.
+    after = _files(path)
+    tables.upsert(spark, path, bars({"A": [3.0]}, start=day(5)), KEY)
+    assert _files(path) == after and after != before
+    tables.upsert(spark, path, bars({"A": [1.0] * 300}), KEY)
+    assert deltas.readable(spark, deltas.deltas_path(path)) is None and _files(path) != after
+    assert [c for s, d, c in read() if s == "A"][:300] == [1.0] * 300
