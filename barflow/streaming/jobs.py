@@ -35,9 +35,21 @@ def _drain(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint
     query.awaitTermination()
 
 
-def ingest_bronze(spark: SparkSession, landing: str, bronze: str, checkpoint: str, files: int = 10_000) -> None:
-    """Landing files into bronze; the first delivery of a (symbol, day, source) stays."""
-    stream = spark.readStream.schema(BRONZE).option("maxFilesPerTrigger", files).parquet(landing)
+def ingest_bronze(
+    spark: SparkSession, landing: str, bronze: str, checkpoint: str, files: int = 10_000, repeats_within: str = "7 days"
+) -> None:
+    """Landing files into bronze; the first delivery of a (symbol, day, source) stays.
+
+    Records are kept as streaming state for ``repeats_within`` after their batch, so a record that is delivered again in
+    that time never reaches the table. Later repeats, and other deliveries of the same bar, are settled by the
+    keyed append. The watermark goes by the time of the batch, so no record is ever too late for it.
+    """
+    stream = (
+        spark.readStream.schema(BRONZE).option("maxFilesPerTrigger", files).parquet(landing)
+        .withColumn("_batch_at", F.current_timestamp())
+        .withWatermark("_batch_at", repeats_within)
+        .dropDuplicatesWithinWatermark([*BRONZE_KEY, "batch_id", "ingested_at"]).drop("_batch_at")
+    )
     _drain(stream, lambda batch, _: tables.append_new(spark, bronze, batch, BRONZE_KEY), checkpoint)
 
 

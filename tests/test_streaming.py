@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from barflow.functions.series import with_scans
 from barflow.operators import indicators
+from barflow.schemas import BRONZE
+from barflow.sources import tables
 from barflow.streaming import jobs
 from helpers import START
 
@@ -52,3 +54,26 @@ def test_ticks_that_come_late_are_in_their_bars(spark, tmp_path):
         "bar_time", F.col("bar_time").cast("timestamp_ntz")).select(
         "symbol", "bar_time", "open", "high", "low", "close", "volume").collect()}
     assert found == {k: (v[0], max(v), min(v), v[-1], len(v)) for k, v in want.items()}
+
+
+def test_repeated_records_end_in_the_state_or_in_the_append(spark, tmp_path, monkeypatch):
+    """Copies inside the time of the state never reach the append, after a restart neither; later ones end there."""
+    stamp = dt.datetime(2024, 3, 1)
+    record = lambda i, batch="b1", at=stamp, close=1.0: (f"S{i}", START, close, 2.0, 1.0, close, close, 5, "s", at, batch)
+    path, bronze = str(tmp_path / "landing"), str(tmp_path / "bronze")
+    reached = []
+    append = tables.append_new
+    monkeypatch.setattr(tables, "append_new", lambda spark, to, batch, keys: reached.append(batch.count()) or append(spark, to, batch, keys))
+
+    def deliver(rows, **settings):
+        spark.createDataFrame(rows, BRONZE).coalesce(1).write.mode("append").parquet(path)
+        jobs.ingest_bronze(spark, path, bronze, str(tmp_path / "checkpoint"), **settings)  # each call starts anew from the checkpoint
+
+    deliver([record(i) for i in range(10)] + [record(0)])
+    deliver([record(i) for i in range(5, 15)])
+    assert sum(reached) == 15
+    # Another delivery of a bar is not a repeated record: the append keeps the first one, and an old stamp is not too late.
+    deliver([record(1, "b2", stamp + dt.timedelta(days=1), 9.0), record(99, "b0", stamp - dt.timedelta(days=900))])
+    assert sum(reached) == 17
+    found = {r.symbol: r.close for r in tables.read_layer(spark, bronze).collect()}
+    assert len(found) == 16 and found["S1"] == 1.0 and found["S99"] == 1.0
