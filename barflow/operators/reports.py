@@ -179,6 +179,15 @@ def rows_per_symbol(expected: DataFrame, loaded: DataFrame) -> DataFrame:
     )
 
 
+def loaded_per_symbol(expected: DataFrame, log: DataFrame) -> DataFrame:
+    """Rows that the ingestion log notes for every expected symbol; -1 where deliveries failed and none succeeded."""
+    failed = F.count_if(F.col("status") == "failed") > 0
+    counts = log.groupBy("symbol").agg(F.sum("rows_ingested").alias("n"), failed.alias("failed"))
+    n = F.coalesce(F.col("n"), F.lit(0))
+    return expected.select("symbol").join(counts, "symbol", "left").select(
+        "symbol", F.when(F.col("failed") & (n == 0), -1).otherwise(n).cast("long").alias("rows_ingested"))
+
+
 def ingest_status(per_symbol: DataFrame) -> DataFrame:
     """Counts of loaded, empty and failed (negative) symbols, and the rows of the loaded ones."""
     n = F.col("rows_ingested")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -122,14 +123,21 @@ def ing_rows_per_symbol(spark, d):
     return reports.rows_per_symbol(expected, landing.refetch_window(found, RUN_DATE))
 
 
+def _deliveries_with_a_failure(spark: SparkSession, d: str) -> tuple[DataFrame, str]:
+    """Symbols to expect, and the folder of a run in which the delivery of 5-LOW lacks a key column and fails."""
+    raw, root = staged(src.bars_dirty(spark, d), "raw"), work_dir(spark, "deliveries")
+    layers.ingest(spark, raw.filter("symbol != '5-LOW'"), root)
+    try:
+        layers.ingest(spark, raw.filter("symbol = '5-LOW'").drop("source"), root)
+    except AnalysisException:
+        pass  # it is in the log, which the queries read
+    return raw.select("symbol").distinct(), root
+
+
 @query
 def ing_status_summary(spark, d):
-    found = src.bars_priority(spark, d)
-    loaded = landing.refetch_window(found.filter("symbol != '3-MEDIUM'"), RUN_DATE)
-    counts = reports.rows_per_symbol(found.select("symbol").distinct(), loaded)
-    # A load that failed is reported as -1.
-    failed = F.when(F.col("symbol") == "5-LOW", F.lit(-1)).otherwise(F.col("rows_ingested"))
-    return reports.ingest_status(counts.withColumn("rows_ingested", failed.cast("long")))
+    expected, root = _deliveries_with_a_failure(spark, d)
+    return reports.ingest_status(reports.loaded_per_symbol(expected, spark.read.parquet(f"{root}/ingestion_log")))
 
 
 @query
@@ -498,9 +506,8 @@ def dq_extended(spark, d):
 
 @query
 def dq_missing_symbols(spark, d):
-    expected = src.bars_brand(spark, d).select("symbol").distinct()
-    run = src.bars_brand(spark, d).filter((F.col("date") == RUN_DATE) & (F.col("volume") > 40))
-    return quality.missing_symbols(expected, run)
+    expected, root = _deliveries_with_a_failure(spark, d)
+    return quality.missing_symbols(expected, zones.newest(spark, f"{root}/bronze"))
 
 
 # ---------------------------------------------------------------- keyed writes and increments

@@ -315,10 +315,10 @@ add("src_incremental_after_max", f"""SELECT {ALL_BAR} FROM bars b LEFT JOIN (
   WHERE date > coalesce(last, DATE '1900-01-01')""", BARS)
 IN_WINDOW = f"date >= DATE '{RUN_DATE}' - 7 AND date < DATE '{RUN_DATE}'"
 add("ing_rows_per_symbol", f"SELECT symbol, count(*) FILTER ({IN_WINDOW}) AS rows_ingested FROM bars GROUP BY 1", BARS)
-add("ing_status_summary", """SELECT count(*) FILTER (n > 0) AS succeeded, count(*) FILTER (n = 0) AS empty,
-  count(*) FILTER (n < 0) AS failed, CAST(coalesce(sum(n) FILTER (n > 0), 0) AS BIGINT) AS total_rows FROM per_symbol""",
-    BARS, f"""per_symbol AS (SELECT symbol, CASE symbol WHEN '5-LOW' THEN -1 WHEN '3-MEDIUM' THEN 0
-  ELSE count(*) FILTER ({IN_WINDOW}) END AS n FROM bars GROUP BY 1)""")
+# The delivery of one symbol fails as a whole.
+add("ing_status_summary", """SELECT count(DISTINCT symbol) FILTER (symbol <> '5-LOW') AS succeeded, CAST(0 AS BIGINT) AS empty,
+  count(DISTINCT symbol) FILTER (symbol = '5-LOW') AS failed, count(DISTINCT (symbol, date)) FILTER (symbol <> '5-LOW') AS total_rows
+  FROM raw""", DIRTY)
 add("src_rejected_rows", """SELECT symbol, date, close, CASE WHEN volume % 7 <> 0 THEN volume END AS volume,
   volume % 7 = 0 AS rejected FROM bars""", BARS)
 add("src_wide_to_long", "SELECT symbol, date, close, volume FROM bars", BARS)
@@ -465,8 +465,7 @@ add("dq_extended", f"""SELECT symbol, count(*) FILTER (NOT close BETWEEN low AND
   FROM negative JOIN (SELECT symbol, len(list_filter(list_transform(range(1, CAST(DATE '{AS_OF}' - max(date) AS BIGINT) + 1),
     lambda i: max(date) + i::INTEGER), lambda x: isodow(x) < 6))::BIGINT AS lag FROM negative GROUP BY 1) USING (symbol) GROUP BY 1""",
     BARS, CHECKS)
-add("dq_missing_symbols", f"""SELECT DISTINCT symbol FROM bars WHERE symbol NOT IN (
-  SELECT symbol FROM bars WHERE date = DATE '{RUN_DATE}' AND volume > 40)""", BRAND)
+add("dq_missing_symbols", "SELECT DISTINCT symbol FROM raw WHERE symbol = '5-LOW'", DIRTY)
 
 # ---------------------------------------------------------------- keyed writes and increments
 
