@@ -50,7 +50,7 @@ def test_stages_keep_columns_and_bear_odd_tables(spark, docs):
 
 def test_queries_are_registered():
     names = [n for n in entry.queries() if n.startswith("op") and n[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 def test_oracles(spark):
