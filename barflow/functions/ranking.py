@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from barflow.functions.series import spread_join
 from barflow.session import staged
 
-CELLS = 128
+CELLS, MOST_CELLS = 128, 4096
+CELL_VALUES = 1 << 20
 
 
-def _cell(splits: Column, value: Column, cells: int) -> Column:
+def cell_of(splits: Column, value: Column, cells: int) -> Column:
     """Number of split points not above the value, by halving."""
     steps = []
     step = 1
@@ -34,9 +35,25 @@ def _cell(splits: Column, value: Column, cells: int) -> Column:
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
 
 
+def cells_for(distinct: DataFrame, group: Sequence[str]) -> int:
+    """Cells a group needs, so that those of the largest group have about ``CELL_VALUES`` values each."""
+    largest = distinct.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+    cells = CELLS
+    while cells < MOST_CELLS and cells * CELL_VALUES < largest:
+        cells *= 2
+    return cells
+
+
+def cut_points(distinct: DataFrame, group: Sequence[str], value: str, cells: int) -> DataFrame:
+    """Approximate quantiles of the distinct values per group, as the array ``_splits``."""
+    # One call to the JVM, not one for each point.
+    points = F.expr(f"array({', '.join(f'{i / cells!r}D' for i in range(1, cells))})")
+    return distinct.groupBy(*group).agg(F.percentile_approx(value, points, F.lit(20 * cells)).alias("_splits"))
+
+
 def cumulative_counts(
     values: DataFrame, group: Sequence[str], value: str, counted: dict[str, Column],
-    cells: int = CELLS,
+    cells: int | None = None,
 ) -> DataFrame:
     """Distinct values per group with, for each name, the count up to and including the value.
 
@@ -47,12 +64,10 @@ def cumulative_counts(
     distinct = staged(
         values.groupBy(*group, value).agg(*[c.alias(k) for k, c in counted.items()]), "distinct"
     )
-    points = F.array(*[F.lit(i / cells) for i in range(1, cells)])
-    splits = distinct.groupBy(*group).agg(
-        F.percentile_approx(value, points, F.lit(20 * cells)).alias("_splits")
-    )
+    cells = cells or cells_for(distinct, group)
+    splits = cut_points(distinct, group, value, cells)
     celled = spread_join(distinct, splits, list(group), by=value).select(
-        *group, value, *counted, _cell(F.col("_splits"), F.col(value), cells).alias("_cell")
+        *group, value, *counted, cell_of(F.col("_splits"), F.col(value), cells).alias("_cell")
     )
     totals = celled.groupBy(*group, "_cell").agg(*[F.sum(k).alias(f"_in_{k}") for k in counted])
     before = Window.partitionBy(*group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
@@ -74,7 +89,7 @@ def cumulative_counts(
     )
 
 
-def medians(values: DataFrame, group: Sequence[str], value: str, cells: int = CELLS) -> DataFrame:
+def medians(values: DataFrame, group: Sequence[str], value: str, cells: int | None = None) -> DataFrame:
     """Exact median per group as ``median``; null values are skipped."""
     known = values.filter(F.col(value).isNotNull())
     ranked = cumulative_counts(known, group, value, {"n": F.count(F.lit(1))}, cells)

@@ -587,13 +587,15 @@ def in_recent_days(
 
 def spread_join(
     fact: DataFrame, small: DataFrame, keys: list[str], how: str = "inner",
-    by: str = "date", salts: int = 32,
+    by: str = "date", salts: int | None = None,
 ) -> DataFrame:
     """Join per-key rows onto facts of which one key may hold a third.
 
     Facts of one key are dealt to ``salts`` groups by the hash of column ``by``; ``small`` (one row
     per key) is repeated once per group. Spark still picks a broadcast where ``small`` fits one.
+    There are as many groups as the session has shuffle partitions (32 at least), so a key spreads over all of them.
     """
+    salts = salts or max(32, int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     salted = fact.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
     repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")

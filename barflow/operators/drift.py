@@ -131,6 +131,11 @@ def ks(sides: DataFrame, features: Sequence[str]) -> DataFrame:
     found = ranked.groupBy("symbol", "feature").agg(
         F.max(gap).alias("gap"), F.max("ref_total").alias("n_ref"), F.max("cur_total").alias("n_cur")
     )
+    return ks_test(found)
+
+
+def ks_test(found: DataFrame) -> DataFrame:
+    """Statistic and p-value from the largest ``gap`` and the row counts; groups of few rows show no drift."""
     few = (F.col("n_ref") < KS_MIN_ROWS) | (F.col("n_cur") < KS_MIN_ROWS)
     scale = F.sqrt(F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur")))
     tested = found.select(

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from barflow.functions import scalars
 from barflow.functions.series import in_blocks
-from barflow.operators import boosting, clean, drift, indicators, modeling, monitoring, quality, reports, upsert
+from barflow.operators import boosting, clean, drift, indicators, modeling, monitoring, quality, rank_table, reports, upsert
 from barflow.plans import layers, models
 from barflow.session import staged, work_dir
 from barflow.sources import bars as src
@@ -825,6 +825,17 @@ def drift_ks(spark, d):
     return rounded(drift.ks(drift.both_sides(*_drift_sides(spark, d), REPORT_FEATURES), REPORT_FEATURES))
 
 
+@query
+def drift_ks_stored(spark, d):
+    """Two reference periods are ranked and merged; the current rows are tested against the stored table."""
+    (reference, current), root = _drift_sides(spark, d), work_dir(spark, "ranks")
+    first = F.col("date") < F.date_sub(F.lit(CUTOFF).cast("date"), 365)
+    rank_table.write_ranks(reference.filter(first), REPORT_FEATURES, f"{root}/first")
+    rank_table.write_ranks(reference.filter(~first), REPORT_FEATURES, f"{root}/second")
+    rank_table.merge_ranks(spark, [f"{root}/first", f"{root}/second"], f"{root}/both")
+    return rounded(rank_table.ks_against(spark, f"{root}/both", current, REPORT_FEATURES))
+
+
 @query
 def drift_report(spark, d):
     return drift.drift_report(*_drift_sides(spark, d))

@@ -544,6 +544,8 @@ add("drift_histogram", "SELECT * FROM histogram", *GOLD_OF_BARS, SIDES, BINS)
 add("drift_psi", "SELECT symbol, feature, n_ref, n_cur, round(psi, 6) AS psi, severity FROM psi", *GOLD_OF_BARS, SIDES, BINS, PSI)
 add("drift_ks", """SELECT symbol, feature, n_ref, n_cur, round(ks_statistic, 6) AS ks_statistic,
   round(ks_p_value, 6) AS ks_p_value, ks_p_value < 0.05 AS ks_drift FROM ks""", *GOLD_OF_BARS, SIDES, KS)
+add("drift_ks_stored", """SELECT symbol, feature, n_ref, n_cur, round(ks_statistic, 6) AS ks_statistic,
+  round(ks_p_value, 6) AS ks_p_value, ks_p_value < 0.05 AS ks_drift FROM ks""", *GOLD_OF_BARS, SIDES, KS)
 add("drift_report", "SELECT * FROM report", *DRIFT)
 add("drift_summary", "SELECT * FROM drift_summary", *DRIFT)
 
