@@ -7,8 +7,10 @@ third of all rows would decide the run time. Everything here works on *pieces* o
   (key, order) is unique on that grid, so a bucket holds at most ``slots`` rows, whatever the data.
   Prefix operators (row number, running total, exponential average, carry forward and back) run
   inside the bucket; what a bucket needs from the ones before it comes from a summary with one row
-  per bucket, joined back on (key, bucket). Only that summary is ever ordered per whole series:
-  one row per 1,024 days of daily bars.
+  per bucket, joined back on (key, bucket). The summary is scanned by levels: where the time axis has
+  room for more than ``fan`` buckets, groups of ``fan`` of them are summed up, the groups are scanned
+  in the same way, and each group starts from what came before it. So no task orders and no array
+  holds more than ``fan`` summary rows, however fine the grid and however long the series.
 * **Blocks** cut a series by row position. Every block also gets the few rows before and after it
   that a finite frame can reach, so ``lag``, ``lead`` and ``rolling(n)`` are exact inside it.
 """
@@ -17,7 +19,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -30,6 +32,7 @@ TOTAL = "row_total"
 
 DAY_SECONDS = 86_400
 MAX_DOUBLE_EXPONENT = 600.0  # e^600 leaves room for the values themselves in a double
+TIME_AXIS_SECONDS = 9_999 * 366 * DAY_SECONDS  # years 1 to 9999, where dates and timestamps lie
 
 
 @dataclass(frozen=True)
@@ -37,13 +40,14 @@ class Series:
     """How rows form series: the key columns, the order column and its time grid.
 
     ``order`` is a DATE when ``step_seconds`` is one day, otherwise a TIMESTAMP of which at most
-    one row per key falls into each step.
+    one row per key falls into each step. ``fan`` bounds the summary rows that are scanned together.
     """
 
     keys: tuple[str, ...] = ("symbol",)
     order: str = "date"
     step_seconds: int = DAY_SECONDS
     slots: int = 1024
+    fan: int = 4096
 
     def bucket(self) -> Column:
         if self.step_seconds == DAY_SECONDS:
@@ -59,9 +63,10 @@ class Series:
     def in_bucket(self) -> WindowSpec:
         return Window.partitionBy(*self.piece).orderBy(self.order)
 
-    def across_buckets(self) -> WindowSpec:
-        """For bucket summaries only: one row per bucket and series."""
-        return Window.partitionBy(*self.keys).orderBy(BUCKET)
+    @property
+    def buckets(self) -> int:
+        """Buckets that the time axis has room for."""
+        return -(-TIME_AXIS_SECONDS // (self.step_seconds * self.slots))
 
 
 DAILY = Series()
@@ -80,14 +85,85 @@ def _bucketed(df: DataFrame, series: Series) -> DataFrame:
     return df.withColumn(BUCKET, series.bucket())
 
 
+@dataclass(frozen=True)
+class Scan:
+    """What to carry along the places (buckets, or groups of them) of a series, from and to which columns.
+
+    ``before``: the sum over earlier places (``_before_c``). ``whole``: the sum over all places
+    (``_whole_c``). ``last`` and ``next``: the nearest value that is not null in earlier and in later
+    places (``_last_c``, ``_next_c``). ``decays``: for a name k with the rate r, a place with ``n`` rows
+    maps an average x to r^n * x + ``_end_k``; ``_carry_k`` is the average on entry, and the first
+    place is entered with its ``_start_k``.
+    """
+
+    before: tuple[str, ...] = ()
+    whole: tuple[str, ...] = ()
+    last: tuple[str, ...] = ()
+    next: tuple[str, ...] = ()
+    decays: Mapping[str, float] = field(default_factory=dict)
+
+    @property
+    def made(self) -> list[str]:
+        return [f"_{kind}_{c}" for kind in ("before", "whole", "last", "next") for c in getattr(self, kind)] + [
+            f"_carry_{k}" for k in self.decays]
+
+    def along(self, summary: DataFrame, series: Series) -> DataFrame:
+        """Add the carried columns to a summary with one row per bucket."""
+        return self._levels(summary, series.keys, BUCKET, series.buckets, series.fan)
+
+    def _levels(self, summary: DataFrame, keys: tuple[str, ...], place: str, places: int, fan: int) -> DataFrame:
+        if places <= fan:
+            return self._within(summary, keys, place)
+        above = f"{place}_above"
+        lower = summary.withColumn(above, F.floor(F.col(place) / fan).cast("long"))
+        groups = lower.groupBy(*keys, above).agg(*self._of_group(place))
+        known = self._levels(groups, keys, above, -(-places // fan), fan).select(
+            *keys, above, *[F.col(c).alias(f"_above{c}") for c in self.made])
+        entered = lower.join(known, [*keys, above]).withColumns(
+            {f"_start_{k}": F.col(f"_above_carry_{k}") for k in self.decays})
+        inside = self._within(entered, (*keys, above), place)
+        return inside.withColumns({
+            **{f"_before_{c}": F.col(f"_above_before_{c}") + F.col(f"_before_{c}") for c in self.before},
+            **{f"_whole_{c}": F.col(f"_above_whole_{c}") for c in self.whole},
+            **{f"_{kind}_{c}": F.coalesce(F.col(f"_{kind}_{c}"), F.col(f"_above_{kind}_{c}"))
+               for kind in ("last", "next") for c in getattr(self, kind)},
+        }).drop(above, *[f"_above{c}" for c in self.made])
+
+    def _of_group(self, place: str) -> list[Column]:
+        """A group of places summed up, under the names that a place has."""
+        summed = dict.fromkeys([*self.before, *self.whole, *(["n"] if self.decays else [])])
+        found = [F.sum(c).alias(c) for c in summed]
+        found += [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(place))).alias(c) for c in self.last]
+        found += [F.min_by(c, F.when(F.col(c).isNotNull(), F.col(place))).alias(c) for c in self.next]
+        line = F.sort_array(F.collect_list(F.struct(place, "n", *[f"_end_{k}" for k in self.decays]))) if self.decays else None
+        for k, r in self.decays.items():
+            found += [F.aggregate(line, F.lit(0.0), _through(k, r)).alias(f"_end_{k}"),
+                      F.min_by(f"_start_{k}", place).alias(f"_start_{k}")]
+        return found
+
+    def _within(self, summary: DataFrame, keys: tuple[str, ...], place: str) -> DataFrame:
+        """The scan over the few places of each key."""
+        whole = Window.partitionBy(*keys)
+        earlier, later = (
+            whole.orderBy(turn(place)).rowsBetween(Window.unboundedPreceding, -1) for turn in (F.asc, F.desc))
+        scanned = summary.withColumns({
+            **{f"_before_{c}": F.coalesce(F.sum(c).over(earlier), F.lit(0)) for c in self.before},
+            **{f"_whole_{c}": F.sum(c).over(whole) for c in self.whole},
+            **{f"_last_{c}": F.last(c, ignorenulls=True).over(earlier) for c in self.last},
+            **{f"_next_{c}": F.last(c, ignorenulls=True).over(later) for c in self.next},
+        })
+        return _fold_averages(scanned, keys, place, self.decays) if self.decays else scanned
+
+
+def _through(name: str, rate: float) -> Callable[[Column, Column], Column]:
+    """The average at the end of a place from the one on entry."""
+    return lambda c, at: at[f"_end_{name}"] + F.pow(F.lit(rate), at["n"]) * c
+
+
 def _bucket_offsets(counts: DataFrame, series: Series) -> DataFrame:
     """From (keys, bucket, n): rows in earlier buckets, and rows in the whole series."""
-    before = series.across_buckets().rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*series.keys)
-    return counts.withColumns({
-        "_before": F.coalesce(F.sum("n").over(before), F.lit(0)),
-        TOTAL: F.sum("n").over(whole),
-    })
+    return Scan(before=("n",), whole=("n",)).along(counts, series).withColumnsRenamed(
+        {"_before_n": "_before", "_whole_n": TOTAL})
 
 
 # ---------------------------------------------------------------- row position
@@ -135,22 +211,21 @@ def with_neighbours(
     """``with_previous`` and ``with_next`` in one go: one bucket summary, one join."""
     order = F.col(series.order)
     pieces = _bucketed(df, series)
-    earlier = (Window.unboundedPreceding, -1)
-    edges, carries, near = [], [], {}
+    edges, near = [], {}
     # Backward means the same running frame over the reversed order.
     for values, turn, edge in ((previous, F.asc, F.max_by), (following, F.desc, F.min_by)):
-        inner = Window.partitionBy(*series.piece).orderBy(turn(series.order)).rowsBetween(*earlier)
-        outer = Window.partitionBy(*series.keys).orderBy(turn(BUCKET)).rowsBetween(*earlier)
+        inner = Window.partitionBy(*series.piece).orderBy(turn(series.order)).rowsBetween(
+            Window.unboundedPreceding, -1)
         for name, value in values.items():
-            edges.append(edge(value, F.when(value.isNotNull(), order)).alias(f"_edge_{name}"))
-            carries.append(F.last(f"_edge_{name}", ignorenulls=True).over(outer).alias(f"_carry_{name}"))
+            edges.append(edge(value, F.when(value.isNotNull(), order)).alias(f"edge_{name}"))
             near[f"_near_{name}"] = F.last(value, ignorenulls=True).over(inner)
-    names = [*previous, *following]
-    summary = pieces.groupBy(*series.piece).agg(*edges).select(*series.piece, *carries)
+    scan = Scan(last=tuple(f"edge_{k}" for k in previous), next=tuple(f"edge_{k}" for k in following))
+    carry = {k: f"_{kind}_edge_{k}" for kind, values in (("last", previous), ("next", following)) for k in values}
+    summary = scan.along(pieces.groupBy(*series.piece).agg(*edges), series).select(*series.piece, *carry.values())
     joined = _with_summary(pieces.withColumns(near), summary, series)
     return joined.withColumns(
-        {k: F.coalesce(F.col(f"_near_{k}"), F.col(f"_carry_{k}")) for k in names}
-    ).drop(BUCKET, *near, *[f"_carry_{k}" for k in names])
+        {k: F.coalesce(F.col(f"_near_{k}"), F.col(c)) for k, c in carry.items()}
+    ).drop(BUCKET, *near, *carry.values())
 
 
 # ---------------------------------------------------------------- running total
@@ -159,12 +234,10 @@ def with_running_total(df: DataFrame, totals: Mapping[str, Column], series: Seri
     """For each name: the sum of the expression over the series up to and including the row."""
     pieces = _bucketed(df, series)
     upto = series.in_bucket().rowsBetween(Window.unboundedPreceding, 0)
-    earlier = series.across_buckets().rowsBetween(Window.unboundedPreceding, -1)
-    sums = pieces.groupBy(*series.piece).agg(*[F.sum(v).alias(f"_sum_{k}") for k, v in totals.items()])
-    offsets = sums.select(
-        *series.piece,
-        *[F.sum(f"_sum_{k}").over(earlier).alias(f"_before_{k}") for k in totals],
-    )
+    sums = pieces.groupBy(*series.piece).agg(
+        *[F.coalesce(F.sum(v), F.lit(0)).alias(f"sum_{k}") for k, v in totals.items()])
+    offsets = Scan(before=tuple(f"sum_{k}" for k in totals)).along(sums, series).select(
+        *series.piece, *[F.col(f"_before_sum_{k}").alias(f"_before_{k}") for k in totals])
     local = pieces.withColumns({f"_upto_{k}": F.sum(v).over(upto) for k, v in totals.items()})
     return (
         _with_summary(local, offsets, series)
@@ -214,7 +287,7 @@ def with_scans(
             decays[name] = 1.0 - 2.0 / (span + 1.0)
             slots = min(slots, int(MAX_DOUBLE_EXPONENT / -math.log(decays[name])))
     if slots != series.slots:
-        series = Series(series.keys, series.order, series.step_seconds, slots)
+        series = replace(series, slots=slots)
     inner = series.in_bucket()
     upto = inner.rowsBetween(Window.unboundedPreceding, 0)
     rank = F.col("_rank")
@@ -238,7 +311,9 @@ def with_scans(
             F.max_by("_x", series.order).alias("_last"),
             F.min_by(F.col(balance[1]), series.order).alias("_first_volume"),
         ]
-    summary = _bucket_offsets(pieces.groupBy(*series.piece).agg(*parts), series)
+    summary = Scan(before=("n",), whole=("n",), last=("_last",) if balance else ()).along(
+        pieces.groupBy(*series.piece).agg(*parts), series
+    ).withColumnsRenamed({"_before_n": "_before", "_whole_n": TOTAL})
     summary = summary.withColumns({
         f"_end_{k}": F.lit(1 - r) * F.pow(F.lit(r), F.col("n") - 1) * F.col(f"_sum_{k}")
         for k, r in decays.items()
@@ -264,17 +339,15 @@ def with_scans(
     keep = ["_before", TOTAL]
     if balance:
         # The first change of a bucket needs the last value of the bucket before it.
-        across = series.across_buckets()
-        last = F.coalesce(F.lag("_last").over(across), start_value)
+        last = F.coalesce(F.col("_last__last"), start_value)
         step = F.signum(F.col("_first") - last) * F.col("_first_volume")
-        summary = summary.withColumn("_step", F.coalesce(step, F.lit(0.0)))
-        moved = F.sum(F.col("_signed") + F.col("_step")).over(
-            across.rowsBetween(Window.unboundedPreceding, 0)
-        )
-        summary = summary.withColumn("_balance", start_balance + moved - F.col("_signed"))
+        summary = summary.withColumn("_step", F.coalesce(step, F.lit(0.0))).withColumn(
+            "_moved", F.col("_signed") + F.col("_step"))
+    summary = Scan(before=("_moved",) if balance else (), decays=decays).along(summary, series)
+    if balance:
+        summary = summary.withColumn("_balance", start_balance + F.col("_before__moved") + F.col("_step"))
         keep.append("_balance")
-    if decays:
-        summary = _fold_averages(summary, decays, keep, series)
+    summary = summary.select(*series.piece, *keep, *[f"_carry_{k}" for k in decays])
 
     local = {
         f"_upto_{k}": F.sum(F.col("_x") * F.pow(F.lit(r), -rank)).over(upto)
@@ -297,15 +370,11 @@ def with_scans(
 
 
 def _fold_averages(
-    summary: DataFrame, decays: Mapping[str, float], keep: list[str], series: Series
+    summary: DataFrame, keys: tuple[str, ...], place: str, decays: Mapping[str, float]
 ) -> DataFrame:
-    """Carry every average along the bucket summaries of its series.
-
-    The array holds one entry per bucket of one series, so its length is bounded by the time axis.
-    """
-    parts = [f"{p}_{k}" for k in decays for p in ("_start", "_end")]
-    entry = F.struct(BUCKET, "n", *keep, *parts)
-    folded = summary.groupBy(*series.keys).agg(F.sort_array(F.collect_list(entry)).alias("_line"))
+    """Carry every average along the places of each key, of which there are no more than the fan."""
+    rest = [c for c in summary.columns if c not in keys and c != place]
+    folded = summary.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(place, *rest))).alias("_line"))
     line = F.col("_line")
 
     def carries(name: str, r: float) -> Column:
@@ -313,9 +382,11 @@ def _fold_averages(
             line[0][f"_start_{name}"].alias("c"), F.array().cast("array<double>").alias("seen")
         )
 
+        through = _through(name, r)
+
         def advance(state: Column, x: Column) -> Column:
             return F.struct(
-                (x[f"_end_{name}"] + F.pow(F.lit(r), x["n"]) * state["c"]).alias("c"),
+                through(state["c"], x).alias("c"),
                 F.concat(state["seen"], F.array(state["c"])).alias("seen"),
             )
 
@@ -323,11 +394,10 @@ def _fold_averages(
 
     folded = folded.withColumns({f"_carry_{k}": carries(k, r) for k, r in decays.items()})
     zipped = F.arrays_zip("_line", *[f"_carry_{k}" for k in decays])
-    exploded = folded.select(*series.keys, F.explode(zipped).alias("_z"))
+    exploded = folded.select(*keys, F.explode(zipped).alias("_z"))
     return exploded.select(
-        *series.keys,
-        F.col(f"_z._line.{BUCKET}").alias(BUCKET),
-        *[F.col(f"_z._line.{c}").alias(c) for c in keep],
+        *keys,
+        *[F.col(f"_z._line.{c}").alias(c) for c in (place, *rest)],
         *[F.col(f"_z._carry_{k}").alias(f"_carry_{k}") for k in decays],
     )
 

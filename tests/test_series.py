@@ -14,6 +14,8 @@ from barflow.schemas import BARS
 from helpers import collected
 
 SMALL = Series(slots=16)
+#: Two groups of levels above the buckets, and groups shorter than the series.
+LEVELS = Series(slots=2, fan=128)
 
 
 @pytest.fixture(scope="module")
@@ -25,8 +27,9 @@ def by_symbol(frame):
     return [g.reset_index(drop=True) for _, g in frame.groupby("symbol")]
 
 
-def test_row_numbers_run_over_pieces(data):
-    got = collected(number_rows(data, SMALL))
+@pytest.mark.parametrize("series", [SMALL, LEVELS])
+def test_row_numbers_run_over_pieces(data, series):
+    got = collected(number_rows(data, series))
     for g in by_symbol(got):
         assert (g.row_pos == np.arange(len(g))).all()
         assert (g.row_total == len(g)).all()
@@ -39,25 +42,27 @@ def test_last_rows(data):
     assert sorted(got.recency.unique()) == list(range(1, 8))
 
 
-def test_carry_forward_and_back(data):
+@pytest.mark.parametrize("series", [SMALL, LEVELS])
+def test_carry_forward_and_back(data, series):
     sparse = data.withColumn("x", F.when(F.pmod(F.xxhash64("symbol", "date"), F.lit(40)) == 0, F.col("close")))
-    got = collected(with_next(with_previous(sparse, {"p": F.col("x")}, SMALL), {"n": F.col("x")}, SMALL))
+    got = collected(with_next(with_previous(sparse, {"p": F.col("x")}, series), {"n": F.col("x")}, series))
     assert got.x.notna().any() and got.p.isna().any()
     for g in by_symbol(got):
         pd.testing.assert_series_equal(g.p, g.x.ffill().shift(1), check_names=False)
         pd.testing.assert_series_equal(g.n, g.x.bfill().shift(-1), check_names=False)
 
 
-def test_running_total(data):
-    got = collected(with_running_total(data, {"t": F.col("volume")}, SMALL))
+@pytest.mark.parametrize("series", [SMALL, LEVELS])
+def test_running_total(data, series):
+    got = collected(with_running_total(data, {"t": F.col("volume")}, series))
     for g in by_symbol(got):
         assert (g.t == g.volume.cumsum()).all()
 
 
-@pytest.mark.parametrize("slots", [8, 16, 1024])
-def test_exponential_averages_and_balance(data, slots):
+@pytest.mark.parametrize("series", [Series(slots=8), SMALL, LEVELS, Series()])
+def test_exponential_averages_and_balance(data, series):
     spans = {"one": 1, "two": 2, "nine": 9, "slow": 300}
-    got = collected(with_scans(data, spans, balance=("obv", "volume"), series=Series(slots=slots)))
+    got = collected(with_scans(data, spans, balance=("obv", "volume"), series=series))
     for g in by_symbol(got):
         for name, span in spans.items():
             want = g.close.ewm(span=span, adjust=False).mean()
@@ -67,13 +72,14 @@ def test_exponential_averages_and_balance(data, slots):
         assert (g.row_pos == np.arange(len(g))).all()
 
 
-def test_scan_continues_from_a_seed(data):
+@pytest.mark.parametrize("series", [SMALL, LEVELS])
+def test_scan_continues_from_a_seed(data, series):
     spans = {"fast": 9, "slow": 26}
-    whole = collected(with_scans(data, spans, balance=("obv", "volume"), series=SMALL))
+    whole = collected(with_scans(data, spans, balance=("obv", "volume"), series=series))
     split = "2022-03-05"
-    head = with_scans(data.filter(F.col("date") < split), spans, balance=("obv", "volume"), series=SMALL)
+    head = with_scans(data.filter(F.col("date") < split), spans, balance=("obv", "volume"), series=series)
     tail = with_scans(
-        data.filter(F.col("date") >= split), spans, balance=("obv", "volume"), series=SMALL, seed=latest_rows(head))
+        data.filter(F.col("date") >= split), spans, balance=("obv", "volume"), series=series, seed=latest_rows(head))
     got = collected(head.unionByName(tail))
     for c in ("fast", "slow", "obv", "row_pos"):
         np.testing.assert_allclose(got[c], whole[c], rtol=1e-12)
@@ -153,6 +159,37 @@ def test_hourly_series(spark):
     assert (got.row_pos == got.close).all()
 
 
+@pytest.mark.parametrize("years", [1, 9999])
+def test_series_over_the_whole_time_axis(spark, years):
+    """Days before 1970 and the far ends of the axis meet in the last level."""
+    days = spark.range(0, years * 365, 1 if years == 1 else 61).select(
+        F.lit("A").alias("symbol"), (F.col("id") % 89 + 1).cast("double").alias("close"),
+        F.date_add(F.lit("0001-01-01" if years > 1 else "1969-08-01").cast("date"), F.col("id").cast("int")).alias("date"))
+    got = with_scans(days, {"e": 20}, series=Series(slots=8, fan=64)).orderBy("row_pos").select("row_pos", "close", "e").toPandas()
+    assert (got.row_pos == np.arange(len(got))).all() and len(got) == -(-years * 365 // (1 if years == 1 else 61))
+    np.testing.assert_allclose(got.e, got.close.ewm(span=20, adjust=False).mean(), rtol=1e-12)
+
+
+def test_ten_million_seconds_of_one_series(spark):
+    """A grid of seconds: 20,000 buckets of one series, scanned in groups of the fan."""
+    seconds = spark.range(10_000_000).select(
+        F.lit("HOT").alias("symbol"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id")).alias("bar_time"),
+        (F.col("id") % 97 + 1).cast("double").alias("close"), F.lit(1).alias("volume"))
+    grid = Series(order="bar_time", step_seconds=1)
+    assert grid.buckets > grid.fan
+    got = with_scans(seconds, {"e": 3, "slow": 5000}, balance=("obv", "volume"), series=grid)
+    id_ = F.unix_seconds("bar_time") - 1_700_000_000
+    rows, wrong, total = got.agg(
+        F.count(F.lit(1)), F.count_if(F.col("row_pos") != id_), F.max("row_total")).first()
+    assert (rows, wrong, total) == (10_000_000, 0, 10_000_000)
+    close = pd.Series(np.arange(10_000_000) % 97 + 1.0)
+    obv = np.sign(close.diff()).fillna(0).cumsum()
+    want = {k: close.ewm(span=span, adjust=False).mean() for k, span in (("e", 3), ("slow", 5000))}
+    some = got.filter(F.pmod(id_, F.lit(99_991)) == 0).toPandas()
+    for k, series in {**want, "obv": obv}.items():
+        np.testing.assert_allclose(some[k], series.to_numpy()[some.row_pos], rtol=1e-9)
+
+
 def test_no_task_gets_a_whole_hot_series(spark):
     """The widest group of any window over rows is one bucket or block, not the series."""
     days = spark.range(20_000).select(
