@@ -13,11 +13,17 @@ from barflow.llm.common import (
 
 #: Text bytes for each bucket of counts.
 BUCKET_BYTES = 8 << 20
-#: Bytes of a pair's key that travel; the bucket number stands for higher bits.
-PAIR_BYTES = 5
+#: Bytes of a sequence's key that travel; the bucket number stands for higher bits.
+GRAM_BYTES = 5
+#: Sequences longer than two are counted where both of their shorter parts were seen this often in training.
+LEAST_SEEN = 2
+#: The class that contexts are asked with, which no count reaches.
+_CONTEXT = CLASSES - 1
 #: Stand for the end of a text, and for what is before its first word.
 END, START = mixed(np.array([0x7E57E4D, 0x57A27], np.uint64))
 
+_KEY = np.uint64(0xD6E8FEB86659FD93)
+
 _SCORE = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
 
@@ -37,7 +43,15 @@ class Sequences:
         self.before = np.concatenate(([START], self.tokens[:-1]))
         self.before[self.ends[:-1]] = START
         self.train = np.repeat(train, self.sizes)
-        self.pairs = mixed(self.before * np.uint64(0xD6E8FEB86659FD93) + self.tokens)
+        self.place = np.arange(len(self.tokens)) - np.repeat(self.ends - self.sizes, self.sizes)  # in its text
+        self.pairs = mixed(self.before * _KEY + self.tokens)
+
+    def grams(self, n: int) -> np.ndarray:
+        """Hashes of the ``n`` tokens up to each place, the start being one; they are those of one text from place n - 2 on."""
+        out = self.pairs
+        for _ in range(n - 2):
+            out = mixed(np.concatenate((out[:1], out[:-1])) * _KEY + self.tokens)
+        return out
 
 
 def _words_of_block(n_buckets: int):
@@ -80,103 +94,213 @@ def _pairs_of_block(n_buckets: int):
         keys, first, inverse = np.unique(pairs, return_index=True, return_inverse=True)
         counts = np.bincount(inverse, weights=train, minlength=len(keys))
         classes = _class_of(known.state_count[known.state[known.askable][first]])
-        return ask(docs.column("block")[0].as_py(), keys, counts, classes, n_buckets, PAIR_BYTES)
+        return ask(docs.column("block")[0].as_py(), keys, counts, classes, n_buckets, GRAM_BYTES)
+
+    return run
+
+
+class Longer:
+    """Sequences of ``n`` > 2 tokens at the places of a block, and the contexts before their last tokens.
+
+    ``shorter`` has the count of the sequence of n - 1 tokens up to each place. A context is a sequence of n - 1
+    tokens that was seen twice; the sequences counted are those that end in such a one as well. A context's own
+    count is of the places where that holds, so the counts after it add up to it.
+    """
+
+    def __init__(self, seen: Sequences, n: int, shorter: np.ndarray):
+        before = np.concatenate((np.zeros(1, shorter.dtype), shorter[:-1]))
+        self.at = np.flatnonzero((seen.place >= n - 2) & (before >= LEAST_SEEN))
+        counted = shorter[self.at] >= LEAST_SEEN
+        self.ends = self.at[counted]
+        self.contexts, self.grams = seen.grams(n - 1)[self.at - 1], seen.grams(n)[self.ends]
+        self.classes = _class_of(before[self.at])
+        self._keys = np.concatenate((mixed(self.contexts + np.uint64(n)), self.grams))
+        self._weights = np.concatenate((seen.train[self.at] & counted, seen.train[self.ends]))
+        self._classes = np.concatenate((np.full(len(self.at), _CONTEXT, np.uint8), self.classes[counted]))
+
+    def ask(self, block: int, n_buckets: int) -> pa.Table:
+        keys, first, inverse = np.unique(self._keys, return_index=True, return_inverse=True)
+        counts = np.bincount(inverse, weights=self._weights, minlength=len(keys))
+        return ask(block, keys, counts, self._classes[first], n_buckets, GRAM_BYTES)
+
+    def told(self, totals: np.ndarray, n_places: int) -> Longer:
+        """Take the answers in: counts at each place, of the context before it (``among``) and of the sequence."""
+        each = totals[np.unique(self._keys, return_inverse=True)[1]]
+        self.among, self.count = np.zeros(n_places, np.int64), np.zeros(n_places, np.int64)
+        self.among[self.at], self.count[self.ends] = each[: len(self.at)], each[len(self.at):]
+        return self
+
+
+def _counts_by_order(seen: Sequences, answers: pa.Table, order: int) -> tuple[Known, list[np.ndarray], list[Longer]]:
+    """What a block was told of its words, of its pairs by place, and of sequences of three to ``order`` tokens."""
+    length = np.asarray(answers.column("length").to_pylist(), np.int64)
+
+    def of(n: int) -> np.ndarray:
+        return totals_of(answers.filter(pa.array(length == n)))
+
+    known = Known(seen, of(1))
+    counts = np.zeros(len(seen.tokens), np.int64)
+    counts[known.askable] = of(2)[np.unique(seen.pairs[known.askable], return_inverse=True)[1]]
+    by_order, longer = [counts], []
+    for n in range(3, order + 1):
+        longer.append(Longer(seen, n, by_order[-1]).told(of(n), len(seen.tokens)))
+        by_order.append(longer[-1].count)
+    return known, by_order, longer
+
+
+def _longer_of_block(n: int, n_buckets: int):
+    def run(packed: pa.Table, answers: pa.Table) -> pa.Table:
+        if not packed.num_rows:
+            return ASKED.empty_table()
+        docs = unpacked_docs(packed)
+        seen = Sequences(docs)
+        _, by_order, _ = _counts_by_order(seen, answers, n - 1)
+        return Longer(seen, n, by_order[-1]).ask(docs.column("block")[0].as_py(), n_buckets)
 
     return run
 
 
 class Automaton:
-    """States are the block's known words and the start of a text; the root knows no context.
+    """States are the contexts of a block's texts: sequences of tokens, single words, a text's start, and the root.
 
     An arc of a state reads a word that followed it in training, with the log10 probability of the word there,
-    and leads to the word's state. For any other word the state's failure arc, with its backoff weight, leads
-    to the root, which has an arc for every word; unknown words lead back to the root.
+    and leads to the longest state that the context ends in then. For any other word the state's failure arc,
+    with its backoff weight, leads to the state of the context without its first token, a word's to the root.
+    The root has an arc for every word; those of unknown words lead back to it.
     """
 
-    def __init__(self, known: Known, pair_totals: np.ndarray, seen: Sequences, model: dict):
+    def __init__(self, seen: Sequences, known: Known, by_order: list[np.ndarray], longer: list[Longer], model: dict):
         n, types = max(model["tokens"], 1), model["types"]
         discount = model["once"] / (model["once"] + 2 * model["twice"]) if model["twice"] else 0.5
         share = np.where(known.count > 0, (known.count - discount) / n, discount * types / n if types else 1.0)
-        backoff = np.asarray(model["backoff"])[_class_of(known.state_count)]
+        backoffs = [np.asarray(b) for b in model["backoffs"]]
         self.root = len(known.keys) + 1
         self.root_arcs = np.log10(share).tolist()
-        self.failures = [*np.log10(backoff).tolist(), 0.0]
-        self.next = np.where(known.count > 0, np.arange(len(known.keys)), self.root).tolist()
+        following = np.where(known.count > 0, np.arange(len(known.keys)), self.root)
+        self.following = following.tolist()
         self.start = len(known.keys) if known.state_count[-1] > 0 else self.root
-        asked = np.flatnonzero(known.askable)
-        pairs, first = np.unique(seen.pairs[asked], return_index=True)
-        at, totals = asked[first][pair_totals > 0], pair_totals[pair_totals > 0]
-        state, word = known.state[at], known.word[at]
-        b = backoff[state]
-        weight = np.log10((1 - b) * totals / known.state_count[state] + b * share[word])
-        self.arcs = dict(zip((state * self.root + word).tolist(), weight.tolist()))
+        # By places of the block: the longest state before it and after it, and the word's probability there.
+        context = known.state_count[known.state]
+        lives, word = context > 0, known.word
+        before, after, p = np.where(lives, known.state, self.root), following[word], share[word]
+        b = backoffs[0][_class_of(context)]
+        p = np.where(lives, (1 - b) * by_order[0] / np.maximum(context, 1) + b * p, p)
+        failures, fall = [np.log10(backoffs[0][_class_of(known.state_count)]), [0.0]], [np.full(self.root, self.root), [self.root]]
+        arcs, n_states = [], self.root + 1
+
+        def arcs_of(count: np.ndarray) -> None:
+            at = np.flatnonzero(count > 0)
+            keys, first = np.unique(before[at] * (self.root + 1) + word[at], return_index=True)
+            arcs.append((keys, np.log10(p[at[first]]), after[at[first]]))
+
+        for count, level, backoff in zip(by_order, longer, backoffs[1:]):
+            lives = level.among[level.at] > 0
+            at = level.at[lives]
+            _, first, number = np.unique(level.contexts[lives], return_index=True, return_inverse=True)
+            after[at - 1] = n_states + number
+            arcs_of(count)
+            b = backoff[level.classes[lives]]
+            failures.append(np.log10(b[first]))
+            fall.append(before[at[first]])
+            before[at] = n_states + number
+            p[at] = (1 - b) * level.count[at] / level.among[at] + b * p[at]
+            n_states += len(first)
+        arcs_of(by_order[-1])
+        self.failures, self.fall = np.concatenate(failures).tolist(), np.concatenate(fall).tolist()
+        keys, weights, targets = (np.concatenate(c) for c in zip(*arcs))
+        self.weights, self.targets = weights.tolist(), targets.tolist()
+        self.arcs = dict(zip(keys.tolist(), range(len(keys))))
 
     def score(self, words: list[int]) -> float:
         """One pass over a text's words: carry the state, add up the weights of the arcs taken."""
-        arcs, root, root_arcs, failures, following = self.arcs, self.root, self.root_arcs, self.failures, self.next
+        arcs, root, failures, fall, weights, targets = self.arcs, self.root, self.failures, self.fall, self.weights, self.targets
         total, state = 0.0, self.start
         for word in words:
-            weight = arcs.get(state * root + word)
-            total += failures[state] + root_arcs[word] if weight is None else weight
-            state = following[word]
+            while state != root:
+                arc = arcs.get(state * (root + 1) + word)
+                if arc is not None:
+                    total += weights[arc]
+                    state = targets[arc]
+                    break
+                total += failures[state]
+                state = fall[state]
+            else:
+                total += self.root_arcs[word]
+                state = self.following[word]
         return total
 
 
-def _score_block(packed: pa.Table, answers: pa.Table) -> pa.Table:
-    docs = unpacked_docs(packed)
-    if not docs.num_rows:
-        return pa.table({c: [] for c in ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")})
-    seen = Sequences(docs)
-    by_pair = np.asarray(answers.column("of_pairs").to_pylist(), bool)
-    known = Known(seen, totals_of(answers.filter(pa.array(~by_pair))))
-    model = {c: answers.column(c)[0].as_py() for c in ("types", "tokens", "once", "twice", "backoff")}
-    automaton = Automaton(known, totals_of(answers.filter(pa.array(by_pair))), seen, model)
-    starts = seen.ends - seen.sizes
-    words = known.word.tolist()
-    scores = [automaton.score(words[a:b]) for a, b in zip(starts.tolist(), seen.ends.tolist())]
-    count = known.count[known.word]
-    base = np.add.reduceat(np.log10(count + 1.0), starts) - seen.sizes * np.log10(model["tokens"] + model["types"] + 1.0)
-    return pa.table({
-        "doc_id": docs.column("doc_id"), "held_out": pa.array(~np.asarray(docs.column("train").to_pylist(), bool)),
-        "n_tokens": seen.sizes, "n_known": np.add.reduceat((count > 0).astype(np.int64), starts),
-        "train_tokens": np.full(len(starts), model["tokens"], np.int64), "base_score": base, "score": scores})
-
-
-def lm_scores(docs: DataFrame, train: Column, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def _score_block(order: int):
+    def run(packed: pa.Table, answers: pa.Table) -> pa.Table:
+        docs = unpacked_docs(packed)
+        if not docs.num_rows:
+            return pa.table({c: [] for c in (
+                "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")})
+        seen = Sequences(docs)
+        known, by_order, longer = _counts_by_order(seen, answers, order)
+        model = {c: answers.column(c)[0].as_py() for c in ("types", "tokens", "once", "twice", "backoffs")}
+        automaton = Automaton(seen, known, by_order, longer, model)
+        del by_order, longer
+        starts = seen.ends - seen.sizes
+        scores = [automaton.score(known.word[a:b].tolist()) for a, b in zip(starts.tolist(), seen.ends.tolist())]
+        count = known.count[known.word]
+        base = np.add.reduceat(np.log10(count + 1.0), starts) - seen.sizes * np.log10(
+            model["tokens"] + model["types"] + 1.0)
+        return pa.table({
+            "doc_id": docs.column("doc_id"), "held_out": pa.array(~np.asarray(docs.column("train").to_pylist(), bool)),
+            "n_tokens": seen.sizes, "n_known": np.add.reduceat((count > 0).astype(np.int64), starts),
+            "train_tokens": np.full(len(starts), model["tokens"], np.int64), "base_score": base, "score": scores})
+
+    return run
+
+
+def _backoffs(sequences: DataFrame) -> DataFrame:
+    """One row: by class of a context's count, the share of sequences seen once there, the chance of a new one (Good and Turing)."""
+    classes = sequences.filter("class_once IS NOT NULL").select(
+        F.posexplode(F.arrays_zip("class_once", "class_tokens"))).groupBy("pos").agg(
+        F.sum("col.class_once").alias("once"), F.sum("col.class_tokens").alias("tokens"))
+    share = F.greatest(F.lit(0.01), F.least(F.lit(0.99), F.col("once") / F.col("tokens")))
+    rows = F.array_sort(F.collect_list(F.struct("pos", F.when(F.col("tokens") > 0, share).otherwise(F.lit(0.99)).alias("share"))))
+    return classes.agg(rows.alias("rows")).select(F.when(F.size("rows") > 0, F.col("rows.share")).otherwise(
+        F.array_repeat(F.lit(0.99), CLASSES)).alias("backoff"))
+
+
+def lm_scores(docs: DataFrame, train: Column, bucket_bytes: int = BUCKET_BYTES, order: int = 3) -> DataFrame:
     """Log10 probabilities of all texts: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     ``train`` marks the documents to count (null: not). Tokens are the words, A-Z in lower case, and one end for
     each text, so null and empty texts have the end alone. ``base_score`` adds one to each word's count.
-    ``score`` is that of an interpolated word-pair model: a word's own probability is its count less an
-    absolute discount, whose mass is for unknown words; after a word v it is mixed with the share of the word
-    among those that followed v, and the weight of the mix is the share of pairs seen once among contexts as
-    frequent as v. Without training texts every score is 0. Repeated rows are scored (and counted) each; a null
-    ``doc_id`` is kept; extra columns are ignored; an empty table gives no rows.
-
-    Counts are of the whole corpus and never in one place: blocks of documents send their distinct words, and
-    then pairs, to buckets of key ranges, which sum them and answer each block. A block has the arcs that its
-    texts can take. Frequent words arrive once for each block. Words are told apart by 64-bit hashes, pairs by
-    40 bits within their bucket.
+    ``score`` is that of an interpolated model of sequences of up to ``order`` tokens (2 or more): a word's own
+    probability is its count less an absolute discount, whose mass is for unknown words; after a context it is
+    mixed with the share of the word among those that followed the context, and the weight of the mix is the
+    share of sequences seen once among contexts as frequent. Contexts of two tokens and more are those seen
+    twice or more in training, and of the words after them those count whose last n - 1 tokens were seen twice as
+    well; that is part of the model, the same for every text and at every size. Without training texts every
+    score is 0. Repeated rows are scored (and counted) each; a null ``doc_id`` is kept; extra columns are ignored;
+    an empty table gives no rows.
+
+    Counts are of the whole corpus and never in one place: blocks of documents send their distinct words, then
+    pairs, then longer sequences to buckets of key ranges, which sum them and answer each block. A block has the
+    arcs that its texts can take. Frequent words arrive once for each block. Words are told apart by 64-bit
+    hashes, sequences by 40 bits within their bucket.
     """
+    if order < 2:
+        raise ValueError(f"order must be at least 2, got {order}")
     with_flag = docs.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("train", F.coalesce(train, F.lit(False)))
     blocks, total = in_blocks(with_flag, keep=("train",))
     n_buckets = max(1, -(-total // bucket_bytes))
     by_block = blocks.groupBy("block")
     words = by_block.applyInArrow(_words_of_block(n_buckets), ASK).groupBy("bucket").applyInArrow(
         count_bucket(8), ANSWER)
-    pairs = by_block.cogroup(words.groupBy("block")).applyInArrow(_pairs_of_block(n_buckets), ASK).groupBy(
-        "bucket").applyInArrow(count_bucket(PAIR_BYTES), ANSWER)
-    sums = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("types", "tokens", "once", "twice")])
-    # Pairs seen once among those after words of a count class, with Good and Turing the chance of a new one.
-    classes = pairs.filter("class_once IS NOT NULL").select(
-        F.posexplode(F.arrays_zip("class_once", "class_tokens"))).groupBy("pos").agg(
-        F.sum("col.class_once").alias("once"), F.sum("col.class_tokens").alias("tokens"))
-    share = F.greatest(F.lit(0.01), F.least(F.lit(0.99), F.col("once") / F.col("tokens")))
-    backoff = classes.agg(F.array_sort(F.collect_list(F.struct("pos", F.when(F.col("tokens") > 0, share).otherwise(
-        F.lit(0.99)).alias("share")))).alias("rows")).select(F.when(F.size("rows") > 0, F.col("rows.share")).otherwise(
-            F.array_repeat(F.lit(0.99), CLASSES)).alias("backoff"))
-    model = sums.withColumn("one", F.lit(1)).join(backoff.withColumn("one", F.lit(1)), "one")  # one row
-    answers = words.select("block", "bucket", "totals", F.lit(False).alias("of_pairs")).unionAll(
-        pairs.select("block", "bucket", "totals", F.lit(True).alias("of_pairs")))
+    model = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("types", "tokens", "once", "twice")]).select(
+        "*", F.lit(1).alias("one"), F.array().cast("array<array<double>>").alias("backoffs"))
+    answers = words.select("block", "bucket", "totals", F.lit(1).alias("length"))
+    for n in range(2, order + 1):
+        asking = _pairs_of_block(n_buckets) if n == 2 else _longer_of_block(n, n_buckets)
+        counted = by_block.cogroup(answers.groupBy("block")).applyInArrow(asking, ASK).groupBy("bucket").applyInArrow(
+            count_bucket(GRAM_BYTES), ANSWER)
+        answers = answers.unionAll(counted.select("block", "bucket", "totals", F.lit(n).alias("length")))
+        model = model.join(_backoffs(counted).withColumn("one", F.lit(1)), "one").withColumn(
+            "backoffs", F.concat("backoffs", F.array("backoff"))).drop("backoff")  # one row
     told = answers.withColumn("one", F.lit(1)).join(F.broadcast(model), "one").drop("one")
-    return by_block.cogroup(told.groupBy("block")).applyInArrow(_score_block, _SCORE)
+    return by_block.cogroup(told.groupBy("block")).applyInArrow(_score_block(order), _SCORE)

@@ -86,52 +86,76 @@ def test_predictions_replace_columns_and_the_filter_keeps_them(docs):
     assert identify(docs([]), fold(5) == 0).count() == 0
 
 
-def model(rows, trained):
-    """The word-pair model by its definition."""
+def model(rows, trained, order):
+    """The model of sequences by its definition."""
     texts = [[w.lower() for w in (t or "").encode().split()] + ["$"] for _, t in rows]
-    ones = Counter(w for t, k in zip(texts, trained) if k for w in t)
-    pairs = Counter(p for t, k in zip(texts, trained) if k for p in zip(["^", *t], t))
+    taught = [t for t, k in zip(texts, trained) if k]
+    ones = Counter(w for t in taught for w in t)
     n, types = sum(ones.values()), len(ones)
-    before = {**ones, "^": ones["$"]}
     n1, n2 = (sum(c == k for c in ones.values()) for k in (1, 2))
     discount = n1 / (n1 + 2 * n2) if n2 else 0.5
-    once, each = Counter(), Counter()
-    for (v, _), c in pairs.items():
-        k = before[v].bit_length()
-        once[k] += c == 1
-        each[k] += c
     share = lambda w: (ones[w] - discount) / n if ones[w] else discount * types / n
-
-    def log_p(v, w):
-        if not before.get(v):
-            return math.log10(share(w))
-        k = before[v].bit_length()
-        b = min(0.99, max(0.01, once[k] / each[k]))
-        return math.log10((1 - b) * pairs[v, w] / before[v] + b * share(w))
+    count, among, size = {}, {}, {}  # by order: sequences, contexts by counted followers, and by all
+    for k in range(2, order + 1):
+        count[k], among[k] = Counter(), Counter()
+        size[k] = {(w,): c for w, c in {**ones, "^": ones["$"]}.items()} if k == 2 else count[k - 1]
+        for t in taught:
+            line = ("^", *t)
+            for i in range(len(line) - k + 1):
+                g = line[i: i + k]
+                if k == 2 or (count[k - 1][g[:-1]] >= 2 and count[k - 1][g[1:]] >= 2):
+                    count[k][g] += 1
+                    among[k][g[:-1]] += 1
+    once, each = Counter(), Counter()
+    for k in count:
+        for g, c in count[k].items():
+            once[k, size[k][g[:-1]].bit_length()] += c == 1
+            each[k, size[k][g[:-1]].bit_length()] += c
+
+    def p(context, w):
+        k = len(context) + 1
+        if k == 1:
+            return share(w)
+        if not among[k][context]:
+            return p(context[1:], w)
+        c = k, size[k][context].bit_length()
+        b = min(0.99, max(0.01, once[c] / each[c]))
+        return (1 - b) * count[k][(*context, w)] / among[k][context] + b * p(context[1:], w)
 
     out = []
     for (d, _), t, k in zip(rows, texts, trained):
         base = sum(math.log10((ones[w] + 1) / (n + types + 1)) for w in t)
-        out.append((d, not k, len(t), sum(ones[w] > 0 for w in t), n, base, sum(map(log_p, ["^", *t], t))))
-    return out, (ones, pairs, before, share, log_p)
+        line = ("^", *t)
+        score = sum(math.log10(p(line[max(0, i - order + 1): i], line[i])) for i in range(1, len(line)))
+        out.append((d, not k, len(t), sum(ones[w] > 0 for w in t), n, base, score))
+    return out, ones, among, p
 
 
-def test_scores_are_those_of_the_model(docs, words):
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_scores_are_those_of_the_model(docs, words, order):
     rows = [(i, " ".join(words(3 + i % 90, i))) for i in range(150)]
+    rows += [(i, " ".join(words(40, i // 3)) + " " + " ".join(words(5, i))) for i in range(300, 330)]  # passages that repeat
+    rows += [(i, "a b a b a c a b a b " * (i % 5)) for i in range(340, 350)]
     rows += [(200, None), (201, ""), (202, "Never seen words"), (203, " ".join(words(4000, 1))), (204, "A a\x0bA\x85 \xa0a")]
     trained = [zlib.crc32(str(d).encode()) % 7 != 2 for d, _ in rows]
-    want, (ones, pairs, before, share, log_p) = model(rows, trained)
-    out = {r.doc_id: tuple(r) for r in lm_scores(docs(rows), fold(7) != 2, bucket_bytes=1 << 12).collect()}
+    want, ones, among, p = model(rows, trained, order)
+    out = {r.doc_id: tuple(r) for r in lm_scores(docs(rows), fold(7) != 2, bucket_bytes=1 << 12, order=order).collect()}
     assert len(out) == len(rows)
     for row in want:
         assert out[row[0]][:5] == row[:5]
         assert out[row[0]][5:] == pytest.approx(row[5:], abs=1e-8)
     held = [out[d] for d, *_ in rows if out[d][1]]
     assert sum(r[6] for r in held) > sum(r[5] for r in held)
-    # After a word, the known words and the unknown ones have probability 1 together.
-    for v in ["^", max(ones, key=ones.get)]:
-        unknown = 10 ** log_p(v, "?")
-        assert sum(10 ** log_p(v, w) for w in ones) + unknown == pytest.approx(1)
+    # After a context, the known words and the unknown ones have probability 1 together.
+    assert len(among[order]) > 10 or order == 2
+    for k in among:
+        for context in sorted(among[k], key=among[k].get)[-3:]:
+            assert sum(p(context, w) for w in ones) + p(context, "?") == pytest.approx(1)
+
+
+def test_order_must_hold_a_context(docs):
+    with pytest.raises(ValueError, match="at least 2"):
+        lm_scores(docs([(1, "a")]), F.lit(True), order=1)
 
 
 def test_scores_without_training_or_id(docs):
