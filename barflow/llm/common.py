@@ -262,6 +262,33 @@ def unpacked(blob: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), "<u4").astype(np.int64)
 
 
+def _dense(keys: np.ndarray, width: int) -> bytes:
+    """Sorted keys as their differences, byte by byte: the high bytes of these are small and compress well."""
+    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(steps.T))
+
+
+def _from_dense(blob: bytes, width: int) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(width, -1)
+    wide = np.zeros((raw.shape[1], 8), np.uint8)
+    wide[:, :width] = raw.T
+    return np.cumsum(wide.view("<u8").ravel(), dtype=np.uint64)
+
+
+def ask_dense(block: int, keys: np.ndarray, counts: np.ndarray, classes: np.ndarray, n_buckets: int, width: int) -> pa.Table:
+    """As ``ask``, in fewer bytes: of a key, the first ``width`` bytes of its distance from the bucket's least key travel."""
+    found, begin, end = pieces_by_bucket(keys, n_buckets)
+    least = np.array([-(-(int(b) << 32) // n_buckets) << 32 for b in found], np.uint64)
+    shift = np.uint64(max(0, 65 - n_buckets.bit_length() - 8 * width))
+    near = (keys - np.repeat(least, end - begin)) >> shift
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    return pa.table({
+        "block": [block] * len(found), "bucket": found,
+        "keys": [_dense(near[a:b], width) for a, b in zip(begin, end)],
+        "counts": [packed(counts[a:b]) for a, b in zip(begin, end)],
+        "classes": [squeeze(classes[a:b].tobytes()) if len(classes) else b"" for a, b in zip(begin, end)]}, schema=ASKED)
+
+
 def ask(block: int, keys: np.ndarray, counts: np.ndarray, classes: np.ndarray, n_buckets: int, width: int) -> pa.Table:
     """A block's sorted distinct keys with their counts there, one row a bucket; ``width`` low bytes of a key travel."""
     found, begin, end = pieces_by_bucket(keys, n_buckets)
@@ -282,13 +309,21 @@ def _wide(raw: bytes, width: int) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
-def count_bucket(width: int):
-    """Sum the counts of a bucket's keys over all blocks, and answer each block in the order it asked."""
+def count_bucket(width: int, dense: bool = False):
+    """Sum the counts of a bucket's keys over all blocks, and answer each block in the order it asked.
+
+    ``dense``: the blocks asked by ``ask_dense``.
+    """
 
     def run(asked: pa.Table) -> pa.Table:
         raws = asked.column("keys").to_pylist()
-        sizes = [len(r) // width for r in raws]
-        keys = _wide(b"".join(raws), width)
+        if dense:
+            parts = [_from_dense(r, width) for r in raws]
+            sizes, keys = [len(k) for k in parts], np.concatenate(parts)
+            del parts
+        else:
+            sizes = [len(r) // width for r in raws]
+            keys = _wide(b"".join(raws), width)
         del raws
         order = np.argsort(keys, kind="stable")
         keys = keys[order]
@@ -300,7 +335,10 @@ def count_bucket(width: int):
         counts = np.concatenate([unpacked(c) for c in asked.column("counts").to_pylist()])
         totals = np.bincount(number, weights=counts, minlength=len(at)).astype(np.int64)
         rest = [None] * (len(sizes) - 1)
-        classes = np.frombuffer(b"".join(asked.column("classes").to_pylist()), np.uint8)
+        blobs = asked.column("classes").to_pylist()
+        if dense:
+            blobs = [zstandard.ZstdDecompressor().decompress(b) if b else b for b in blobs]
+        classes = np.frombuffer(b"".join(blobs), np.uint8)
         once = each = None
         if len(classes):
             of = classes[order[at]]

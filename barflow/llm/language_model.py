@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barflow.llm.common import (
-    ANSWER, ASK, ASKED, CLASSES, Words, ask, chunks_of, count_bucket, in_blocks, mixed, totals_of, unpacked_docs,
+    ANSWER, ASK, ASKED, CLASSES, Words, ask_dense, chunks_of, count_bucket, in_blocks, mixed, totals_of, unpacked_docs,
 )
 
 #: Text bytes for each bucket of counts.
@@ -60,7 +61,7 @@ def _words_of_block(n_buckets: int):
         seen = Sequences(docs)
         keys, inverse = np.unique(seen.tokens, return_inverse=True)
         counts = np.bincount(inverse, weights=seen.train, minlength=len(keys))
-        return ask(docs.column("block")[0].as_py(), keys, counts, np.zeros(0, np.uint8), n_buckets, 8)
+        return ask_dense(docs.column("block")[0].as_py(), keys, counts, np.zeros(0, np.uint8), n_buckets, 8)
 
     return run
 
@@ -79,8 +80,6 @@ class Known:
         self.state = np.concatenate(([len(self.keys)], self.word[:-1]))  # the token before; a start has the last number
         self.state[seen.ends[:-1]] = len(self.keys)
         self.state_count = np.append(totals, trained)
-        # A pair can be known only if both of its sides are.
-        self.askable = (self.state_count[self.state] > 0) & (totals[self.word] > 0)
 
 
 def _pairs_of_block(n_buckets: int):
@@ -90,11 +89,10 @@ def _pairs_of_block(n_buckets: int):
         docs = unpacked_docs(packed)
         seen = Sequences(docs)
         known = Known(seen, totals_of(answers))
-        pairs, train = seen.pairs[known.askable], seen.train[known.askable]
-        keys, first, inverse = np.unique(pairs, return_index=True, return_inverse=True)
-        counts = np.bincount(inverse, weights=train, minlength=len(keys))
-        classes = _class_of(known.state_count[known.state[known.askable][first]])
-        return ask(docs.column("block")[0].as_py(), keys, counts, classes, n_buckets, GRAM_BYTES)
+        keys, first, inverse = np.unique(seen.pairs, return_index=True, return_inverse=True)
+        counts = np.bincount(inverse, weights=seen.train, minlength=len(keys))
+        classes = _class_of(known.state_count[known.state[first]])
+        return ask_dense(docs.column("block")[0].as_py(), keys, counts, classes, n_buckets, GRAM_BYTES)
 
     return run
 
@@ -121,7 +119,7 @@ class Longer:
     def ask(self, block: int, n_buckets: int) -> pa.Table:
         keys, first, inverse = np.unique(self._keys, return_index=True, return_inverse=True)
         counts = np.bincount(inverse, weights=self._weights, minlength=len(keys))
-        return ask(block, keys, counts, self._classes[first], n_buckets, GRAM_BYTES)
+        return ask_dense(block, keys, counts, self._classes[first], n_buckets, GRAM_BYTES)
 
     def told(self, totals: np.ndarray, n_places: int) -> Longer:
         """Take the answers in: counts at each place, of the context before it (``among``) and of the sequence."""
@@ -131,21 +129,19 @@ class Longer:
         return self
 
 
-def _counts_by_order(seen: Sequences, answers: pa.Table, order: int) -> tuple[Known, list[np.ndarray], list[Longer]]:
-    """What a block was told of its words, of its pairs by place, and of sequences of three to ``order`` tokens."""
-    length = np.asarray(answers.column("length").to_pylist(), np.int64)
-
-    def of(n: int) -> np.ndarray:
-        return totals_of(answers.filter(pa.array(length == n)))
-
-    known = Known(seen, of(1))
-    counts = np.zeros(len(seen.tokens), np.int64)
-    counts[known.askable] = of(2)[np.unique(seen.pairs[known.askable], return_inverse=True)[1]]
+def _counts_by_order(seen: Sequences, answers: pa.Table, order: int) -> tuple[list[np.ndarray], list[Longer]]:
+    """What a block was told of its pairs by place, and of sequences of three to ``order`` tokens."""
+    counts = _told(answers, 2)[np.unique(seen.pairs, return_inverse=True)[1]]
     by_order, longer = [counts], []
     for n in range(3, order + 1):
-        longer.append(Longer(seen, n, by_order[-1]).told(of(n), len(seen.tokens)))
+        longer.append(Longer(seen, n, by_order[-1]).told(_told(answers, n), len(seen.tokens)))
         by_order.append(longer[-1].count)
-    return known, by_order, longer
+    return by_order, longer
+
+
+def _told(answers: pa.Table, n: int) -> np.ndarray:
+    """The answers about sequences of ``n`` tokens."""
+    return totals_of(answers.filter(pc.equal(answers.column("length"), n)))
 
 
 def _longer_of_block(n: int, n_buckets: int):
@@ -154,7 +150,7 @@ def _longer_of_block(n: int, n_buckets: int):
             return ASKED.empty_table()
         docs = unpacked_docs(packed)
         seen = Sequences(docs)
-        _, by_order, _ = _counts_by_order(seen, answers, n - 1)
+        by_order, _ = _counts_by_order(seen, answers, n - 1)
         return Longer(seen, n, by_order[-1]).ask(docs.column("block")[0].as_py(), n_buckets)
 
     return run
@@ -237,7 +233,8 @@ def _score_block(order: int):
             return pa.table({c: [] for c in (
                 "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")})
         seen = Sequences(docs)
-        known, by_order, longer = _counts_by_order(seen, answers, order)
+        known = Known(seen, _told(answers, 1))
+        by_order, longer = _counts_by_order(seen, answers, order)
         model = {c: answers.column(c)[0].as_py() for c in ("types", "tokens", "once", "twice", "backoffs")}
         automaton = Automaton(seen, known, by_order, longer, model)
         del by_order, longer
@@ -291,14 +288,15 @@ def lm_scores(docs: DataFrame, train: Column, bucket_bytes: int = BUCKET_BYTES,
     n_buckets = max(1, -(-total // bucket_bytes))
     by_block = blocks.groupBy("block")
     words = by_block.applyInArrow(_words_of_block(n_buckets), ASK).groupBy("bucket").applyInArrow(
-        count_bucket(8), ANSWER)
+        count_bucket(8, dense=True), ANSWER)
     model = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("types", "tokens", "once", "twice")]).select(
         "*", F.lit(1).alias("one"), F.array().cast("array<array<double>>").alias("backoffs"))
     answers = words.select("block", "bucket", "totals", F.lit(1).alias("length"))
     for n in range(2, order + 1):
         asking = _pairs_of_block(n_buckets) if n == 2 else _longer_of_block(n, n_buckets)
-        counted = by_block.cogroup(answers.groupBy("block")).applyInArrow(asking, ASK).groupBy("bucket").applyInArrow(
-            count_bucket(GRAM_BYTES), ANSWER)
+        told = answers if n == 2 else answers.filter(F.col("length") > 1)  # pairs show what to ask from then on
+        counted = by_block.cogroup(told.groupBy("block")).applyInArrow(asking, ASK).groupBy("bucket").applyInArrow(
+            count_bucket(GRAM_BYTES, dense=True), ANSWER)
         answers = answers.unionAll(counted.select("block", "bucket", "totals", F.lit(n).alias("length")))
         model = model.join(_backoffs(counted).withColumn("one", F.lit(1)), "one").withColumn(
             "backoffs", F.concat("backoffs", F.array("backoff"))).drop("backoff")  # one row
