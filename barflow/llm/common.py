@@ -275,6 +275,15 @@ def _from_dense(blob: bytes, width: int) -> np.ndarray:
     return np.cumsum(wide.view("<u8").ravel(), dtype=np.uint64)
 
 
+def _packed_dense(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T))
+
+
+def _unpacked_dense(blob: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(raw.T).view("<u4").ravel().astype(np.int64)
+
+
 def ask_dense(block: int, keys: np.ndarray, counts: np.ndarray, classes: np.ndarray, n_buckets: int, width: int) -> pa.Table:
     """As ``ask``, in fewer bytes: of a key, the first ``width`` bytes of its distance from the bucket's least key travel."""
     found, begin, end = pieces_by_bucket(keys, n_buckets)
@@ -347,7 +356,7 @@ def count_bucket(width: int, dense: bool = False):
         ends = np.concatenate(([0], np.cumsum(sizes))).tolist()
         return pa.table({
             "block": asked.column("block"), "bucket": asked.column("bucket"),
-            "totals": [packed(totals[number[a:b]]) for a, b in zip(ends[:-1], ends[1:])],
+            "totals": [(_packed_dense if dense else packed)(totals[number[a:b]]) for a, b in zip(ends[:-1], ends[1:])],
             "types": [int((totals > 0).sum()), *rest], "tokens": [int(totals.sum()), *rest],
             "once": [int((totals == 1).sum()), *rest], "twice": [int((totals == 2).sum()), *rest],
             "class_once": [once, *rest], "class_tokens": [each, *rest]}, schema=ANSWERED)
@@ -355,7 +364,8 @@ def count_bucket(width: int, dense: bool = False):
     return run
 
 
-def totals_of(answers: pa.Table) -> np.ndarray:
-    """A block's answers, in the order of its sorted keys."""
+def totals_of(answers: pa.Table, dense: bool = False) -> np.ndarray:
+    """A block's answers, in the order of its sorted keys; ``dense`` as the buckets were told."""
     rows = sorted((k, b) for k, b in zip(answers.column("bucket").to_pylist(), answers.column("totals").to_pylist()))
-    return np.concatenate([unpacked(b) for _, b in rows]) if rows else np.empty(0, np.int64)
+    read = _unpacked_dense if dense else unpacked
+    return np.concatenate([read(b) for _, b in rows]) if rows else np.empty(0, np.int64)

@@ -88,7 +88,7 @@ def _pairs_of_block(n_buckets: int):
             return ASKED.empty_table()
         docs = unpacked_docs(packed)
         seen = Sequences(docs)
-        known = Known(seen, totals_of(answers))
+        known = Known(seen, _told(answers, 1))
         keys, first, inverse = np.unique(seen.pairs, return_index=True, return_inverse=True)
         counts = np.bincount(inverse, weights=seen.train, minlength=len(keys))
         classes = _class_of(known.state_count[known.state[first]])
@@ -141,7 +141,7 @@ def _counts_by_order(seen: Sequences, answers: pa.Table, order: int) -> tuple[li
 
 def _told(answers: pa.Table, n: int) -> np.ndarray:
     """The answers about sequences of ``n`` tokens."""
-    return totals_of(answers.filter(pc.equal(answers.column("length"), n)))
+    return totals_of(answers.filter(pc.equal(answers.column("length"), n)), dense=True)
 
 
 def _longer_of_block(n: int, n_buckets: int):
@@ -163,6 +163,8 @@ class Automaton:
     and leads to the longest state that the context ends in then. For any other word the state's failure arc,
     with its backoff weight, leads to the state of the context without its first token, a word's to the root.
     The root has an arc for every word; those of unknown words lead back to it.
+
+    ``carried`` is the state that the arcs lead to before each place of the block, left to right.
     """
 
     def __init__(self, seen: Sequences, known: Known, by_order: list[np.ndarray], longer: list[Longer], model: dict):
@@ -171,10 +173,8 @@ class Automaton:
         share = np.where(known.count > 0, (known.count - discount) / n, discount * types / n if types else 1.0)
         backoffs = [np.asarray(b) for b in model["backoffs"]]
         self.root = len(known.keys) + 1
-        self.root_arcs = np.log10(share).tolist()
+        self.root_arcs = np.log10(share)
         following = np.where(known.count > 0, np.arange(len(known.keys)), self.root)
-        self.following = following.tolist()
-        self.start = len(known.keys) if known.state_count[-1] > 0 else self.root
         # By places of the block: the longest state before it and after it, and the word's probability there.
         context = known.state_count[known.state]
         lives, word = context > 0, known.word
@@ -202,28 +202,28 @@ class Automaton:
             p[at] = (1 - b) * level.count[at] / level.among[at] + b * p[at]
             n_states += len(first)
         arcs_of(by_order[-1])
-        self.failures, self.fall = np.concatenate(failures).tolist(), np.concatenate(fall).tolist()
-        keys, weights, targets = (np.concatenate(c) for c in zip(*arcs))
-        self.weights, self.targets = weights.tolist(), targets.tolist()
-        self.arcs = dict(zip(keys.tolist(), range(len(keys))))
-
-    def score(self, words: list[int]) -> float:
-        """One pass over a text's words: carry the state, add up the weights of the arcs taken."""
-        arcs, root, failures, fall, weights, targets = self.arcs, self.root, self.failures, self.fall, self.weights, self.targets
-        total, state = 0.0, self.start
-        for word in words:
-            while state != root:
-                arc = arcs.get(state * (root + 1) + word)
-                if arc is not None:
-                    total += weights[arc]
-                    state = targets[arc]
-                    break
-                total += failures[state]
-                state = fall[state]
-            else:
-                total += self.root_arcs[word]
-                state = self.following[word]
-        return total
+        self.failures, self.fall = np.concatenate(failures), np.concatenate(fall)
+        # Sorted, as longer contexts have higher numbers.
+        self.arcs, self.weights, self.targets = (np.concatenate(c) for c in zip(*arcs))
+        self.carried, self.word = before, word
+
+    def scores(self, starts: np.ndarray) -> np.ndarray:
+        """One pass over the places of all texts: the carried state's arc, or its failures down to one that has it."""
+        total, left, state = np.zeros(len(self.word)), np.arange(len(self.word)), self.carried
+        while len(left):
+            word = self.word[left]
+            key = state * (self.root + 1) + word
+            arc = np.searchsorted(self.arcs, key)
+            taken = arc < len(self.arcs)
+            taken[taken] = self.arcs[arc[taken]] == key[taken]
+            total[left[taken]] += self.weights[arc[taken]]
+            lowest = state == self.root
+            total[left[lowest]] += self.root_arcs[word[lowest]]
+            falls = ~(taken | lowest)
+            left, state = left[falls], state[falls]
+            total[left] += self.failures[state]
+            state = self.fall[state]
+        return np.add.reduceat(total, starts)
 
 
 def _score_block(order: int):
@@ -239,7 +239,7 @@ def _score_block(order: int):
         automaton = Automaton(seen, known, by_order, longer, model)
         del by_order, longer
         starts = seen.ends - seen.sizes
-        scores = [automaton.score(known.word[a:b].tolist()) for a, b in zip(starts.tolist(), seen.ends.tolist())]
+        scores = automaton.scores(starts)
         count = known.count[known.word]
         base = np.add.reduceat(np.log10(count + 1.0), starts) - seen.sizes * np.log10(
             model["tokens"] + model["types"] + 1.0)

@@ -153,6 +153,45 @@ def test_scores_are_those_of_the_model(docs, words, order):
             assert sum(p(context, w) for w in ones) + p(context, "?") == pytest.approx(1)
 
 
+def test_arcs_lead_to_the_states_that_are_carried(words):
+    """Following the arcs one by one, text by text, meets the carried states and the scores."""
+    import numpy as np
+    import pyarrow as pa
+
+    from barflow.llm import language_model as lm
+
+    texts = [" ".join(words(60, i // 3)) for i in range(90)] + ["", "new words only", "a b a b a b a c"] * 2
+    seen = lm.Sequences(pa.table({"text": texts, "train": [i % 7 != 2 for i in range(len(texts))]}))
+
+    def counts(keys, weights):
+        found, at = np.unique(keys, return_inverse=True)
+        return np.bincount(at, weights=weights, minlength=len(found)).astype(np.int64)
+
+    known = lm.Known(seen, counts(seen.tokens, seen.train))
+    by_order, longer = [counts(seen.pairs, seen.train)[np.unique(seen.pairs, return_inverse=True)[1]]], []
+    for n in (3, 4):
+        level = lm.Longer(seen, n, by_order[-1])
+        longer.append(level.told(counts(level._keys, level._weights), len(seen.tokens)))
+        by_order.append(level.count)
+    model = {"tokens": int(seen.train.sum()), "types": 50, "once": 5, "twice": 5, "backoffs": [[0.3] * 64] * 3}
+    automaton = lm.Automaton(seen, known, by_order, longer, model)
+    assert (automaton.carried > automaton.root).any()
+    arcs = dict(zip(automaton.arcs.tolist(), zip(automaton.weights.tolist(), automaton.targets.tolist())))
+    scores = []
+    for a, b in zip((seen.ends - seen.sizes).tolist(), seen.ends.tolist()):
+        state, total = len(known.keys), 0.0
+        for place in range(a, b):
+            assert state == automaton.carried[place]
+            word = known.word[place]
+            while state != automaton.root and state * (automaton.root + 1) + word not in arcs:
+                total, state = total + automaton.failures[state], automaton.fall[state]
+            weight, state = (automaton.root_arcs[word], word if known.count[word] else automaton.root) if (
+                state == automaton.root) else arcs[state * (automaton.root + 1) + word]
+            total += weight
+        scores.append(total)
+    assert automaton.scores(seen.ends - seen.sizes) == pytest.approx(scores)
+
+
 def test_order_must_hold_a_context(docs):
     with pytest.raises(ValueError, match="at least 2"):
         lm_scores(docs([(1, "a")]), F.lit(True), order=1)
