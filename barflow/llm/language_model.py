@@ -182,26 +182,38 @@ class Automaton:
         b = backoffs[0][_class_of(context)]
         p = np.where(lives, (1 - b) * by_order[0] / np.maximum(context, 1) + b * p, p)
         failures, fall = [np.log10(backoffs[0][_class_of(known.state_count)]), [0.0]], [np.full(self.root, self.root), [self.root]]
-        arcs, n_states = [], self.root + 1
+        arcs, n_states, n_arcs = [], self.root + 1, 0
+        #: By length of context: the least state of that length, and at each place the arc there (-1: none).
+        self.levels = []
 
-        def arcs_of(count: np.ndarray) -> None:
+        def arcs_of(count: np.ndarray, least: int) -> None:
+            nonlocal n_arcs
             at = np.flatnonzero(count > 0)
-            keys, first = np.unique(before[at] * (self.root + 1) + word[at], return_index=True)
-            arcs.append((keys, np.log10(p[at[first]]), after[at[first]]))
-
+            keys = before[at] * (self.root + 1) + word[at]
+            order = np.argsort(keys)
+            at, keys = at[order], keys[order]
+            new = np.diff(keys, prepend=-1) > 0
+            arc = np.full(len(count), -1)
+            arc[at] = np.cumsum(new) - 1 + n_arcs
+            self.levels.append((least, arc))
+            arcs.append((keys[new], np.log10(p[at[new]]), after[at[new]]))
+            n_arcs += len(arcs[-1][0])
+
+        least = 0
         for count, level, backoff in zip(by_order, longer, backoffs[1:]):
             lives = level.among[level.at] > 0
             at = level.at[lives]
             _, first, number = np.unique(level.contexts[lives], return_index=True, return_inverse=True)
             after[at - 1] = n_states + number
-            arcs_of(count)
+            arcs_of(count, least)
+            least = n_states
             b = backoff[level.classes[lives]]
             failures.append(np.log10(b[first]))
             fall.append(before[at[first]])
             before[at] = n_states + number
             p[at] = (1 - b) * level.count[at] / level.among[at] + b * p[at]
             n_states += len(first)
-        arcs_of(by_order[-1])
+        arcs_of(by_order[-1], least)
         self.failures, self.fall = np.concatenate(failures), np.concatenate(fall)
         # Sorted, as longer contexts have higher numbers.
         self.arcs, self.weights, self.targets = (np.concatenate(c) for c in zip(*arcs))
@@ -209,20 +221,17 @@ class Automaton:
 
     def scores(self, starts: np.ndarray) -> np.ndarray:
         """One pass over the places of all texts: the carried state's arc, or its failures down to one that has it."""
-        total, left, state = np.zeros(len(self.word)), np.arange(len(self.word)), self.carried
-        while len(left):
-            word = self.word[left]
-            key = state * (self.root + 1) + word
-            arc = np.searchsorted(self.arcs, key)
-            taken = arc < len(self.arcs)
-            taken[taken] = self.arcs[arc[taken]] == key[taken]
-            total[left[taken]] += self.weights[arc[taken]]
-            lowest = state == self.root
-            total[left[lowest]] += self.root_arcs[word[lowest]]
-            falls = ~(taken | lowest)
-            left, state = left[falls], state[falls]
-            total[left] += self.failures[state]
-            state = self.fall[state]
+        total, state, waits = np.zeros(len(self.word)), self.carried.copy(), np.ones(len(self.word), bool)
+        for least, arcs in reversed(self.levels):
+            here = np.flatnonzero(waits & (state >= least) & (state != self.root))
+            arc = arcs[here]
+            taken = arc >= 0
+            total[here[taken]] += self.weights[arc[taken]]
+            waits[here[taken]] = False
+            falls = here[~taken]
+            total[falls] += self.failures[state[falls]]
+            state[falls] = self.fall[state[falls]]
+        total[waits] += self.root_arcs[self.word[waits]]
         return np.add.reduceat(total, starts)
 
 
