@@ -30,7 +30,9 @@ def character_classes() -> np.ndarray:
     if _classes is None:
         import regex
 
-        every = "".join(chr(c) if not 0xD800 <= c < 0xE000 else "\0" for c in range(0x110000))
+        points = np.arange(0x110000, dtype="<u4")
+        points[0xD800:0xE000] = 0
+        every = points.tobytes().decode("utf-32-le")  # a million strings of one character would be held at a time
         out = np.zeros(0x110000, np.uint8)
         for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\p{White_Space}+")):
             for m in regex.finditer(pattern, every):

@@ -10,6 +10,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from barflow.llm.language_id import Classifier, ngrams, ranked
 from barflow.llm.queries import RANKS
+from barflow.session import BATCH_SETTING
 
 SF = "/root/testdata/sf0.001"
 
@@ -48,6 +49,31 @@ def test_stages_keep_columns_and_bear_odd_tables(spark, docs):
         assert sorted(r.doc_id for r in table.collect() if r.doc_id is not None) in ([3, 5], [])
 
 
+def test_python_gets_no_batch_far_beyond_a_block(spark, docs):
+    import pyarrow as pa
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], names=["n_bytes", "n_rows"])
+
+    before = spark.conf.get(BATCH_SETTING)
+    base = spark.range(0, 300, 1, 1).selectExpr("id AS doc_id", "concat(id, repeat(' letters of words', 4000)) AS text", "'en' AS lang")
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            if name == "exact_dedup":  # nothing goes to Python
+                continue
+            spark.conf.set(BATCH_SETTING, "64m")
+            stage(spark, docs([(1, "some words")]), SF)
+            seen = base.mapInArrow(sizes, "n_bytes bigint, n_rows bigint").collect()
+            assert sum(r.n_rows for r in seen) == 300
+            assert max(r.n_bytes for r in seen) < corpus_pipeline.BATCH_BYTES + 100_000, name
+        spark.conf.set(BATCH_SETTING, "1m")
+        corpus_pipeline.in_small_batches(spark)
+        assert spark.conf.get(BATCH_SETTING) == "1m"
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
+
+
 def test_queries_are_registered():
     names = [n for n in entry.queries() if n.startswith("op") and n[2].isdigit()]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()

@@ -6,6 +6,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
+from barflow.llm import byte_bpe
 from barflow.llm.byte_bpe import PreTokens, cut, decode, encode, encode_and_decode, encode_word, read_ranks
 from barflow.llm.common import Words
 from barflow.llm.piece_counts import LongestMatch, count_pieces
@@ -26,6 +27,26 @@ def strings(n, seed=1):
     return ["".join(rng.choice(alphabet) for _ in range(rng.randrange(14))) for _ in range(n)]
 
 
+def test_character_classes_are_made_without_a_string_for_each_character(monkeypatch):
+    import tracemalloc
+
+    import regex
+
+    kinds = byte_bpe.character_classes()
+    for c in (*range(0x3000), *range(0xD7F0, 0xE010), 0x10FFFF):
+        one = chr(c) if not 0xD800 <= c < 0xE000 else "\0"
+        want = next((k for k, p in ((byte_bpe.LETTER, r"\p{L}"), (byte_bpe.NUMBER, r"\p{N}"), (byte_bpe.SPACE, r"\p{White_Space}"))
+                     if regex.match(p, one)), byte_bpe.OTHER)
+        assert kinds[c] == want, hex(c)
+    monkeypatch.setattr(byte_bpe, "_classes", None)
+    tracemalloc.start()
+    try:
+        byte_bpe.character_classes()
+        assert tracemalloc.get_traced_memory()[1] < 32 << 20
+    finally:
+        tracemalloc.stop()
+
+
 def test_words_are_those_of_the_pattern(library):
     ranks = read_ranks(PATH)
     texts = strings(3000)
